@@ -69,6 +69,7 @@ def get_session(app: str = "ordersentry", master: str | None = None,
         builder = builder.master(master)
     builder = (builder
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g")))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
