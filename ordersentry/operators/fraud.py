@@ -63,8 +63,17 @@ DEFAULT = FraudParams()
 
 # --------------------------------------------------------------- row rules
 def row_rules(df: DataFrame, params: FraudParams = DEFAULT) -> DataFrame:
-    """Add ``f_country``, ``f_night_quantity``, ``f_night_amount``."""
-    night = hour_in(F.col("created_date"), params.night_start_hour, params.night_end_hour)
+    """Add ``f_country``, ``f_night_quantity``, ``f_night_amount``.
+
+    The hour is ``hour(created_date)`` (UTC session), or the ``created_hour``
+    column when the input has one (streams take the hour as written in the
+    ISO text, whatever its offset).
+    """
+    if "created_hour" in df.columns:
+        h = F.col("created_hour")
+        night = (h >= params.night_start_hour) & (h < params.night_end_hour)
+    else:
+        night = hour_in(F.col("created_date"), params.night_start_hour, params.night_end_hour)
     return df.select(
         "*",
         (~F.col("country").eqNullSafe(F.lit(params.home_country))).alias("f_country"),
