@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .operators import fraud
 from .plans import warehouse as wh
 from .plans.domain import Domain
-from .session import configure
+from .session import checkpoint_dir, configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,4 +77,144 @@ def queries() -> dict[str, Query]:
         "fraud_verdict_dense": fraud_verdict_dense,
         "fraud_first_rule": fraud_first_rule,
     })
+    q.update(more_queries())
     return q
+
+
+# ------------------------------------------------------- raw table queries
+# Fixed values of the registered scenarios (shared with the oracle SQL).
+LOAD_TS = "2024-02-01 00:00:00"      # "now" of a load, fixed for repeatable results
+FIRST_LOAD_END = "2023-12-15 00:00:00"  # users created before it are already stored
+RUN_DS = "2024-01-15"                # incremental run date: extracts 2024-01-14
+USERS_BATCH = 100                    # ordered read batch size
+
+
+def _load_ts():
+    return F.lit(LOAD_TS).cast("timestamp_ntz")
+
+
+def insert_ignore_users(spark, sf_dir):
+    """S5 + S7 + J3: a sign-up batch where every user arrives twice (upper-
+    then lower-cased name); existing e-mails are skipped, the first copy of
+    each new e-mail is inserted with the next surrogate key."""
+    from .operators import tables as ops
+    users = _dom(spark, sf_dir).raw_users
+    target = users.filter(F.col("created_date") < F.lit(FIRST_LOAD_END).cast("timestamp_ntz"))
+    cols = ["email", "phone_number", "created_date"]
+    incoming = (users.select((F.col("user_id") * 2).alias("ord"), F.upper("name").alias("name"), *cols)
+                .unionByName(users.select((F.col("user_id") * 2 + 1).alias("ord"),
+                                          F.lower("name").alias("name"), *cols)))
+    return ops.insert_ignore(target, incoming, key="email", order_col="ord", surrogate="user_id",
+                             defaults={"ingestion_ts": _load_ts(), "source": "batch"})
+
+
+def upsert_orders(spark, sf_dir):
+    """Every fraud order is re-sent twice (still Fraud, then cleared as
+    Genuine); the last version replaces the stored row with a new
+    ingestion time."""
+    from .operators import tables as ops
+    from .sources.tpch_domain import raw_orders
+    d = _dom(spark, sf_dir)
+    screened = d.screened()
+    target = raw_orders(screened)
+    frauds = screened.filter(F.col("status") == "Fraud").drop("first_rule", "partition")
+    incoming = (frauds.withColumn("ord", F.col("seq") * 2)
+                .unionByName(frauds.withColumn("ord", F.col("seq") * 2 + 1)
+                             .withColumn("status", F.lit("Genuine")))).drop("seq")
+    return ops.upsert(target, incoming, key="order_id", order_col="ord", now=_load_ts())
+
+
+def order_high_water(spark, sf_dir):
+    from .operators import tables as ops
+    return ops.high_water(_dom(spark, sf_dir).raw_orders)
+
+
+def extract_day_orders(spark, sf_dir):
+    from .sources.ndjson import extract_day
+    return extract_day(_dom(spark, sf_dir).raw_orders, RUN_DS)
+
+
+def read_users_ordered(spark, sf_dir):
+    from .operators import tables as ops
+    return ops.read_table(_dom(spark, sf_dir).raw_users,
+                          ["user_id", "name", "email", "phone_number", "created_date"],
+                          order_by="user_id", limit=USERS_BATCH)
+
+
+def dq_unique(spark, sf_dir):
+    from .operators import quality
+    d = _dom(spark, sf_dir)
+    return quality.unique_report([
+        ("raw_users", d.raw_users, "user_id"), ("raw_users", d.raw_users, "email"),
+        ("raw_products", d.raw_products, "product_id"), ("raw_products", d.raw_products, "product_name"),
+        ("raw_orders", d.raw_orders, "order_id")])
+
+
+def dq_not_null(spark, sf_dir):
+    from .operators import quality
+    d = _dom(spark, sf_dir)
+    return quality.null_report([
+        ("raw_users", d.raw_users, "user_id"), ("raw_users", d.raw_users, "phone_number"),
+        ("raw_products", d.raw_products, "product_id"), ("raw_orders", d.raw_orders, "order_id")])
+
+
+def reconcile_counts(spark, sf_dir):
+    """Rows per created day: raw table (source) against its model (target)."""
+    from .operators import ledger
+    d = _dom(spark, sf_dir)
+    pairs = [("raw_users", d.raw_users, d.dim_users), ("raw_products", d.raw_products, d.dim_products),
+             ("raw_orders", d.raw_orders, d.fct_orders)]
+    return ledger.union_all([
+        ledger.reconcile(src, tgt, "created_date").select(F.lit(name).alias("table_name"), "*")
+        for name, src, tgt in pairs])
+
+
+def ingest_ledger(spark, sf_dir):
+    """Q3-Q7 for one run: start, finish and validate events of the three
+    tables (source slice vs loaded model slice), folded into the ledger state."""
+    from .functions import previous_day
+    from .operators import ledger
+    from .sources.ndjson import extract_day
+    d = _dom(spark, sf_dir)
+    day = previous_day(RUN_DS)
+    dag, run = "raw_tables_daily", f"scheduled__{RUN_DS}"
+    events = []
+    for name, src, tgt in [("raw_users", d.raw_users, d.dim_users),
+                           ("raw_products", d.raw_products, d.dim_products),
+                           ("raw_orders", d.raw_orders, d.fct_orders)]:
+        events.append(ledger.start(extract_day(src, RUN_DS), dag, run, name, name, RUN_DS, seq=1,
+                                   start_time=f"{RUN_DS} 01:00:00"))
+        events.append(ledger.finish(tgt.filter(F.to_date("created_date") == F.lit(day)), dag, run, name,
+                                    RUN_DS, seq=2, end_time=f"{RUN_DS} 01:05:00"))
+    # Six one-row events: materialize them once (reliable checkpoint in the
+    # cluster's checkpoint folder) instead of recomputing the counts per use.
+    checkpoint_dir(spark)
+    log = ledger.union_all(events).checkpoint()
+    return ledger.state(log.unionByName(ledger.validate_run(log, dag, run, seq=3)))
+
+
+def rupiah_format(spark, sf_dir):
+    from .functions import rupiah
+    return _dom(spark, sf_dir).raw_orders.select(
+        "order_id", "amount_numeric", rupiah("amount_numeric").alias("amount_text"))
+
+
+def amount_enrich(spark, sf_dir):
+    return _dom(spark, sf_dir).order_events.select(
+        "order_id", "product_id", "quantity", "amount_numeric", "amount")
+
+
+def more_queries() -> dict[str, Query]:
+    return {
+        "insert_ignore": insert_ignore_users,
+        "upsert_latest": upsert_orders,
+        "order_high_water": order_high_water,
+        "extract_day": extract_day_orders,
+        "read_users_ordered": read_users_ordered,
+        "dq_unique": dq_unique,
+        "dq_not_null": dq_not_null,
+        "reconcile_counts": reconcile_counts,
+        "ingest_ledger": ingest_ledger,
+        "rupiah_format": rupiah_format,
+        "amount_enrich": amount_enrich,
+    }

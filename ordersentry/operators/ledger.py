@@ -84,6 +84,15 @@ def validate(ledger: DataFrame, dag_id: str, run_id: str, source_table: str, seq
                   is_consistent=F.col("row_ingested").eqNullSafe(F.col("row_loaded")))
 
 
+def validate_run(ledger: DataFrame, dag_id: str, run_id: str, seq: int = 3) -> DataFrame:
+    """Q5 for every table of a run in one pass over the log."""
+    cur = state(ledger).filter((F.col("dag_id") == dag_id) & (F.col("run_id") == run_id)
+                               & F.col("source_table").isNotNull())
+    return _event(cur, dag_id, run_id, seq, source_table=F.col("source_table"),
+                  execution_date=F.col("execution_date"),
+                  is_consistent=F.col("row_ingested").eqNullSafe(F.col("row_loaded")))
+
+
 def fail(spark: SparkSession, dag_id: str, run_id: str, execution_date: str, seq: int = 9,
          end_time: dt.datetime | str | None = None) -> DataFrame:
     """Q6: run-level FAILED event."""
@@ -144,5 +153,5 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-__all__ = ["count_rows", "start", "finish", "validate", "fail", "state", "reconcile", "empty",
+__all__ = ["count_rows", "start", "finish", "validate", "validate_run", "fail", "state", "reconcile", "empty",
            "union_all", "previous_day"]

@@ -224,4 +224,127 @@ def oracle_sql() -> dict[str, str]:
         "SELECT order_id, verdict AS status, first_rule FROM screened", variant="dense", models=False)
     q["fraud_first_rule"] = _q(
         "SELECT first_rule, count(*) AS n_orders FROM screened GROUP BY first_rule", models=False)
+    q.update(_more())
     return q
+
+
+# Fixed values of the registered scenarios, the same as ordersentry.catalog.
+_LOAD_TS = "TIMESTAMP '2024-02-01 00:00:00'"
+_FIRST_LOAD_END = "TIMESTAMP '2023-12-15 00:00:00'"
+_DAY = "DATE '2024-01-14'"     # run date 2024-01-15 minus one day
+
+_RAW_COLS = ("order_id, user_id, product_id, quantity, amount, amount_numeric, country, status, "
+             "created_date, event_ts, source")
+
+MORE_SQL = {
+    "insert_ignore": f"""
+, target AS (SELECT * FROM users WHERE created_date < {_FIRST_LOAD_END}),
+incoming AS (
+  SELECT user_id * 2 AS ord, upper(name) AS name, email, phone_number, created_date FROM users
+  UNION ALL
+  SELECT user_id * 2 + 1 AS ord, lower(name) AS name, email, phone_number, created_date FROM users),
+firsts AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY email ORDER BY ord) AS rn FROM incoming)
+  WHERE rn = 1 AND email IS NOT NULL),
+fresh AS (SELECT f.* FROM firsts f WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.email = f.email))
+SELECT user_id, name, email, phone_number, created_date, ingestion_ts, source FROM target
+UNION ALL
+SELECT (SELECT coalesce(max(user_id), 0) FROM target) + row_number() OVER (ORDER BY ord) AS user_id,
+       name, email, phone_number, created_date, {_LOAD_TS} AS ingestion_ts, 'batch' AS source
+FROM fresh""",
+    "upsert_latest": f"""
+, incoming AS (
+  SELECT seq * 2 AS ord, {_RAW_COLS.replace('status', 'verdict AS status')} FROM screened WHERE verdict = 'Fraud'
+  UNION ALL
+  SELECT seq * 2 + 1 AS ord, {_RAW_COLS.replace('status', "'Genuine' AS status")}
+  FROM screened WHERE verdict = 'Fraud'),
+latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY ord DESC) AS rn FROM incoming)
+  WHERE rn = 1)
+SELECT {_RAW_COLS}, ingestion_ts FROM raw_orders r
+WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.order_id = r.order_id)
+UNION ALL
+SELECT {_RAW_COLS}, {_LOAD_TS} AS ingestion_ts FROM latest""",
+    "order_high_water": """
+SELECT CAST(coalesce(max(CAST(regexp_replace(order_id, '^O', '') AS BIGINT)), 0) AS BIGINT) AS max_counter
+FROM raw_orders""",
+    "extract_day": f"SELECT * FROM raw_orders WHERE CAST(created_date AS DATE) = {_DAY}",
+    "read_users_ordered": """
+SELECT user_id, name, email, phone_number, created_date FROM users ORDER BY user_id LIMIT 100""",
+    "dq_unique": """
+SELECT 'raw_users' AS table_name, 'user_id' AS column_name, CAST(user_id AS VARCHAR) AS key_value,
+       count(*) AS n_rows FROM users WHERE user_id IS NOT NULL GROUP BY user_id HAVING count(*) > 1
+UNION ALL
+SELECT 'raw_users', 'email', email, count(*) FROM users WHERE email IS NOT NULL
+GROUP BY email HAVING count(*) > 1
+UNION ALL
+SELECT 'raw_products', 'product_id', CAST(product_id AS VARCHAR), count(*) FROM products
+WHERE product_id IS NOT NULL GROUP BY product_id HAVING count(*) > 1
+UNION ALL
+SELECT 'raw_products', 'product_name', product_name, count(*) FROM products
+WHERE product_name IS NOT NULL GROUP BY product_name HAVING count(*) > 1
+UNION ALL
+SELECT 'raw_orders', 'order_id', order_id, count(*) FROM raw_orders WHERE order_id IS NOT NULL
+GROUP BY order_id HAVING count(*) > 1""",
+    "dq_not_null": """
+SELECT 'raw_users' AS table_name, 'user_id' AS column_name, count(*) AS n_rows,
+       count(*) FILTER (WHERE user_id IS NULL) AS null_rows FROM users
+UNION ALL
+SELECT 'raw_users', 'phone_number', count(*), count(*) FILTER (WHERE phone_number IS NULL) FROM users
+UNION ALL
+SELECT 'raw_products', 'product_id', count(*), count(*) FILTER (WHERE product_id IS NULL) FROM products
+UNION ALL
+SELECT 'raw_orders', 'order_id', count(*), count(*) FILTER (WHERE order_id IS NULL) FROM raw_orders""",
+    "reconcile_counts": """
+, pairs AS (
+  SELECT 'raw_users' AS table_name, s.day, s.n AS row_ingested, t.n AS row_loaded FROM
+    (SELECT CAST(created_date AS DATE) AS day, count(*) AS n FROM users GROUP BY 1) s
+    FULL OUTER JOIN (SELECT CAST(created_date AS DATE) AS day, count(*) AS n FROM dim_users GROUP BY 1) t
+    ON s.day = t.day
+  UNION ALL
+  SELECT 'raw_products', coalesce(s.day, t.day), s.n, t.n FROM
+    (SELECT CAST(created_date AS DATE) AS day, count(*) AS n FROM products GROUP BY 1) s
+    FULL OUTER JOIN (SELECT CAST(created_date AS DATE) AS day, count(*) AS n FROM dim_products GROUP BY 1) t
+    ON s.day = t.day
+  UNION ALL
+  SELECT 'raw_orders', coalesce(s.day, t.day), s.n, t.n FROM
+    (SELECT CAST(created_date AS DATE) AS day, count(*) AS n FROM raw_orders GROUP BY 1) s
+    FULL OUTER JOIN (SELECT CAST(created_date AS DATE) AS day, count(*) AS n FROM fct_orders GROUP BY 1) t
+    ON s.day = t.day)
+SELECT table_name, day, row_ingested, row_loaded,
+       row_ingested IS NOT DISTINCT FROM row_loaded AS is_consistent FROM pairs""",
+    "ingest_ledger": f"""
+, counts AS (
+  SELECT 'raw_users' AS source_table,
+         (SELECT count(*) FROM users WHERE CAST(created_date AS DATE) = {_DAY}) AS row_ingested,
+         (SELECT count(*) FROM dim_users WHERE CAST(created_date AS DATE) = {_DAY}) AS row_loaded
+  UNION ALL
+  SELECT 'raw_products',
+         (SELECT count(*) FROM products WHERE CAST(created_date AS DATE) = {_DAY}),
+         (SELECT count(*) FROM dim_products WHERE CAST(created_date AS DATE) = {_DAY})
+  UNION ALL
+  SELECT 'raw_orders',
+         (SELECT count(*) FROM raw_orders WHERE CAST(created_date AS DATE) = {_DAY}),
+         (SELECT count(*) FROM fct_orders WHERE CAST(created_date AS DATE) = {_DAY}))
+SELECT 'raw_tables_daily' AS dag_id, 'scheduled__2024-01-15' AS run_id, source_table,
+       'SUCCESS' AS run_status, row_ingested, source_table AS destination_table, row_loaded,
+       TIMESTAMP '2024-01-15 01:00:00' AS start_time, TIMESTAMP '2024-01-15 01:05:00' AS end_time,
+       TIMESTAMP '2024-01-15 00:00:00' AS execution_date,
+       row_ingested IS NOT DISTINCT FROM row_loaded AS is_consistent
+FROM counts""",
+    "rupiah_format": """
+SELECT order_id, amount_numeric,
+       'Rp.' || replace(format('{:,}', amount_numeric), ',', '.') AS amount_text FROM raw_orders""",
+    "amount_enrich": """
+SELECT order_id, product_id, quantity, amount_numeric, amount FROM order_events""",
+}
+
+
+def _more() -> dict[str, str]:
+    out = {}
+    for name, body in MORE_SQL.items():
+        if body.lstrip().startswith(","):
+            out[name] = prelude() + body
+        else:
+            out[name] = prelude() + "\n" + body
+    return out
