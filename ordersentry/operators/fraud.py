@@ -110,10 +110,16 @@ def with_buffer(df: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...]
     context = df.select(*partition_cols, seq, item.alias("_item"),
                         (blk + 1).alias("_blk"), F.lit(False).alias("_own"))
     both = own.unionByName(context, allowMissingColumns=True)
-    w = Window.partitionBy(*partition_cols, "_blk").orderBy(seq).rowsBetween(-(n - 1), 0)
-    return (both.withColumn(_BUF, F.collect_list("_item").over(w))
-                .filter(F.col("_own"))
-                .drop("_own", "_blk"))
+    # The whole group (at most 2 * n rows) is collected once, in arrival
+    # order; each row then takes its last n entries by position.  A sliding
+    # ROWS frame would re-aggregate n rows for every row.
+    group = Window.partitionBy(*partition_cols, "_blk").orderBy(seq)
+    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    out = both.select("*", F.collect_list("_item").over(whole).alias("_grp"),
+                      F.row_number().over(group).alias("_pos")).filter(F.col("_own"))
+    start = F.greatest(F.col("_pos") - (n - 1), F.lit(1))
+    return (out.withColumn(_BUF, F.slice("_grp", start, F.col("_pos") - start + 1))
+               .drop("_grp", "_pos", "_own", "_blk"))
 
 
 def _recent(params: FraudParams) -> Column:
@@ -122,31 +128,58 @@ def _recent(params: FraudParams) -> Column:
     return F.filter(F.col(_BUF), lambda x: x["t"] > t_now - F.lit(params.window_micros))
 
 
-def bot_rules(df: DataFrame, params: FraudParams = DEFAULT) -> DataFrame:
-    """Add ``bot_a``, ``bot_b``, ``bot_c`` from the ``_buf`` column."""
-    rec = F.col("_rec")
+def _buffer_facts(params: FraudParams) -> Column:
+    """All bot facts in one expression: the buffer is filtered by time once
+    (W2), then one pass over the recent orders counts them (``n_rec``),
+    those with the current user and product (``n_up``) and with the current
+    product and quantity (``n_pq``), and checks that their numeric user ids
+    are present and never decrease (``ids_rise``); ``fire`` = bot_a or bot_c.
+
+    One expression on purpose: a filter on the verdict is pushed below the
+    projection and inlines every reference, so rules reading the buffer
+    separately would re-scan it once per reference.
+    """
     u, p, q = F.col("_item.u"), F.col("_item.p"), F.col("_item.q")
-    bot_a = F.size(F.filter(rec, lambda x: x["u"].eqNullSafe(u) & x["p"].eqNullSafe(p))) >= 2
-    bot_c = (F.size(rec) >= 2) & F.forall(rec, lambda x: x["p"].eqNullSafe(p) & x["q"].eqNullSafe(q))
-    ids = F.transform(rec, lambda x: x["n"])
-    rising = F.forall(rec, lambda x: x["n"].isNotNull()) & (ids == F.array_sort(ids))
-    return (df.withColumn("_rec", _recent(params))
-              .withColumn("bot_a", bot_a)
-              .withColumn("bot_c", bot_c)
-              .withColumn("bot_b", F.col("bot_c") & rising)
-              .drop("_rec"))
+    zero = F.struct(F.lit(0).alias("n_rec"), F.lit(0).alias("n_up"), F.lit(0).alias("n_pq"),
+                    F.lit(True).alias("ids_rise"), F.lit(None).cast("long").alias("last_n"))
+
+    def add(acc, x):
+        same_up = (x["u"].eqNullSafe(u) & x["p"].eqNullSafe(p)).cast("int")
+        same_pq = (x["p"].eqNullSafe(p) & x["q"].eqNullSafe(q)).cast("int")
+        rises = acc["ids_rise"] & x["n"].isNotNull() & F.coalesce(acc["last_n"] <= x["n"], F.lit(True))
+        return F.struct((acc["n_rec"] + 1).alias("n_rec"), (acc["n_up"] + same_up).alias("n_up"),
+                        (acc["n_pq"] + same_pq).alias("n_pq"), rises.alias("ids_rise"),
+                        x["n"].alias("last_n"))
+
+    def finish(acc):
+        bot_c = (acc["n_rec"] >= 2) & (acc["n_pq"] == acc["n_rec"])
+        return F.struct(acc["n_up"].alias("n_up"), bot_c.alias("bot_c"), acc["ids_rise"].alias("ids_rise"),
+                        ((acc["n_up"] >= 2) | bot_c).alias("fire"))
+
+    return F.aggregate(_recent(params), zero, add, finish)
+
+
+def bot_rules(df: DataFrame, params: FraudParams = DEFAULT) -> DataFrame:
+    """Add ``bot_a``, ``bot_b``, ``bot_c`` and ``_bots`` (a or c) from the
+    ``_buf`` column (F4-F6)."""
+    facts = F.col("_facts")
+    return (df.withColumn("_facts", _buffer_facts(params))
+              .withColumn("bot_a", facts["n_up"] >= 2)
+              .withColumn("bot_c", facts["bot_c"])
+              .withColumn("bot_b", facts["bot_c"] & facts["ids_rise"])
+              .withColumn("_bots", facts["fire"])
+              .drop("_facts"))
 
 
 # ------------------------------------------------------------- verdict
 def verdict_columns(df: DataFrame) -> DataFrame:
     flags = [F.col("f_country"), F.col("f_night_quantity"), F.col("f_night_amount"),
              F.col("bot_a"), F.col("bot_b"), F.col("bot_c")]
-    fraud = flags[0]
-    for f in flags[1:]:
-        fraud = fraud | f
+    # bot_b implies bot_c, so the verdict needs the row rules and _bots only.
+    fraud = F.col("f_country") | F.col("f_night_quantity") | F.col("f_night_amount") | F.col("_bots")
     first = F.coalesce(*[F.when(f, F.lit(name)) for f, name in zip(flags, RULES)])
     return df.withColumn("status", F.when(fraud, "Fraud").otherwise("Genuine")) \
-             .withColumn("first_rule", first)
+             .withColumn("first_rule", first).drop("_bots")
 
 
 def screen(orders: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...] = ("partition",),
