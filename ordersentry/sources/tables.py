@@ -33,7 +33,9 @@ def materialize(df: DataFrame, name: str, kind: str = "table", path: str | None
     if kind != "table" or not path:
         raise ValueError("a table needs kind='table' and a path")
     out, parts = df, []
-    if partition_by:
+    if partition_by and dict(df.dtypes)[partition_by] == "date":
+        parts = [partition_by]
+    elif partition_by:
         pcol = f"{partition_by}_{partition_granularity}"
         out = out.withColumn(pcol, F.to_date(F.col(partition_by)))
         parts = [pcol]
