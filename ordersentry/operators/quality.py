@@ -40,11 +40,19 @@ def unique_report(checks: list[tuple[str, DataFrame, str]]) -> DataFrame:
 
 
 def null_report(checks: list[tuple[str, DataFrame, str]]) -> DataFrame:
-    """NULL count per ``(table_name, df, column)``: one row per check."""
-    parts = [df.agg(F.count(F.lit(1)).alias("n_rows"),
-                    F.count_if(F.col(col).isNull()).alias("null_rows")).select(
-        F.lit(table).alias("table_name"), F.lit(col).alias("column_name"), "n_rows", "null_rows")
-        for table, df, col in checks]
+    """NULL count per ``(table_name, df, column)``: one row per check, one
+    scan per table (checks on the same DataFrame share an aggregation)."""
+    by_table: dict[int, tuple[str, DataFrame, list[str]]] = {}
+    for table, df, col in checks:
+        by_table.setdefault(id(df), (table, df, []))[2].append(col)
+    parts = []
+    for table, df, cols in by_table.values():
+        counts = df.agg(F.count(F.lit(1)).alias("n_rows"),
+                        *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(cols)])
+        rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_null_{i}").alias("null_rows"))
+                                   for i, c in enumerate(cols)])).alias("_c")
+        parts.append(counts.select(F.lit(table).alias("table_name"), "n_rows", rows)
+                     .select("table_name", "_c.column_name", "n_rows", "_c.null_rows"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -40,7 +40,11 @@ def materialize(df: DataFrame, name: str, kind: str = "table", path: str | None
         out = out.withColumn(pcol, F.to_date(F.col(partition_by)))
         parts = [pcol]
     if cluster_by:
-        out = out.repartitionByRange(*[F.col(c) for c in parts + cluster_by]) \
+        # A row hash as the last range key lets the range partitioner split
+        # a hot cluster value over several tasks; rows stay sorted by the
+        # cluster columns inside each file.
+        keys = [F.col(c) for c in parts + cluster_by]
+        out = out.repartitionByRange(*keys, F.xxhash64(*[F.col(c) for c in df.columns])) \
                  .sortWithinPartitions(*(parts + cluster_by))
     writer = out.write.mode("overwrite")
     if parts:

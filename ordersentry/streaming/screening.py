@@ -59,14 +59,17 @@ def decode_orders(raw: DataFrame, schema: T.StructType = ORDER_EVENT) -> tuple[D
     Returns ``(orders, quarantine)``: messages that are not a JSON object
     land in the quarantine frame instead of stopping the stream.
     """
+    with_corrupt = T.StructType(list(schema.fields) + [T.StructField("_corrupt", T.StringType())])
     parsed = raw.select(
         F.col("partition").cast("int").alias("partition"),
         F.col("offset").cast("long").alias("seq"),
         F.col("value").cast("string").alias("_json"),
-    ).withColumn("_o", F.from_json("_json", schema))
-    ok = parsed.filter(F.col("_o").isNotNull())
-    bad = parsed.filter(F.col("_o").isNull()).select("partition", "seq", F.col("_json").alias("value"))
-    return ok.select("partition", "seq", "_o.*"), bad
+    ).withColumn("_o", F.from_json("_json", with_corrupt, {"mode": "PERMISSIVE",
+                                                           "columnNameOfCorruptRecord": "_corrupt"}))
+    broken = F.col("_o").isNull() | F.col("_o._corrupt").isNotNull()
+    ok = parsed.filter(~broken).select("partition", "seq", *[F.col(f"_o.{f.name}") for f in schema.fields])
+    bad = parsed.filter(broken).select("partition", "seq", F.col("_json").alias("value"))
+    return ok, bad
 
 
 def typed_orders(df: DataFrame) -> DataFrame:
