@@ -115,13 +115,23 @@ def with_buffer(df: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...]
     # ROWS frame would re-aggregate n rows for every row.
     group = Window.partitionBy(*partition_cols, "_blk").orderBy(seq)
     whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # Latest event time among the previous n - 1 arrivals: when it is not
+    # recent, the buffer holds no other recent order and no bot rule can
+    # fire, so the rules skip the buffer scan (a compiled sliding max).
+    before = group.rowsBetween(-(n - 1), -1)
     out = both.select("*", F.collect_list("_item").over(whole).alias("_grp"),
-                      F.row_number().over(group).alias("_pos")).filter(F.col("_own"))
+                      F.row_number().over(group).alias("_pos"),
+                      F.max("_item.t").over(before).alias("_prev_t")).filter(F.col("_own"))
     start = F.greatest(F.col("_pos") - (n - 1), F.lit(1))
     return (out.withColumn(_BUF, F.slice("_grp", start, F.col("_pos") - start + 1))
                .drop("_grp", "_pos", "_own", "_blk"))
 
 
+def _others_recent(params: FraudParams) -> Column:
+    """Some other order in the buffer is recent (then the buffer is scanned)."""
+    return F.coalesce(F.col("_prev_t") > F.col("_item.t") - F.lit(params.window_micros), F.lit(False))
+
+
 def _recent(params: FraudParams) -> Column:
     """Buffer entries with ``now - ts < window``."""
     t_now = F.col("_item.t")
@@ -156,7 +166,9 @@ def _buffer_facts(params: FraudParams) -> Column:
         return F.struct(acc["n_up"].alias("n_up"), bot_c.alias("bot_c"), acc["ids_rise"].alias("ids_rise"),
                         ((acc["n_up"] >= 2) | bot_c).alias("fire"))
 
-    return F.aggregate(_recent(params), zero, add, finish)
+    alone = F.struct(F.lit(1).alias("n_up"), F.lit(False).alias("bot_c"), F.lit(True).alias("ids_rise"),
+                     F.lit(False).alias("fire"))
+    return F.when(_others_recent(params), F.aggregate(_recent(params), zero, add, finish)).otherwise(alone)
 
 
 def bot_rules(df: DataFrame, params: FraudParams = DEFAULT) -> DataFrame:
@@ -192,7 +204,7 @@ def screen(orders: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...]
     """
     flags = ["f_country", "f_night_quantity", "f_night_amount", "bot_a", "bot_b", "bot_c"]
     out = with_buffer(row_rules(orders, params), seq, partition_cols, params)
-    out = verdict_columns(bot_rules(out, params)).drop(_BUF, "_item")
+    out = verdict_columns(bot_rules(out, params)).drop(_BUF, "_item", "_prev_t")
     return out if keep_flags else out.drop(*flags)
 
 
