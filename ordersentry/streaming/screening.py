@@ -108,11 +108,28 @@ class BufferedScreening:
     route all verdicts to ``processed`` and frauds to ``alerts`` (S3)."""
 
     def __init__(self, state_dir: str, processed: Sink, alerts: Sink | None = None,
-                 params: fraud.FraudParams = fraud.DEFAULT, prepare: Callable[[DataFrame], DataFrame] | None = None):
+                 params: fraud.FraudParams = fraud.DEFAULT, prepare: Callable[[DataFrame], DataFrame] | None = None,
+                 dense_offsets: bool = True):
+        """``dense_offsets=True``: ``seq`` (the Kafka offset) has no gaps.
+        With ``False`` the batch is renumbered 0, 1, 2, ... per partition,
+        continuing after the carried tail (for compacted or transactional
+        topics, whose offsets skip values)."""
         self.state_dir = state_dir.rstrip("/")
         self.processed, self.alerts = processed, alerts
         self.params = params
         self.prepare = prepare or typed_orders
+        self.dense_offsets = dense_offsets
+
+    @staticmethod
+    def _renumber(cur: DataFrame, tail: DataFrame | None) -> DataFrame:
+        local = fraud.dense_sequence(cur.withColumnRenamed("seq", "offset"), "offset", out_col="_local")
+        if tail is None:
+            return local.withColumn("seq", F.col("_local")).drop("_local")
+        # One row per stream partition: bounded by the topic's partition count.
+        base = tail.groupBy("partition").agg((F.max("seq") + 1).alias("_base"))
+        return (local.join(F.broadcast(base), "partition", "left")
+                .withColumn("seq", F.coalesce(F.col("_base"), F.lit(0)) + F.col("_local"))
+                .drop("_local", "_base"))
 
     def _tail_path(self, batch_id: int) -> str:
         return f"{self.state_dir}/tail/batch_id={batch_id}"
@@ -127,14 +144,17 @@ class BufferedScreening:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        cur = self.prepare(batch).withColumn("_ctx", F.lit(False))
+        cur = self.prepare(batch)
         tail = self._read_tail(spark, batch_id, cur)
+        if not self.dense_offsets:
+            cur = self._renumber(cur, tail)
+        cur = cur.withColumn("_ctx", F.lit(False))
         both = cur if tail is None else cur.unionByName(
             tail.select(*_TAIL_COLS).withColumn("_ctx", F.lit(True)), allowMissingColumns=True)
         screened = fraud.screen(both, params=self.params, keep_flags=False)
         screened = screened.persist()
         try:
-            out = screened.filter(~F.col("_ctx")).drop("_ctx", "first_rule", "created_hour")
+            out = screened.filter(~F.col("_ctx")).drop("_ctx", "first_rule", "created_hour", "offset")
             self.processed(out, batch_id)
             if self.alerts is not None:
                 self.alerts(out.filter(F.col("status") == "Fraud"), batch_id)

@@ -1,7 +1,11 @@
 import json
 import os
+import random
 import tempfile
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +14,10 @@ from ordersentry.plans.domain import Domain
 from ordersentry.schemas import ORDER_EVENT
 from ordersentry.streaming.loader import UpsertLoader
 from ordersentry.streaming.screening import BufferedScreening, parquet_sink
+from tests import brute
 from tests.conftest import SF_SMALL
+from tests.test_fraud import SCHEMA as FSCHEMA
+from tests.test_fraud import random_stream
 
 STREAM_SCHEMA = T.StructType(list(ORDER_EVENT.fields) + [T.StructField("partition", T.IntegerType()),
                                                          T.StructField("seq", T.LongType())])
@@ -77,3 +84,35 @@ def test_loader_upserts_batches(spark, tmp_path):
     assert set(rows) == {"O1", "O2"}
     assert (rows["O1"].quantity, rows["O1"].status) == (9, "Genuine")
     assert (rows["O2"].quantity, rows["O2"].amount_numeric) == (0, 0)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(seed=st.integers(0, 10_000), n=st.integers(2, 500), cuts=st.integers(1, 5), gaps=st.booleans())
+def test_micro_batches_match_deque(spark, seed, n, cuts, gaps):
+    """The foreachBatch function over random micro-batch splits (and offsets
+    with gaps) gives the verdicts of one deque over the whole stream."""
+    orders = random_stream(seed, n, 4, 2, 0.1)
+    want = [s for s, _ in brute.screen(orders)]
+    rnd = random.Random(seed)
+    offsets, off = [], 0
+    for _ in orders:
+        off += rnd.choice([1, 1, 1, 2, 7]) if gaps else 1
+        offsets.append(off)
+    rows = [tuple(o[f.name] for f in FSCHEMA.fields[2:]) + (0, offsets[i], i)
+            for i, o in enumerate(orders)]
+    schema = T.StructType(FSCHEMA.fields[2:] + [T.StructField("partition", T.IntegerType()),
+                                                T.StructField("seq", T.LongType()),
+                                                T.StructField("i", T.LongType())])
+    bounds = sorted(rnd.sample(range(1, n), min(cuts, n - 1))) + [n]
+    got = {}
+
+    def sink(df, batch_id):
+        got.update({r.i: r.status for r in df.select("i", "status").collect()})
+
+    fn = BufferedScreening(tempfile.mkdtemp(prefix="mb-"), sink, prepare=lambda df: df,
+                           dense_offsets=not gaps)
+    start = 0
+    for batch_id, end in enumerate(bounds):
+        fn(spark.createDataFrame(rows[start:end], schema), batch_id)
+        start = end
+    assert [got[i] for i in range(n)] == want
