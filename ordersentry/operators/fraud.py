@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from ..functions import hour_in, micros, user_number
 
 RULES = ("country", "night_quantity", "night_amount", "bot_a", "bot_b", "bot_c")
+RULES_FLAGS = ("f_country", "f_night_quantity", "f_night_amount", "bot_a", "bot_b", "bot_c")
 
 
 @dataclass(frozen=True)
@@ -123,8 +124,8 @@ def with_buffer(df: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...]
                       F.row_number().over(group).alias("_pos"),
                       F.max("_item.t").over(before).alias("_prev_t")).filter(F.col("_own"))
     start = F.greatest(F.col("_pos") - (n - 1), F.lit(1))
-    return (out.withColumn(_BUF, F.slice("_grp", start, F.col("_pos") - start + 1))
-               .drop("_grp", "_pos", "_own", "_blk"))
+    keep = [c for c in out.columns if c not in ("_grp", "_pos", "_own", "_blk")]
+    return out.select(*keep, F.slice("_grp", start, F.col("_pos") - start + 1).alias(_BUF))
 
 
 def _others_recent(params: FraudParams) -> Column:
@@ -171,27 +172,19 @@ def _buffer_facts(params: FraudParams) -> Column:
     return F.when(_others_recent(params), F.aggregate(_recent(params), zero, add, finish)).otherwise(alone)
 
 
-def bot_rules(df: DataFrame, params: FraudParams = DEFAULT) -> DataFrame:
-    """Add ``bot_a``, ``bot_b``, ``bot_c`` and ``_bots`` (a or c) from the
-    ``_buf`` column (F4-F6)."""
+# ------------------------------------------------------ rules and verdict
+def rule_columns(params: FraudParams = DEFAULT) -> dict[str, Column]:
+    """The six rule flags (F1-F6) over a frame with the row-rule columns and
+    ``_facts`` (the buffer facts)."""
     facts = F.col("_facts")
-    return (df.withColumn("_facts", _buffer_facts(params))
-              .withColumn("bot_a", facts["n_up"] >= 2)
-              .withColumn("bot_c", facts["bot_c"])
-              .withColumn("bot_b", facts["bot_c"] & facts["ids_rise"])
-              .withColumn("_bots", facts["fire"])
-              .drop("_facts"))
-
-
-# ------------------------------------------------------------- verdict
-def verdict_columns(df: DataFrame) -> DataFrame:
-    flags = [F.col("f_country"), F.col("f_night_quantity"), F.col("f_night_amount"),
-             F.col("bot_a"), F.col("bot_b"), F.col("bot_c")]
-    # bot_b implies bot_c, so the verdict needs the row rules and _bots only.
-    fraud = F.col("f_country") | F.col("f_night_quantity") | F.col("f_night_amount") | F.col("_bots")
-    first = F.coalesce(*[F.when(f, F.lit(name)) for f, name in zip(flags, RULES)])
-    return df.withColumn("status", F.when(fraud, "Fraud").otherwise("Genuine")) \
-             .withColumn("first_rule", first).drop("_bots")
+    return {
+        "f_country": F.col("f_country"),
+        "f_night_quantity": F.col("f_night_quantity"),
+        "f_night_amount": F.col("f_night_amount"),
+        "bot_a": facts["n_up"] >= 2,
+        "bot_b": facts["bot_c"] & facts["ids_rise"],
+        "bot_c": facts["bot_c"],
+    }
 
 
 def screen(orders: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...] = ("partition",),
@@ -200,12 +193,24 @@ def screen(orders: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...]
     ``first_rule`` names the first rule that fired (NULL when genuine).
 
     The input keeps all its columns; with ``keep_flags`` the six rule flags
-    are kept too.
+    (``f_country``, ``f_night_quantity``, ``f_night_amount``, ``bot_a``,
+    ``bot_b``, ``bot_c``) are added too.
     """
-    flags = ["f_country", "f_night_quantity", "f_night_amount", "bot_a", "bot_b", "bot_c"]
     out = with_buffer(row_rules(orders, params), seq, partition_cols, params)
-    out = verdict_columns(bot_rules(out, params)).drop(_BUF, "_item", "_prev_t")
-    return out if keep_flags else out.drop(*flags)
+    out = out.withColumn("_facts", _buffer_facts(params))
+    flags = rule_columns(params)
+    # bot_b implies bot_c, so the verdict needs the row rules and "fire" only.
+    fraud = F.col("f_country") | F.col("f_night_quantity") | F.col("f_night_amount") | F.col("_facts.fire")
+    status = F.when(fraud, "Fraud").otherwise("Genuine").alias("status")
+    first = F.coalesce(*[F.when(flags[flag], F.lit(name)) for flag, name in zip(RULES_FLAGS, RULES)]
+                       ).alias("first_rule")
+    cols = [status if c == "status" else F.col(c) for c in orders.columns]
+    if "status" not in orders.columns:
+        cols.append(status)
+    cols.append(first)
+    if keep_flags:
+        cols += [flags[name].alias(name) for name in RULES_FLAGS]
+    return out.select(*cols)
 
 
 # ----------------------------------------------------- dense arrival numbers

@@ -131,10 +131,10 @@ def enrich_amount(orders: DataFrame, prices: DataFrame, key: str) -> DataFrame:
     shuffles both sides, so a product table of any size is safe.  Orders
     without a known product keep a NULL amount (left join).
     """
-    joined = orders.join(prices, on=key, how="left")
     amount = line_amount(F.col("price"), F.col("quantity"))
-    return joined.withColumn("amount_numeric", amount) \
-        .withColumn("amount", rupiah(F.col("amount_numeric"))).drop("price")
+    keep = [c for c in orders.columns if c not in ("amount_numeric", "amount")]
+    return orders.join(prices, on=key, how="left").select(
+        *keep, amount.alias("amount_numeric"), rupiah(amount).alias("amount"))
 
 
 def raw_orders(screened: DataFrame) -> DataFrame:
