@@ -7,15 +7,15 @@ cluster columns so Parquet min/max statistics skip row groups.
 
 ``upsert_table`` / ``insert_ignore_table`` apply the raw-table operators to
 a Parquet table on shared storage.  Spark cannot overwrite a path it is
-reading, so the new contents are first checkpointed (reliable checkpoint in
+reading, so new contents are first checkpointed (reliable checkpoint in
 ``spark.checkpoint.dir``, which also cuts the lineage back to the old files)
-and then written with dynamic partition overwrite: only the day partitions
-the batch touches are rewritten.
+and then written with dynamic partition overwrite: only the key-range
+partitions the batch touches are rewritten.  Insert-if-absent only appends.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import tables as ops
@@ -53,44 +53,55 @@ def materialize(df: DataFrame, name: str, kind: str = "table", path: str | None
     return df.sparkSession.read.parquet(path)
 
 
-def _touched(existing: DataFrame, incoming: DataFrame, key: str, part_col: str) -> DataFrame:
-    """Partitions holding a key of the batch now, or receiving one."""
-    old = existing.join(incoming.select(key), key, "left_semi").select(part_col)
-    new = incoming.select(F.to_date("created_date").alias(part_col))
-    return old.unionByName(new).distinct()
-
-
-def _rewrite(spark: SparkSession, path: str, new_rows: DataFrame, part_col: str) -> None:
-    checkpoint_dir(spark)
-    frozen = new_rows.checkpoint(eager=True)
-    frozen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(part_col).parquet(path)
+def key_range(prefix: str = "O", width: int = 1_000_000, buckets: int = 1024):
+    """Partition function for prefixed sequential ids: ``floor(n / width)`` of
+    the numeric part, so recent orders share a few partitions and a key's
+    partition never changes.  Ids without a number go to negative hash
+    buckets ``-1 .. -buckets``."""
+    def part(key: Column) -> Column:
+        num = F.regexp_replace(key, "^" + prefix, "").try_cast("long")
+        return F.coalesce(F.floor(num / F.lit(width)),
+                          -1 - F.pmod(F.xxhash64(key), F.lit(buckets))).cast("long")
+    return part
 
 
 def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, key: str, order_col: str,
-                 part_col: str = "created_day", now=None) -> None:
-    """S6 on a day-partitioned Parquet table (first load creates it)."""
+                 part_col: str = "key_range", partition_of=None, now=None) -> None:
+    """S6 on a Parquet table partitioned by a function of the key.
+
+    Because a key's partition is computable from the key, the partitions a
+    batch touches are known without looking anything up: only they are read
+    (dynamic partition pruning through the semi join with the small set of
+    touched values), merged and rewritten.  The first load creates the table.
+    """
+    partition_of = partition_of or key_range()
+    batch = incoming.withColumn(part_col, partition_of(F.col(key)))
+    now = now if now is not None else F.current_timestamp()
     try:
         existing = spark.read.parquet(path)
     except Exception:
-        latest = ops.last_per_key(incoming, key, order_col).drop(order_col)
-        latest = latest.withColumn("ingestion_ts", now if now is not None else F.current_timestamp())
-        latest.withColumn(part_col, F.to_date("created_date")).write.partitionBy(part_col).parquet(path)
+        latest = ops.last_per_key(batch, key, order_col).drop(order_col).withColumn("ingestion_ts", now)
+        latest.write.partitionBy(part_col).parquet(path)
         return
-    parts = _touched(existing, incoming, key, part_col)
-    scope = existing.join(parts, part_col, "left_semi").drop(part_col)
-    merged = ops.upsert(scope, incoming, key, order_col, now=now)
-    # A partition left without rows keeps its old files (dynamic overwrite
-    # only replaces partitions it writes); only possible when an update
-    # moves a day's single row to another day.
-    _rewrite(spark, path, merged.withColumn(part_col, F.to_date("created_date")), part_col)
+    touched = batch.select(part_col).distinct()
+    scope = existing.join(touched, part_col, "left_semi").drop(part_col)
+    merged = ops.upsert(scope, batch.drop(part_col), key, order_col, now=now)
+    checkpoint_dir(spark)
+    frozen = merged.withColumn(part_col, partition_of(F.col(key))).checkpoint(eager=True)
+    frozen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(part_col).parquet(path)
 
 
 def insert_ignore_table(spark: SparkSession, path: str, incoming: DataFrame, key: str,
                         order_col: str, surrogate: str | None = None,
-                        defaults: dict | None = None) -> None:
-    """S5 on an unpartitioned Parquet table (first load creates it)."""
+                        defaults: dict | None = None) -> DataFrame:
+    """S5 on a Parquet table: existing rows never change, so only the new
+    rows are appended (one job commit).  The natural-key check reads just
+    the key column of the table.  Returns the appended rows."""
     existing = spark.read.parquet(path)
     merged = ops.insert_ignore(existing, incoming, key, order_col, surrogate, defaults)
+    fresh = merged.join(existing.select(key), key, "left_anti").select(*existing.columns)
     checkpoint_dir(spark)
-    merged.checkpoint(eager=True).write.mode("overwrite").parquet(path)
+    fresh = fresh.checkpoint(eager=True)  # cut the lineage to the files being appended to
+    fresh.write.mode("append").parquet(path)
+    return fresh

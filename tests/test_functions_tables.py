@@ -118,3 +118,39 @@ def test_required_columns(spark):
                                 RAW_USERS.simpleString().replace("struct<", "").rstrip(">").replace(":", " "))
     with pytest.raises(quality.RequiredColumnError):
         quality.assert_required(bad, RAW_USERS)
+
+
+# ------------------------------------------------------- table writers
+def test_upsert_table_key_ranges(spark, tmp_path):
+    import os
+
+    from ordersentry.sources.tables import key_range, upsert_table
+    path = str(tmp_path / "orders")
+    cols = "seq long, order_id string, status string, quantity long"
+    part = key_range(width=10)
+    upsert_table(spark, path, spark.createDataFrame(
+        [(1, "O1", "Genuine", 1), (2, "O2", "Genuine", 1), (3, "O15", "Genuine", 1)], cols), "order_id", "seq",
+        partition_of=part)
+    upsert_table(spark, path, spark.createDataFrame(
+        [(4, "O2", "Fraud", 5), (5, "O2", "Genuine", 7), (6, "O31", "Fraud", 1)], cols), "order_id", "seq",
+        partition_of=part)
+    rows = {r.order_id: (r.status, r.quantity, r.key_range) for r in spark.read.parquet(path).collect()}
+    assert rows == {"O1": ("Genuine", 1, 0), "O2": ("Genuine", 7, 0), "O15": ("Genuine", 1, 1),
+                    "O31": ("Fraud", 1, 3)}
+    assert sorted(d for d in os.listdir(path) if d.startswith("key_range=")) == \
+        ["key_range=0", "key_range=1", "key_range=3"]
+
+
+def test_insert_ignore_table_appends_only_new_rows(spark, tmp_path):
+    from ordersentry.sources.tables import insert_ignore_table
+    path = str(tmp_path / "users")
+    users(spark, [(1, "A", "a@x")]).write.parquet(path)
+    batch = spark.createDataFrame([(0, "A2", "a@x"), (1, "B", "b@x"), (2, "B2", "b@x")],
+                                  "ord long, name string, email string") \
+        .withColumn("phone_number", F.lit(None).cast("string")) \
+        .withColumn("created_date", F.lit(dt.datetime(2025, 1, 2)))
+    defaults = {"ingestion_ts": F.lit(dt.datetime(2025, 1, 3)), "source": "batch"}
+    added = insert_ignore_table(spark, path, batch, "email", "ord", surrogate="user_id", defaults=defaults)
+    assert [(r.user_id, r.name) for r in added.collect()] == [(2, "B")]
+    insert_ignore_table(spark, path, batch, "email", "ord", surrogate="user_id", defaults=defaults)
+    assert sorted((r.user_id, r.email) for r in spark.read.parquet(path).collect()) == [(1, "a@x"), (2, "b@x")]
