@@ -154,3 +154,10 @@ def test_insert_ignore_table_appends_only_new_rows(spark, tmp_path):
     assert [(r.user_id, r.name) for r in added.collect()] == [(2, "B")]
     insert_ignore_table(spark, path, batch, "email", "ord", surrogate="user_id", defaults=defaults)
     assert sorted((r.user_id, r.email) for r in spark.read.parquet(path).collect()) == [(1, "a@x"), (2, "b@x")]
+
+
+def test_title_words_with_delimiters(spark):
+    df = one_col(spark, ["t-shirt (big)/small", "MEN'S SHOES", None, ""])
+    got = [r[0] for r in df.select(title_words("v", delimiters=" -/(")).collect()]
+    assert got == ["T-Shirt (Big)/Small", "Men's Shoes", None, ""]
+    assert [r[0] for r in df.select(title_words("v")).collect()][:2] == ["T-shirt (big)/small", "Men's Shoes"]
