@@ -134,7 +134,7 @@ class BufferedScreening:
     def _tail_path(self, batch_id: int) -> str:
         return f"{self.state_dir}/tail/batch_id={batch_id}"
 
-    def _read_tail(self, spark: SparkSession, batch_id: int, like: DataFrame) -> DataFrame | None:
+    def _read_tail(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         if batch_id <= 0:
             return None
         try:
@@ -145,7 +145,7 @@ class BufferedScreening:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         cur = self.prepare(batch)
-        tail = self._read_tail(spark, batch_id, cur)
+        tail = self._read_tail(spark, batch_id)
         if not self.dense_offsets:
             cur = self._renumber(cur, tail)
         cur = cur.withColumn("_ctx", F.lit(False))
