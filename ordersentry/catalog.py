@@ -208,8 +208,16 @@ def amount_enrich(spark, sf_dir):
         "order_id", "product_id", "quantity", "amount_numeric", "amount")
 
 
+def fraud_alerts(spark, sf_dir):
+    """S3: what the alert topic receives, in message columns (frauds only)."""
+    from .schemas import ORDER_EVENT
+    cols = [f.name for f in ORDER_EVENT.fields]
+    return _dom(spark, sf_dir).screened().filter(F.col("status") == "Fraud").select(*cols)
+
+
 def more_queries() -> dict[str, Query]:
     return {
+        "fraud_alerts": fraud_alerts,
         "insert_ignore": insert_ignore_users,
         "upsert_latest": upsert_orders,
         "order_high_water": order_high_water,

@@ -237,6 +237,10 @@ _RAW_COLS = ("order_id, user_id, product_id, quantity, amount, amount_numeric, c
              "created_date, event_ts, source")
 
 MORE_SQL = {
+    "fraud_alerts": """
+SELECT order_id, user_id, product_id, quantity, amount, amount_numeric, country, verdict AS status,
+       created_date, event_ts, source
+FROM screened WHERE verdict = 'Fraud'""",
     "insert_ignore": f"""
 , target AS (SELECT * FROM users WHERE created_date < {_FIRST_LOAD_END}),
 incoming AS (

@@ -135,12 +135,17 @@ class BufferedScreening:
         return f"{self.state_dir}/tail/batch_id={batch_id}"
 
     def _read_tail(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """The tail written by the previous batch.  Every batch writes one
+        (also when it is empty), so only batch 0 starts without; a missing
+        tail later means lost state and stops the query rather than
+        screening without the buffer."""
         if batch_id <= 0:
             return None
+        path = self._tail_path(batch_id - 1)
         try:
-            return spark.read.parquet(self._tail_path(batch_id - 1))
-        except Exception:
-            return None  # the previous batch was empty and wrote no tail
+            return spark.read.parquet(path)
+        except Exception as exc:
+            raise RuntimeError(f"buffer tail of batch {batch_id - 1} not found at {path}") from exc
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
