@@ -22,12 +22,13 @@ Plan at scale (the buffer is the only non-local part).  A window over the
 whole stream would put every row in one task, so arrival order is cut into
 blocks of ``buffer_size``: a row's buffer lies in its own block and the one
 before.  Each row is sent to its own block, and a narrow copy (five
-columns) to the next block as context; one shuffle on (partition, block)
-then a bounded ``rowsBetween`` window.  Every window group holds at most
-``2 * buffer_size`` rows whatever the key distribution, so a hot user,
-product or stream partition cannot overload a task.  Rules are evaluated
-with higher-order array functions inside whole-stage codegen; no Python
-runs per row.
+columns) to the next block as context; one shuffle on (partition, block).
+Every window group holds at most ``2 * buffer_size`` rows whatever the key
+distribution, so a hot user, product or stream partition cannot overload a
+task.  In one Window operator each group is collected once (each row then
+slices its buffer by position) and a compiled sliding ``max`` finds whether
+any other buffered order is recent; only then are the rules evaluated, by
+Spark's higher-order array functions on the JVM.  No Python runs per row.
 """
 
 from __future__ import annotations
@@ -91,8 +92,10 @@ _BUF = "_buf"
 
 def with_buffer(df: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...] = ("partition",),
                 params: FraudParams = DEFAULT) -> DataFrame:
-    """Attach ``_buf``: the last ``buffer_size`` orders of the row's stream
-    partition in arrival order (itself last), as compact structs.
+    """Attach ``_item`` (the row as a compact struct), ``_buf`` (the last
+    ``buffer_size`` items of the row's stream partition in arrival order,
+    itself last) and ``_prev_t`` (the latest event time among the items
+    before it in the buffer).
 
     ``seq`` must be dense per partition (0, 1, 2, ... without gaps); Kafka
     offsets of an uncompacted topic are.  Use :func:`dense_sequence` first
@@ -146,6 +149,9 @@ def _buffer_facts(params: FraudParams) -> Column:
     product and quantity (``n_pq``), and checks that their numeric user ids
     are present and never decrease (``ids_rise``); ``fire`` = bot_a or bot_c.
 
+    Rows with no other recent order in their buffer (``_prev_t``) skip the
+    scan: they are alone in ``rec`` and no bot rule can fire.
+
     One expression on purpose: a filter on the verdict is pushed below the
     projection and inlines every reference, so rules reading the buffer
     separately would re-scan it once per reference.
