@@ -103,10 +103,8 @@ def insert_ignore(target: DataFrame, incoming: DataFrame, key: str, order_col: s
     fresh = first_per_key(incoming.filter(F.col(key).isNotNull()), key, order_col)
     fresh = fresh.join(target.select(key), on=key, how="left_anti")
     if surrogate:
-        # The current maximum key is one row: broadcast it to every task.
-        top = F.broadcast(max_key(target, surrogate).withColumn("_one", F.lit(1)))
-        fresh = fresh.withColumn("_one", F.lit(1)).join(top, "_one").drop("_one")
-        fresh = assign_keys(fresh, surrogate, order_col, F.col("_max")).drop("_max")
+        # The current maximum key as a scalar subquery (computed once, no join).
+        fresh = assign_keys(fresh, surrogate, order_col, max_key(target, surrogate).scalar())
     if defaults:
         fresh = with_defaults(fresh, defaults)
     return target.unionByName(fresh.select(*target.columns))
