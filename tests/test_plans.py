@@ -42,3 +42,9 @@ def test_top10_is_take_ordered(spark):
 def test_upsert_picks_last_row_by_aggregation_not_window(spark):
     text = plan(E.queries()["upsert_latest"](spark, SF_SMALL))
     assert "max_by" in text
+
+
+def test_no_query_plans_a_cross_join(spark):
+    for name, fn in E.queries().items():
+        text = plan(fn(spark, SF_SMALL))
+        assert "NestedLoopJoin" not in text and "CartesianProduct" not in text, name
