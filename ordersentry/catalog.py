@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .constants import FRAUD, GENUINE
 from .operators import fraud
 from .plans import warehouse as wh
 from .plans.domain import Domain
@@ -120,10 +121,10 @@ def upsert_orders(spark, sf_dir):
     checkpoint_dir(spark)
     screened = d.screened().checkpoint()
     target = raw_orders(screened)
-    frauds = screened.filter(F.col("status") == "Fraud").drop("first_rule", "partition")
+    frauds = screened.filter(F.col("status") == FRAUD).drop("first_rule", "partition")
     versions = F.explode(F.array(F.col("seq") * 2, F.col("seq") * 2 + 1)).alias("ord")
     incoming = (frauds.select("*", versions)
-                .withColumn("status", F.when(F.col("ord") % 2 == 1, F.lit("Genuine")).otherwise(F.col("status")))
+                .withColumn("status", F.when(F.col("ord") % 2 == 1, F.lit(GENUINE)).otherwise(F.col("status")))
                 .drop("seq"))
     return ops.upsert(target, incoming, key="order_id", order_col="ord", now=_load_ts())
 
@@ -212,7 +213,7 @@ def fraud_alerts(spark, sf_dir):
     """S3: what the alert topic receives, in message columns (frauds only)."""
     from .schemas import ORDER_EVENT
     cols = [f.name for f in ORDER_EVENT.fields]
-    return _dom(spark, sf_dir).screened().filter(F.col("status") == "Fraud").select(*cols)
+    return _dom(spark, sf_dir).screened().filter(F.col("status") == FRAUD).select(*cols)
 
 
 def more_queries() -> dict[str, Query]:

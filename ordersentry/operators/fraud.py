@@ -38,6 +38,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..constants import FRAUD, GENUINE
 from ..functions import hour_in, micros, user_number
 
 RULES = ("country", "night_quantity", "night_amount", "bot_a", "bot_b", "bot_c")
@@ -207,7 +208,7 @@ def screen(orders: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...]
     flags = rule_columns(params)
     # bot_b implies bot_c, so the verdict needs the row rules and "fire" only.
     fraud = F.col("f_country") | F.col("f_night_quantity") | F.col("f_night_amount") | F.col("_facts.fire")
-    status = F.when(fraud, "Fraud").otherwise("Genuine").alias("status")
+    status = F.when(fraud, FRAUD).otherwise(GENUINE).alias("status")
     first = F.coalesce(*[F.when(flags[flag], F.lit(name)) for flag, name in zip(RULES_FLAGS, RULES)]
                        ).alias("first_rule")
     cols = [status if c == "status" else F.col(c) for c in orders.columns]

@@ -22,10 +22,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..constants import FRAUD, GENUINE
 from ..functions import digits_only, event_date, strip_prefix_id, title_words, trim_text
 
-FRAUD, GENUINE = "Fraud", "Genuine"
-
 
 # ------------------------------------------------------------------ staging
 def stg_users(raw_users: DataFrame) -> DataFrame:

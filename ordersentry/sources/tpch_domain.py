@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..constants import PENDING
 from ..functions import line_amount, rupiah, with_prefix
 
 # Fixed values of the mapping (shared with the oracle SQL).
@@ -109,7 +110,7 @@ def order_events(spark: SparkSession, sf_dir: str, variant: str = "base",
         pnum.alias("_pnum"),
         qty.cast("long").alias("quantity"),
         country.alias("country"),
-        F.lit("pending").alias("status"),
+        F.lit(PENDING).alias("status"),
         created.alias("created_date"),
         F.col("ts").alias("event_ts"),
         F.lit("streaming").alias("source"),

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..constants import FRAUD, ORDERS_TOPIC
 from ..functions import hour_of_iso_text
 from ..operators import fraud
 from ..schemas import ORDER_EVENT
@@ -38,7 +39,7 @@ _TAIL_COLS = ["partition", "seq", "user_id", "product_id", "quantity", "event_ts
 
 
 # ------------------------------------------------------------------ S1 / S2
-def read_orders(spark: SparkSession, servers: str, topic: str = "orders",
+def read_orders(spark: SparkSession, servers: str, topic: str = ORDERS_TOPIC,
                 starting: str = "latest", max_offsets: int | None = None,
                 options: dict | None = None) -> DataFrame:
     """The order topic as a stream (needs the Kafka connector on the
@@ -162,7 +163,7 @@ class BufferedScreening:
             out = screened.filter(~F.col("_ctx")).drop("_ctx", "first_rule", "created_hour", "offset")
             self.processed(out, batch_id)
             if self.alerts is not None:
-                self.alerts(out.filter(F.col("status") == "Fraud"), batch_id)
+                self.alerts(out.filter(F.col("status") == FRAUD), batch_id)
             self._write_tail(screened, batch_id)
         finally:
             screened.unpersist()
