@@ -1,7 +1,8 @@
 """Registered queries: name -> ``(spark, sf_dir) -> DataFrame``.
 
 Each one reads the driver's tables (or what Spark derives from them) in
-full, so its work grows with the data.
+full, so its work grows with the data.  ``ordersentry.oracle`` holds the
+matching DuckDB SQL under the same names.
 """
 
 from __future__ import annotations
@@ -12,23 +13,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .constants import FRAUD, GENUINE
-from .operators import fraud
+from .functions import previous_day, rupiah
+from .operators import fraud, ledger, quality
+from .operators import tables as ops
 from .plans import warehouse as wh
 from .plans.domain import Domain
+from .schemas import ORDER_EVENT
 from .session import checkpoint_dir, configure
+from .sources.ndjson import extract_day
+from .sources.tpch_domain import raw_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Fixed values of the registered scenarios (shared with the oracle SQL).
+LOAD_TS = "2024-02-01 00:00:00"         # "now" of a load, fixed for repeatable results
+FIRST_LOAD_END = "2023-12-15 00:00:00"  # users created before it are already stored
+RUN_DS = "2024-01-15"                   # incremental run date: extracts 2024-01-14
+USERS_BATCH = 100                       # ordered read batch size
+
 
 def _dom(spark: SparkSession, sf_dir: str, **kw) -> Domain:
     configure(spark)
     return Domain(spark, sf_dir, **kw)
 
 
-def _mart(name: str) -> Query:
-    return lambda spark, sf_dir: _dom(spark, sf_dir).mart(name)
+def _load_ts():
+    return F.lit(LOAD_TS).cast("timestamp_ntz")
 
 
+# ------------------------------------------------------------- screening
 def _flags(spark, sf_dir, variant="base", window=10.0):
     d = _dom(spark, sf_dir, variant=variant, params=fraud.FraudParams(window_seconds=window))
     return d.screened(keep_flags=True)
@@ -59,46 +72,27 @@ def fraud_first_rule(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("n_orders")))
 
 
-def queries() -> dict[str, Query]:
-    q: dict[str, Query] = {
-        "stg_users": lambda s, d: _dom(s, d).stg_users,
-        "stg_products": lambda s, d: _dom(s, d).stg_products,
-        "stg_orders": lambda s, d: _dom(s, d).stg_orders,
-        "dim_users": lambda s, d: _dom(s, d).dim_users,
-        "dim_products": lambda s, d: _dom(s, d).dim_products,
-        "fct_orders": lambda s, d: _dom(s, d).fct_orders,
-    }
-    for name in wh.MARTS:
-        q[name] = _mart(name)
-    q.update({
-        "fraud_row_rules": fraud_row_rules,
-        "fraud_bot_rules": fraud_bot_rules,
-        "fraud_bot_rules_wide_window": fraud_bot_rules_wide_window,
-        "fraud_verdict": fraud_verdict,
-        "fraud_verdict_dense": fraud_verdict_dense,
-        "fraud_first_rule": fraud_first_rule,
-    })
-    q.update(more_queries())
-    return q
+def fraud_alerts(spark, sf_dir):
+    """S3: what the alert topic receives, in message columns (frauds only)."""
+    cols = [f.name for f in ORDER_EVENT.fields]
+    return _dom(spark, sf_dir).screened().filter(F.col("status") == FRAUD).select(*cols)
 
 
-# ------------------------------------------------------- raw table queries
-# Fixed values of the registered scenarios (shared with the oracle SQL).
-LOAD_TS = "2024-02-01 00:00:00"      # "now" of a load, fixed for repeatable results
-FIRST_LOAD_END = "2023-12-15 00:00:00"  # users created before it are already stored
-RUN_DS = "2024-01-15"                # incremental run date: extracts 2024-01-14
-USERS_BATCH = 100                    # ordered read batch size
+def amount_enrich(spark, sf_dir):
+    return _dom(spark, sf_dir).order_events.select(
+        "order_id", "product_id", "quantity", "amount_numeric", "amount")
 
 
-def _load_ts():
-    return F.lit(LOAD_TS).cast("timestamp_ntz")
+def rupiah_format(spark, sf_dir):
+    return _dom(spark, sf_dir).raw_orders.select(
+        "order_id", "amount_numeric", rupiah("amount_numeric").alias("amount_text"))
 
 
+# ------------------------------------------------------------ raw tables
 def insert_ignore_users(spark, sf_dir):
     """S5 + S7 + J3: a sign-up batch where every user arrives twice (upper-
     then lower-cased name); existing e-mails are skipped, the first copy of
     each new e-mail is inserted with the next surrogate key."""
-    from .operators import tables as ops
     users = _dom(spark, sf_dir).raw_users
     target = users.filter(F.col("created_date") < F.lit(FIRST_LOAD_END).cast("timestamp_ntz"))
     cols = ["email", "phone_number", "created_date"]
@@ -113,8 +107,6 @@ def upsert_orders(spark, sf_dir):
     """Every fraud order is re-sent twice (still Fraud, then cleared as
     Genuine); the last version replaces the stored row with a new
     ingestion time."""
-    from .operators import tables as ops
-    from .sources.tpch_domain import raw_orders
     d = _dom(spark, sf_dir)
     # The stored raw_orders table: screened once and written (reliable
     # checkpoint in the cluster's checkpoint folder), then read twice.
@@ -130,24 +122,17 @@ def upsert_orders(spark, sf_dir):
 
 
 def order_high_water(spark, sf_dir):
-    from .operators import tables as ops
     return ops.high_water(_dom(spark, sf_dir).raw_orders)
 
 
-def extract_day_orders(spark, sf_dir):
-    from .sources.ndjson import extract_day
-    return extract_day(_dom(spark, sf_dir).raw_orders, RUN_DS)
-
-
 def read_users_ordered(spark, sf_dir):
-    from .operators import tables as ops
     return ops.read_table(_dom(spark, sf_dir).raw_users,
                           ["user_id", "name", "email", "phone_number", "created_date"],
                           order_by="user_id", limit=USERS_BATCH)
 
 
+# --------------------------------------------------- quality and ingest
 def dq_unique(spark, sf_dir):
-    from .operators import quality
     d = _dom(spark, sf_dir)
     return quality.unique_report([
         ("raw_users", d.raw_users, "user_id"), ("raw_users", d.raw_users, "email"),
@@ -156,37 +141,37 @@ def dq_unique(spark, sf_dir):
 
 
 def dq_not_null(spark, sf_dir):
-    from .operators import quality
     d = _dom(spark, sf_dir)
     return quality.null_report([
         ("raw_users", d.raw_users, "user_id"), ("raw_users", d.raw_users, "phone_number"),
         ("raw_products", d.raw_products, "product_id"), ("raw_orders", d.raw_orders, "order_id")])
 
 
+def extract_day_orders(spark, sf_dir):
+    return extract_day(_dom(spark, sf_dir).raw_orders, RUN_DS)
+
+
+def _source_target_pairs(d: Domain):
+    return [("raw_users", d.raw_users, d.dim_users), ("raw_products", d.raw_products, d.dim_products),
+            ("raw_orders", d.raw_orders, d.fct_orders)]
+
+
 def reconcile_counts(spark, sf_dir):
     """Rows per created day: raw table (source) against its model (target)."""
-    from .operators import ledger
     d = _dom(spark, sf_dir)
-    pairs = [("raw_users", d.raw_users, d.dim_users), ("raw_products", d.raw_products, d.dim_products),
-             ("raw_orders", d.raw_orders, d.fct_orders)]
     return ledger.union_all([
         ledger.reconcile(src, tgt, "created_date").select(F.lit(name).alias("table_name"), "*")
-        for name, src, tgt in pairs])
+        for name, src, tgt in _source_target_pairs(d)])
 
 
 def ingest_ledger(spark, sf_dir):
     """Q3-Q7 for one run: start, finish and validate events of the three
     tables (source slice vs loaded model slice), folded into the ledger state."""
-    from .functions import previous_day
-    from .operators import ledger
-    from .sources.ndjson import extract_day
     d = _dom(spark, sf_dir)
     day = previous_day(RUN_DS)
     dag, run = "raw_tables_daily", f"scheduled__{RUN_DS}"
     events = []
-    for name, src, tgt in [("raw_users", d.raw_users, d.dim_users),
-                           ("raw_products", d.raw_products, d.dim_products),
-                           ("raw_orders", d.raw_orders, d.fct_orders)]:
+    for name, src, tgt in _source_target_pairs(d):
         events.append(ledger.start(extract_day(src, RUN_DS), dag, run, name, name, RUN_DS, seq=1,
                                    start_time=f"{RUN_DS} 01:00:00"))
         events.append(ledger.finish(tgt.filter(F.to_date("created_date") == F.lit(day)), dag, run, name,
@@ -198,26 +183,27 @@ def ingest_ledger(spark, sf_dir):
     return ledger.state(log.unionByName(ledger.validate_run(log, dag, run, seq=3)))
 
 
-def rupiah_format(spark, sf_dir):
-    from .functions import rupiah
-    return _dom(spark, sf_dir).raw_orders.select(
-        "order_id", "amount_numeric", rupiah("amount_numeric").alias("amount_text"))
-
-
-def amount_enrich(spark, sf_dir):
-    return _dom(spark, sf_dir).order_events.select(
-        "order_id", "product_id", "quantity", "amount_numeric", "amount")
+# -------------------------------------------------------------- registry
+def _model(name: str) -> Query:
+    return lambda spark, sf_dir: getattr(_dom(spark, sf_dir), name)
 
 
-def fraud_alerts(spark, sf_dir):
-    """S3: what the alert topic receives, in message columns (frauds only)."""
-    from .schemas import ORDER_EVENT
-    cols = [f.name for f in ORDER_EVENT.fields]
-    return _dom(spark, sf_dir).screened().filter(F.col("status") == FRAUD).select(*cols)
+def _mart(name: str) -> Query:
+    return lambda spark, sf_dir: _dom(spark, sf_dir).mart(name)
 
 
-def more_queries() -> dict[str, Query]:
-    return {
+def queries() -> dict[str, Query]:
+    q: dict[str, Query] = {name: _model(name) for name in
+                           ("stg_users", "stg_products", "stg_orders", "dim_users", "dim_products",
+                            "fct_orders")}
+    q.update({name: _mart(name) for name in wh.MARTS})
+    q.update({
+        "fraud_row_rules": fraud_row_rules,
+        "fraud_bot_rules": fraud_bot_rules,
+        "fraud_bot_rules_wide_window": fraud_bot_rules_wide_window,
+        "fraud_verdict": fraud_verdict,
+        "fraud_verdict_dense": fraud_verdict_dense,
+        "fraud_first_rule": fraud_first_rule,
         "fraud_alerts": fraud_alerts,
         "insert_ignore": insert_ignore_users,
         "upsert_latest": upsert_orders,
@@ -230,4 +216,5 @@ def more_queries() -> dict[str, Query]:
         "ingest_ledger": ingest_ledger,
         "rupiah_format": rupiah_format,
         "amount_enrich": amount_enrich,
-    }
+    })
+    return q
