@@ -7,8 +7,8 @@ buffer carried over from the previous batch: the last ``buffer_size - 1``
 orders of every stream partition (the "tail").
 
 The tail is the only state.  It is small (``buffer_size - 1`` rows per
-stream partition) and is written per batch id to the query's state folder
-on shared storage, so
+stream partition), stamped with its batch id and written to one of two
+alternating slots in the query's state folder on shared storage, so
 
 * a replayed batch (after a failure or restart) reads the tail of the
   previous batch id and produces the same verdicts;
@@ -133,7 +133,10 @@ class BufferedScreening:
                 .drop("_local", "_base"))
 
     def _tail_path(self, batch_id: int) -> str:
-        return f"{self.state_dir}/tail/batch_id={batch_id}"
+        # Two alternating slots keep the state bounded: batch N reads slot
+        # (N - 1) % 2 and overwrites slot N % 2.  Only the last, uncommitted
+        # batch can be replayed, and the slot it reads is still intact then.
+        return f"{self.state_dir}/tail/slot={batch_id % 2}"
 
     def _read_tail(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         """The tail written by the previous batch.  Every batch writes one
@@ -144,9 +147,10 @@ class BufferedScreening:
             return None
         path = self._tail_path(batch_id - 1)
         try:
-            return spark.read.parquet(path)
+            tail = spark.read.parquet(path)
         except Exception as exc:
             raise RuntimeError(f"buffer tail of batch {batch_id - 1} not found at {path}") from exc
+        return tail.filter(F.col("_tail_of") == batch_id - 1).drop("_tail_of")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -174,7 +178,7 @@ class BufferedScreening:
         # One row per stream partition: bounded by the topic's partition count.
         tail = (rows.join(F.broadcast(last), "partition")
                 .filter(F.col("seq") > F.col("_last") - keep)
-                .select(*_TAIL_COLS))
+                .select(*_TAIL_COLS, F.lit(batch_id).cast("long").alias("_tail_of")))
         tail.write.mode("overwrite").parquet(self._tail_path(batch_id))
 
 
