@@ -132,17 +132,6 @@ def with_buffer(df: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...]
     return out.select(*keep, F.slice("_grp", start, F.col("_pos") - start + 1).alias(_BUF))
 
 
-def _others_recent(params: FraudParams) -> Column:
-    """Some other order in the buffer is recent (then the buffer is scanned)."""
-    return F.coalesce(F.col("_prev_t") > F.col("_item.t") - F.lit(params.window_micros), F.lit(False))
-
-
-def _recent(params: FraudParams) -> Column:
-    """Buffer entries with ``now - ts < window``."""
-    t_now = F.col("_item.t")
-    return F.filter(F.col(_BUF), lambda x: x["t"] > t_now - F.lit(params.window_micros))
-
-
 def _buffer_facts(params: FraudParams) -> Column:
     """All bot facts in one expression: the buffer is filtered by time once
     (W2), then one pass over the recent orders counts them (``n_rec``),
@@ -155,28 +144,30 @@ def _buffer_facts(params: FraudParams) -> Column:
 
     One expression on purpose: a filter on the verdict is pushed below the
     projection and inlines every reference, so rules reading the buffer
-    separately would re-scan it once per reference.
+    separately would re-scan it once per reference.  It is written as one
+    SQL expression (Spark's lambda syntax) so the driver builds it in a
+    single call.
     """
-    u, p, q = F.col("_item.u"), F.col("_item.p"), F.col("_item.q")
-    zero = F.struct(F.lit(0).alias("n_rec"), F.lit(0).alias("n_up"), F.lit(0).alias("n_pq"),
-                    F.lit(True).alias("ids_rise"), F.lit(None).cast("long").alias("last_n"))
-
-    def add(acc, x):
-        same_up = (x["u"].eqNullSafe(u) & x["p"].eqNullSafe(p)).cast("int")
-        same_pq = (x["p"].eqNullSafe(p) & x["q"].eqNullSafe(q)).cast("int")
-        rises = acc["ids_rise"] & x["n"].isNotNull() & F.coalesce(acc["last_n"] <= x["n"], F.lit(True))
-        return F.struct((acc["n_rec"] + 1).alias("n_rec"), (acc["n_up"] + same_up).alias("n_up"),
-                        (acc["n_pq"] + same_pq).alias("n_pq"), rises.alias("ids_rise"),
-                        x["n"].alias("last_n"))
-
-    def finish(acc):
-        bot_c = (acc["n_rec"] >= 2) & (acc["n_pq"] == acc["n_rec"])
-        return F.struct(acc["n_up"].alias("n_up"), bot_c.alias("bot_c"), acc["ids_rise"].alias("ids_rise"),
-                        ((acc["n_up"] >= 2) | bot_c).alias("fire"))
-
-    alone = F.struct(F.lit(1).alias("n_up"), F.lit(False).alias("bot_c"), F.lit(True).alias("ids_rise"),
-                     F.lit(False).alias("fire"))
-    return F.when(_others_recent(params), F.aggregate(_recent(params), zero, add, finish)).otherwise(alone)
+    w = params.window_micros
+    return F.expr(f"""
+        CASE WHEN coalesce(_prev_t > _item.t - {w}, false) THEN
+          aggregate(
+            filter(_buf, x -> x.t > _item.t - {w}),
+            named_struct('n_rec', 0, 'n_up', 0, 'n_pq', 0, 'ids_rise', true,
+                         'last_n', CAST(NULL AS BIGINT)),
+            (acc, x) -> named_struct(
+              'n_rec', acc.n_rec + 1,
+              'n_up', acc.n_up + CAST(x.u <=> _item.u AND x.p <=> _item.p AS INT),
+              'n_pq', acc.n_pq + CAST(x.p <=> _item.p AND x.q <=> _item.q AS INT),
+              'ids_rise', acc.ids_rise AND x.n IS NOT NULL AND coalesce(acc.last_n <= x.n, true),
+              'last_n', x.n),
+            acc -> named_struct(
+              'n_up', acc.n_up,
+              'bot_c', acc.n_rec >= 2 AND acc.n_pq = acc.n_rec,
+              'ids_rise', acc.ids_rise,
+              'fire', acc.n_up >= 2 OR (acc.n_rec >= 2 AND acc.n_pq = acc.n_rec)))
+        ELSE named_struct('n_up', 1, 'bot_c', false, 'ids_rise', true, 'fire', false)
+        END""")
 
 
 # ------------------------------------------------------ rules and verdict
