@@ -127,14 +127,18 @@ def order_events(spark: SparkSession, sf_dir: str, variant: str = "base",
 def enrich_amount(orders: DataFrame, prices: DataFrame, key: str) -> DataFrame:
     """Price lookup (J4) and line amount.
 
-    A plain equi-join: the optimizer broadcasts the price side only when its
-    measured size is under ``autoBroadcastJoinThreshold`` and otherwise
+    A lookup gives one price per product (like a dictionary), so the price
+    side is reduced to one row per key first.  That also tells the optimizer
+    the join cannot multiply orders: plans that use only order columns drop
+    the join entirely.  The optimizer broadcasts the price side only when
+    its measured size is under ``autoBroadcastJoinThreshold`` and otherwise
     shuffles both sides, so a product table of any size is safe.  Orders
     without a known product keep a NULL amount (left join).
     """
+    one_price = prices.groupBy(key).agg(F.max("price").alias("price"))
     amount = line_amount(F.col("price"), F.col("quantity"))
     keep = [c for c in orders.columns if c not in ("amount_numeric", "amount")]
-    return orders.join(prices, on=key, how="left").select(
+    return orders.join(one_price, on=key, how="left").select(
         *keep, amount.alias("amount_numeric"), rupiah(amount).alias("amount"))
 
 
