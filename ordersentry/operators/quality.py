@@ -65,6 +65,17 @@ def required_violations(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.filter(cond)
 
 
+def require_not_null(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The same rows, with every REQUIRED column checked as it is read: a
+    NULL raises an error in the task (``raise_error``), so a write of the
+    result fails without a separate pass over the data."""
+    req = {f.name for f in schema.fields if not f.nullable}
+    return df.select(*[
+        F.when(F.col(c).isNull(), F.raise_error(F.lit(f"NULL in REQUIRED column {c}")))
+         .otherwise(F.col(c)).alias(c) if c in req else F.col(c)
+        for c in df.columns])
+
+
 def assert_required(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Fail (like a REQUIRED load) when a required column holds NULL.
 

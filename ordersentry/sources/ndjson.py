@@ -4,8 +4,8 @@
 predicate ``to_date(created_date) = day`` is rewritten by Catalyst into a
 ``>= / <`` range that reaches the Parquet reader as pushed filters.
 ``load_day`` reads NDJSON with an explicit schema (no inference, malformed
-records fail the load), enforces REQUIRED columns and writes a Parquet
-table partitioned by day.
+records fail the load), checks REQUIRED columns while writing (one pass)
+and writes a Parquet table partitioned by day.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import on_day, previous_day
-from ..operators.quality import assert_required
+from ..operators.quality import require_not_null
 
 ISO_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -56,7 +56,7 @@ def load_day(spark: SparkSession, ndjson_path: str, schema: T.StructType, target
     """
     if mode not in ("append", "replace_day"):
         raise ValueError(f"mode must be 'append' or 'replace_day', not {mode!r}")
-    rows = assert_required(read_ndjson(spark, ndjson_path, schema), schema)
+    rows = require_not_null(read_ndjson(spark, ndjson_path, schema), schema)
     day = day_column(partition_col)
     out = rows.withColumn(day, F.to_date(F.col(partition_col)))
     (out.write.mode("append" if mode == "append" else "overwrite")
