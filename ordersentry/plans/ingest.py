@@ -10,6 +10,7 @@ Parquet log (append-only, so a retried step only adds an event).
 from __future__ import annotations
 
 import datetime as dt
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,20 +52,23 @@ def ingest_day(spark: SparkSession, table: str, source: DataFrame, schema: T.Str
     """Run the daily chain for one table; returns the table's ledger state."""
     run_id = run_id or f"scheduled__{ds}"
     day: dt.date = previous_day(ds)
+    # Event order: this attempt's start time in microseconds, so events of a
+    # retried run (same run id) come after those of the failed attempt.
+    base = time.time_ns() // 1000 * 10
     try:
         src_slice = ndjson.extract_day(source, ds)
-        _append(ledger.start(src_slice, dag_id, run_id, table, table, ds, seq=1), paths.ledger_path)
+        _append(ledger.start(src_slice, dag_id, run_id, table, table, ds, seq=base + 1), paths.ledger_path)
         ndjson.write_ndjson(src_slice, paths.export(table, ds))
         ndjson.load_day(spark, paths.export(table, ds), schema, paths.target(table), mode=mode)
         day_col = ndjson.day_column("created_date")
         target_slice = spark.read.parquet(paths.target(table)).filter(F.col(day_col) == F.lit(day))
-        _append(ledger.finish(target_slice, dag_id, run_id, table, ds, seq=2), paths.ledger_path)
+        _append(ledger.finish(target_slice, dag_id, run_id, table, ds, seq=base + 2), paths.ledger_path)
         # Validation reads the log it appends to: cut the lineage by
         # materializing the event before writing it.
-        check = ledger.validate(read_ledger(spark, paths), dag_id, run_id, table, seq=3).checkpoint()
+        check = ledger.validate(read_ledger(spark, paths), dag_id, run_id, table, seq=base + 3).checkpoint()
         _append(check, paths.ledger_path)
     except Exception:
-        _append(ledger.fail(spark, dag_id, run_id, ds), paths.ledger_path)
+        _append(ledger.fail(spark, dag_id, run_id, ds, seq=base + 4), paths.ledger_path)
         raise
     return ledger.state(read_ledger(spark, paths)).filter(
         (F.col("dag_id") == dag_id) & (F.col("run_id") == run_id) & (F.col("source_table") == table))

@@ -104,3 +104,13 @@ def test_failed_ingest_writes_failure(spark):
         ingest_day(spark, "raw_users", bad, RAW_USERS, "2025-03-02", p, run_id="rf")
     st = _state(spark, p, "rf")["raw_users"]
     assert st.run_status == "FAILED"
+
+
+def test_retried_run_reports_latest_attempt(spark):
+    p = paths()
+    bad = user_rows(spark, BOUNDARY).withColumn("name", F.lit(None).cast("string"))
+    with pytest.raises(Exception):
+        ingest_day(spark, "raw_users", bad, RAW_USERS, "2025-03-02", p, run_id="r")
+    ingest_day(spark, "raw_users", user_rows(spark, BOUNDARY), RAW_USERS, "2025-03-02", p, run_id="r")
+    st = _state(spark, p, "r")["raw_users"]
+    assert (st.run_status, st.row_ingested, st.row_loaded, st.is_consistent) == ("SUCCESS", 2, 2, True)
