@@ -121,6 +121,11 @@ def upsert_orders(spark, sf_dir):
     return ops.upsert(target, incoming, key="order_id", order_col="ord", now=_load_ts())
 
 
+def fct_quarantine(spark, sf_dir):
+    """C5 lenient path: staged orders whose ids are not ``U<n>`` / ``P<n>``."""
+    return wh.fct_quarantine(_dom(spark, sf_dir).stg_orders)
+
+
 def order_high_water(spark, sf_dir):
     return ops.high_water(_dom(spark, sf_dir).raw_orders)
 
@@ -207,6 +212,7 @@ def queries() -> dict[str, Query]:
         "fraud_alerts": fraud_alerts,
         "insert_ignore": insert_ignore_users,
         "upsert_latest": upsert_orders,
+        "fct_quarantine": fct_quarantine,
         "order_high_water": order_high_water,
         "extract_day": extract_day_orders,
         "read_users_ordered": read_users_ordered,

@@ -269,6 +269,10 @@ SELECT {_RAW_COLS}, ingestion_ts FROM raw_orders r
 WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.order_id = r.order_id)
 UNION ALL
 SELECT {_RAW_COLS}, {_LOAD_TS} AS ingestion_ts FROM latest""",
+    "fct_quarantine": """
+SELECT * FROM stg_orders
+WHERE TRY_CAST(regexp_replace(user_id, '^U', '') AS BIGINT) IS NULL
+   OR TRY_CAST(regexp_replace(product_id, '^P', '') AS BIGINT) IS NULL""",
     "order_high_water": """
 SELECT CAST(coalesce(max(CAST(regexp_replace(order_id, '^O', '') AS BIGINT)), 0) AS BIGINT) AS max_counter
 FROM raw_orders""",
