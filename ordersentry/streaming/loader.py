@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schemas import RAW_ORDERS
 from ..sources.tables import upsert_table
 
 
@@ -41,7 +42,10 @@ class UpsertLoader:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark: SparkSession = batch.sparkSession
         rows = coerce_orders(batch).filter(F.col(self.key).isNotNull())
-        upsert_table(spark, self.table_path, rows, self.key, self.order_col)
+        # Exactly the raw_orders columns (ingestion_ts is set by the upsert),
+        # plus the arrival order that decides which version of a key wins.
+        cols = [c for c in RAW_ORDERS.fieldNames() if c in rows.columns and c != "ingestion_ts"]
+        upsert_table(spark, self.table_path, rows.select(*cols, self.order_col), self.key, self.order_col)
 
 
 def start_loader(processed: DataFrame, table_path: str, checkpoint: str,

@@ -80,7 +80,10 @@ def test_loader_upserts_batches(spark, tmp_path):
     loader(base.filter("seq <= 1"), 0)
     loader(base.filter("seq > 1"), 1)
     loader(base.filter("seq > 1"), 1)  # a replayed batch changes nothing
-    rows = {r.order_id: r for r in spark.read.parquet(path).collect()}
+    stored = spark.read.parquet(path)
+    from ordersentry.schemas import RAW_ORDERS
+    assert set(stored.columns) <= set(RAW_ORDERS.fieldNames()) | {"key_range"}
+    rows = {r.order_id: r for r in stored.collect()}
     assert set(rows) == {"O1", "O2"}
     assert (rows["O1"].quantity, rows["O1"].status) == (9, "Genuine")
     assert (rows["O2"].quantity, rows["O2"].amount_numeric) == (0, 0)
