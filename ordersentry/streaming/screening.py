@@ -84,8 +84,10 @@ def typed_orders(df: DataFrame) -> DataFrame:
 def encode_orders(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """S3 wire format: one JSON object per order in ``value``, keyed by order id."""
     cols = cols or [f.name for f in ORDER_EVENT.fields]
+    # Typed timestamps are written as ISO-8601 with microseconds and offset.
+    iso = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
     return df.select(F.col("order_id").cast("string").alias("key"),
-                     F.to_json(F.struct(*[F.col(c) for c in cols])).alias("value"))
+                     F.to_json(F.struct(*[F.col(c) for c in cols]), iso).alias("value"))
 
 
 # --------------------------------------------------------------- sinks (S3)

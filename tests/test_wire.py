@@ -27,3 +27,11 @@ def test_decode_quarantines_bad_messages_and_round_trips(spark):
 def test_encode_uses_order_id_as_key(spark):
     df = spark.createDataFrame([MSG]).select(*MSG.keys())
     assert encode_orders(df).select(F.col("key")).first()[0] == "O1"
+
+
+def test_encode_keeps_microseconds_of_typed_timestamps(spark):
+    raw = spark.createDataFrame([(0, 10, json.dumps(MSG).encode())], "partition int, offset long, value binary")
+    ok, _ = decode_orders(raw)
+    back = json.loads(encode_orders(typed_orders(ok)).first().value)
+    assert back["event_ts"] == "2025-03-01T12:00:00.120000Z"
+    assert back["created_date"] == "2025-02-28T19:00:00.000000Z"  # 02:00 at +07:00
