@@ -103,7 +103,7 @@ def with_buffer(df: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...]
     otherwise.
     """
     n = params.buffer_size
-    blk = F.floor(F.col(seq) / F.lit(n))
+    blk = F.expr(f"`{seq}` div {n}")  # exact integer block number
     item = F.struct(
         F.col("user_id").alias("u"),
         F.col("product_id").alias("p"),
@@ -221,7 +221,7 @@ def dense_sequence(df: DataFrame, order_col: str, partition_cols: tuple[str, ...
     running sum gives each block's first number, and a row's number is that
     plus its rank inside the block.  No step sees more than one block.
     """
-    b = F.floor(F.col(order_col) / F.lit(block)).alias("_ob")
+    b = F.expr(f"`{order_col}` div {block}").alias("_ob")
     with_b = df.select("*", b)
     counts = with_b.groupBy(*partition_cols, "_ob").agg(F.count(F.lit(1)).alias("_n"))
     wcum = Window.partitionBy(*partition_cols).orderBy("_ob").rowsBetween(Window.unboundedPreceding, -1)

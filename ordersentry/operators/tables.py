@@ -72,7 +72,7 @@ def assign_keys(df: DataFrame, key_col: str, order_col: str, start: Column | int
     gets the same keys.  ``start`` may be a Column holding one value (e.g.
     the current maximum key).
     """
-    b = F.floor(F.col(order_col) / F.lit(block))
+    b = F.expr(f"`{order_col}` div {block}")
     with_b = df.withColumn("_kb", b)
     counts = with_b.groupBy("_kb").agg(F.count(F.lit(1)).alias("_n"))
     wcum = Window.orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)
