@@ -142,3 +142,35 @@ def test_replayed_batch_gives_same_verdicts(spark):
     want = [s for s, _ in brute.screen(orders)]
     got = dict(x for _, out in runs[:3] for x in out)
     assert [got[i] for i in range(len(orders))] == want
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(seed=st.integers(0, 10_000), n=st.integers(10, 600), parts=st.integers(2, 3), cuts=st.integers(1, 4))
+def test_micro_batches_with_several_partitions(spark, seed, n, parts, cuts):
+    """Each stream partition keeps its own buffer across micro-batches."""
+    orders = random_stream(seed, n, 3, 2, 0.1)
+    rnd = random.Random(seed)
+    part_of = [rnd.randrange(parts) for _ in orders]
+    per_part = {p: [i for i in range(n) if part_of[i] == p] for p in range(parts)}
+    want = {}
+    for p, idx in per_part.items():
+        for i, (status, _) in zip(idx, brute.screen([orders[i] for i in idx])):
+            want[i] = status
+    offset_in_part = {i: k for idx in per_part.values() for k, i in enumerate(idx)}
+    rows = [tuple(o[f.name] for f in FSCHEMA.fields[2:]) + (part_of[i], offset_in_part[i], i)
+            for i, o in enumerate(orders)]
+    schema = T.StructType(FSCHEMA.fields[2:] + [T.StructField("partition", T.IntegerType()),
+                                                T.StructField("seq", T.LongType()),
+                                                T.StructField("i", T.LongType())])
+    bounds = sorted(rnd.sample(range(1, n), min(cuts, n - 1))) + [n]
+    got = {}
+
+    def sink(df, batch_id):
+        got.update({r.i: r.status for r in df.select("i", "status").collect()})
+
+    fn = BufferedScreening(tempfile.mkdtemp(prefix="mp-"), sink, prepare=lambda df: df)
+    start = 0
+    for batch_id, end in enumerate(bounds):
+        fn(spark.createDataFrame(rows[start:end], schema), batch_id)
+        start = end
+    assert got == want
