@@ -20,7 +20,7 @@ from ..sources.tables import upsert_table
 def coerce_orders(df: DataFrame) -> DataFrame:
     """Ids as text, quantity / amount_numeric as integers (missing or
     not a number -> 0), timestamps as timestamps.  A NULL id stays NULL (the
-    caller quarantines it) instead of becoming the text ``None``."""
+    loader quarantines or rejects it) instead of becoming the text ``None``."""
     def as_long(c):
         return F.coalesce(F.col(c).cast("string").try_cast("long"), F.lit(0)).alias(c)
     out = df
@@ -34,14 +34,28 @@ def coerce_orders(df: DataFrame) -> DataFrame:
 
 
 class UpsertLoader:
-    """``foreachBatch`` function upserting each batch into a Parquet table."""
+    """``foreachBatch`` function upserting each batch into a Parquet table.
 
-    def __init__(self, table_path: str, key: str = "order_id", order_col: str = "seq"):
+    Orders without an ``order_id`` cannot be stored (the key is NOT NULL):
+    with a ``quarantine`` sink they are written there and the rest is
+    loaded; without one the batch fails, as the original insert does.
+    """
+
+    def __init__(self, table_path: str, key: str = "order_id", order_col: str = "seq",
+                 quarantine=None):
         self.table_path, self.key, self.order_col = table_path, key, order_col
+        self.quarantine = quarantine
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark: SparkSession = batch.sparkSession
-        rows = coerce_orders(batch).filter(F.col(self.key).isNotNull())
+        rows = coerce_orders(batch)
+        key = F.col(self.key)
+        if self.quarantine is not None:
+            self.quarantine(rows.filter(key.isNull()), batch_id)
+            rows = rows.filter(key.isNotNull())
+        else:
+            rows = rows.withColumn(self.key, F.when(key.isNull(), F.raise_error(
+                F.lit(f"order without {self.key} in batch {batch_id}"))).otherwise(key))
         # Exactly the raw_orders columns (ingestion_ts is set by the upsert),
         # plus the arrival order that decides which version of a key wins.
         cols = [c for c in RAW_ORDERS.fieldNames() if c in rows.columns and c != "ingestion_ts"]
@@ -49,8 +63,9 @@ class UpsertLoader:
 
 
 def start_loader(processed: DataFrame, table_path: str, checkpoint: str,
-                 trigger: dict | None = None, order_col: str = "seq"):
+                 trigger: dict | None = None, order_col: str = "seq", quarantine=None):
     """Start the loader query (default trigger: every 5 seconds)."""
-    return (processed.writeStream.foreachBatch(UpsertLoader(table_path, order_col=order_col))
+    loader = UpsertLoader(table_path, order_col=order_col, quarantine=quarantine)
+    return (processed.writeStream.foreachBatch(loader)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "5 seconds"})).start())

@@ -3,6 +3,8 @@ import os
 import random
 import tempfile
 
+import pytest
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -174,3 +176,18 @@ def test_micro_batches_with_several_partitions(spark, seed, n, parts, cuts):
         fn(spark.createDataFrame(rows[start:end], schema), batch_id)
         start = end
     assert got == want
+
+
+def test_loader_quarantines_or_rejects_orders_without_id(spark, tmp_path):
+    cols = ("seq long, order_id string, user_id string, product_id string, quantity string,"
+            " amount_numeric string, country string, status string, created_date string,"
+            " event_ts string, source string")
+    ts = "2025-03-01T12:00:00+00:00"
+    batch = spark.createDataFrame([(1, "O1", "U1", "P1", "1", "10", "ID", "Genuine", ts, ts, "s"),
+                                   (2, None, "U2", "P2", "1", "10", "ID", "Genuine", ts, ts, "s")], cols)
+    held = []
+    UpsertLoader(str(tmp_path / "t1"), quarantine=lambda df, b: held.extend(df.collect()))(batch, 0)
+    assert [r.seq for r in held] == [2]
+    assert [r.order_id for r in spark.read.parquet(str(tmp_path / "t1")).collect()] == ["O1"]
+    with pytest.raises(Exception):
+        UpsertLoader(str(tmp_path / "t2"))(batch, 0)
