@@ -91,16 +91,27 @@ def max_key(df: DataFrame, key_col: str) -> DataFrame:
 
 # ---------------------------------------------------------- S5 insert-ignore
 def insert_ignore(target: DataFrame, incoming: DataFrame, key: str, order_col: str,
-                  surrogate: str | None = None, defaults: dict | None = None) -> DataFrame:
+                  surrogate: str | None = None, defaults: dict | None = None,
+                  on_null_key: str = "fail") -> DataFrame:
     """``INSERT ... ON CONFLICT (key) DO NOTHING``.
 
     The first incoming row per natural key wins (``order_col`` = input order),
     keys already in ``target`` are skipped (left anti join), the rest is
-    appended.  Rows with a NULL key are rejected (the key is NOT NULL).  With
-    ``surrogate`` the new rows get ``max(target.surrogate) + 1, ...`` in input
-    order.  Returns the whole new table.
+    appended.  The key is NOT NULL: a NULL key fails the query
+    (``on_null_key="fail"``, as the original insert does) or, with
+    ``"skip"``, the row is left out.  With ``surrogate`` the new rows get
+    ``max(target.surrogate) + 1, ...`` in input order.  Returns the whole new
+    table.
     """
-    fresh = first_per_key(incoming.filter(F.col(key).isNotNull()), key, order_col)
+    k = F.col(key)
+    if on_null_key == "fail":
+        checked = incoming.withColumn(key, F.when(k.isNull(), F.raise_error(
+            F.lit(f"NULL {key} in an insert batch"))).otherwise(k))
+    elif on_null_key == "skip":
+        checked = incoming.filter(k.isNotNull())
+    else:
+        raise ValueError("on_null_key must be 'fail' or 'skip'")
+    fresh = first_per_key(checked, key, order_col)
     fresh = fresh.join(target.select(key), on=key, how="left_anti")
     if surrogate:
         # The current maximum key as a scalar subquery (computed once, no join).

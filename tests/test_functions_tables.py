@@ -161,3 +161,15 @@ def test_title_words_with_delimiters(spark):
     got = [r[0] for r in df.select(title_words("v", delimiters=" -/(")).collect()]
     assert got == ["T-Shirt (Big)/Small", "Men's Shoes", None, ""]
     assert [r[0] for r in df.select(title_words("v")).collect()][:2] == ["T-shirt (big)/small", "Men's Shoes"]
+
+
+def test_insert_ignore_null_key_policy(spark):
+    target = users(spark, [(1, "A", "a@x")])
+    incoming = spark.createDataFrame([(0, "N", None), (1, "B", "b@x")], "ord long, name string, email string") \
+        .withColumn("phone_number", F.lit(None).cast("string")) \
+        .withColumn("created_date", F.lit(dt.datetime(2025, 1, 2)))
+    defaults = {"ingestion_ts": F.lit(dt.datetime(2025, 1, 3)), "source": "batch"}
+    with pytest.raises(Exception):
+        ops.insert_ignore(target, incoming, "email", "ord", "user_id", defaults).collect()
+    out = ops.insert_ignore(target, incoming, "email", "ord", "user_id", defaults, on_null_key="skip")
+    assert sorted(r.email for r in out.collect()) == ["a@x", "b@x"]
