@@ -72,3 +72,27 @@ def ingest_day(spark: SparkSession, table: str, source: DataFrame, schema: T.Str
         raise
     return ledger.state(read_ledger(spark, paths)).filter(
         (F.col("dag_id") == dag_id) & (F.col("run_id") == run_id) & (F.col("source_table") == table))
+
+
+def ingest_tables(spark: SparkSession, tables: dict[str, tuple[DataFrame, T.StructType]], ds: str,
+                  paths: IngestPaths, dag_id: str = "raw_tables_daily", run_id: str | None = None,
+                  mode: str = "replace_day") -> DataFrame:
+    """One daily run over several tables (``name -> (source, schema)``).
+
+    Every table's chain runs even when another fails, as independent chains
+    do.  If any failed, a run-level FAILED event is appended after all of
+    them, so every table of the run reports FAILED (also those that loaded),
+    and the first error is raised.  Returns the run's ledger state.
+    """
+    run_id = run_id or f"scheduled__{ds}"
+    errors = []
+    for name, (source, schema) in tables.items():
+        try:
+            ingest_day(spark, name, source, schema, ds, paths, dag_id, run_id, mode)
+        except Exception as exc:  # keep going: the other chains are independent
+            errors.append(exc)
+    if errors:
+        _append(ledger.fail(spark, dag_id, run_id, ds, seq=time.time_ns() // 1000 * 10 + 9), paths.ledger_path)
+        raise errors[0]
+    return ledger.state(read_ledger(spark, paths)).filter(
+        (F.col("dag_id") == dag_id) & (F.col("run_id") == run_id))

@@ -5,7 +5,8 @@ interval and ``maxOffsetsPerTrigger`` bound a micro-batch, and each batch
 is upserted by ``order_id`` (last message wins, ``ingestion_ts`` = load
 time).  Offsets are committed by the checkpoint only after the batch is
 written, and the upsert is idempotent by key, so a replayed batch leaves
-the same table (at-least-once delivery, exactly-once table contents).
+the same rows, only with a newer ``ingestion_ts`` (at-least-once delivery,
+exactly-once rows).
 """
 
 from __future__ import annotations

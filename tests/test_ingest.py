@@ -114,3 +114,28 @@ def test_retried_run_reports_latest_attempt(spark):
     ingest_day(spark, "raw_users", user_rows(spark, BOUNDARY), RAW_USERS, "2025-03-02", p, run_id="r")
     st = _state(spark, p, "r")["raw_users"]
     assert (st.run_status, st.row_ingested, st.row_loaded, st.is_consistent) == ("SUCCESS", 2, 2, True)
+
+
+def product_rows(spark, created, null_name=False):
+    from ordersentry.schemas import RAW_PRODUCTS
+    t = dt.datetime(2025, 3, 5)
+    rows = [(i + 1, f"p{i}", None, None, None, "IDR", 100, 50, c, t, "batch") for i, c in enumerate(created)]
+    df = spark.createDataFrame(rows, RAW_PRODUCTS)
+    return df.withColumn("product_name", F.lit(None).cast("string")) if null_name else df
+
+
+def test_run_over_tables_and_failure_marks_the_whole_run(spark):
+    from ordersentry.plans.ingest import ingest_tables
+    from ordersentry.schemas import RAW_PRODUCTS
+    p = paths()
+    good = {"raw_users": (user_rows(spark, BOUNDARY), RAW_USERS),
+            "raw_products": (product_rows(spark, BOUNDARY), RAW_PRODUCTS)}
+    st = {r.source_table: (r.run_status, r.is_consistent)
+          for r in ingest_tables(spark, good, "2025-03-02", p, run_id="ok").collect()}
+    assert st == {"raw_users": ("SUCCESS", True), "raw_products": ("SUCCESS", True)}
+    bad = {"raw_products": (product_rows(spark, BOUNDARY, null_name=True), RAW_PRODUCTS),
+           "raw_users": (user_rows(spark, BOUNDARY), RAW_USERS)}
+    with pytest.raises(Exception):
+        ingest_tables(spark, bad, "2025-03-02", p, run_id="bad")
+    st = _state(spark, p, "bad")
+    assert {t: r.run_status for t, r in st.items()} == {"raw_products": "FAILED", "raw_users": "FAILED"}
