@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 from ordersentry.operators import fraud
 from ordersentry.plans.domain import Domain
 from ordersentry.schemas import ORDER_EVENT
-from ordersentry.streaming.loader import UpsertLoader
-from ordersentry.streaming.screening import BufferedScreening, parquet_sink
+from ordersentry.streaming.loader import UpsertLoader, start_loader
+from ordersentry.streaming.screening import BufferedScreening, parquet_sink, start_screening
 from tests import brute
 from tests.conftest import SF_SMALL
 from tests.test_fraud import SCHEMA as FSCHEMA
@@ -42,10 +42,8 @@ def write_batches(orders, folder, n_files, files):
 
 def run_stream(spark, src, out, state, ckpt, params):
     stream = spark.readStream.schema(STREAM_SCHEMA).option("maxFilesPerTrigger", 1).json(src)
-    fn = BufferedScreening(state, parquet_sink(f"{out}/processed"), parquet_sink(f"{out}/alerts"),
-                           params=params)
-    q = (stream.writeStream.foreachBatch(fn).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
+    q = start_screening(stream, ckpt, state, parquet_sink(f"{out}/processed"), parquet_sink(f"{out}/alerts"),
+                        params=params, trigger={"availableNow": True})
     q.awaitTermination(600)
 
 
@@ -68,6 +66,13 @@ def test_stream_equals_batch_with_restart(spark):
     frauds = want.filter(F.col("status") == "Fraud").count()
     assert spark.read.parquet(f"{out}/alerts").count() == frauds
     assert frauds > 52  # bot rules fire, not only the country rule
+    # The processed output streamed into the raw_orders table by the loader.
+    table = f"{root}/raw_orders"
+    processed = spark.readStream.schema(spark.read.parquet(f"{out}/processed").schema) \
+        .parquet(f"{out}/processed/*")
+    start_loader(processed, table, f"{root}/load-ckpt", trigger={"availableNow": True}).awaitTermination(600)
+    loaded = spark.read.parquet(table).select("order_id", "status")
+    assert loaded.count() == orders.count() and loaded.exceptAll(want).count() == 0
 
 
 def test_loader_upserts_batches(spark, tmp_path):
