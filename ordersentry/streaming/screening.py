@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..constants import FRAUD, ORDERS_TOPIC
+from ..constants import ALERTS_TOPIC, FRAUD, ORDERS_TOPIC, PROCESSED_TOPIC
 from ..functions import hour_of_iso_text
 from ..operators import fraud
 from ..schemas import ORDER_EVENT
@@ -98,6 +98,25 @@ def kafka_sink(servers: str, topic: str) -> Sink:
     return write
 
 
+def routed_messages(df: DataFrame, processed_topic: str = PROCESSED_TOPIC,
+                    alerts_topic: str = ALERTS_TOPIC) -> DataFrame:
+    """S3 as one frame of ``topic, key, value``: every order to the processed
+    topic and frauds to the alert topic as well."""
+    every = encode_orders(df).withColumn("topic", F.lit(processed_topic))
+    frauds = encode_orders(df.filter(F.col("status") == FRAUD)).withColumn("topic", F.lit(alerts_topic))
+    return every.unionByName(frauds)
+
+
+def kafka_route_sink(servers: str, processed_topic: str = PROCESSED_TOPIC,
+                     alerts_topic: str = ALERTS_TOPIC) -> Sink:
+    """Both topics in one write job (the Kafka sink takes the topic per row).
+    Pass it as ``processed`` with ``alerts=None``."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        (routed_messages(df, processed_topic, alerts_topic).write.format("kafka")
+         .option("kafka.bootstrap.servers", servers).save())
+    return write
+
+
 def parquet_sink(path: str) -> Sink:
     """Idempotent file sink: batch ``k`` (re)writes ``path/batch_id=k``."""
     def write(df: DataFrame, batch_id: int) -> None:

@@ -35,3 +35,12 @@ def test_encode_keeps_microseconds_of_typed_timestamps(spark):
     back = json.loads(encode_orders(typed_orders(ok)).first().value)
     assert back["event_ts"] == "2025-03-01T12:00:00.120000Z"
     assert back["created_date"] == "2025-02-28T19:00:00.000000Z"  # 02:00 at +07:00
+
+
+def test_routing_puts_frauds_on_both_topics(spark):
+    rows = [dict(MSG, order_id=f"O{i}", status=s) for i, s in enumerate(["Fraud", "Genuine", "Fraud"])]
+    df = spark.createDataFrame(rows).select(*MSG.keys())
+    from ordersentry.streaming.screening import routed_messages
+    got = sorted((r.topic, r.key) for r in routed_messages(df).collect())
+    assert got == [("fraud_alerts", "O0"), ("fraud_alerts", "O2"), ("processed_orders", "O0"),
+                   ("processed_orders", "O1"), ("processed_orders", "O2")]
