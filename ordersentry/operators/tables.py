@@ -90,18 +90,17 @@ def max_key(df: DataFrame, key_col: str) -> DataFrame:
 
 
 # ---------------------------------------------------------- S5 insert-ignore
-def insert_ignore(target: DataFrame, incoming: DataFrame, key: str, order_col: str,
-                  surrogate: str | None = None, defaults: dict | None = None,
-                  on_null_key: str = "fail") -> DataFrame:
-    """``INSERT ... ON CONFLICT (key) DO NOTHING``.
-
-    The first incoming row per natural key wins (``order_col`` = input order),
-    keys already in ``target`` are skipped (left anti join), the rest is
-    appended.  The key is NOT NULL: a NULL key fails the query
-    (``on_null_key="fail"``, as the original insert does) or, with
-    ``"skip"``, the row is left out.  With ``surrogate`` the new rows get
-    ``max(target.surrogate) + 1, ...`` in input order.  Returns the whole new
-    table.
+def new_rows(target: DataFrame, incoming: DataFrame, key: str, order_col: str,
+             surrogate: str | None = None, defaults: dict | None = None,
+             on_null_key: str = "fail") -> DataFrame:
+    """The rows ``INSERT ... ON CONFLICT (key) DO NOTHING`` adds.
+
+    The first incoming row per natural key wins (``order_col`` = input order)
+    and keys already in ``target`` are skipped.  The key is NOT NULL: a NULL
+    key fails the query (``on_null_key="fail"``, as the original insert
+    does) or, with ``"skip"``, the row is left out.  With ``surrogate`` the
+    new rows get ``max(target.surrogate) + 1, ...`` in input order.  Columns
+    are the target's.
     """
     k = F.col(key)
     if on_null_key == "fail":
@@ -112,13 +111,25 @@ def insert_ignore(target: DataFrame, incoming: DataFrame, key: str, order_col: s
     else:
         raise ValueError("on_null_key must be 'fail' or 'skip'")
     fresh = first_per_key(checked, key, order_col)
-    fresh = fresh.join(target.select(key), on=key, how="left_anti")
+    # Keys of the batch that the table already has: the table is scanned and
+    # filtered by the batch's keys (a small batch is broadcast, the table is
+    # not shuffled), then the batch drops those few keys.
+    present = target.select(key).join(fresh.select(key), on=key, how="left_semi")
+    fresh = fresh.join(present, on=key, how="left_anti")
     if surrogate:
         # The current maximum key as a scalar subquery (computed once, no join).
         fresh = assign_keys(fresh, surrogate, order_col, max_key(target, surrogate).scalar())
     if defaults:
         fresh = with_defaults(fresh, defaults)
-    return target.unionByName(fresh.select(*target.columns))
+    return fresh.select(*target.columns)
+
+
+def insert_ignore(target: DataFrame, incoming: DataFrame, key: str, order_col: str,
+                  surrogate: str | None = None, defaults: dict | None = None,
+                  on_null_key: str = "fail") -> DataFrame:
+    """``INSERT ... ON CONFLICT (key) DO NOTHING``: the whole new table,
+    ``target`` plus :func:`new_rows`."""
+    return target.unionByName(new_rows(target, incoming, key, order_col, surrogate, defaults, on_null_key))
 
 
 # ----------------------------------------------------------------- S6 upsert

@@ -99,8 +99,7 @@ def insert_ignore_table(spark: SparkSession, path: str, incoming: DataFrame, key
     rows are appended (one job commit).  The natural-key check reads just
     the key column of the table.  Returns the appended rows."""
     existing = spark.read.parquet(path)
-    merged = ops.insert_ignore(existing, incoming, key, order_col, surrogate, defaults)
-    fresh = merged.join(existing.select(key), key, "left_anti").select(*existing.columns)
+    fresh = ops.new_rows(existing, incoming, key, order_col, surrogate, defaults)
     checkpoint_dir(spark)
     fresh = fresh.checkpoint(eager=True)  # cut the lineage to the files being appended to
     fresh.write.mode("append").parquet(path)
