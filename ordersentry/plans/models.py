@@ -86,5 +86,8 @@ def build_models(raw_users: DataFrame, raw_products: DataFrame, raw_orders: Data
     out["fct_orders"] = table("fct_orders", wh.fct_orders(out["stg_orders"], out["dim_users"],
                                                             out["dim_products"]))
     for name, build in wh.MARTS.items():
-        out[name] = table(name, build(out["fct_orders"], out["dim_users"], out["dim_products"]))
+        # Past the gate the dimension ids are unique: top-10 marts rank
+        # candidates only instead of joining whole dimensions.
+        out[name] = table(name, build(out["fct_orders"], out["dim_users"], out["dim_products"],
+                                      unique_keys=gate))
     return out

@@ -159,35 +159,61 @@ def _top10(df: DataFrame, metric: str, keys: list[str]) -> DataFrame:
     return df.orderBy(F.col(metric).desc(), *[F.col(k).asc() for k in keys]).limit(10)
 
 
-def mart_top10_active_users(fct: DataFrame, users: DataFrame) -> DataFrame:
+def _ranked_rows(dim: DataFrame, keys: list[str], per_key: DataFrame, unique_keys: bool) -> DataFrame:
+    """The dimension rows a top-10 mart has to rank.
+
+    In general every row (dim LEFT JOIN per-key counts).  With unique
+    dimension ids whose fact ids all exist in the dimension (both hold after
+    the key-test gate, the fact being an inner join) the top ten can only
+    be among the ten best-counted ids and, when fewer than ten ids have
+    orders, the ten smallest dimension rows: at most twenty ids, so the
+    dimension is only scanned and filtered, never shuffled.
+    """
+    rows = dim.select(*keys)
+    if not unique_keys:
+        return rows
+    id_col = keys[0]
+    best = per_key.orderBy(F.col("_n").desc(), F.col(id_col).asc()).limit(10).select(id_col)
+    first = rows.orderBy(*keys).limit(10).select(id_col)
+    return rows.join(best.unionByName(first), id_col, "left_semi")
+
+
+def mart_top10_active_users(fct: DataFrame, users: DataFrame, unique_keys: bool = False) -> DataFrame:
     per_user = _by_status(fct, GENUINE).groupBy("user_id").agg(F.count("order_id").alias("_n"))
-    counted = (users.select(*_USER_KEYS).join(per_user, "user_id", "left")
+    counted = (_ranked_rows(users, _USER_KEYS, per_user, unique_keys).join(per_user, "user_id", "left")
                .groupBy(*_USER_KEYS).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("orders_count")))
     return _top10(counted, "orders_count", _USER_KEYS)
 
 
-def mart_top10_selling_products(fct: DataFrame, products: DataFrame) -> DataFrame:
+def mart_top10_selling_products(fct: DataFrame, products: DataFrame, unique_keys: bool = False) -> DataFrame:
     per_product = _by_status(fct, GENUINE).groupBy("product_id").agg(F.count("order_id").alias("_n"))
-    counted = (products.select(*_PRODUCT_KEYS).join(per_product, "product_id", "left")
+    counted = (_ranked_rows(products, _PRODUCT_KEYS, per_product, unique_keys)
+               .join(per_product, "product_id", "left")
                .groupBy(*_PRODUCT_KEYS).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_orders")))
     return _top10(counted, "total_orders", _PRODUCT_KEYS)
 
 
-def mart_top10_users_fraud(fct: DataFrame, users: DataFrame) -> DataFrame:
+def mart_top10_users_fraud(fct: DataFrame, users: DataFrame, unique_keys: bool = False) -> DataFrame:
     per_user = _by_status(fct, FRAUD).groupBy("user_id").agg(
         F.count("order_id").alias("_n"), F.max("event_ts").alias("_last"))
-    counted = (users.select(*_USER_KEYS).join(per_user, "user_id", "left")
+    counted = (_ranked_rows(users, _USER_KEYS, per_user, unique_keys).join(per_user, "user_id", "left")
                .groupBy(*_USER_KEYS).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("fraud_attempts"),
                                          F.max("_last").alias("last_fraud_ts")))
     return _top10(counted, "fraud_attempts", _USER_KEYS)
 
 
 MARTS = {
-    "mart_fraud_attempt_trends": lambda fct, users, products: mart_fraud_attempt_trends(fct),
-    "mart_fraud_daily_saved_amount": lambda fct, users, products: mart_fraud_daily_saved_amount(fct),
-    "mart_high_risk_products": lambda fct, users, products: mart_high_risk_products(fct, products),
-    "mart_products_revenue_profit": lambda fct, users, products: mart_products_revenue_profit(fct, products),
-    "mart_top10_active_users": lambda fct, users, products: mart_top10_active_users(fct, users),
-    "mart_top10_selling_products": lambda fct, users, products: mart_top10_selling_products(fct, products),
-    "mart_top10_users_fraud": lambda fct, users, products: mart_top10_users_fraud(fct, users),
+    "mart_fraud_attempt_trends": lambda fct, users, products, unique_keys=False: mart_fraud_attempt_trends(fct),
+    "mart_fraud_daily_saved_amount":
+        lambda fct, users, products, unique_keys=False: mart_fraud_daily_saved_amount(fct),
+    "mart_high_risk_products":
+        lambda fct, users, products, unique_keys=False: mart_high_risk_products(fct, products),
+    "mart_products_revenue_profit":
+        lambda fct, users, products, unique_keys=False: mart_products_revenue_profit(fct, products),
+    "mart_top10_active_users":
+        lambda fct, users, products, unique_keys=False: mart_top10_active_users(fct, users, unique_keys),
+    "mart_top10_selling_products":
+        lambda fct, users, products, unique_keys=False: mart_top10_selling_products(fct, products, unique_keys),
+    "mart_top10_users_fraud":
+        lambda fct, users, products, unique_keys=False: mart_top10_users_fraud(fct, users, unique_keys),
 }

@@ -89,3 +89,16 @@ def test_daily_marts_count_and_sum_frauds_by_event_date(spark):
     assert [(r.event_date, r.saved_amount, r.fraud_attempts) for r in saved] == [(T0.date(), 350, 2)]
     trends = wh.mart_fraud_attempt_trends(fct).select(F.col("total_fraud_attempts")).collect()
     assert [r[0] for r in trends] == [2]
+
+
+@pytest.mark.parametrize("n_users,active", [(12, [5, 9]), (30, list(range(3, 30, 2))), (8, [])])
+def test_top10_candidate_path_equals_full_join(spark, n_users, active):
+    u = users(spark, range(1, n_users + 1))
+    rows = [(f"O{i}-{k}", f"U{uid}", "P1", 1, 100, "Genuine" if k % 3 else "Fraud")
+            for i, uid in enumerate(active) for k in range(1 + uid % 4)]
+    fct = wh.fct_orders(orders(spark, rows) if rows else orders(spark, [("O0", "U1", "P9", 1, 1, "Genuine")]),
+                        u, products(spark, [(1, 10)]))
+    for mart in (wh.mart_top10_active_users, wh.mart_top10_users_fraud):
+        full = [tuple(r) for r in mart(fct, u).collect()]
+        fast = [tuple(r) for r in mart(fct, u, unique_keys=True).collect()]
+        assert fast == full
