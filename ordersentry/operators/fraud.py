@@ -47,7 +47,7 @@ RULES_FLAGS = ("f_country", "f_night_quantity", "f_night_amount", "bot_a", "bot_
 
 @dataclass(frozen=True)
 class FraudParams:
-    # Fixed values of the screening rules (defaults of the reference engine).
+    # Fixed values of the screening rules (defaults of the original platform).
     window_seconds: float = 10.0
     buffer_size: int = 200
     max_quantity: int = 100
