@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, token_store, topk, warc
-from .common import saved, shared_path
+from . import chat, mixing, quality, token_store, topk, warc
+from .common import remainder, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return (quality.score(docs, model).withColumn("held_out", remainder("doc_id", quality.FOLDS) == quality.HELD_OUT_FOLD)
+            .select("doc_id", "held_out", "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")))
+
+
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_STEP == 0, k=TOP_K)
 
