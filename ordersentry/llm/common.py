@@ -67,6 +67,17 @@ def one_thread() -> None:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 
+def kept_by_worker(key: tuple, make):
+    """``make()``, once in each Python worker: Spark reuses workers, so later
+    tasks of a worker find it.  Functions come by value and have no module to
+    keep it in, hence the dictionary on an imported one."""
+    import pyspark
+    memo = pyspark.__dict__.setdefault("_kept_by_worker", {})
+    if key not in memo:
+        memo[key] = make()
+    return memo[key]
+
+
 # ------------------------------------------------------------ packed arrays
 def pack(*arrays: np.ndarray, compress: bool = False) -> bytes:
     parts = [np.array([len(arrays)], np.int64).tobytes()]

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, one_thread, ragged, split_words, text_of
+from .common import CHUNK_BYTES, chunks, kept_by_worker, one_thread, ragged, split_words, text_of
 
 
 class EliasFano:
@@ -112,49 +113,57 @@ class WordEncoder:
 
     The tokenizer's pre-tokenizer drops white space and lets no piece cross
     it, so a text's ids are its words' ids in order.  A word that ends in a
-    letter and a run of plain punctuation is two pieces of the
+    lower-case or caseless letter and a run of plain punctuation is two pieces of the
     pre-tokenizer, so both parts are looked up apart.  The memo is emptied
     when it is full, so its size does not grow with the corpus."""
 
     TAIL = ".,;:!?|#$%&*"
 
-    def __init__(self, path: str, memo: int = 300_000):
+    def __init__(self, path: str, memo: int = 1_000_000):
         from tokenizers import Tokenizer
         one_thread()
         self.tokenizer, self.memo = Tokenizer.from_file(path), memo
         self._reset()
 
     def _reset(self):
-        self.known = {"": 0}
-        self.pool = [np.zeros(0, np.uint32)]
+        self.known: dict[str, int] = {"": 0}
+        self.pool, self.bounds = array("I"), array("q", [0, 0])    # ids of piece i: pool[bounds[i]:bounds[i + 1]]
 
-    def _ids(self, pieces: list[str]) -> list[np.ndarray]:
+    def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, length, pool): where the ids of every piece stand."""
         if len(self.known) > self.memo:
             self._reset()
         missing = [p for p in pieces if p not in self.known]
         if missing:
-            for p, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-                self.known[p] = len(self.pool)
-                self.pool.append(np.array(e.ids, np.uint32))
-        return [self.pool[self.known[p]] for p in pieces]
+            found = self.tokenizer.encode(missing, is_pretokenized=True, add_special_tokens=False)
+            count = np.bincount(np.array(found.word_ids, np.int64), minlength=len(missing))
+            first = len(self.known)
+            self.known.update(zip(missing, range(first, first + len(missing))))
+            self.bounds.frombytes((len(self.pool) + np.cumsum(count)).astype(np.int64).tobytes())
+            self.pool.frombytes(np.array(found.ids, np.uint32).tobytes())
+        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        bounds = np.array(self.bounds)
+        return bounds[at], bounds[at + 1] - bounds[at], np.array(self.pool)
 
     def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(lengths, ids) of distinct words."""
         special = pc.match_substring(words, "<|")
         lower = pc.if_else(special, words, pc.ascii_lower(words))
         core = pc.utf8_rtrim(lower, characters=self.TAIL)
-        cut = pc.and_(pc.match_substring_regex(core, r"\p{L}$"), pc.invert(special))
+        cut = pc.and_(pc.match_substring_regex(core, r"[\p{Ll}\p{Lo}]$"), pc.invert(special))
         core = pc.if_else(cut, core, lower)
-        tail = pc.if_else(cut, pc.replace_substring_regex(lower, r"^.*\p{L}", ""), "")
+        tail = pc.if_else(cut, pc.replace_substring_regex(lower, r"^.*[\p{Ll}\p{Lo}]", ""), "")
         cores, tails = core.dictionary_encode(), tail.dictionary_encode()
-        ids = self._ids(cores.dictionary.to_pylist() + tails.dictionary.to_pylist())
-        n = len(cores.dictionary)
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        starts = np.cumsum(lens) - lens
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        pieces = cores.dictionary.to_pylist()
+        tail_pieces = tails.dictionary.to_pylist()
+        # Both lists hold distinct strings; one may stand in both.
+        both = dict.fromkeys(pieces + tail_pieces)
+        starts, lens, pool = self._ids(list(both))
+        place = dict(zip(both, range(len(both))))
         pick = np.empty(2 * len(words), np.int64)
-        pick[0::2], pick[1::2] = cores.indices.to_numpy(), tails.indices.to_numpy() + n
-        return lens[pick].reshape(-1, 2).sum(1), flat[ragged(starts[pick], lens[pick])]
+        pick[0::2] = np.fromiter(map(place.__getitem__, pieces), np.int64, len(pieces))[cores.indices.to_numpy()]
+        pick[1::2] = np.fromiter(map(place.__getitem__, tail_pieces), np.int64, len(tail_pieces))[tails.indices.to_numpy()]
+        return lens[pick].reshape(-1, 2).sum(1), pool[ragged(starts[pick], lens[pick])]
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids per text, all ids): every text's ids and the end id."""
@@ -195,10 +204,10 @@ def write_token_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     def run(batches):
         from pyspark import TaskContext
         part, number = TaskContext.get().partitionId(), 0
-        encoder = WordEncoder(tokenizer_path)
+        encoder = kept_by_worker(("word-encoder", tokenizer_path), lambda: WordEncoder(tokenizer_path))
         held: list[tuple] = []
         size = 0
-        for b in chunks(batches, "text"):
+        for b in chunks(batches, "text", 2 * CHUNK_BYTES):
             counts, ids = encoder.encode(b.column("text"), end_id)
             held.append((b.column("doc_id"), counts, ids))
             size += len(ids)
