@@ -14,6 +14,22 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
 """
 
+OP4 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS sh FROM w),
+n AS (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n FROM s),
+x AS (SELECT doc_id, unnest(sh) AS g FROM s),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+sym AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM n UNION SELECT reach.doc_id, sym.b FROM reach JOIN sym ON reach.r = sym.a)
+SELECT n.doc_id, n.n AS n_shingles, min(reach.r) AS component_id FROM n JOIN reach USING (doc_id) GROUP BY ALL
+"""
+
 _ESCAPED = r"regexp_replace({}, '([<\[])(\\*/?(?:s>|INST\]|ROLE\]))', '\1\\\2', 'g')"
 OP9 = f"""
 WITH c AS (
@@ -45,4 +61,4 @@ FROM f
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk": OP2, "op9_chat": OP9, "op10_warc": OP10}
+    return {"op2_topk": OP2, "op4_jaccard": OP4, "op9_chat": OP9, "op10_warc": OP10}

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, quality, token_store, topk, warc
+from . import chat, jaccard, mixing, quality, token_store, topk, warc
 from .common import remainder, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_STEP == 0, k=TOP_K)
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_store.write_token_store(table(spark, sf_dir, "documents"), shared_path(spark, "token-store"),
                                          public_tokenizers.path(TOKENIZER), END_ID)
