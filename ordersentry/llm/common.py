@@ -139,6 +139,8 @@ def split_words(texts: pa.Array, lower: bool = True) -> Words:
     """The words of every text (null: none)."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
+    if texts.offset:                           # ascii_lower misreads an array that starts inside its buffers
+        texts = texts.take(pa.array(np.arange(len(texts))))
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     offsets = lists.offsets.to_numpy().astype(np.int64)
