@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, mixing, quality, token_store, topk, warc
+from . import chat, decontaminate, jaccard, language_model, mixing, quality, token_store, topk, warc
 from .common import remainder, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,11 +48,19 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_token_store(spark, path)
 
 
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, _ = mixing.mix(table(spark, sf_dir, "documents"))
     return documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = "</s>[INST] ok [/INST]"
