@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_rows, chunks, pack, ragged, saved, shingles, split_by, split_words, unpack
+from .common import binary_rows, chunks, pack, ragged, repeat_rows, saved, shingles, split_by, split_words, unpack
 from .components import components
 
 SHINGLE = 5
@@ -85,16 +85,17 @@ def needed(n):
 
 
 def document_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n, key) per row; key null for the empty set."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64())])
+    """(doc_id, tie, n, key) per row; tie is a hash of the text, key null for the empty set."""
+    schema = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("n", pa.int64()), ("key", pa.int64())])
 
     def run(batches):
         for b in chunks(batches, "text"):
             offsets, hashes = sorted_sets(b.column("text"))
             keys = [set_key(hashes[lo:hi]) if hi > lo else None for lo, hi in zip(offsets[:-1], offsets[1:])]
-            yield pa.record_batch([b.column("doc_id"), pa.array(np.diff(offsets)), pa.array(keys, pa.int64())], schema=schema)
+            yield pa.record_batch([b.column("doc_id"), b.column("tie"), pa.array(np.diff(offsets)), pa.array(keys, pa.int64())], schema=schema)
 
-    return _narrow(docs, doc_id, text).mapInArrow(run, "doc_id long, n long, key long")
+    return (_narrow(docs, doc_id, text).withColumn("tie", F.xxhash64("text"))
+            .mapInArrow(run, "doc_id long, tie long, n long, key long"))
 
 
 def _narrow(docs, doc_id="doc_id", text="text"):
@@ -359,7 +360,8 @@ def links(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles``, ``component_id`` (the smallest id
-    reachable over links, itself included) and ``class_key`` (equal for equal sets)."""
+    reachable over links, itself included), ``class_key`` (equal for equal sets)
+    and ``tie`` (a hash of the text)."""
     narrow = _narrow(docs, doc_id, text)
     sets = saved(document_sets(docs, doc_id, text), "jaccard-sets")
     hashes = sets.agg(F.sum("n")).first()[0] or 0
@@ -367,7 +369,21 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     classes = sets.filter("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
     linked = components(links(narrow, classes, saved(candidates, "jaccard-groups")))
     placed = (sets.join(linked, sets["key"] == linked["node"], "left")
-              .select("doc_id", "n", "key", F.coalesce("component", "key").alias("component")))
-    lowest = placed.filter("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+              .select("doc_id", "tie", "n", "key", F.coalesce("component", "key").alias("component")))
+    lowest = saved(placed.filter("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id")), "jaccard-lowest")
     return (placed.join(lowest, "component", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.col("key").alias("class_key")))
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+                    F.col("key").alias("class_key"), "component", "tie"))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs``, all columns, with one row of every component (smallest id,
+    null last, then smallest text hash) and every row of an empty set."""
+    placed = saved(jaccard_components(docs, doc_id, text), "jaccard-placed")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tie"))
+    lowest = placed.filter("component IS NOT NULL").groupBy("component").agg(first.alias("first")).select("first.doc_id", "first.tie")
+    rows = placed.groupBy("doc_id", "tie").agg(F.count(F.lit(1)).alias("rows"), F.max(F.col("component").isNull()).alias("empty"))
+    kept = (rows.alias("r").join(lowest.withColumn("first", F.lit(True)).alias("l"),
+                                 F.expr("r.doc_id <=> l.doc_id AND r.tie = l.tie"), "left")
+            .select("r.doc_id", "r.tie", "r.rows", F.when(F.col("r.empty"), F.col("r.rows")).when(F.col("l.first"), 1).otherwise(0).alias("copies")))
+    return repeat_rows(docs, kept, doc_id, text)

@@ -31,7 +31,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, running_total, saved
+from .common import WORD_PATTERN, repeat_rows, running_total, saved
 
 WEIGHTS = (5, 2, 1)
 
@@ -134,3 +134,12 @@ def mix(docs: DataFrame, budget: float = 1.5, max_repeat: int = 2, block_words:
     out = (placed.withColumn("has_words", F.col("size") > 0).join(taken, ["src", "start", "has_words"], "left")
            .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "tie"))
     return out, schedule
+
+
+def take_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """``docs``, all columns, each row as often as the mix takes its words,
+    rounded to whole documents; rows without words go."""
+    documents, _ = mix(docs, doc_id=doc_id, text=text, **settings)
+    times = F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + F.lit(0.5))
+    copies = documents.groupBy("doc_id", "tie").agg(F.count(F.lit(1)).alias("rows"), F.sum(times).alias("copies"))
+    return repeat_rows(docs, copies, doc_id, text)

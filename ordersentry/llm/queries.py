@@ -7,11 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, language_model, mixing, quality, token_store, topk, warc
+from . import chat, decontaminate, jaccard, language_model, mixing, quality, substrings, token_store, topk, warc
 from .common import remainder, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +39,10 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_STEP == 0, k=TOP_K)
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -77,4 +82,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
+    own = {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
+    return {**own, "pipeline": corpus_pipeline.run}
