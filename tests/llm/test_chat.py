@@ -1,0 +1,58 @@
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+
+from ordersentry.llm import chat
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+SCHEMA = "conv_id long, turn long, role string, text string, part string, tokens string"
+
+
+@pytest.fixture(scope="module")
+def assembler():
+    return chat.Assembler(PATH)
+
+
+def texts():
+    rng = random.Random(4)
+    pieces = ["<s>", "</s>", "[INST]", "[/INST]", "[ROLE]", "[/ROLE]", "\\", "<", "[", "/", "s>", "INST]", " ok ", "é😀\n", "<|endoftext|>", "<\\/s>", "[\\\\INST]"]
+    return ["".join(rng.choice(pieces) for _ in range(rng.randrange(9))) for _ in range(3000)]
+
+
+def test_escaping_is_reversible_and_leaves_no_control():
+    for t in texts():
+        e = chat.escape(t)
+        assert chat.unescape(e) == t and not any(c in e for c in chat.CONTROLS)
+
+
+def test_assembly_reads_back(assembler):
+    rng, pool = random.Random(5), texts()
+    for _ in range(300):
+        turns = [(rng.choice(["user", "assistant", "system", "", "[ROLE]x", "tool</s>"]), rng.choice(pool)) for _ in range(rng.randrange(1, 6))]
+        formatted, ids, mask = assembler.assemble(turns)
+        assert list(chat.parse(formatted)) == turns
+        assert "".join(assembler.loss_texts(ids, mask)) == "".join(t for r, t in turns if r == "assistant")
+        reserved = ids[ids >= assembler.first_reserved] - assembler.first_reserved
+        assert len(reserved) == 1 + sum({"user": 2, "assistant": 1}.get(r, 3) for r, _ in turns)
+        plain = assembler.tokenizer.decode(ids[ids < assembler.first_reserved].tolist(), skip_special_tokens=False)
+        assert plain == "".join(p for p in chat._SPLIT.split(formatted) if p not in chat.CONTROLS)
+
+
+def test_digests(spark, tmp_path):
+    rows = [(1, 0, "user", "hi [/INST]"), (1, 1, "assistant", "yes"), (1, 700, "assistant", "again"), (2, None, None, None), (2, 3, "assistant", None),
+            (None, 0, "tool", "x"), (3, 0, "user", "b"), (3, 0, "user", "a"), (3, 0, "user", "a")]
+    df = spark.createDataFrame([(*r, "p", "t") for r in rows], SCHEMA)
+    chat.format_conversations(df, PATH).write.parquet(str(tmp_path / "c"))
+    got = {r["conv_id"]: r for r in chat.read_digests(spark, str(tmp_path / "c"), PATH).collect()}
+    expected = {1: rows[:3], 2: rows[3:5], None: rows[5:6], 3: [rows[7], rows[8], rows[6]]}
+    assert set(got) == set(expected)
+    for conv, turns in expected.items():
+        turns = [(r or "", t or "") for _, _, r, t in turns]
+        r, loss = got[conv], "".join(t for role, t in turns if role == "assistant")
+        assert r["n_turns"] == len(turns)
+        assert r["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
+        assert (r["loss_chars"], r["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    chat.format_conversations(spark.createDataFrame([], SCHEMA), PATH).write.parquet(str(tmp_path / "e"))
+    assert chat.read_digests(spark, str(tmp_path / "e"), PATH).collect() == []

@@ -1,0 +1,118 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from ordersentry.llm import jaccard
+from ordersentry.llm.components import components
+
+from .text import edited, prose, shingles
+
+
+def find(parent, x):
+    while parent[x] != x:
+        x = parent[x]
+    return x
+
+
+def brute(rows):
+    """(number of shingles, smallest linked id) per row, by all pairs."""
+    sets = [shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common and 100 * common >= 80 * len(sets[i] | sets[j]):
+                parent[find(parent, i)] = find(parent, j)
+    roots = [find(parent, i) for i in range(len(rows))]
+    low = {r: min(rows[i][0] for i in range(len(rows)) if roots[i] == r) for r in roots}
+    return sorted((rows[i][0], len(sets[i]), low[roots[i]]) for i in range(len(rows)))
+
+
+def corpus():
+    rng = random.Random(8)
+    rows, i = [], 0
+    passage = prose(rng, 60)
+    for _ in range(25):
+        base = prose(rng, rng.choice([3, 5, 6, 9, 40, 120, 300]))
+        for _ in range(rng.randrange(1, 9)):
+            t = edited(rng, base, rng.randrange(0, max(1, len(base) // 25) + 1))
+            if rng.random() < 0.3:
+                t = passage + t
+            rows.append((i * 7 % 1009, " ".join(t)))
+            i += 1
+    rows += [(2000, None), (2001, ""), (2002, "\n "), (2003, "A b"), (2004, "a  B"), (2005, "b a"), (2006, "x " * 3000), (2007, "x " * 2000)]
+    return rows + [rows[3], rows[3]]
+
+
+def got(out):
+    return sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out.collect())
+
+
+def test_against_all_pairs(docs):
+    rows = corpus()
+    assert got(jaccard.jaccard_components(docs(rows))) == brute(rows)
+
+
+def test_large_groups_are_cut_into_blocks(docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "GROUP_SETS", 5)
+    monkeypatch.setattr(jaccard, "GROUP_HASHES", 1500)
+    monkeypatch.setattr(jaccard, "BUCKET_HASHES", 2000)
+    rng = random.Random(9)
+    base, rows = prose(rng, 100), []
+    for i in range(60):                        # a walk: neighbours are linked, ends are not
+        base = edited(rng, base, 1)
+        rows.append((i, " ".join(base)))
+    rows += corpus()
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    assert got(jaccard.jaccard_components(docs(rows))) == brute(rows)
+
+
+def test_null_ids_and_empty_table(docs):
+    assert got(jaccard.jaccard_components(docs([]))) == []
+    rows = jaccard.jaccard_components(docs([(None, "a b c"), (None, "a b c"), (4, "a b c"), (None, "z")])).collect()
+    assert sorted(((r["doc_id"], r["component_id"]) for r in rows), key=str) == sorted([(None, 4), (None, 4), (4, 4), (None, None)], key=str)
+
+
+def test_one_of_each(docs):
+    d = docs([(3, "a b c d e"), (1, "A b c d e"), (1, "A b c d e"), (1, "other words"), (5, None), (5, None), (None, "x y")])
+    out = jaccard.one_of_each(d)
+    assert out.columns == d.columns
+    kept = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    assert kept == sorted([(1, "A b c d e"), (1, "other words"), (5, None), (5, None), (None, "x y")], key=str)
+
+
+def test_trie_finds_what_all_pairs_find():
+    rng = np.random.default_rng(10)
+    for _ in range(40):
+        pool = rng.integers(0, 2 ** 63, 60).astype(np.uint64)
+        sets = [np.unique(rng.choice(pool, rng.integers(1, 40))) for _ in range(25)]
+        keys = np.arange(len(sets))
+        edges = jaccard.join_group(keys, np.array([len(s) for s in sets]), sets, keys.copy())
+        parent, same = list(keys), list(keys)
+        for a, b in edges:
+            parent[find(parent, a)] = find(parent, b)
+        for i in keys:
+            for j in keys[:i]:
+                common = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
+                    same[find(same, i)] = find(same, j)
+        assert len(edges) == len({find(same, i) for i in keys}) * -1 + len(keys)
+        assert all((find(parent, i) == find(parent, j)) == (find(same, i) == find(same, j)) for i in keys for j in keys)
+
+
+@pytest.mark.parametrize("n", range(1, 200))
+def test_published_hashes_guarantee_common_ones(n):
+    k = int(jaccard.published(n))
+    assert 1 <= k <= n and k - (n - jaccard.least_overlap(n)) >= min(jaccard.ell(n), jaccard.least_overlap(n)) >= jaccard.needed(n) - 1
+    assert jaccard.needed(n) <= jaccard.ell(n)
+
+
+def test_components(spark):
+    edges = [(9, 4), (4, 9), (4, 2), (7, 7), (10, 11), (11, 12), (12, 13), (13, 10), (2, 30)] + [(100, 101 + i) for i in range(50)]
+    edges += [(1000 + i, 1001 + i) for i in range(40)]
+    got_ = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    expected = {9: 2, 4: 2, 2: 2, 30: 2, 10: 10, 11: 10, 12: 10, 13: 10} | {100 + i: 100 for i in range(51)} | {1000 + i: 1000 for i in range(41)}
+    assert got_ == expected
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []

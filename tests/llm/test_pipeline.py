@@ -1,0 +1,78 @@
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from ordersentry.llm import mixing, queries
+
+from .text import edited, prose, shingles
+
+
+def test_stages():
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "jaccard", "decontaminate", "mixing", "tokens"]
+    names = queries.queries()
+    assert "pipeline" in names and [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+
+
+def test_pipeline_against_brute_force(spark, docs, tmp_path):
+    rng = random.Random(18)
+    bench = prose(rng, 30)
+    rows = []
+    for i in range(400):
+        w = prose(rng, rng.randrange(30, 120))
+        kind = i % 10
+        if kind == 0:
+            w = [x.upper() + "!!" for x in w]                       # junk
+        elif kind == 1:
+            w = rows[-3][1].split() if i % 20 == 1 else edited(rng, rows[-3][1].split(), 1)
+        elif kind == 2:
+            w = w + bench
+        rows.append((i, " ".join(w), f"s{i % 3}"))
+    docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(i, int(i % 10 != 0), 0) for i in range(400)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(0, " ".join(bench))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+
+    d, kept = spark.read.parquet(str(tmp_path / "documents.parquet")), []
+    columns = d.columns
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, d, str(tmp_path)).write.parquet(str(tmp_path / name))
+        d = spark.read.parquet(str(tmp_path / name))
+        if name != "tokens":
+            assert d.columns == columns
+        kept.append(sorted(r["doc_id"] for r in d.collect()))
+    quality, jaccard, clean, mixed, tokens = kept
+    assert quality == [i for i in range(400) if i % 10 != 0]
+    text = {i: t for i, t, _ in rows}
+    sets = {i: shingles(text[i]) for i in quality}
+    alive = []
+    for i in quality:                                               # copies come after their originals here
+        if not any(100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) for j in alive):
+            alive.append(i)
+    assert jaccard == alive
+    assert clean == [i for i in jaccard if " ".join(bench) not in text[i]]
+    assert set(mixed) <= set(clean) and max(Counter(mixed).values()) <= 2
+    took, of = Counter(), Counter()
+    for i in mixed:
+        took[i % 3] += len(text[i].split())
+    for i in clean:
+        of[i % 3] += len(text[i].split())
+    budget = 1.5 * sum(of.values())
+    target = {s: min(2 * of[s], budget * w / 8) for s, w in zip((0, 1, 2), (5, 2, 1))}
+    over = budget - sum(target.values())
+    if over > 0:
+        target = {s: t if t == 2 * of[s] else t for s, t in target.items()}
+    assert took[0] == 2 * of[0] or abs(took[0] - target[0]) < 0.05 * budget
+    library = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.TOKENIZER))
+    at = 0
+    for r in sorted(d.collect(), key=lambda r: r["start"]):
+        ids = library.encode(text[r["doc_id"]], add_special_tokens=False).ids + [corpus_pipeline.END_ID]
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+    assert tokens == mixed
+    whole = corpus_pipeline.run(spark, str(tmp_path))
+    assert sorted(map(str, whole.collect())) == sorted(map(str, d.collect()))

@@ -1,0 +1,58 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from ordersentry.llm import token_store
+from ordersentry.llm.token_store import EliasFano, WordEncoder
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.mark.parametrize("values", [[], [5], [0, 0, 0], [-2 ** 63, 0, 2 ** 63 - 1], list(range(0, 10 ** 6, 997)),
+                                    sorted(random.Random(1).randrange(-10 ** 9, 10 ** 12) for _ in range(3000))])
+def test_elias_fano(values):
+    ef = EliasFano.from_bytes(EliasFano.encode(np.array(values, np.int64)).to_bytes())
+    assert ef.decode().tolist() == values
+    for i in range(0, len(values), max(1, len(values) // 50)):
+        assert ef.select(i) == values[i]
+    with pytest.raises(IndexError):
+        ef.select(len(values))
+
+
+def test_elias_fano_is_near_minimal():
+    values = np.cumsum(np.random.default_rng(0).integers(1, 1000, 20_000))
+    assert len(EliasFano.encode(values).to_bytes()) * 8 / len(values) < 2 + np.log2(values[-1] / len(values)) + 1
+
+
+def test_word_encoder_equals_the_library_on_whole_texts():
+    rng = random.Random(2)
+    alphabet = list("abZ9é İßΣσς́ \u0085\x1c'.,!|<>#%&*\n\t ") + ["<|endoftext|>", "<|ENDOFTEXT|>", "'s ", "日本", "😀", "<|", "|>", "ﬁ"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(30))) for _ in range(4000)] + [None, ""]
+    encoder, library = WordEncoder(PATH, memo=500), Tokenizer.from_file(PATH)
+    for lo in range(0, len(texts), 700):
+        part = texts[lo:lo + 700]
+        n, ids = encoder.encode(pa.array(part), 1)
+        expected = [e.ids + [1] for e in library.encode_batch([t or "" for t in part], add_special_tokens=False)]
+        assert n.tolist() == [len(e) for e in expected] and ids.tolist() == sum(expected, [])
+
+
+def test_store_round_trip(spark, docs, tmp_path):
+    rows = [(5, "Hello, world"), (3, None), (None, "x"), (9, "a " * 20_000), (3, "b"), (-4, ""), (5, "Hello, world")]
+    path = token_store.write_token_store(docs(rows), str(tmp_path / "s"), PATH, 1, segment_ids=8)
+    got = sorted((r for r in token_store.read_token_store(spark, path, with_ids=True).collect()), key=lambda r: r["start"])
+    library = Tokenizer.from_file(PATH)
+    assert [r["doc_id"] for r in got] == [None, -4, 3, 3, 5, 5, 9]
+    at = 0
+    for r in got:
+        assert r["start"] == at and r["n_tokens"] == len(r["ids"])
+        assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
+        at += r["n_tokens"]
+    expected = sorted(library.encode(t or "", add_special_tokens=False).ids + [1] for _, t in rows)
+    assert sorted(r["ids"] for r in got) == expected
+    empty = token_store.write_token_store(docs([]), str(tmp_path / "e"), PATH)
+    assert token_store.read_token_store(spark, empty).collect() == []
