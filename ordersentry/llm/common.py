@@ -98,6 +98,16 @@ def kept_by_worker(key: tuple, make):
     return memo[key]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on, and an
+    executor's tasks share its memory limit."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+    if trim:
+        trim(0)
+
+
 # ------------------------------------------------------------ packed arrays
 def pack(*arrays: np.ndarray, compress: bool = False) -> bytes:
     parts = [np.array([len(arrays)], np.int64).tobytes()]
@@ -188,6 +198,7 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = C
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1), b.num_rows]
         for lo, hi in zip(cuts, cuts[1:]):
             yield b.slice(lo, hi - lo)
+    give_back()
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
