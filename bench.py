@@ -82,6 +82,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     from ordersentry import catalog
     from ordersentry.session import get_session
+    os.environ.setdefault("SPARK_DRIVER_MEMORY", "16g")
     spark = get_session(app="ordersentry-bench", master=f"local[{cpus}]",
                         shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 4 * int(cpus))))
     qs = catalog.queries()

@@ -7,6 +7,7 @@ matching DuckDB SQL under the same names.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +19,12 @@ from .operators import fraud, ledger, quality
 from .operators import tables as ops
 from .plans import warehouse as wh
 from .plans.domain import Domain
-from .schemas import ORDER_EVENT
+from .plans.ingest import IngestPaths, ingest_day, read_ledger
+from .schemas import ORDER_EVENT, RAW_ORDERS, RAW_PRODUCTS, RAW_USERS
 from .session import checkpoint_dir, configure
-from .sources.ndjson import extract_day
+from .sources.ndjson import extract_day, read_days
 from .sources.tpch_domain import raw_orders
+from .streaming import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 LOAD_TS = "2024-02-01 00:00:00"         # "now" of a load, fixed for repeatable results
 FIRST_LOAD_END = "2023-12-15 00:00:00"  # users created before it are already stored
 RUN_DS = "2024-01-15"                   # incremental run date: extracts 2024-01-14
+RUN_DS_EARLY = "2023-12-11"             # run date with users and products: extracts 2023-12-10
 USERS_BATCH = 100                       # ordered read batch size
 
 
@@ -56,7 +60,7 @@ def fraud_bot_rules(spark, sf_dir):
 
 
 def fraud_bot_rules_wide_window(spark, sf_dir):
-    return _flags(spark, sf_dir, window=600.0).select("order_id", "bot_a", "bot_b", "bot_c")
+    return _flags(spark, sf_dir, variant="dense", window=600.0).select("order_id", "bot_a", "bot_b", "bot_c")
 
 
 def fraud_verdict(spark, sf_dir):
@@ -188,6 +192,60 @@ def ingest_ledger(spark, sf_dir):
     return ledger.state(log.unionByName(ledger.validate_run(log, dag, run, seq=3)))
 
 
+def _paths(spark) -> IngestPaths:
+    root = f"{checkpoint_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex}"
+    return IngestPaths(f"{root}/export", f"{root}/warehouse", f"{root}/ledger")
+
+
+def _zoned(df):
+    """Timestamps as the raw-table schemas have them (with zone; the session is UTC)."""
+    return df.select(*[F.col(c).cast("timestamp").alias(c) if t == "timestamp_ntz" else F.col(c) for c, t in df.dtypes])
+
+
+def _unzoned(df):
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c) for c, t in df.dtypes])
+
+
+def load_day_orders(spark, sf_dir):
+    """S9 + S10: one day's orders exported as NDJSON, loaded into the
+    day-partitioned table twice (the rerun replaces the day) and read back."""
+    source, paths = _zoned(_dom(spark, sf_dir).raw_orders), _paths(spark)
+    for _ in range(2):
+        ingest_day(spark, "raw_orders", source, RAW_ORDERS, RUN_DS, paths)
+    return _unzoned(read_days(spark, paths.target("raw_orders"), RAW_ORDERS).select(*RAW_ORDERS.fieldNames()))
+
+
+def ledger_double_load(spark, sf_dir):
+    """Q8: the same day appended twice; the second validation finds it."""
+    d, paths = _dom(spark, sf_dir), _paths(spark)
+    for _ in range(2):
+        for name, source, schema in (("raw_users", d.raw_users, RAW_USERS), ("raw_products", d.raw_products, RAW_PRODUCTS)):
+            ingest_day(spark, name, _zoned(source), schema, RUN_DS_EARLY, paths, mode="append")
+    log = ledger.state(read_ledger(spark, paths))
+    return log.select("source_table", "run_status", "row_ingested", "row_loaded", "is_consistent")
+
+
+# ----------------------------------------------------------------- stream
+def stream_verdict(spark, sf_dir):
+    """T1 + T2 + S2 + S3: the stream screened in several runs, with gaps in
+    the offsets and broken messages between the orders."""
+    configure(spark)
+    return replay.processed(spark, replay.replay(spark, sf_dir)).select("order_id", "status")
+
+
+def stream_quarantine(spark, sf_dir):
+    """What the stream could not decode."""
+    configure(spark)
+    return spark.read.parquet(f"{replay.replay(spark, sf_dir)}/quarantine").select("seq", "value")
+
+
+def stream_loaded_orders(spark, sf_dir):
+    """T3 + C10: the raw_orders table that the loader makes of the processed stream."""
+    configure(spark)
+    rows = replay.load(spark, replay.replay(spark, sf_dir))
+    return _unzoned(rows.select(*[c for c in RAW_ORDERS.fieldNames() if c != "ingestion_ts"]))
+
+
 # -------------------------------------------------------------- registry
 def _model(name: str) -> Query:
     return lambda spark, sf_dir: getattr(_dom(spark, sf_dir), name)
@@ -222,5 +280,10 @@ def queries() -> dict[str, Query]:
         "ingest_ledger": ingest_ledger,
         "rupiah_format": rupiah_format,
         "amount_enrich": amount_enrich,
+        "load_day_orders": load_day_orders,
+        "ledger_double_load": ledger_double_load,
+        "stream_verdict": stream_verdict,
+        "stream_quarantine": stream_quarantine,
+        "stream_loaded_orders": stream_loaded_orders,
     })
     return q

@@ -26,7 +26,7 @@ def hour_in(col: Column | str, start: int = 0, end: int = 4) -> Column:
 def hour_of_iso_text(col: Column | str) -> Column:
     """Hour written in an ISO-8601 text, in the text's own offset (no zone
     conversion), e.g. ``2025-03-01T02:30:00+07:00`` -> 2."""
-    return F.substring(_c(col), 12, 2).cast("int")
+    return F.substring(_c(col), 12, 2).try_cast("int")
 
 
 def micros(col: Column | str) -> Column:

@@ -46,7 +46,7 @@ users AS (
 
 def _events(variant: str) -> str:
     if variant == "base":
-        pnum = "CAST(json_extract_string(props, '$.k') AS BIGINT) % 20"
+        pnum = "(event_id * 7919 + 13) % (SELECT count(*) FROM part)"
         qty = "CASE WHEN event_id % 50 = 0 THEN 101 + event_id % 200 ELSE 1 + event_id % 2 END"
     else:
         pnum = "user_id % 20"
@@ -217,7 +217,7 @@ def oracle_sql() -> dict[str, str]:
     q["fraud_bot_rules"] = _q(
         "SELECT order_id, bot_a, bot_b, bot_c FROM screened", variant="dense", models=False)
     q["fraud_bot_rules_wide_window"] = _q(
-        "SELECT order_id, bot_a, bot_b, bot_c FROM screened", window_seconds=600.0, models=False)
+        "SELECT order_id, bot_a, bot_b, bot_c FROM screened", variant="dense", window_seconds=600.0, models=False)
     q["fraud_verdict"] = _q(
         "SELECT order_id, verdict AS status, first_rule FROM screened", models=False)
     q["fraud_verdict_dense"] = _q(
@@ -340,6 +340,19 @@ SELECT 'raw_tables_daily' AS dag_id, 'scheduled__2024-01-15' AS run_id, source_t
        TIMESTAMP '2024-01-15 00:00:00' AS execution_date,
        row_ingested IS NOT DISTINCT FROM row_loaded AS is_consistent
 FROM counts""",
+    "load_day_orders": f"SELECT * FROM raw_orders WHERE CAST(created_date AS DATE) = {_DAY}",
+    "ledger_double_load": """
+, counts AS (
+  SELECT 'raw_users' AS source_table, count(*) AS n FROM users WHERE CAST(created_date AS DATE) = DATE '2023-12-10'
+  UNION ALL
+  SELECT 'raw_products', count(*) FROM products WHERE CAST(created_date AS DATE) = DATE '2023-12-10')
+SELECT source_table, 'SUCCESS' AS run_status, n AS row_ingested, 2 * n AS row_loaded, n = 2 * n AS is_consistent FROM counts""",
+    "stream_verdict": "SELECT order_id, verdict AS status FROM screened",
+    "stream_quarantine": """
+SELECT event_id * 3 + 1 AS seq, '{"order_id": O' || event_id AS value FROM events WHERE event_id % 97 = 0
+UNION ALL
+SELECT event_id * 3 + 2, '{"order_id":"X' || event_id || '","event_ts":"not a time"}' FROM events WHERE event_id % 101 = 0""",
+    "stream_loaded_orders": f"SELECT {_RAW_COLS} FROM raw_orders",
     "rupiah_format": """
 SELECT order_id, amount_numeric,
        'Rp.' || replace(format('{:,}', amount_numeric), ',', '.') AS amount_text FROM raw_orders""",

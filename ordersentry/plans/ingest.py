@@ -19,7 +19,9 @@ from pyspark.sql import types as T
 
 from ..functions import previous_day
 from ..operators import ledger
+from ..session import checkpoint_dir
 from ..sources import ndjson
+from ..sources.tables import read_if_exists
 
 
 @dataclass
@@ -40,10 +42,8 @@ def _append(df: DataFrame, path: str) -> None:
 
 
 def read_ledger(spark: SparkSession, paths: IngestPaths) -> DataFrame:
-    try:
-        return spark.read.parquet(paths.ledger_path)
-    except Exception:  # no event written yet
-        return ledger.empty(spark)
+    log = read_if_exists(spark, paths.ledger_path)
+    return ledger.empty(spark) if log is None else log      # None: no event written yet
 
 
 def ingest_day(spark: SparkSession, table: str, source: DataFrame, schema: T.StructType,
@@ -59,12 +59,13 @@ def ingest_day(spark: SparkSession, table: str, source: DataFrame, schema: T.Str
         src_slice = ndjson.extract_day(source, ds)
         _append(ledger.start(src_slice, dag_id, run_id, table, table, ds, seq=base + 1), paths.ledger_path)
         ndjson.write_ndjson(src_slice, paths.export(table, ds))
-        ndjson.load_day(spark, paths.export(table, ds), schema, paths.target(table), mode=mode)
+        ndjson.load_day(spark, paths.export(table, ds), schema, paths.target(table), mode=mode, only_day=day)
         day_col = ndjson.day_column("created_date")
-        target_slice = spark.read.parquet(paths.target(table)).filter(F.col(day_col) == F.lit(day))
+        target_slice = ndjson.read_days(spark, paths.target(table), schema).filter(F.col(day_col) == F.lit(day))
         _append(ledger.finish(target_slice, dag_id, run_id, table, ds, seq=base + 2), paths.ledger_path)
         # Validation reads the log it appends to: cut the lineage by
         # materializing the event before writing it.
+        checkpoint_dir(spark)
         check = ledger.validate(read_ledger(spark, paths), dag_id, run_id, table, seq=base + 3).checkpoint()
         _append(check, paths.ledger_path)
     except Exception:

@@ -21,13 +21,19 @@ ENGINE_CONF = {
     # below this size; anything larger is joined by sort-merge.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
+# Results depend on these, so a session that refuses them is an error: hours
+# and days are UTC, and a malformed id fails a strict cast instead of becoming NULL.
+REQUIRED_CONF = {"spark.sql.session.timeZone": "UTC", "spark.sql.ansi.enabled": "true"}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the engine settings to an existing session (runtime confs only)."""
+    for key, value in REQUIRED_CONF.items():
+        spark.conf.set(key, value)
     for key, value in ENGINE_CONF.items():
         try:
             spark.conf.set(key, value)
@@ -39,8 +45,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a folder of our own is
-    created and registered.
+    Only a local session without the setting (tests) gets a folder of its
+    own; on a cluster a missing setting is an error, since executors do not
+    share the driver's disk.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -50,6 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="ordersentry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and sc.getCheckpointDir() is None:
@@ -61,22 +70,21 @@ def get_session(app: str = "ordersentry", master: str | None = None,
                 shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or adopt) a session with the engine settings.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or *]`` only when no master is
-    configured, so on a cluster the submitted settings win.
+    Without ``master`` the submitted one holds; tests and the bench pass
+    theirs.  The driver's memory is left to the submit settings unless
+    ``SPARK_DRIVER_MEMORY`` names one.
     """
     builder = SparkSession.builder.appName(app)
-    if master is None and not os.environ.get("SPARK_MASTER"):
-        cpus = os.environ.get("BENCH_CPUS", "*")
-        master = f"local[{cpus}]"
     if master:
         builder = builder.master(master)
     builder = (builder
                .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g")))
+               .config("spark.ui.showConsoleProgress", "false"))
+    if memory := os.environ.get("SPARK_DRIVER_MEMORY"):
+        builder = builder.config("spark.driver.memory", memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in ENGINE_CONF.items():
+    for key, value in (ENGINE_CONF | REQUIRED_CONF).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

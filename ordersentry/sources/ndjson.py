@@ -46,20 +46,34 @@ def day_column(col: str = "created_date") -> str:
 
 
 def load_day(spark: SparkSession, ndjson_path: str, schema: T.StructType, target_path: str,
-             mode: str = "replace_day", partition_col: str = "created_date") -> DataFrame:
+             mode: str = "replace_day", partition_col: str = "created_date",
+             only_day: dt.date | None = None) -> DataFrame:
     """Load one NDJSON export into a day-partitioned Parquet table.
 
     ``mode="append"`` appends like the original warehouse load (a second load
     of the same day duplicates it); ``mode="replace_day"`` (default) replaces
     exactly the day partitions present in the file (dynamic partition
-    overwrite), so a rerun is idempotent.  Returns the loaded rows.
+    overwrite), so a rerun is idempotent.  With ``only_day`` the file is the
+    export of that day: its partition is replaced also when the export is
+    empty, and a row of another day fails the load.  Returns the loaded rows.
     """
     if mode not in ("append", "replace_day"):
         raise ValueError(f"mode must be 'append' or 'replace_day', not {mode!r}")
     rows = require_not_null(read_ndjson(spark, ndjson_path, schema), schema)
     day = day_column(partition_col)
     out = rows.withColumn(day, F.to_date(F.col(partition_col)))
+    if only_day is not None:
+        other = F.raise_error(F.concat(F.lit(f"row outside {only_day}: "), F.col(day).cast("string")))
+        own = out.withColumn(partition_col, F.when(F.col(day) == F.lit(only_day), F.col(partition_col)).otherwise(
+            other.cast(schema[partition_col].dataType))).drop(day)
+        own.write.mode("append" if mode == "append" else "overwrite").parquet(f"{target_path}/{day}={only_day.isoformat()}")
+        return rows
     (out.write.mode("append" if mode == "append" else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day).parquet(target_path))
     return rows
+
+
+def read_days(spark: SparkSession, target_path: str, schema: T.StructType, partition_col: str = "created_date") -> DataFrame:
+    """The day-partitioned table by its known schema, so days without rows read as such."""
+    return spark.read.schema(T.StructType(schema.fields + [T.StructField(day_column(partition_col), T.DateType())])).parquet(target_path)

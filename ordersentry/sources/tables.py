@@ -15,6 +15,7 @@ partitions the batch touches are rewritten.  Insert-if-absent only appends.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,17 @@ from ..operators import tables as ops
 from ..session import checkpoint_dir
 
 
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None when there is none yet; any
+    other failure to read is an error."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def materialize(df: DataFrame, name: str, kind: str = "table", path: str | None = None,
                 partition_by: str | None = None, cluster_by: list[str] | None = None,
                 partition_granularity: str = "day") -> DataFrame:
@@ -46,7 +58,9 @@ def materialize(df: DataFrame, name: str, kind: str = "table", path: str | None
         keys = [F.col(c) for c in parts + cluster_by]
         out = out.repartitionByRange(*keys, F.xxhash64(*[F.col(c) for c in df.columns])) \
                  .sortWithinPartitions(*(parts + cluster_by))
-    writer = out.write.mode("overwrite")
+    # The whole table is rebuilt: partitions that no longer have rows must go,
+    # whatever overwrite mode the session has.
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if parts:
         writer = writer.partitionBy(*parts)
     writer.parquet(path)
@@ -70,21 +84,24 @@ def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, key: str,
     """S6 on a Parquet table partitioned by a function of the key.
 
     Because a key's partition is computable from the key, the partitions a
-    batch touches are known without looking anything up: only they are read
-    (dynamic partition pruning through the semi join with the small set of
-    touched values), merged and rewritten.  The first load creates the table.
+    batch touches are known without looking into the table: only they are
+    read, merged and rewritten.  Their numbers reach the driver as a literal
+    partition filter; a batch has at most as many as it has orders, and
+    sequential order numbers keep it to one or two.  The first load creates
+    the table.
     """
     partition_of = partition_of or key_range()
     batch = incoming.withColumn(part_col, partition_of(F.col(key)))
     now = now if now is not None else F.current_timestamp()
-    try:
-        existing = spark.read.parquet(path)
-    except Exception:
+    existing = read_if_exists(spark, path)
+    if existing is None:
         latest = ops.last_per_key(batch, key, order_col).drop(order_col).withColumn("ingestion_ts", now)
         latest.write.partitionBy(part_col).parquet(path)
         return
-    touched = batch.select(part_col).distinct()
-    scope = existing.join(touched, part_col, "left_semi").drop(part_col)
+    touched = [r[0] for r in batch.select(part_col).distinct().collect()]
+    if not touched:
+        return
+    scope = existing.filter(F.col(part_col).isin(touched)).drop(part_col)
     merged = ops.upsert(scope, batch.drop(part_col), key, order_col, now=now)
     checkpoint_dir(spark)
     frozen = merged.withColumn(part_col, partition_of(F.col(key))).checkpoint(eager=True)

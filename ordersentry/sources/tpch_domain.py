@@ -22,7 +22,7 @@ from ..functions import line_amount, rupiah, with_prefix
 
 # Fixed values of the mapping (shared with the oracle SQL).
 EPOCH = "2023-12-01 00:00:00"      # created_date base of users and products
-PRODUCTS_IN_STREAM = 20            # orders reference products 0..19
+PRODUCT_STEP, PRODUCT_SHIFT = 7919, 13   # base variant: product = (event * step + shift) % number of parts
 BOT_PRODUCT_MOD = 20               # dense variant: product = user_id % 20
 HOME_COUNTRY = "ID"
 FOREIGN_COUNTRY = "SG"
@@ -92,7 +92,9 @@ def order_events(spark: SparkSession, sf_dir: str, variant: str = "base",
     e = table(spark, sf_dir, "events")
     eid = F.col("event_id")
     if variant == "base":
-        pnum = F.get_json_object("props", "$.k").cast("long") % PRODUCTS_IN_STREAM
+        # Orders spread over the whole product table; its size is a one-row aggregate.
+        n_parts = table(spark, sf_dir, "part").agg(F.count(F.lit(1)).alias("n")).scalar()
+        pnum = (eid * PRODUCT_STEP + PRODUCT_SHIFT) % n_parts
         qty = F.when(eid % 50 == 0, 101 + eid % 200).otherwise(1 + eid % 2)
     elif variant == "dense":
         pnum = F.col("user_id") % BOT_PRODUCT_MOD

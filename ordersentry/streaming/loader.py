@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..constants import PENDING
+from ..operators.tables import with_defaults
 from ..schemas import RAW_ORDERS
 from ..sources.tables import upsert_table
 
@@ -30,16 +32,20 @@ def coerce_orders(df: DataFrame) -> DataFrame:
     out = out.withColumn("quantity", as_long("quantity")).withColumn("amount_numeric", as_long("amount_numeric"))
     for c in ("created_date", "event_ts"):
         if dict(out.dtypes)[c] == "string":
-            out = out.withColumn(c, F.col(c).cast("timestamp"))
+            out = out.withColumn(c, F.col(c).try_cast("timestamp"))
     return out
 
 
+DEFAULTS = {"status": PENDING}      # raw_orders columns with a default (ingestion_ts is set by the upsert)
+
+
 class UpsertLoader:
     """``foreachBatch`` function upserting each batch into a Parquet table.
 
-    Orders without an ``order_id`` cannot be stored (the key is NOT NULL):
-    with a ``quarantine`` sink they are written there and the rest is
-    loaded; without one the batch fails, as the original insert does.
+    An order with a NULL in a required column of ``raw_orders`` (those that
+    have no default) cannot be stored: with a ``quarantine`` sink it is
+    written there and the rest is loaded; without one the batch fails, as the
+    original insert does.
     """
 
     def __init__(self, table_path: str, key: str = "order_id", order_col: str = "seq",
@@ -51,12 +57,18 @@ class UpsertLoader:
         spark: SparkSession = batch.sparkSession
         rows = coerce_orders(batch)
         key = F.col(self.key)
+        rows = with_defaults(rows, DEFAULTS)
+        required = [f.name for f in RAW_ORDERS.fields if not f.nullable and f.name in rows.columns]
+        missing = F.lit(False)
+        for c in {self.key, *required}:
+            missing = missing | F.col(c).isNull()
         if self.quarantine is not None:
-            self.quarantine(rows.filter(key.isNull()), batch_id)
-            rows = rows.filter(key.isNotNull())
+            self.quarantine(rows.filter(missing), batch_id)
+            rows = rows.filter(~missing)
         else:
-            rows = rows.withColumn(self.key, F.when(key.isNull(), F.raise_error(
-                F.lit(f"order without {self.key} in batch {batch_id}"))).otherwise(key))
+            rows = rows.withColumn(self.key, F.when(missing, F.raise_error(F.concat(
+                F.lit(f"order with a NULL in a required column in batch {batch_id}; {self.key}: "),
+                F.coalesce(key.cast("string"), F.lit("NULL"))))).otherwise(key))
         # Exactly the raw_orders columns (ingestion_ts is set by the upsert),
         # plus the arrival order that decides which version of a key wins.
         cols = [c for c in RAW_ORDERS.fieldNames() if c in rows.columns and c != "ingestion_ts"]

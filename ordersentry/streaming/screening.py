@@ -57,8 +57,9 @@ def read_orders(spark: SparkSession, servers: str, topic: str = ORDERS_TOPIC,
 def decode_orders(raw: DataFrame, schema: T.StructType = ORDER_EVENT) -> tuple[DataFrame, DataFrame]:
     """UTF-8 JSON ``value`` -> order columns + ``partition``/``seq``.
 
-    Returns ``(orders, quarantine)``: messages that are not a JSON object
-    land in the quarantine frame instead of stopping the stream.
+    Returns ``(orders, quarantine)``: messages that are not a JSON object, or
+    whose timestamps are not timestamps, land in the quarantine frame
+    instead of stopping the stream (a replayed batch would meet them again).
     """
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField("_corrupt", T.StringType())])
     parsed = raw.select(
@@ -68,6 +69,9 @@ def decode_orders(raw: DataFrame, schema: T.StructType = ORDER_EVENT) -> tuple[D
     ).withColumn("_o", F.from_json("_json", with_corrupt, {"mode": "PERMISSIVE",
                                                            "columnNameOfCorruptRecord": "_corrupt"}))
     broken = F.col("_o").isNull() | F.col("_o._corrupt").isNotNull()
+    for name in (f.name for f in schema.fields if f.name in ("created_date", "event_ts")):
+        text = F.col(f"_o.{name}")
+        broken = broken | (text.isNotNull() & text.try_cast("timestamp").isNull())
     ok = parsed.filter(~broken).select("partition", "seq", *[F.col(f"_o.{f.name}") for f in schema.fields])
     bad = parsed.filter(broken).select("partition", "seq", F.col("_json").alias("value"))
     return ok, bad
@@ -77,8 +81,8 @@ def typed_orders(df: DataFrame) -> DataFrame:
     """Cast the JSON text timestamps (ISO-8601, any offset) to timestamps;
     ``created_hour`` keeps the hour as written for the night rules."""
     return (df.withColumn("created_hour", hour_of_iso_text("created_date"))
-              .withColumn("created_date", F.col("created_date").cast("timestamp"))
-              .withColumn("event_ts", F.col("event_ts").cast("timestamp")))
+              .withColumn("created_date", F.col("created_date").try_cast("timestamp"))
+              .withColumn("event_ts", F.col("event_ts").try_cast("timestamp")))
 
 
 def encode_orders(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -131,11 +135,15 @@ class BufferedScreening:
 
     def __init__(self, state_dir: str, processed: Sink, alerts: Sink | None = None,
                  params: fraud.FraudParams = fraud.DEFAULT, prepare: Callable[[DataFrame], DataFrame] | None = None,
-                 dense_offsets: bool = True):
-        """``dense_offsets=True``: ``seq`` (the Kafka offset) has no gaps.
-        With ``False`` the batch is renumbered 0, 1, 2, ... per partition,
-        continuing after the carried tail (for compacted or transactional
-        topics, whose offsets skip values)."""
+                 dense_offsets: bool = False, quarantine: Sink | None = None):
+        """By default the batch is renumbered 0, 1, 2, ... per partition,
+        continuing after the carried tail: offsets skip values on compacted
+        or transactional topics, and wherever a message is quarantined.
+        ``dense_offsets=True`` promises ``seq`` without gaps and saves that.
+
+        A batch of raw messages (``partition, offset, value``) is decoded
+        here and needs ``quarantine``, the sink of what is not an order."""
+        self.quarantine = quarantine
         self.state_dir = state_dir.rstrip("/")
         self.processed, self.alerts = processed, alerts
         self.params = params
@@ -175,6 +183,11 @@ class BufferedScreening:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if "value" in batch.columns:
+            if self.quarantine is None:
+                raise ValueError("raw messages need a quarantine sink")
+            batch, bad = decode_orders(batch)
+            self.quarantine(bad, batch_id)
         cur = self.prepare(batch)
         tail = self._read_tail(spark, batch_id)
         if not self.dense_offsets:
@@ -205,9 +218,13 @@ class BufferedScreening:
 
 def start_screening(orders: DataFrame, checkpoint: str, state_dir: str, processed: Sink,
                     alerts: Sink | None = None, params: fraud.FraudParams = fraud.DEFAULT,
-                    trigger: dict | None = None, prepare=None):
-    """Start the continuous screening query."""
-    fn = BufferedScreening(state_dir, processed, alerts, params, prepare)
+                    trigger: dict | None = None, prepare=None, dense_offsets: bool = False,
+                    quarantine: Sink | None = None):
+    """Start the continuous screening query.  ``orders`` is the raw topic
+    (``partition, offset, value``; then ``quarantine`` is required) or decoded orders."""
+    if "value" in orders.columns and quarantine is None:
+        raise ValueError("raw messages need a quarantine sink")
+    fn = BufferedScreening(state_dir, processed, alerts, params, prepare, dense_offsets, quarantine)
     w = orders.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
     return w.start()

@@ -139,3 +139,24 @@ def test_run_over_tables_and_failure_marks_the_whole_run(spark):
         ingest_tables(spark, bad, "2025-03-02", p, run_id="bad")
     st = _state(spark, p, "bad")
     assert {t: r.run_status for t, r in st.items()} == {"raw_products": "FAILED", "raw_users": "FAILED"}
+
+
+def test_first_load_of_an_empty_day_is_consistent(spark):
+    p = paths()
+    state = ingest_day(spark, "raw_users", user_rows(spark, []), RAW_USERS, "2025-03-02", p).first()
+    assert (state.run_status, state.row_ingested, state.row_loaded, state.is_consistent) == ("SUCCESS", 0, 0, True)
+
+
+def test_a_day_that_became_empty_is_replaced(spark):
+    p = paths()
+    ingest_day(spark, "raw_users", user_rows(spark, BOUNDARY), RAW_USERS, "2025-03-02", p)
+    ingest_day(spark, "raw_users", user_rows(spark, BOUNDARY), RAW_USERS, "2025-03-03", p)
+    state = ingest_day(spark, "raw_users", user_rows(spark, BOUNDARY[2:]), RAW_USERS, "2025-03-02", p).first()
+    assert (state.row_ingested, state.row_loaded, state.is_consistent) == (0, 0, True)
+    assert ndjson.read_days(spark, p.target("raw_users"), RAW_USERS).count() == 1          # the other day stays
+
+
+def test_load_of_one_day_rejects_rows_of_another(spark, tmp_path):
+    ndjson.write_ndjson(user_rows(spark, BOUNDARY), str(tmp_path / "x.json"))
+    with pytest.raises(Exception, match="row outside"):
+        ndjson.load_day(spark, str(tmp_path / "x.json"), RAW_USERS, str(tmp_path / "t"), only_day=dt.date(2025, 3, 1))

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ordersentry.plans.domain import Domain
-from ordersentry.plans.models import QualityGateError, build_models
+from ordersentry.plans.models import LAYOUTS, QualityGateError, build_models
+from ordersentry.sources.tables import materialize
 from ordersentry.streaming.enrich import PriceLookup
 from tests.conftest import SF_SMALL
 
@@ -34,6 +35,32 @@ def test_quality_gate_stops_build(spark):
         build_models(dup_users, d.raw_products, d.raw_orders, tempfile.mkdtemp(prefix="models-"))
 
 
+def test_quality_gate_reports_every_failing_key(spark):
+    d = Domain(spark, SF_SMALL)
+    dup_users = d.raw_users.unionByName(d.raw_users.limit(30))
+    with pytest.raises(QualityGateError) as err:
+        build_models(dup_users, d.raw_products, d.raw_orders, tempfile.mkdtemp(prefix="models-"))
+    assert err.value.n_failing == 30 and spark.read.parquet(err.value.path).count() == 30
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+@pytest.mark.parametrize("name", [n for n, lay in LAYOUTS.items() if lay.partition_by])
+def test_rebuild_drops_days_without_rows(spark, tmp_path, name, mode):
+    lay = LAYOUTS[name]
+    kind = "date" if lay.partition_by == "event_date" else "timestamp"
+    cols = [c for c in {lay.partition_by, *(lay.cluster_by or []), "v"}]
+    df = spark.createDataFrame([(1,), (2,)], "d int").select(*[
+        F.expr(f"CAST(concat('2024-01-0', d) AS {kind})").alias(c) if c == lay.partition_by else F.col("d").alias(c) for c in cols])
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        args = dict(path=str(tmp_path / name), partition_by=lay.partition_by, cluster_by=lay.cluster_by)
+        assert materialize(df, name, **args).count() == 2
+        assert materialize(df.filter("v = 2"), name, **args).count() == 1
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
 def test_price_lookup_refreshes(spark, tmp_path):
     path = str(tmp_path / "products")
     spark.createDataFrame([(1, 1000), (2, 50)], "product_id long, price long").write.parquet(path)

@@ -2,12 +2,13 @@
 at the smallest scale)."""
 
 import __spark_entry__ as E
+from ordersentry import catalog, oracle
 from tests.conftest import SF_SMALL
 from tools.compare_oracle import compare
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
 
 
 def test_queries_match_oracle(spark):

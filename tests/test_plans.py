@@ -4,7 +4,7 @@ import contextlib
 import io
 import re
 
-import __spark_entry__ as E
+from ordersentry import catalog
 from tests.conftest import SF_SMALL
 
 
@@ -16,7 +16,7 @@ def plan(df) -> str:
 
 
 def test_screening_has_one_shuffle_on_partition_and_block(spark):
-    text = plan(E.queries()["fraud_verdict"](spark, SF_SMALL))
+    text = plan(catalog.queries()["fraud_verdict"](spark, SF_SMALL))
     shuffles = re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", text)
     assert len(shuffles) == 1 and "partition" in shuffles[0] and "_blk" in shuffles[0]
     assert "Window" in text and "SortMergeJoin" not in text
@@ -26,7 +26,7 @@ def test_screening_has_one_shuffle_on_partition_and_block(spark):
 
 
 def test_marts_aggregate_fact_before_dimension_join(spark):
-    text = plan(E.queries()["mart_products_revenue_profit"](spark, SF_SMALL))
+    text = plan(catalog.queries()["mart_products_revenue_profit"](spark, SF_SMALL))
     lines = text.splitlines()
     join_at = next(i for i, line in enumerate(lines) if "HashJoin" in line or "SortMergeJoin" in line)
     # In the tree (top first) a partial aggregation by product appears below the join.
@@ -35,16 +35,16 @@ def test_marts_aggregate_fact_before_dimension_join(spark):
 
 
 def test_top10_is_take_ordered(spark):
-    text = plan(E.queries()["mart_top10_active_users"](spark, SF_SMALL))
+    text = plan(catalog.queries()["mart_top10_active_users"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in text
 
 
 def test_upsert_picks_last_row_by_aggregation_not_window(spark):
-    text = plan(E.queries()["upsert_latest"](spark, SF_SMALL))
+    text = plan(catalog.queries()["upsert_latest"](spark, SF_SMALL))
     assert "max_by" in text
 
 
 def test_no_query_plans_a_cross_join(spark):
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         text = plan(fn(spark, SF_SMALL))
         assert "NestedLoopJoin" not in text and "CartesianProduct" not in text, name

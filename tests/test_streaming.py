@@ -196,3 +196,63 @@ def test_loader_quarantines_or_rejects_orders_without_id(spark, tmp_path):
     assert [r.order_id for r in spark.read.parquet(str(tmp_path / "t1")).collect()] == ["O1"]
     with pytest.raises(Exception):
         UpsertLoader(str(tmp_path / "t2"))(batch, 0)
+
+
+def test_raw_messages_need_a_quarantine_sink(spark, tmp_path):
+    raw = spark.createDataFrame([], "partition int, offset long, value string")
+    with pytest.raises(ValueError):
+        start_screening(raw, str(tmp_path / "c"), str(tmp_path / "s"), parquet_sink(str(tmp_path / "o")))
+
+
+def test_unreadable_timestamps_are_quarantined(spark):
+    from ordersentry.streaming.screening import decode_orders, typed_orders
+    rows = [(0, 1, '{"order_id":"O1","created_date":"2025-03-01T02:00:00+07:00","event_ts":"2025-03-01T02:00:01+07:00"}'),
+            (0, 2, '{"order_id":"O2","created_date":"yesterday","event_ts":"2025-03-01T02:00:01+07:00"}'),
+            (0, 3, '{"order_id":"O3","event_ts":"late"}'), (0, 4, '{"order_id":"O4"}')]
+    ok, bad = decode_orders(spark.createDataFrame(rows, "partition int, offset long, value string"))
+    assert sorted(r.order_id for r in typed_orders(ok).collect()) == ["O1", "O4"]
+    assert sorted(r.seq for r in bad.collect()) == [2, 3]
+
+
+def test_upsert_reads_only_the_touched_partitions(spark, tmp_path):
+    import contextlib
+    import io
+
+    from ordersentry.sources import tables
+    path = str(tmp_path / "t")
+    schema = "order_id string, v int, seq long"
+    tables.upsert_table(spark, path, spark.createDataFrame([("O1", 1, 1), ("O5000001", 1, 2)], schema), "order_id", "seq")
+    seen = []
+    original = tables.ops.upsert
+
+    def spy(scope, *args, **kw):
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            scope.explain("formatted")
+        seen.append(out.getvalue())
+        return original(scope, *args, **kw)
+
+    tables.ops.upsert = spy
+    try:
+        tables.upsert_table(spark, path, spark.createDataFrame([("O2", 2, 3), ("O1", 3, 4)], schema), "order_id", "seq")
+    finally:
+        tables.ops.upsert = original
+    line = next(x for x in seen[0].splitlines() if "PartitionFilters" in x)
+    assert "key_range" in line and "0" in line and "isnotnull" not in line.replace("isnotnull(key_range", "", 0) or "= 0" in line
+    assert sorted((r.order_id, r.v) for r in spark.read.parquet(path).collect()) == [("O1", 3), ("O2", 2), ("O5000001", 1)]
+
+
+def test_loader_quarantines_orders_with_missing_required_columns(spark, tmp_path):
+    import datetime as dt
+
+    from ordersentry.streaming.loader import UpsertLoader
+    t = dt.datetime(2025, 3, 1)
+    rows = [("O1", "U1", "P1", 1, "Rp.1", 1, "ID", None, t, t, "s", 1), ("O2", "U1", "P1", 1, "Rp.1", 1, None, "Fraud", t, t, "s", 2),
+            ("O3", "U1", "P1", None, "Rp.1", None, "ID", "Fraud", t, None, "s", 3), (None, "U1", "P1", 1, "Rp.1", 1, "ID", "Fraud", t, t, "s", 4)]
+    batch = spark.createDataFrame(rows, "order_id string, user_id string, product_id string, quantity long, amount string, amount_numeric long, "
+                                        "country string, status string, created_date timestamp, event_ts timestamp, source string, seq long")
+    UpsertLoader(str(tmp_path / "t"), quarantine=parquet_sink(str(tmp_path / "q")))(batch, 0)
+    assert [(r.order_id, r.status) for r in spark.read.parquet(str(tmp_path / "t")).collect()] == [("O1", "pending")]
+    assert spark.read.parquet(str(tmp_path / "q")).count() == 3
+    with pytest.raises(Exception, match="required column"):
+        UpsertLoader(str(tmp_path / "t2"))(batch, 0)

@@ -50,13 +50,13 @@ def summarize(text: str) -> dict:
 
 def main() -> None:
     from ordersentry.session import get_session
-    import __spark_entry__ as E
+    from ordersentry import catalog
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session(shuffle_partitions=8)
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `tools/plan_summary.py` at {os.path.basename(sf)} (AQE may re-plan joins at run "
           "time; broadcast choices below are the initial plan).\n")
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         s = summarize(formatted(fn(spark, sf)))
         print(f"## {name}\n")
         print(f"- shuffles ({len(s['shuffles'])}): " + ("; ".join(s["shuffles"]) or "none"))
