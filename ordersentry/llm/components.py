@@ -23,9 +23,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     mark = _mark(current)
     while mark[0]:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Written, so that both sides of the join are dealt anew and a hub's rows can be split.
+        low = saved(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "lowest")
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = saved(large.groupBy("u").agg(F.min("v").alias("m")), "lowest")
         near = large.join(low, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = saved(near.unionByName(low.withColumnRenamed("m", "v")).distinct(), "edges")
         mark, before = _mark(after), mark
