@@ -48,6 +48,8 @@ def test_no_master_is_set_by_default(monkeypatch):
     seen = []
 
     class Builder:
+        sparkContext = type("C", (), {"setLogLevel": lambda self, level: None})()
+
         def __getattr__(self, name):
             def call(*args, **kw):
                 seen.append((name, args))
