@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, kept_by_worker, one_thread, ragged, split_words, text_of
+from .common import CHUNK_BYTES, chunks, kept_by_worker, one_thread, ragged, split_words, text_of
 
 
 class EliasFano:
@@ -119,7 +119,7 @@ class WordEncoder:
 
     TAIL = ".,;:!?|#$%&*"
 
-    def __init__(self, path: str, memo: int = 500_000):
+    def __init__(self, path: str, memo: int = 700_000):
         from tokenizers import Tokenizer
         one_thread()
         self.tokenizer, self.memo = Tokenizer.from_file(path), memo
@@ -207,7 +207,7 @@ def write_token_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
         encoder = kept_by_worker(("word-encoder", tokenizer_path), lambda: WordEncoder(tokenizer_path))
         held: list[tuple] = []
         size = 0
-        for b in chunks(batches, "text"):
+        for b in chunks(batches, "text", 4 * CHUNK_BYTES // 3):
             counts, ids = encoder.encode(b.column("text"), end_id)
             held.append((b.column("doc_id"), counts, ids))
             size += len(ids)
