@@ -19,7 +19,7 @@ from .operators import fraud, ledger, quality
 from .operators import tables as ops
 from .plans import warehouse as wh
 from .plans.domain import Domain
-from .plans.ingest import IngestPaths, ingest_day, read_ledger
+from .plans.ingest import IngestFailed, IngestPaths, ingest_day, ingest_tables, read_ledger
 from .schemas import ORDER_EVENT, RAW_ORDERS, RAW_PRODUCTS, RAW_USERS
 from .session import checkpoint_dir, configure
 from .sources.ndjson import extract_day, read_days
@@ -107,6 +107,20 @@ def insert_ignore_users(spark, sf_dir):
                              defaults={"ingestion_ts": _load_ts(), "source": "batch"})
 
 
+def insert_ignore_products(spark, sf_dir):
+    """S5 + S7 for products: a re-sent catalogue, every product twice (the
+    second copy dearer); names already stored are skipped, the first copy of
+    each new name is inserted with the next key and the default currency."""
+    products = _dom(spark, sf_dir).raw_products
+    target = products.filter(F.col("created_date") < F.lit(FIRST_LOAD_END).cast("timestamp_ntz"))
+    cols = ["product_name", "brand", "category", "sub_category", "cost", "created_date"]
+    copies = F.inline(F.array(*[F.struct((F.col("product_id") * 2 + i).alias("ord"), (F.col("price") + i).alias("price"))
+                                for i in (0, 1)]))
+    return ops.insert_ignore(target, products.select(*cols, copies), key="product_name", order_col="ord",
+                             surrogate="product_id",
+                             defaults={"currency": "IDR", "ingestion_ts": _load_ts(), "source": "batch"})
+
+
 def upsert_orders(spark, sf_dir):
     """Every fraud order is re-sent twice (still Fraud, then cleared as
     Genuine); the last version replaces the stored row with a new
@@ -127,7 +141,29 @@ def upsert_orders(spark, sf_dir):
 
 def fct_quarantine(spark, sf_dir):
     """C5 lenient path: staged orders whose ids are not ``U<n>`` / ``P<n>``."""
-    return wh.fct_quarantine(_dom(spark, sf_dir).stg_orders)
+    return wh.fct_quarantine(_dirty(spark, sf_dir).stg_orders)
+
+
+# ------------------------------------------------------------ dirty stream
+def _dirty(spark, sf_dir) -> Domain:
+    return _dom(spark, sf_dir, variant="dirty", lenient=True)
+
+
+def fraud_verdict_dirty(spark, sf_dir):
+    """F1-F8 over three stream partitions with missing countries and
+    quantities, malformed ids and back-dated events."""
+    return _dirty(spark, sf_dir).screened(keep_flags=True).select(
+        "order_id", "partition", "seq", "status", "first_rule", "bot_a", "bot_b", "bot_c")
+
+
+def fct_orders_dirty(spark, sf_dir):
+    """J1 where it drops rows: unknown and malformed users and products."""
+    return _dirty(spark, sf_dir).fct_orders
+
+
+def mart_products_revenue_profit_dirty(spark, sf_dir):
+    """M4 with orders without a quantity, whose amount is NULL."""
+    return _dirty(spark, sf_dir).mart("mart_products_revenue_profit")
 
 
 def order_high_water(spark, sf_dir):
@@ -140,6 +176,12 @@ def read_users_ordered(spark, sf_dir):
                           order_by="user_id", limit=USERS_BATCH)
 
 
+def read_products_ordered(spark, sf_dir):
+    return ops.read_table(_dom(spark, sf_dir).raw_products,
+                          ["product_id", "product_name", "brand", "category", "sub_category", "currency", "price",
+                           "cost", "created_date"], order_by="product_id")
+
+
 # --------------------------------------------------- quality and ingest
 def dq_unique(spark, sf_dir):
     d = _dom(spark, sf_dir)
@@ -225,6 +267,20 @@ def ledger_double_load(spark, sf_dir):
     return log.select("source_table", "run_status", "row_ingested", "row_loaded", "is_consistent")
 
 
+def ledger_failed_run(spark, sf_dir):
+    """Q6: products without a required name fail their load, and with it the
+    whole run, also the users that were loaded."""
+    d, paths = _dom(spark, sf_dir), _paths(spark)
+    broken = d.raw_products.withColumn("product_name", F.when(F.col("product_id") % 3 != 0, F.col("product_name")))
+    try:
+        ingest_tables(spark, {"raw_users": (_zoned(d.raw_users), RAW_USERS),
+                              "raw_products": (_zoned(broken), RAW_PRODUCTS)}, RUN_DS_EARLY, paths)
+    except IngestFailed:
+        pass        # the ledger reports it
+    log = ledger.state(read_ledger(spark, paths))
+    return log.select("source_table", "run_status", "row_ingested", "row_loaded", "is_consistent")
+
+
 # ----------------------------------------------------------------- stream
 def stream_verdict(spark, sf_dir):
     """T1 + T2 + S2 + S3: the stream screened in several runs, with gaps in
@@ -268,12 +324,17 @@ def queries() -> dict[str, Query]:
         "fraud_verdict_dense": fraud_verdict_dense,
         "fraud_first_rule": fraud_first_rule,
         "fraud_alerts": fraud_alerts,
+        "fraud_verdict_dirty": fraud_verdict_dirty,
+        "fct_orders_dirty": fct_orders_dirty,
+        "mart_products_revenue_profit_dirty": mart_products_revenue_profit_dirty,
         "insert_ignore": insert_ignore_users,
+        "insert_ignore_products": insert_ignore_products,
         "upsert_latest": upsert_orders,
         "fct_quarantine": fct_quarantine,
         "order_high_water": order_high_water,
         "extract_day": extract_day_orders,
         "read_users_ordered": read_users_ordered,
+        "read_products_ordered": read_products_ordered,
         "dq_unique": dq_unique,
         "dq_not_null": dq_not_null,
         "reconcile_counts": reconcile_counts,
@@ -282,6 +343,7 @@ def queries() -> dict[str, Query]:
         "amount_enrich": amount_enrich,
         "load_day_orders": load_day_orders,
         "ledger_double_load": ledger_double_load,
+        "ledger_failed_run": ledger_failed_run,
         "stream_verdict": stream_verdict,
         "stream_quarantine": stream_quarantine,
         "stream_loaded_orders": stream_loaded_orders,

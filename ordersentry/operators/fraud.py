@@ -21,13 +21,14 @@ Semantics (one definition, used by batch and streaming):
 Plan at scale (the buffer is the only non-local part).  A window over the
 whole stream would put every row in one task, so arrival order is cut into
 blocks of ``buffer_size``: a row's buffer lies in its own block and the one
-before.  Each row is sent to its own block, and a narrow copy (five
-columns) to the next block as context; one shuffle on (partition, block).
+before.  Each row is sent to its own block, and a narrow copy (its other
+columns NULL) to the next block as context: one scan of the input, one
+shuffle on (partition, block).
 Every window group holds at most ``2 * buffer_size`` rows whatever the key
 distribution, so a hot user, product or stream partition cannot overload a
 task.  In one Window operator each group is collected once (each row then
-slices its buffer by position) and a compiled sliding ``max`` finds whether
-any other buffered order is recent; only then are the rules evaluated, by
+slices its buffer by position) and a running ``max`` finds whether an
+earlier order of the group is recent; only then are the rules evaluated, by
 Spark's higher-order array functions on the JVM.  No Python runs per row.
 """
 
@@ -96,7 +97,7 @@ def with_buffer(df: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...]
     """Attach ``_item`` (the row as a compact struct), ``_buf`` (the last
     ``buffer_size`` items of the row's stream partition in arrival order,
     itself last) and ``_prev_t`` (the latest event time among the items
-    before it in the buffer).
+    before it in its group, which hold its buffer).
 
     ``seq`` must be dense per partition (0, 1, 2, ... without gaps); Kafka
     offsets of an uncompacted topic are.  Use :func:`dense_sequence` first
@@ -111,19 +112,23 @@ def with_buffer(df: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...]
         user_number(F.col("user_id")).alias("n"),
         micros(F.col("event_ts")).alias("t"),
     )
-    own = df.select("*", item.alias("_item"), blk.alias("_blk"), F.lit(True).alias("_own"))
-    context = df.select(*partition_cols, seq, item.alias("_item"),
-                        (blk + 1).alias("_blk"), F.lit(False).alias("_own"))
-    both = own.unionByName(context, allowMissingColumns=True)
+    # Own row and context copy come from one read of the input (a union of two
+    # selections would scan and price it twice); the copy carries no other columns.
+    place = F.array(F.struct(blk.alias("_blk"), F.lit(True).alias("_own")),
+                    F.struct((blk + 1).alias("_blk"), F.lit(False).alias("_own")))
+    narrow = {*partition_cols, seq}
+    both = df.select("*", item.alias("_item"), F.inline(place)).select(
+        *[F.col(c) if c in narrow else F.when(F.col("_own"), F.col(c)).alias(c) for c in df.columns],
+        "_item", "_blk", "_own")
     # The whole group (at most 2 * n rows) is collected once, in arrival
     # order; each row then takes its last n entries by position.  A sliding
     # ROWS frame would re-aggregate n rows for every row.
     group = Window.partitionBy(*partition_cols, "_blk").orderBy(seq)
     whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # Latest event time among the previous n - 1 arrivals: when it is not
-    # recent, the buffer holds no other recent order and no bot rule can
-    # fire, so the rules skip the buffer scan (a compiled sliding max).
-    before = group.rowsBetween(-(n - 1), -1)
+    # Latest event time among the group's earlier arrivals, the buffer among
+    # them: when it is not recent, the buffer holds no other recent order and
+    # no bot rule can fire, so the rules skip the buffer scan (a running max).
+    before = group.rowsBetween(Window.unboundedPreceding, -1)
     out = both.select("*", F.collect_list("_item").over(whole).alias("_grp"),
                       F.row_number().over(group).alias("_pos"),
                       F.max("_item.t").over(before).alias("_prev_t")).filter(F.col("_own"))

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 
 # ---------------------------------------------------------------- S4 read
 def read_table(df: DataFrame, columns: list[str], order_by: str | list[str] | None = None,
@@ -62,21 +64,31 @@ def with_defaults(df: DataFrame, defaults: dict[str, Column | object]) -> DataFr
     return out
 
 
+#: Blocks whose counts are summed together by :func:`assign_keys`.
+SPAN = 1 << 12
+
+
 def assign_keys(df: DataFrame, key_col: str, order_col: str, start: Column | int,
                 block: int = 1 << 20) -> DataFrame:
     """Surrogate keys ``start + 1, start + 2, ...`` in ``order_col`` order.
 
-    Rows are numbered without a global window: counts per block of
-    ``order_col`` (a few rows) get a running sum, and rows are ranked inside
-    their own block.  Numbers are deterministic, so a recomputed partition
-    gets the same keys.  ``start`` may be a Column holding one value (e.g.
-    the current maximum key).
+    Rows are numbered without a global window: rows are ranked inside their
+    own block of ``order_col``, block counts get a running sum inside spans of
+    ``SPAN`` blocks, and the spans (one row per ``block * SPAN`` order values,
+    so few also for sparse order columns) get one over all.  Numbers are
+    deterministic, so a recomputed partition gets the same keys.  ``start``
+    may be a Column holding one value (e.g. the current maximum key).
     """
     b = F.expr(f"`{order_col}` div {block}")
     with_b = df.withColumn("_kb", b)
     counts = with_b.groupBy("_kb").agg(F.count(F.lit(1)).alias("_n"))
-    wcum = Window.orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_kb", F.coalesce(F.sum("_n").over(wcum), F.lit(0)).alias("_base"))
+    counts = counts.withColumn("_ks", F.expr(f"_kb div {SPAN}"))
+    before = (Window.unboundedPreceding, -1)
+    spans = counts.groupBy("_ks").agg(F.sum("_n").alias("_sn")).select(
+        "_ks", F.coalesce(F.sum("_sn").over(Window.orderBy("_ks").rowsBetween(*before)), F.lit(0)).alias("_sbase"))
+    inside = F.coalesce(F.sum("_n").over(Window.partitionBy("_ks").orderBy("_kb").rowsBetween(*before)), F.lit(0))
+    starts = (counts.select("_kb", "_ks", inside.alias("_inside")).join(spans, "_ks")
+                    .select("_kb", (F.col("_sbase") + F.col("_inside")).alias("_base")))
     rank = F.row_number().over(Window.partitionBy("_kb").orderBy(order_col))
     start_col = start if isinstance(start, Column) else F.lit(start)
     return (with_b.join(starts, "_kb")
@@ -100,7 +112,8 @@ def new_rows(target: DataFrame, incoming: DataFrame, key: str, order_col: str,
     key fails the query (``on_null_key="fail"``, as the original insert
     does) or, with ``"skip"``, the row is left out.  With ``surrogate`` the
     new rows get ``max(target.surrogate) + 1, ...`` in input order.  Columns
-    are the target's.
+    are the target's.  The deduplicated new rows are checkpointed before they
+    are numbered, so the batch and the target are read for them only once.
     """
     k = F.col(key)
     if on_null_key == "fail":
@@ -117,6 +130,8 @@ def new_rows(target: DataFrame, incoming: DataFrame, key: str, order_col: str,
     present = target.select(key).join(fresh.select(key), on=key, how="left_semi")
     fresh = fresh.join(present, on=key, how="left_anti")
     if surrogate:
+        checkpoint_dir(target.sparkSession)
+        fresh = fresh.checkpoint()
         # The current maximum key as a scalar subquery (computed once, no join).
         fresh = assign_keys(fresh, surrogate, order_col, max_key(target, surrogate).scalar())
     if defaults:

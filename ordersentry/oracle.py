@@ -45,28 +45,40 @@ users AS (
 
 
 def _events(variant: str) -> str:
+    part, seq, ts, country = "0", "event_id", "ts", "CASE WHEN event_type = 'error' AND event_id % 4 = 0 THEN 'SG' ELSE 'ID' END"
+    uid, pid = "'U' || CAST(user_id AS VARCHAR)", "'P' || CAST(ev.pnum AS VARCHAR)"
     if variant == "base":
         pnum = "(event_id * 7919 + 13) % (SELECT count(*) FROM part)"
         qty = "CASE WHEN event_id % 50 = 0 THEN 101 + event_id % 200 ELSE 1 + event_id % 2 END"
+    elif variant == "dirty":
+        part = "CAST(user_id % 3 AS INTEGER)"
+        seq = "row_number() OVER (PARTITION BY user_id % 3 ORDER BY event_id) - 1"
+        ts = "CASE WHEN event_id % 59 = 0 THEN ts - INTERVAL 1 HOUR ELSE ts END"
+        country = f"CASE WHEN event_id % 61 = 0 THEN NULL ELSE {country} END"
+        uid = ("CASE WHEN event_id % 83 = 0 THEN 'guest' WHEN event_id % 71 = 0 THEN 'U' || CAST(-1 - user_id AS VARCHAR) "
+               f"ELSE {uid} END")
+        pid = f"CASE WHEN ev.event_id % 89 = 0 THEN 'P?' || CAST(ev.pnum AS VARCHAR) ELSE {pid} END"
+        pnum = "CASE WHEN event_id % 73 = 0 THEN -1 - event_id ELSE user_id % 20 END"
+        qty = "CASE WHEN event_id % 53 = 0 THEN NULL WHEN event_id % 50 = 0 THEN 101 + event_id % 200 ELSE 1 END"
     else:
         pnum = "user_id % 20"
         qty = "1"
     return f"""
 ev AS (
-  SELECT 0 AS partition, event_id AS seq,
+  SELECT {part} AS partition, {seq} AS seq, event_id,
          'O' || CAST(event_id AS VARCHAR) AS order_id,
-         'U' || CAST(user_id AS VARCHAR) AS user_id,
+         {uid} AS user_id,
          {pnum} AS pnum,
          CAST({qty} AS BIGINT) AS quantity,
-         CASE WHEN event_type = 'error' AND event_id % 4 = 0 THEN 'SG' ELSE 'ID' END AS country,
+         {country} AS country,
          'pending' AS status,
          date_trunc('second', ts) AS created_date,
-         ts AS event_ts,
+         {ts} AS event_ts,
          'streaming' AS source
   FROM events),
 order_events AS (
   SELECT ev.partition, ev.seq, ev.order_id, ev.user_id,
-         'P' || CAST(ev.pnum AS VARCHAR) AS product_id, ev.quantity,
+         {pid} AS product_id, ev.quantity,
          'Rp.' || replace(format('{{:,}}', pr.price * ev.quantity), ',', '.') AS amount,
          pr.price * ev.quantity AS amount_numeric,
          ev.country, ev.status, ev.created_date, ev.event_ts, ev.source
@@ -152,7 +164,8 @@ fct_orders AS (
 def prelude(variant: str = "base", window_seconds: float = 10.0, models: bool = True) -> str:
     parts = [_PRODUCTS, _USERS, _events(variant), _screen(window_seconds)]
     if models:
-        parts += [_RAW_ORDERS, _MODELS]
+        # The dirty stream has malformed ids: the fact leaves them out instead of failing.
+        parts += [_RAW_ORDERS, _MODELS.replace("CAST(regexp", "TRY_CAST(regexp") if variant == "dirty" else _MODELS]
     return "WITH " + ",".join(parts)
 
 
@@ -224,6 +237,14 @@ def oracle_sql() -> dict[str, str]:
         "SELECT order_id, verdict AS status, first_rule FROM screened", variant="dense", models=False)
     q["fraud_first_rule"] = _q(
         "SELECT first_rule, count(*) AS n_orders FROM screened GROUP BY first_rule", models=False)
+    q["fct_quarantine"] = _q("""SELECT * FROM stg_orders
+WHERE TRY_CAST(regexp_replace(user_id, '^U', '') AS BIGINT) IS NULL
+   OR TRY_CAST(regexp_replace(product_id, '^P', '') AS BIGINT) IS NULL""", variant="dirty")
+    q["fraud_verdict_dirty"] = _q(
+        "SELECT order_id, partition, seq, verdict AS status, first_rule, bot_a, bot_b, bot_c FROM screened",
+        variant="dirty", models=False)
+    q["fct_orders_dirty"] = _q("SELECT * FROM fct_orders", variant="dirty")
+    q["mart_products_revenue_profit_dirty"] = _q(MARTS_SQL["mart_products_revenue_profit"], variant="dirty")
     q.update(_more())
     return q
 
@@ -255,6 +276,21 @@ SELECT user_id, name, email, phone_number, created_date, ingestion_ts, source FR
 UNION ALL
 SELECT (SELECT coalesce(max(user_id), 0) FROM target) + row_number() OVER (ORDER BY ord) AS user_id,
        name, email, phone_number, created_date, {_LOAD_TS} AS ingestion_ts, 'batch' AS source
+FROM fresh""",
+    "insert_ignore_products": f"""
+, target AS (SELECT * FROM products WHERE created_date < {_FIRST_LOAD_END}),
+incoming AS (
+  SELECT product_id * 2 AS ord, * FROM products
+  UNION ALL
+  SELECT product_id * 2 + 1 AS ord, * REPLACE (price + 1 AS price) FROM products),
+firsts AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY product_name ORDER BY ord) AS rn FROM incoming) WHERE rn = 1),
+fresh AS (SELECT f.* FROM firsts f WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.product_name = f.product_name))
+SELECT * FROM target
+UNION ALL
+SELECT (SELECT coalesce(max(product_id), 0) FROM target) + row_number() OVER (ORDER BY ord) AS product_id,
+       product_name, brand, category, sub_category, 'IDR' AS currency, price, cost, created_date,
+       {_LOAD_TS} AS ingestion_ts, 'batch' AS source
 FROM fresh""",
     "upsert_latest": f"""
 , incoming AS (
@@ -269,16 +305,14 @@ SELECT {_RAW_COLS}, ingestion_ts FROM raw_orders r
 WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.order_id = r.order_id)
 UNION ALL
 SELECT {_RAW_COLS}, {_LOAD_TS} AS ingestion_ts FROM latest""",
-    "fct_quarantine": """
-SELECT * FROM stg_orders
-WHERE TRY_CAST(regexp_replace(user_id, '^U', '') AS BIGINT) IS NULL
-   OR TRY_CAST(regexp_replace(product_id, '^P', '') AS BIGINT) IS NULL""",
     "order_high_water": """
 SELECT CAST(coalesce(max(CAST(regexp_replace(order_id, '^O', '') AS BIGINT)), 0) AS BIGINT) AS max_counter
 FROM raw_orders""",
     "extract_day": f"SELECT * FROM raw_orders WHERE CAST(created_date AS DATE) = {_DAY}",
     "read_users_ordered": """
 SELECT user_id, name, email, phone_number, created_date FROM users ORDER BY user_id LIMIT 100""",
+    "read_products_ordered": """
+SELECT product_id, product_name, brand, category, sub_category, currency, price, cost, created_date FROM products""",
     "dq_unique": """
 SELECT 'raw_users' AS table_name, 'user_id' AS column_name, CAST(user_id AS VARCHAR) AS key_value,
        count(*) AS n_rows FROM users WHERE user_id IS NOT NULL GROUP BY user_id HAVING count(*) > 1
@@ -347,6 +381,14 @@ FROM counts""",
   UNION ALL
   SELECT 'raw_products', count(*) FROM products WHERE CAST(created_date AS DATE) = DATE '2023-12-10')
 SELECT source_table, 'SUCCESS' AS run_status, n AS row_ingested, 2 * n AS row_loaded, n = 2 * n AS is_consistent FROM counts""",
+    "ledger_failed_run": """
+, counts AS (
+  SELECT 'raw_users' AS source_table, count(*) AS n FROM users WHERE CAST(created_date AS DATE) = DATE '2023-12-10'
+  UNION ALL
+  SELECT 'raw_products', count(*) FROM products WHERE CAST(created_date AS DATE) = DATE '2023-12-10')
+SELECT source_table, 'FAILED' AS run_status, n AS row_ingested,
+       CASE WHEN source_table = 'raw_users' THEN n END AS row_loaded,
+       CASE WHEN source_table = 'raw_users' THEN true END AS is_consistent FROM counts""",
     "stream_verdict": "SELECT order_id, verdict AS status FROM screened",
     "stream_quarantine": """
 SELECT event_id * 3 + 1 AS seq, '{"order_id": O' || event_id AS value FROM events WHERE event_id % 97 = 0

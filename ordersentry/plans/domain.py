@@ -25,6 +25,7 @@ class Domain:
     sf_dir: str
     variant: str = "base"
     params: fraud.FraudParams = field(default_factory=fraud.FraudParams)
+    lenient: bool = False      # malformed ids are left out of the fact instead of failing it
 
     @cached_property
     def raw_products(self) -> DataFrame:
@@ -67,7 +68,7 @@ class Domain:
 
     @cached_property
     def fct_orders(self) -> DataFrame:
-        return wh.fct_orders(self.stg_orders, self.dim_users, self.dim_products)
+        return wh.fct_orders(self.stg_orders, self.dim_users, self.dim_products, self.lenient)
 
     def mart(self, name: str, fct: DataFrame | None = None) -> DataFrame:
         return wh.MARTS[name](fct if fct is not None else self.fct_orders,

@@ -24,6 +24,10 @@ from ..sources import ndjson
 from ..sources.tables import read_if_exists
 
 
+class IngestFailed(RuntimeError):
+    """A daily run in which at least one table's chain failed."""
+
+
 @dataclass
 class IngestPaths:
     export_dir: str      # NDJSON staging folder (shared storage)
@@ -83,17 +87,18 @@ def ingest_tables(spark: SparkSession, tables: dict[str, tuple[DataFrame, T.Stru
     Every table's chain runs even when another fails, as independent chains
     do.  If any failed, a run-level FAILED event is appended after all of
     them, so every table of the run reports FAILED (also those that loaded),
-    and the first error is raised.  Returns the run's ledger state.
+    and :class:`IngestFailed` names the tables, with the first error as its
+    cause.  Returns the run's ledger state.
     """
     run_id = run_id or f"scheduled__{ds}"
-    errors = []
+    errors = {}
     for name, (source, schema) in tables.items():
         try:
             ingest_day(spark, name, source, schema, ds, paths, dag_id, run_id, mode)
         except Exception as exc:  # keep going: the other chains are independent
-            errors.append(exc)
+            errors[name] = exc
     if errors:
         _append(ledger.fail(spark, dag_id, run_id, ds, seq=time.time_ns() // 1000 * 10 + 9), paths.ledger_path)
-        raise errors[0]
+        raise IngestFailed(f"{run_id}: {', '.join(errors)}") from next(iter(errors.values()))
     return ledger.state(read_ledger(spark, paths)).filter(
         (F.col("dag_id") == dag_id) & (F.col("run_id") == run_id))

@@ -21,3 +21,10 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["event_date", "saved_amount", "fraud_attempts"]
     assert df.count() > 0
+
+
+def test_dirty_stream_is_dirty(spark):
+    q = catalog.queries()
+    assert q["fct_quarantine"](spark, SF_SMALL).count() > 0
+    assert 0 < q["fct_orders_dirty"](spark, SF_SMALL).count() < q["stg_orders"](spark, SF_SMALL).count()
+    assert q["fraud_verdict_dirty"](spark, SF_SMALL).select("partition").distinct().count() == 3

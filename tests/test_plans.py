@@ -4,7 +4,11 @@ import contextlib
 import io
 import re
 
+from pyspark.sql import functions as F
+
 from ordersentry import catalog
+from ordersentry.operators import fraud
+from ordersentry.sources.tpch_domain import order_events
 from tests.conftest import SF_SMALL
 
 
@@ -16,7 +20,11 @@ def plan(df) -> str:
 
 
 def test_screening_has_one_shuffle_on_partition_and_block(spark):
-    text = plan(catalog.queries()["fraud_verdict"](spark, SF_SMALL))
+    # The registered stream has one constant partition, which the optimizer drops from the keys.
+    one = plan(catalog.queries()["fraud_verdict"](spark, SF_SMALL))
+    assert [k.split("#")[0] for k in re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", one)] == ["_blk"]
+    events = order_events(spark, SF_SMALL).withColumn("partition", F.col("seq") % 3)
+    text = plan(fraud.screen(events).select("order_id", "status", "first_rule"))
     shuffles = re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", text)
     assert len(shuffles) == 1 and "partition" in shuffles[0] and "_blk" in shuffles[0]
     assert "Window" in text and "SortMergeJoin" not in text
@@ -25,6 +33,15 @@ def test_screening_has_one_shuffle_on_partition_and_block(spark):
     assert events_schema and all("value" not in line for line in events_schema)
 
 
+def test_screening_reads_and_prices_the_stream_once(spark):
+    for name in ("fraud_verdict", "fraud_verdict_dense"):
+        text = plan(catalog.queries()[name](spark, SF_SMALL))
+        main = text.split("===== Subqueries =====")[0]
+        schemas = [line for line in main.splitlines() if line.startswith("ReadSchema")]
+        assert sum("event_id" in line for line in schemas) == 1, name
+        assert sum("p_partkey" in line for line in schemas) == 1, name
+
+
 def test_marts_aggregate_fact_before_dimension_join(spark):
     text = plan(catalog.queries()["mart_products_revenue_profit"](spark, SF_SMALL))
     lines = text.splitlines()
