@@ -216,14 +216,19 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def window_hashes(word_hashes: np.ndarray, k: int) -> np.ndarray:
-    """Hash of every run of k consecutive entries (order matters)."""
-    n = len(word_hashes) - k + 1
-    if n <= 0:
+    """Hash of every run of k consecutive entries (order matters): a
+    polynomial in ``STEP``, built by doubling the run's length."""
+    if len(word_hashes) < k:
         return np.zeros(0, np.uint64)
-    acc = np.zeros(n, np.uint64)
-    for j in range(k):
-        acc *= STEP
-        acc += word_hashes[j:j + n]
+    acc, have = word_hashes.astype(np.uint64, copy=False), 1
+    for bit in f"{k:b}"[1:]:
+        longer = acc[:len(acc) - have] * np.uint64(pow(int(STEP), have, 1 << 64))
+        longer += acc[have:]
+        acc, have = longer, 2 * have
+        if bit == "1":
+            acc = acc[:-1] * STEP
+            acc += word_hashes[have:]
+            have += 1
     return mix64(acc)
 
 

@@ -47,3 +47,15 @@ def test_repeat_rows(docs, spark):
     out = common.repeat_rows(d, said)
     assert out.columns == d.columns
     assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted([(1, "a")] * 4 + [(None, None)], key=str)
+
+
+def test_window_hashes_are_polynomials_of_every_run():
+    h = np.random.default_rng(5).integers(0, 2 ** 63, 60).astype(np.uint64)
+    for k in (1, 2, 5, 8, 35, 60, 61):
+        want = []
+        for i in range(len(h) - k + 1):
+            value = 0
+            for x in h[i:i + k].tolist():
+                value = (value * int(STEP) + x) % 2 ** 64
+            want.append(value)
+        assert np.array_equal(common.window_hashes(h, k), common.mix64(np.array(want, np.uint64)))
