@@ -56,6 +56,6 @@ def test_window_hashes_are_polynomials_of_every_run():
         for i in range(len(h) - k + 1):
             value = 0
             for x in h[i:i + k].tolist():
-                value = (value * int(STEP) + x) % 2 ** 64
+                value = (value * int(common.STEP) + x) % 2 ** 64
             want.append(value)
         assert np.array_equal(common.window_hashes(h, k), common.mix64(np.array(want, np.uint64)))
