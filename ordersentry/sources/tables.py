@@ -6,15 +6,19 @@ of a timestamp column and clustered (range-partitioned and sorted) on the
 cluster columns so Parquet min/max statistics skip row groups.
 
 ``upsert_table`` / ``insert_ignore_table`` apply the raw-table operators to
-a Parquet table on shared storage.  Spark cannot overwrite a path it is
-reading, so new contents are first checkpointed (reliable checkpoint in
-``spark.checkpoint.dir``, which also cuts the lineage back to the old files)
-and then written with dynamic partition overwrite: only the key-range
-partitions the batch touches are rewritten.  Insert-if-absent only appends.
+a Parquet table on shared storage.  An upserted table is versioned: a batch
+writes the key-range partitions it touches into a folder of its own
+(``data/version=N``), then publishes ``current/N.json``, the version that
+holds each key range.  Until that one file is renamed into place readers see
+the state before, so a crash at any point leaves the old table or the new one;
+a replayed batch overwrites what the crash left unpublished.  One writer at a
+time; read with :func:`read_table`.  Insert-if-absent only appends.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,34 +83,92 @@ def key_range(prefix: str = "O", width: int = 1_000_000, buckets: int = 1024):
     return part
 
 
+def _folder(spark: SparkSession, path: str):
+    """(Hadoop file system, path object) of a folder on shared storage."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
+
+
+def _published(spark: SparkSession, path: str) -> list[int]:
+    """Published version numbers, ascending."""
+    fs, folder = _folder(spark, f"{path}/current")
+    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith("."))
+
+
+def _ranges(spark: SparkSession, path: str, version: int) -> dict[str, int]:
+    """Key range -> version that holds it.  One entry per key range (a million orders)."""
+    return json.loads(spark.read.text(f"{path}/current/{version}.json", wholetext=True).first()[0])
+
+
+def _publish(spark: SparkSession, path: str, version: int, ranges: dict[str, int]) -> None:
+    fs, folder = _folder(spark, f"{path}/current")
+    new = spark._jvm.org.apache.hadoop.fs.Path(folder, f".{version}.tmp")
+    out = fs.create(new, True)
+    out.write(bytearray(json.dumps(ranges), "utf-8"))
+    out.close()
+    if not fs.rename(new, spark._jvm.org.apache.hadoop.fs.Path(folder, f"{version}.json")):
+        raise RuntimeError(f"version {version} of {path} is already published; a table has one writer at a time")
+
+
+def _read_ranges(spark: SparkSession, path: str, part_col: str, ranges: dict[str, int]) -> DataFrame:
+    folders = [f"{path}/data/version={v}/{part_col}={k}" for k, v in sorted(ranges.items())]
+    return spark.read.option("basePath", f"{path}/data").parquet(*folders).drop("version")
+
+
+def read_table(spark: SparkSession, path: str, part_col: str = "key_range") -> DataFrame:
+    """The upserted table at ``path``, as last published."""
+    versions = _published(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no published table at {path}")
+    return _read_ranges(spark, path, part_col, _ranges(spark, path, versions[-1]))
+
+
+def _remove_superseded(spark: SparkSession, path: str, part_col: str, old: dict[str, int],
+                       current: dict[str, int], version: int) -> None:
+    """Drop what the version before last held and the last two do not need;
+    the version just replaced stays for readers that have it open."""
+    versions = [v for v in _published(spark, path) if v < version]
+    for v in versions[:-1]:
+        for k, held in _ranges(spark, path, v).items():
+            if held not in (old.get(k), current.get(k)):
+                fs, folder = _folder(spark, f"{path}/data/version={held}/{part_col}={k}")
+                fs.delete(folder, True)
+        fs, file = _folder(spark, f"{path}/current/{v}.json")
+        fs.delete(file, False)
+
+
 def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, key: str, order_col: str,
                  part_col: str = "key_range", partition_of=None, now=None) -> None:
-    """S6 on a Parquet table partitioned by a function of the key.
+    """S6 on a Parquet table partitioned by a (whole-number) function of the key.
 
     Because a key's partition is computable from the key, the partitions a
     batch touches are known without looking into the table: only they are
-    read, merged and rewritten.  Their numbers reach the driver as a literal
-    partition filter; a batch has at most as many as it has orders, and
-    sequential order numbers keep it to one or two.  The first load creates
-    the table.
+    read, merged and rewritten.  Their numbers reach the driver; a batch has
+    at most as many as it has orders, and sequential order numbers keep it to
+    one or two.  The first batch creates the table; an empty batch changes nothing.
     """
     partition_of = partition_of or key_range()
     batch = incoming.withColumn(part_col, partition_of(F.col(key)))
-    now = now if now is not None else F.current_timestamp()
-    existing = read_if_exists(spark, path)
-    if existing is None:
-        latest = ops.last_per_key(batch, key, order_col).drop(order_col).withColumn("ingestion_ts", now)
-        latest.write.partitionBy(part_col).parquet(path)
-        return
-    touched = [r[0] for r in batch.select(part_col).distinct().collect()]
+    touched = [str(r[0]) for r in batch.select(part_col).distinct().collect()]
     if not touched:
         return
-    scope = existing.filter(F.col(part_col).isin(touched)).drop(part_col)
-    merged = ops.upsert(scope, batch.drop(part_col), key, order_col, now=now)
-    checkpoint_dir(spark)
-    frozen = merged.withColumn(part_col, partition_of(F.col(key))).checkpoint(eager=True)
-    frozen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(part_col).parquet(path)
+    now = now if now is not None else F.current_timestamp()
+    versions = _published(spark, path)
+    old = _ranges(spark, path, versions[-1]) if versions else {}
+    version = versions[-1] + 1 if versions else 0
+    stored = {k: old[k] for k in touched if k in old}
+    batch = batch.drop(part_col)
+    if stored:
+        merged = ops.upsert(_read_ranges(spark, path, part_col, stored).drop(part_col), batch, key, order_col, now=now)
+    else:
+        merged = ops.last_per_key(batch, key, order_col).drop(order_col).withColumn("ingestion_ts", now)
+    # Nothing reads this version's folder before it is published, so a retry may overwrite it.
+    merged.withColumn(part_col, partition_of(F.col(key))).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "static").partitionBy(part_col).parquet(f"{path}/data/version={version}")
+    current = {**old, **dict.fromkeys(touched, version)}
+    _publish(spark, path, version, current)
+    _remove_superseded(spark, path, part_col, old, current, version)
 
 
 def insert_ignore_table(spark: SparkSession, path: str, incoming: DataFrame, key: str,

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..plans.domain import Domain
 from ..schemas import ORDER_EVENT
 from ..session import checkpoint_dir
+from ..sources.tables import read_table
 from .loader import start_loader
 from .screening import parquet_sink, start_screening
 
@@ -70,4 +71,4 @@ def load(spark: SparkSession, root: str) -> DataFrame:
     schema = spark.read.parquet(f"{root}/processed").schema
     stream = spark.readStream.schema(schema).parquet(f"{root}/processed").drop("batch_id")
     start_loader(stream, f"{root}/raw_orders", f"{root}/load-checkpoint", trigger={"availableNow": True}).awaitTermination()
-    return spark.read.parquet(f"{root}/raw_orders").drop("key_range")
+    return read_table(spark, f"{root}/raw_orders").drop("key_range")

@@ -122,9 +122,7 @@ def test_required_columns(spark):
 
 # ------------------------------------------------------- table writers
 def test_upsert_table_key_ranges(spark, tmp_path):
-    import os
-
-    from ordersentry.sources.tables import key_range, upsert_table
+    from ordersentry.sources.tables import key_range, read_table, upsert_table
     path = str(tmp_path / "orders")
     cols = "seq long, order_id string, status string, quantity long"
     part = key_range(width=10)
@@ -134,11 +132,46 @@ def test_upsert_table_key_ranges(spark, tmp_path):
     upsert_table(spark, path, spark.createDataFrame(
         [(4, "O2", "Fraud", 5), (5, "O2", "Genuine", 7), (6, "O31", "Fraud", 1)], cols), "order_id", "seq",
         partition_of=part)
-    rows = {r.order_id: (r.status, r.quantity, r.key_range) for r in spark.read.parquet(path).collect()}
+    rows = {r.order_id: (r.status, r.quantity, r.key_range) for r in read_table(spark, path).collect()}
     assert rows == {"O1": ("Genuine", 1, 0), "O2": ("Genuine", 7, 0), "O15": ("Genuine", 1, 1),
                     "O31": ("Fraud", 1, 3)}
-    assert sorted(d for d in os.listdir(path) if d.startswith("key_range=")) == \
-        ["key_range=0", "key_range=1", "key_range=3"]
+
+
+def test_upsert_table_survives_a_crash_before_publishing(spark, tmp_path, monkeypatch):
+    import os
+
+    from ordersentry.sources import tables
+    path = str(tmp_path / "orders")
+    part = tables.key_range(width=10)
+
+    def upsert(*rows):
+        tables.upsert_table(spark, path, spark.createDataFrame(list(rows), "seq long, order_id string, v long"), "order_id", "seq", partition_of=part)
+
+    def stored():
+        return sorted((r.order_id, r.v) for r in tables.read_table(spark, path).collect())
+
+    upsert((1, "O1", 1), (2, "O15", 1))
+    publish = tables._publish
+
+    def crash(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(tables, "_publish", crash)
+    with pytest.raises(OSError):
+        upsert((3, "O1", 2), (4, "O25", 2))
+    assert stored() == [("O1", 1), ("O15", 1)]          # the old table is whole
+    monkeypatch.setattr(tables, "_publish", publish)
+    upsert((3, "O1", 2), (4, "O25", 2))                  # the replayed batch
+    assert stored() == [("O1", 2), ("O15", 1), ("O25", 2)]
+    open_reader = tables.read_table(spark, path)
+    upsert((5, "O2", 3))
+    assert open_reader.count() == 3                      # its files are still there
+    upsert((6, "O3", 4))
+    assert stored() == [("O1", 2), ("O15", 1), ("O2", 3), ("O25", 2), ("O3", 4)]
+    held = sorted(f"{v}/{k}" for v in os.listdir(f"{path}/data") for k in os.listdir(f"{path}/data/{v}") if k.startswith("key_range"))
+    assert held == ["version=0/key_range=1", "version=1/key_range=2", "version=2/key_range=0", "version=3/key_range=0"]
+    upsert()
+    assert len(stored()) == 5
 
 
 def test_insert_ignore_table_appends_only_new_rows(spark, tmp_path):
