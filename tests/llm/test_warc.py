@@ -11,9 +11,8 @@ SCHEMA = "page_id long, url string, html string, digest string, block string"
 def test_loser_tree_merges():
     rng = random.Random(6)
     for k in (0, 1, 2, 3, 7, 16):
-        runs = [sorted((f"k{rng.randrange(9)}", f"t{rng.randrange(9)}", rng.choice([None, rng.randrange(99)]), "", 0, "", None, "", f"f{r}", i, 0)
-                       for i in range(rng.randrange(20))) for r in range(k)]
-        runs = [sorted(r, key=warc._order) for r in [sorted(x, key=warc._order) for x in runs]]
+        runs = [sorted([(f"k{rng.randrange(9)}", f"t{rng.randrange(9)}", rng.choice([None, rng.randrange(99)]), "", 0, "", None, "", f"f{r}", i, 0)
+                       for i in range(rng.randrange(20))], key=warc._order) for r in range(k)]
         merged = list(warc.merge_runs(runs))
         assert merged == sorted((e for r in runs for e in r), key=warc._order)
 
