@@ -365,7 +365,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     narrow = _narrow(docs, doc_id, text)
     sets = saved(document_sets(docs, doc_id, text), "jaccard-sets")
     hashes = sets.agg(F.sum("n")).first()[0] or 0
-    candidates = components(candidate_edges(narrow, hashes))
+    # Classes of null ids only have no links; one could be the first of a group that it is no member of.
+    candidates = components(candidate_edges(narrow.filter("doc_id IS NOT NULL"), hashes))
     classes = sets.filter("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
     linked = components(links(narrow, classes, saved(candidates, "jaccard-groups")))
     placed = (sets.join(linked, sets["key"] == linked["node"], "left")

@@ -69,6 +69,21 @@ def test_large_groups_are_cut_into_blocks(docs, monkeypatch):
     assert got(jaccard.jaccard_components(docs(rows))) == brute(rows)
 
 
+def test_large_group_whose_smallest_set_has_only_null_ids(docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "GROUP_SETS", 5)
+    rng = random.Random(11)
+    base, texts = prose(rng, 100), []
+    for _ in range(40):
+        base = edited(rng, base, 1)
+        texts.append(" ".join(base))
+    offsets, hashes = jaccard.sorted_sets(pa.array(texts, pa.large_string()))
+    keys = [jaccard.set_key(hashes[lo:hi]) for lo, hi in zip(offsets[:-1], offsets[1:])]
+    first = keys.index(min(keys))
+    rows = [(i, t) for i, t in enumerate(texts) if i != first]
+    out = jaccard.jaccard_components(docs(rows + [(None, texts[first])])).filter("doc_id IS NOT NULL")
+    assert got(out) == brute(rows)
+
+
 def test_null_ids_and_empty_table(docs):
     assert got(jaccard.jaccard_components(docs([]))) == []
     rows = jaccard.jaccard_components(docs([(None, "a b c"), (None, "a b c"), (4, "a b c"), (None, "z")])).collect()
