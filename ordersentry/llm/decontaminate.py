@@ -16,10 +16,11 @@ possible copy.  The method:
 4. *Verification.*  Candidates are kept when the weighted shingle similarity
    (sum of minimum over sum of maximum of the shingles' weighted counts) of
    window and item is ``SIMILARITY`` or more.
-
-At that similarity at most one word in twenty differs, which moves 6 of 64
-bits on average; the radius is twice that.  Every window whose similarity
-is 1 has distance 0.
+5. *Completion.*  The radius is no proof, above all for short items.  What a
+   window shares with an item weighs at least ``SIMILARITY`` of the item, so
+   every document and item that share so much are compared at every start,
+   best upper bound first, until no bound is above the best similarity found.
+   So every item with a similar window of its own length is reported.
 
 The benchmark is the small, given side: its items go to the tasks as one
 table, whose size is checked (``MAX_BENCHMARK_BYTES``); a larger benchmark is
@@ -106,6 +107,9 @@ class Index:
         self.distinct, self.gram_weight = distinct, 1 + 1 / df
         finger = [self.fingerprint(own) for own in spans]
         self.items = [Item(it.item_id, it.length, *self.weighted(it.shingles), f) for it, f in zip(self.items, finger)]
+        self.lengths = np.array([it.length for it in self.items], np.int64)
+        self.totals = np.array([it.weights.sum() for it in self.items])
+        self.entry_weight = self.gram_weight[np.searchsorted(distinct, self.gram)]
         self.short = sorted({it.length for it in self.items if it.length < SHINGLE})
         self.fingers = np.array(finger, np.uint64)
         self.tables = [self._table(lo, hi) for lo, hi in zip(_block_edges()[:-1], _block_edges()[1:])]
@@ -142,10 +146,10 @@ class Index:
         low = np.minimum(item.weights[a], weight[b]).sum()
         return float(low / (item.weights.sum() + weight.sum() - low))
 
-    def windows(self, hashes: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
-        """(document, start, length) of the item-sized windows worth a fingerprint."""
+    def hits(self, hashes: np.ndarray, offsets: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per shingle size: (size, document, word, place in ``gram``) of every item shingle in the documents."""
         found = []
-        for k in {SHINGLE, *self.short}:
+        for k in sorted({SHINGLE, *self.short}):
             grams = window_hashes(hashes, k)
             # A hit is rare: one table lookup by low bits drops nearly all positions.
             at = np.flatnonzero(self._maybe()[(grams & np.uint64(0xFFFFF)).astype(np.int64)])
@@ -155,15 +159,59 @@ class Index:
             inside = at + k <= offsets[doc + 1]
             at, lo, n, doc = at[inside], lo[inside], n[inside], doc[inside]
             entry = ragged(lo, n)
-            item, place = self.gram_item[entry], self.gram_place[entry]
-            length = np.array([it.length for it in self.items], np.int64)[item] if len(item) else item
-            fits = np.minimum(length, SHINGLE) == k
-            doc, at = np.repeat(doc, n)[fits], np.repeat(at, n)[fits]
-            start = np.maximum(offsets[doc], at - place[fits])
-            found.append(np.stack([doc, start, length[fits]], 1))
-        every = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
+            fits = np.minimum(self.lengths[self.gram_item[entry]], SHINGLE) == k
+            found.append((k, np.repeat(doc, n)[fits], np.repeat(at, n)[fits], entry[fits]))
+        return found
+
+    def windows(self, hits, offsets: np.ndarray) -> list[tuple[int, int, int]]:
+        """(document, start, length) of the item-sized windows worth a fingerprint."""
+        found = []
+        for _, doc, at, entry in hits:
+            start = np.maximum(offsets[doc], at - self.gram_place[entry])
+            found.append(np.stack([doc, start, self.lengths[self.gram_item[entry]]], 1))
+        every = np.unique(np.concatenate(found), axis=0)
         return [tuple(map(int, w)) for w in every]
 
+    def reaching(self, hits):
+        """(shingle size, document, item, hit words ascending) where the shingles shared weigh enough for a similar window."""
+        for k, doc, at, entry in hits:
+            pair, entries = np.unique(doc * len(self.items) + self.gram_item[entry], return_inverse=True)
+            # Every place of a shingle in the item counts once: weight times count.
+            once = np.unique(entries * len(self.gram) + entry)
+            shared = np.bincount(once // max(1, len(self.gram)), self.entry_weight[once % max(1, len(self.gram))], len(pair))
+            enough = shared >= SIMILARITY * self.totals[pair % len(self.items)] - 1e-6
+            at, entries = at[enough[entries]], entries[enough[entries]]
+            order = np.lexsort((at, entries))
+            at, entries = at[order], entries[order]
+            new = np.flatnonzero(np.concatenate([[True], entries[1:] != entries[:-1], [True]])) if len(at) else np.zeros(1, np.int64)
+            for lo, hi in zip(new, new[1:]):
+                yield k, *(int(v) for v in divmod(pair[entries[lo]], len(self.items))), np.unique(at[lo:hi])
+
+    def best_window(self, k: int, item: Item, hashes: np.ndarray, end: int, low: int, at: np.ndarray) -> tuple[int, int, float]:
+        """(start, words, similarity) of the most similar window of the item's length in the
+        document ``hashes[low:end]``; ``at`` are the words where a shingle of the item starts."""
+        total, length = item.weights.sum(), item.length
+        starts = np.arange(max(low, at[0] - (length - k)), at[-1] + 1)
+        stops = np.minimum(starts + length, end)
+        first, last = int(starts[0]), int(stops[-1])
+        grams = window_hashes(hashes[first:last], k)[:last - first - k + 1]
+        place = np.searchsorted(self.distinct, grams).clip(max=len(self.distinct) - 1)
+        weight = np.where(self.distinct[place] == grams, self.gram_weight[place], 2.0)
+        ours = np.zeros(len(grams))
+        ours[at - first] = weight[at - first]
+        weight, ours = (np.concatenate([[0.0], np.cumsum(w)]) for w in (weight, ours))
+        lo, hi = starts - first, stops - first - k + 1
+        common = np.minimum(ours[hi] - ours[lo], total)
+        bound = common / (total + weight[hi] - weight[lo] - common)
+        best = (0, 0, -1.0)
+        for i in np.argsort(-bound, kind="stable"):
+            if bound[i] < max(SIMILARITY, best[2]) - 1e-6:
+                break
+            s = self.similarity(item, _grams(hashes[starts[i]:stops[i]]))
+            if s > best[2] or s == best[2] and starts[i] < best[0]:
+                best = int(starts[i]), int(stops[i] - starts[i]), s
+        return best
+
     def _maybe(self) -> np.ndarray:
         if not hasattr(self, "_flags"):
             self._flags = np.zeros(1 << 20, bool)
@@ -177,7 +225,8 @@ class Index:
         words = split_words(texts)
         hashes = words.hashes()[words.codes]
         best: dict[tuple[int, int], tuple] = {}
-        for doc, start, length in self.windows(hashes, words.offsets):
+        hits = self.hits(hashes, words.offsets)
+        for doc, start, length in self.windows(hits, words.offsets):
             own = hashes[start:min(start + length, words.offsets[doc + 1])]
             near = self.within_radius(self.fingerprint(own))
             grams = _grams(own) if len(near) else None
@@ -188,6 +237,11 @@ class Index:
                 s = self.similarity(item, grams)
                 if s >= SIMILARITY and s > best.get((doc, i), (0, 0, -1.0))[2]:
                     best[doc, i] = (start - int(words.offsets[doc]), len(own), s)
+        for k, doc, i, at in self.reaching(hits):
+            low, end = int(words.offsets[doc]), int(words.offsets[doc + 1])
+            start, n, s = self.best_window(k, self.items[i], hashes, end, low, at)
+            if s >= SIMILARITY and s > best.get((doc, i), (0, 0, -1.0))[2]:
+                best[doc, i] = (start - low, n, s)
         return [(doc, int(i), *b) for (doc, i), b in sorted(best.items())]
 
 

@@ -1,5 +1,7 @@
 import random
 
+import pyarrow as pa
+
 from ordersentry.llm import decontaminate
 from ordersentry.llm.decontaminate import Index
 
@@ -58,6 +60,32 @@ def test_against_every_window(spark, docs):
     assert all(0.8 <= got[k] <= expected[k] + 1e-9 for k in expected)          # the best of the windows that a hit starts
 
 
+def test_edge_edits_of_short_items(spark, docs):
+    rng = random.Random(14)
+    common = prose(rng, 12, 40)
+    items = [(i, prose(rng, rng.randrange(10, 31), 40) if i % 2 else rng.sample(common, 9) + prose(rng, rng.randrange(4, 16), 40)) for i in range(150)]
+    rows = []
+    for i, item in items:
+        for edits in (0, 1, 2):
+            w = list(item)
+            for e in range(edits):
+                w[-1 if e == 0 else rng.choice([0, -2])] = f"u{rng.randrange(10 ** 6)}"
+            rows.append((len(rows), " ".join(prose(rng, rng.randrange(9)) + w + prose(rng, rng.randrange(9)))))
+    table = spark.createDataFrame([(i, " ".join(w), "x") for i, w in items], BENCH)
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.matches(docs(rows), table).collect()}
+    bench = Index([(i, " ".join(w)) for i, w in items])
+    expected = {}
+    for d, t in rows:                                           # three documents for every item
+        item, split = bench.items[d // 3], decontaminate.split_words(pa.array([t], pa.large_string()))
+        h = split.hashes()[split.codes]
+        s = max(bench.similarity(item, decontaminate._grams(h[x:x + item.length])) for x in range(len(h) - 4))
+        if s >= 0.8:
+            expected[d, d // 3] = s
+    assert len(expected) > 200
+    assert {k for k in expected if k not in got} == set()
+    assert all(got[k] >= expected[k] - 1e-9 for k in expected)
+
+
 def test_radius_lookup_is_complete():
     rng = random.Random(13)
     index = Index([(i, " ".join(prose(rng, 30))) for i in range(300)])
