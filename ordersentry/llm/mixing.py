@@ -5,18 +5,22 @@ Sources sorted by code point (null last) weigh 5, 2, 1, repeating, and share
 own words, and what a capped source leaves is shared among the others by
 weight (water filling: target = min(cap, level * weight)).
 
-The order of the mix is a low-discrepancy schedule: slot i maps the base-2
-van der Corput point of i through the cumulative target shares to a source,
-so every stretch of slots holds each source in its share.  The r-th slot of
-a source takes the r-th of its equal-token blocks.  A source's blocks are
-cut from its documents in shuffled order (a hash of the id); after its last
-block a new pass begins, ``max_repeat`` passes at most, so no document is
-taken more often.
+A source's words, its documents in shuffled order (a hash of the id), are cut
+into blocks of equal size (to a word), ``block_words`` at most.  The source
+gets as many slots as its target, rounded to a word, needs: the r-th slot
+takes the r-th block, after the last block a new pass begins, and the last
+slot takes only the words still due.  So every source, however small, takes its
+target to a word, and no document is taken more than ``max_repeat`` times.
+
+The order of the mix is a low-discrepancy schedule: the slots are numbered
+source by source, and the mix takes them in the order of the base-2 van der
+Corput sequence (numbers with their bits reversed), so every stretch of the
+mix holds each source in its share of the slots.
 
 Ranks and word positions are two-level running sums (bucket totals, then
 inside a bucket), so a source with a third of all rows is spread over many
-tasks.  The map from a point to its source is an equi-join on cells of the
-unit interval.
+tasks.  The map from a number to its source is an equi-join on cells of the
+numbers.
 
 Defined cases: null text or text without words has size 0 and takes 0;
 null source is a source of its own, last; repeated rows are mixed as
@@ -26,8 +30,6 @@ reruns agree, since order depends on ids and texts only.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,27 +63,50 @@ def source_targets(sizes: DataFrame, budget: float = 1.5, max_repeat: int = 2) -
     return per.select("src", "source", "rows", "source_size", "weight", target.alias("target"))
 
 
-def van_der_corput(i: Column, bits: int = 48) -> Column:
-    """Base-2 van der Corput point of a non-negative integer below 2^bits (exact in double)."""
-    return F.conv(F.reverse(F.lpad(F.bin(i), bits, "0")), 2, 10).cast("double") / F.lit(float(2 ** bits))
+def bit_reversed(i: Column, bits: int) -> Column:
+    """The non-negative integer below 2^bits whose bits are those of ``i`` in reverse."""
+    return F.conv(F.reverse(F.lpad(F.bin(i), bits, "0")), 2, 10).cast("long")
+
+
+def blocks_of(targets: DataFrame, block_words: int = 64) -> DataFrame:
+    """Per source with words: ``n_blocks``, the first ``longer`` of ``short + 1``
+    words and the others of ``short``; ``due`` words to take, in ``n_slots``
+    slots, the last of ``last_words``."""
+    ceil = F.expr(f"source_size div {block_words} + cast(source_size % {block_words} > 0 as bigint)")
+    per = (targets.filter("source_size > 0").withColumn("n_blocks", ceil).withColumn("due", F.floor(F.col("target") + F.lit(0.5)))
+           .withColumn("short", F.expr("source_size div n_blocks")).withColumn("longer", F.expr("source_size % n_blocks"))
+           .withColumn("rest", F.expr("due % source_size")))
+    last = block_at(F.col("rest") - 1)                           # the block that the last pass ends in
+    per = per.withColumn("n_slots", F.expr("due div source_size") * F.col("n_blocks") + F.when(F.col("rest") > 0, last + 1).otherwise(0))
+    cut = F.when(F.col("rest") > 0, F.col("rest") - block_start(last)).otherwise(block_start(F.col("n_blocks")) - block_start(F.col("n_blocks") - 1))
+    return per.select("src", "n_blocks", "short", "longer", "due", "n_slots", cut.alias("last_words"))
+
+
+def block_start(block: Column) -> Column:
+    return block * F.col("short") + F.least(block, F.col("longer"))
+
+
+def block_at(word: Column) -> Column:
+    """The block that holds the word."""
+    in_longer = F.col("longer") * (F.col("short") + 1)
+    return F.when(word < in_longer, F.floor(word / (F.col("short") + 1))).otherwise(F.col("longer") + F.floor((word - in_longer) / F.col("short")))
 
 
-def slots(targets: DataFrame, block_words: int = 64, chunk_bits: int = 14) -> DataFrame:
-    """The schedule: (slot, src, rank), rank counting the slots of one source."""
-    spark = targets.sparkSession
-    total = targets.agg(F.sum("target")).first()[0] or 0.0
-    n_sources = targets.count()
-    n_slots = math.ceil(total / block_words)
-    cells = max(64, 4 * n_sources)
+def slots(blocks: DataFrame, chunk_bits: int = 14) -> DataFrame:
+    """The schedule: (slot, src, rank), rank counting the slots of one source;
+    slots are ordered, not without gaps."""
+    spark = blocks.sparkSession
+    n_slots, n_sources = blocks.agg(F.sum("n_slots"), F.count(F.lit(1))).first()
+    n_slots = n_slots or 0
+    bits = max(0, n_slots - 1).bit_length()
+    width = max(1, n_slots // max(64, 4 * n_sources))
     upto = Window.orderBy("src").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    shares = (targets.withColumn("hi", F.sum("target").over(upto) / F.lit(total or 1.0))
-              .withColumn("hi", F.when(F.col("src") == n_sources - 1, F.lit(1.0)).otherwise(F.col("hi")))
-              .withColumn("lo", F.coalesce(F.lag("hi").over(Window.orderBy("src")), F.lit(0.0)))
+    shares = (blocks.select("src", "n_slots", F.sum("n_slots").over(upto).alias("hi")).withColumn("lo", F.col("hi") - F.col("n_slots"))
               .filter("hi > lo")
-              .select("src", "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") * cells), F.floor(F.col("hi") * cells))).alias("cell")))
-    points = spark.range(n_slots).select(F.col("id").alias("slot"), van_der_corput(F.col("id")).alias("u"))
-    placed = (points.withColumn("cell", F.floor(F.col("u") * cells)).join(shares, "cell")
-              .filter((F.col("lo") <= F.col("u")) & (F.col("u") < F.col("hi")))
+              .select("src", "lo", "hi", F.explode(F.sequence(F.expr(f"lo div {width}"), F.expr(f"(hi - 1) div {width}"))).alias("cell")))
+    numbers = spark.range(1 << bits if n_slots else 0).select(F.col("id").alias("slot"), bit_reversed(F.col("id"), max(1, bits)).alias("number"))
+    placed = (numbers.filter(F.col("number") < n_slots).withColumn("cell", F.expr(f"number div {width}")).join(shares, "cell")
+              .filter("lo <= number AND number < hi")
               .select("slot", "src", F.shiftright("slot", chunk_bits).alias("chunk")))
     inside = Window.partitionBy("chunk", "src").orderBy("slot")
     ranked = placed.withColumn("inside", F.row_number().over(inside) - 1)
@@ -107,30 +132,36 @@ def mix(docs: DataFrame, budget: float = 1.5, max_repeat: int = 2, block_words:
     """``(documents, schedule)``.
 
     ``documents``: per input row doc_id, source, size, source_size, target, taken,
-    tie (a hash of the text).  ``schedule``: rows (slot, src, pass, block): slot order is the
-    mix's order, and a block is the words ``[block * block_words, (block + 1)
-    * block_words)`` of its source in shuffled order."""
+    tie (a hash of the text).  ``schedule``: rows (slot, src, pass, block, first, words):
+    slot order is the mix's order, and a slot takes the words ``[first, first + words)``
+    of its source in shuffled order."""
     sizes = saved(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
                               word_count(text).alias("size"),
                               F.xxhash64(F.lit(seed), F.col(doc_id).cast("long")).alias("key"),
                               F.xxhash64(F.col(text).cast("string")).alias("tie")), "mix-sizes")
     targets = saved(source_targets(sizes, budget, max_repeat), "mix-targets")
-    n_blocks = F.ceil(F.col("source_size") / block_words)
-    schedule = (slots(targets, block_words).join(targets.select("src", n_blocks.alias("n_blocks")), "src")
-                .filter(F.col("rank") < F.col("n_blocks") * max_repeat)
-                .select("slot", "src", F.floor(F.col("rank") / F.col("n_blocks")).alias("pass"),
-                        (F.col("rank") % F.col("n_blocks")).alias("block")))
+    blocks = saved(blocks_of(targets, block_words), "mix-blocks")
+    whole = block_start(F.col("block") + 1) - F.col("first")
+    schedule = (slots(blocks).join(blocks, "src")
+                .withColumn("pass", F.expr("rank div n_blocks")).withColumn("block", F.expr("rank % n_blocks"))
+                .withColumn("first", block_start(F.col("block")))
+                .select("slot", "src", "pass", "block", "first",
+                        F.when(F.col("rank") == F.col("n_slots") - 1, F.col("last_words")).otherwise(whole).alias("words")))
     known = targets.withColumnRenamed("source", "_source")
     docs_in = sizes.join(known, sizes["source"].eqNullSafe(known["_source"])).drop("_source")
     placed = positions(docs_in, targets)
-    first, last = F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words)
-    pieces = (placed.filter("size > 0").select("src", "start", "size", F.explode(F.sequence(first, last)).alias("block"))
-              .withColumn("words", F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
-                          - F.greatest(F.col("start"), F.col("block") * block_words)))
-    visits = schedule.groupBy("src", "block").agg(F.count(F.lit(1)).alias("visits"))
+    first, last = block_at(F.col("start")), block_at(F.col("start") + F.col("size") - 1)
+    pieces = (placed.filter("size > 0").join(blocks.select("src", "short", "longer"), "src")
+              .withColumn("block", F.explode(F.sequence(first, last)))
+              .withColumn("lo", F.greatest(F.col("start"), block_start(F.col("block"))))
+              .withColumn("hi", F.least(F.col("start") + F.col("size"), block_start(F.col("block") + 1)))
+              .select("src", "start", "block", "lo", "hi"))
+    # A block's visits differ in words only where the last slot takes less than all.
+    visits = schedule.groupBy("src", "block", "first", "words").agg(F.count(F.lit(1)).alias("visits"))
+    words = F.greatest(F.least(F.col("hi"), F.col("first") + F.col("words")) - F.col("lo"), F.lit(0))
     # Every row with words has a start of its own inside its source.
     taken = (pieces.join(visits, ["src", "block"]).groupBy("src", "start")
-             .agg(F.sum(F.col("words") * F.col("visits")).alias("taken")).withColumn("has_words", F.lit(True)))
+             .agg(F.sum(words * F.col("visits")).alias("taken")).withColumn("has_words", F.lit(True)))
     out = (placed.withColumn("has_words", F.col("size") > 0).join(taken, ["src", "start", "has_words"], "left")
            .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "tie"))
     return out, schedule

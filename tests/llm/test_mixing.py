@@ -50,6 +50,34 @@ def test_mix_meets_targets(docs):
             assert abs(part.count(i) / 400 - target[s] / sum(target.values())) < 0.05
 
 
+def test_tiny_sources_beside_a_hot_one_take_their_targets(docs):
+    rows = [(i, "w " * 100, "hot") for i in range(1000)]
+    for k in range(60):                                 # 20 to 1000 words each; "a.." and "t.." stand on both sides of the hot one
+        n = (20, 60, 65, 200, 1000)[k % 5]
+        rows += [(10_000 + 100 * k + j, "w " * (n // 5), f"{'at'[k % 2]}{k:03}") for j in range(5)]
+    d = docs(rows)
+    documents, schedule = mixing.mix(d, budget=1.2)
+    size, taken, target = defaultdict(int), defaultdict(int), {}
+    for r in documents.collect():
+        size[r["source"]] += r["size"]
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+        assert 0 <= r["taken"] <= 2 * r["size"]
+    assert all(abs(taken[s] - target[s]) <= 0.5 for s in size)
+    assert any(target[s] == 2 * size[s] for s in size if s != "hot")
+    slots, blocks = schedule.collect(), defaultdict(int)
+    names = sorted(size, key=str.encode)
+    for r in slots:
+        assert 0 < r["words"] <= 64 and 0 <= r["first"] and r["first"] + r["words"] <= size[names[r["src"]]]
+        blocks[names[r["src"]]] += r["words"]
+    assert blocks == taken and len({r["slot"] for r in slots}) == len(slots)
+    assert len({(r["src"], r["pass"], r["block"]) for r in slots}) == len(slots)
+    kept = defaultdict(int)
+    for r in mixing.take_documents(d, budget=1.2).collect():
+        kept[r["source"]] += len(words(r["text"]))
+    assert all(kept[s] == target[s] for s in size if target[s] == 2 * size[s])
+
+
 def test_mix_without_words(docs):
     for rows in ([], [(1, None, "a"), (2, "", None)]):
         got = mixing.mix(docs(rows))[0].collect()
