@@ -59,6 +59,40 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+OP12 = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+m AS (
+  SELECT doc_id, part,
+         CAST(len(w) < 200 AS INTEGER) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INTEGER)
+         + 4 * CAST(100 * (length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 2 * length(text) AS INTEGER)
+         + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INTEGER)
+         + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS INTEGER) AS mask FROM w),
+l AS (SELECT doc_id, coalesce(max(CAST(quality = 1 AS INTEGER)), 0) AS good, coalesce(max(CAST(toxic = 1 AS INTEGER)), 0) AS toxic
+      FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+      FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (SELECT [a.f, b.f, c.f, d.f, e.f] AS fs, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+      FROM f a JOIN f b ON b.bit <> a.bit JOIN f c ON c.bit NOT IN (a.bit, b.bit) JOIN f d ON d.bit NOT IN (a.bit, b.bit, c.bit)
+      JOIN f e ON e.bit NOT IN (a.bit, b.bit, c.bit, d.bit)),
+s AS (SELECT array_to_string(fs, '') AS filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS before
+      FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+r AS (SELECT part, filter_order, step, bit,
+             sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN mask & before <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM c, s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk": OP2, "op4_jaccard": OP4, "op9_chat": OP9, "op10_warc": OP10}
+    return {"op2_topk": OP2, "op4_jaccard": OP4, "op9_chat": OP9, "op10_warc": OP10, "op12_filter_audit": OP12}

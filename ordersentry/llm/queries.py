@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, language_model, mixing, quality, substrings, token_store, topk, warc
+from . import (chat, decontaminate, filter_audit, jaccard, language_model, mixing, quality, simhash, substrings, token_store, topk, warc,
+               whitening)
 from .common import remainder, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +82,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_index(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def queries() -> dict[str, Query]:
     own = {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
     return {**own, "pipeline": corpus_pipeline.run}
