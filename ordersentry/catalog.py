@@ -79,7 +79,7 @@ def fraud_first_rule(spark, sf_dir):
 def fraud_alerts(spark, sf_dir):
     """S3: what the alert topic receives, in message columns (frauds only)."""
     cols = [f.name for f in ORDER_EVENT.fields]
-    return _dom(spark, sf_dir).screened().filter(F.col("status") == FRAUD).select(*cols)
+    return _dom(spark, sf_dir).screened(attribution=False).filter(F.col("status") == FRAUD).select(*cols)
 
 
 def amount_enrich(spark, sf_dir):
@@ -129,9 +129,9 @@ def upsert_orders(spark, sf_dir):
     # The stored raw_orders table: screened once and written (reliable
     # checkpoint in the cluster's checkpoint folder), then read twice.
     checkpoint_dir(spark)
-    screened = d.screened().checkpoint()
+    screened = d.screened(attribution=False).checkpoint()
     target = raw_orders(screened)
-    frauds = screened.filter(F.col("status") == FRAUD).drop("first_rule", "partition")
+    frauds = screened.filter(F.col("status") == FRAUD).drop("partition")
     versions = F.explode(F.array(F.col("seq") * 2, F.col("seq") * 2 + 1)).alias("ord")
     incoming = (frauds.select("*", versions)
                 .withColumn("status", F.when(F.col("ord") % 2 == 1, F.lit(GENUINE)).otherwise(F.col("status")))

@@ -23,20 +23,31 @@ whole stream would put every row in one task, so arrival order is cut into
 blocks of ``buffer_size``: a row's buffer lies in its own block and the one
 before.  Each row is sent to its own block, and a narrow copy (its other
 columns NULL) to the next block as context: one scan of the input, one
-shuffle on (partition, block).
-Every window group holds at most ``2 * buffer_size`` rows whatever the key
-distribution, so a hot user, product or stream partition cannot overload a
-task.  In one Window operator each group is collected once (each row then
-slices its buffer by position) and a running ``max`` finds whether an
-earlier order of the group is recent; only then are the rules evaluated, by
-Spark's higher-order array functions on the JVM.  No Python runs per row.
+shuffle on (partition, block).  Every window group holds at most
+``2 * buffer_size`` rows whatever the key distribution, so a hot user, product
+or stream partition cannot overload a task, and all further steps only sort
+inside a task.  No buffer is ever materialized:
+
+* bot_a needs the latest time among the buffer's earlier orders with the same
+  user and product: a maximum over a RANGE frame of arrival numbers.
+* bot_c needs the latest time of any earlier order and of one with another
+  (product, quantity).  Both come from a sliding maximum that keeps the best
+  time and the best time of a different (product, quantity); such pairs merge,
+  so windows of 6, 36, ... rows are built from each other by ``lag`` and
+  overlap to the exact width (a maximum may count a row twice).
+* bot_b, given bot_c, needs the user ids of the recent orders, which all share
+  one (product, quantity), to rise.  Among the buffer's orders of that
+  (product, quantity) the recent ones are the last ones as long as times don't
+  fall, and a RANGE maximum over "id falls after this order" answers it.  Only
+  for an order whose buffer holds such orders with falling (back-dated) times
+  is the buffer spelled out, as rows, and its recent orders compared in turn.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import FRAUD, GENUINE
@@ -89,131 +100,153 @@ def row_rules(df: DataFrame, params: FraudParams = DEFAULT) -> DataFrame:
 
 
 # ------------------------------------------------------ rolling buffer
-_BUF = "_buf"
+_RADIX = 6                    # widths 1, 6, 36: three steps for 199 rows
 
 
-def with_buffer(df: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...] = ("partition",),
+def with_blocks(df: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...] = ("partition",),
                 params: FraudParams = DEFAULT) -> DataFrame:
-    """Attach ``_item`` (the row as a compact struct), ``_buf`` (the last
-    ``buffer_size`` items of the row's stream partition in arrival order,
-    itself last) and ``_prev_t`` (the latest event time among the items
-    before it in its group, which hold its buffer).
+    """Every row in its own block (``_blk``, ``_own`` true) and, with its other
+    columns NULL, in the next one; ``_u``, ``_p``, ``_q``, ``_n``, ``_t`` are user,
+    product, quantity, numeric user id and event time (micros) in both.
 
     ``seq`` must be dense per partition (0, 1, 2, ... without gaps); Kafka
     offsets of an uncompacted topic are.  Use :func:`dense_sequence` first
     otherwise.
     """
-    n = params.buffer_size
-    blk = F.expr(f"`{seq}` div {n}")  # exact integer block number
-    item = F.struct(
-        F.col("user_id").alias("u"),
-        F.col("product_id").alias("p"),
-        F.col("quantity").cast("long").alias("q"),
-        user_number(F.col("user_id")).alias("n"),
-        micros(F.col("event_ts")).alias("t"),
-    )
     # Own row and context copy come from one read of the input (a union of two
-    # selections would scan and price it twice); the copy carries no other columns.
-    place = F.array(F.struct(blk.alias("_blk"), F.lit(True).alias("_own")),
-                    F.struct((blk + 1).alias("_blk"), F.lit(False).alias("_own")))
+    # selections would scan and price it twice).
     narrow = {*partition_cols, seq}
-    both = df.select("*", item.alias("_item"), F.inline(place)).select(
-        *[F.col(c) if c in narrow else F.when(F.col("_own"), F.col(c)).alias(c) for c in df.columns],
-        "_item", "_blk", "_own")
-    # The whole group (at most 2 * n rows) is collected once, in arrival
-    # order; each row then takes its last n entries by position.  A sliding
-    # ROWS frame would re-aggregate n rows for every row.
-    group = Window.partitionBy(*partition_cols, "_blk").orderBy(seq)
-    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # Latest event time among the group's earlier arrivals, the buffer among
-    # them: when it is not recent, the buffer holds no other recent order and
-    # no bot rule can fire, so the rules skip the buffer scan (a running max).
-    before = group.rowsBetween(Window.unboundedPreceding, -1)
-    out = both.select("*", F.collect_list("_item").over(whole).alias("_grp"),
-                      F.row_number().over(group).alias("_pos"),
-                      F.max("_item.t").over(before).alias("_prev_t")).filter(F.col("_own"))
-    start = F.greatest(F.col("_pos") - (n - 1), F.lit(1))
-    keep = [c for c in out.columns if c not in ("_grp", "_pos", "_own", "_blk")]
-    return out.select(*keep, F.slice("_grp", start, F.col("_pos") - start + 1).alias(_BUF))
-
-
-def _buffer_facts(params: FraudParams) -> Column:
-    """All bot facts in one expression: the buffer is filtered by time once
-    (W2), then one pass over the recent orders counts them (``n_rec``),
-    those with the current user and product (``n_up``) and with the current
-    product and quantity (``n_pq``), and checks that their numeric user ids
-    are present and never decrease (``ids_rise``); ``fire`` = bot_a or bot_c.
-
-    Rows with no other recent order in their buffer (``_prev_t``) skip the
-    scan: they are alone in ``rec`` and no bot rule can fire.
-
-    One expression on purpose: a filter on the verdict is pushed below the
-    projection and inlines every reference, so rules reading the buffer
-    separately would re-scan it once per reference.  It is written as one
-    SQL expression (Spark's lambda syntax) so the driver builds it in a
-    single call.
-    """
-    w = params.window_micros
-    return F.expr(f"""
-        CASE WHEN coalesce(_prev_t > _item.t - {w}, false) THEN
-          aggregate(
-            filter(_buf, x -> x.t > _item.t - {w}),
-            named_struct('n_rec', 0, 'n_up', 0, 'n_pq', 0, 'ids_rise', true,
-                         'last_n', CAST(NULL AS BIGINT)),
-            (acc, x) -> named_struct(
-              'n_rec', acc.n_rec + 1,
-              'n_up', acc.n_up + CAST(x.u <=> _item.u AND x.p <=> _item.p AS INT),
-              'n_pq', acc.n_pq + CAST(x.p <=> _item.p AND x.q <=> _item.q AS INT),
-              'ids_rise', acc.ids_rise AND x.n IS NOT NULL AND coalesce(acc.last_n <= x.n, true),
-              'last_n', x.n),
-            acc -> named_struct(
-              'n_up', acc.n_up,
-              'bot_c', acc.n_rec >= 2 AND acc.n_pq = acc.n_rec,
-              'ids_rise', acc.ids_rise,
-              'fire', acc.n_up >= 2 OR (acc.n_rec >= 2 AND acc.n_pq = acc.n_rec)))
-        ELSE named_struct('n_up', 1, 'bot_c', false, 'ids_rise', true, 'fire', false)
-        END""")
+    wide = [f"`{c}`" if c in narrow else f"IF(_own, `{c}`, NULL) AS `{c}`" for c in df.columns]
+    return df.select(
+        "*", F.col("user_id").alias("_u"), F.col("product_id").alias("_p"), F.col("quantity").cast("long").alias("_q"),
+        user_number(F.col("user_id")).alias("_n"), micros(F.col("event_ts")).alias("_t"),
+        F.expr(f"inline(array(struct(`{seq}` div {params.buffer_size} AS _blk, true AS _own), "
+               f"struct(`{seq}` div {params.buffer_size} + 1 AS _blk, false AS _own)))"),
+    ).selectExpr(*wide, "_u", "_p", "_q", "_n", "_t", "_blk", "_own")
 
 
-# ------------------------------------------------------ rules and verdict
-def rule_columns(params: FraudParams = DEFAULT) -> dict[str, Column]:
-    """The six rule flags (F1-F6) over a frame with the row-rule columns and
-    ``_facts`` (the buffer facts)."""
-    facts = F.col("_facts")
-    return {
-        "f_country": F.col("f_country"),
-        "f_night_quantity": F.col("f_night_quantity"),
-        "f_night_amount": F.col("f_night_amount"),
-        "bot_a": facts["n_up"] >= 2,
-        "bot_b": facts["bot_c"] & facts["ids_rise"],
-        "bot_c": facts["bot_c"],
-    }
+def _names(cols) -> str:
+    return ", ".join(f"`{c}`" for c in cols)
+
 
+def latest_times(blocks: DataFrame, seq: str, partition_cols: tuple[str, ...], before: int) -> DataFrame:
+    """Add ``_any``, the latest event time among the ``before`` earlier
+    arrivals, and ``_other``, the latest among those with another product or
+    quantity.
 
+    A row's state is ``_best`` (time, (product, quantity)) and ``_rest``, the
+    latest time of a different (product, quantity).  Merging states: the best
+    is the greatest; what competes for the rest is, per state, its rest if it
+    has the same (product, quantity) as the winner, else its best.
+    """
+    if before < 1:
+        return blocks.selectExpr("*", "CAST(NULL AS BIGINT) AS _any", "CAST(NULL AS BIGINT) AS _other")
+    keep = [f"`{c}`" for c in blocks.columns]
+    over = f"OVER (PARTITION BY {_names(partition_cols)}, _blk ORDER BY `{seq}`)"
+    state = blocks.selectExpr(*keep, "named_struct('p', _p, 'q', _q) AS _key", "CAST(NULL AS BIGINT) AS _rest").selectExpr(
+        *keep, "_key", "_rest", "IF(_t IS NULL, NULL, named_struct('t', _t, 'k', _key)) AS _best")
+    keep.append("_key")
+
+    def merged(frame, lags, own, single):
+        """States of the rows ``lags`` before (and the row's own) as one;
+        ``single``: states of one row each, which have no rest."""
+        many = [*(["_best"] if own else []), *(f"_b{i}" for i in lags)]
+        rest = [*(["_rest"] if own else []), *(f"_r{i}" for i in lags)]
+        columns = [("_best", "_b")] if single else [("_best", "_b"), ("_rest", "_r")]
+        look = [f"lag({c}, {i}) {over} AS {a}{i}" for i in lags for c, a in columns]
+        best = f"greatest({', '.join(many)})" if len(many) > 1 else many[0]
+        of = [f"IF({m}.k <=> _top.k, {'NULL' if single else r}, {m}.t)" for m, r in zip(many, rest)]
+        second = f"greatest({', '.join(of)})" if len(of) > 1 else of[0]
+        return (frame.selectExpr(*keep, "_best", "_rest", *look).selectExpr(*keep, *many, *([] if single else rest), f"{best} AS _top")
+                .selectExpr(*keep, "_top AS _best", f"CAST({second} AS BIGINT) AS _rest"))
+
+    width = 1
+    while width * _RADIX <= before:
+        state = merged(state, [width * i for i in range(1, _RADIX)], own=True, single=width == 1)
+        width *= _RADIX
+    ends = sorted({*range(1, before - width + 2, width), before - width + 1})
+    return merged(state, ends, own=False, single=width == 1).selectExpr(
+        *keep[:-1], "_best.t AS _any", "IF(_best.k <=> _key, _rest, _best.t) AS _other")
+
+
+def _rising_ids(rows: DataFrame, seq: str, partition_cols: tuple[str, ...], params: FraudParams) -> DataFrame:
+    """Add ``_rise`` to own rows with ``_c`` (bot_c): the numeric ids of the
+    recent orders are present and never decrease.  Context copies end here."""
+    before, thr = params.buffer_size - 1, f"_t - {params.window_micros}"
+    keep = [f"`{c}`" for c in rows.columns]
+    same = f"PARTITION BY {_names(partition_cols)}, _blk, _p, _q"
+    frame = f"OVER ({same} ORDER BY `{seq}` RANGE BETWEEN {before} PRECEDING AND"
+    earliest = "coalesce({}, -9223372036854775808)"
+    looked = rows.selectExpr(*keep, f"lead(_n) OVER ({same} ORDER BY `{seq}`) AS _next_n",
+                             f"lead({earliest.format('_t')}) OVER ({same} ORDER BY `{seq}`) AS _next_t")
+    events = looked.selectExpr(*keep, "IF(_next_n < _n, _t, NULL) AS _drop", "IF(_n IS NULL, _t, NULL) AS _unnumbered",
+                               f"_next_t < {earliest.format('_t')} AS _fall")
+    whole = f"OVER ({same} ORDER BY `{seq}` ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    slid = events.selectExpr(*keep, f"max(_drop) {frame} 1 PRECEDING) AS _drop", f"max(_unnumbered) {frame} CURRENT ROW) AS _unnumbered",
+                             f"max(_fall) {frame} 1 PRECEDING) AS _fall",
+                             # The last order that may have to be spelled out: times fall somewhere in its group.
+                             f"IF(max(_fall) {whole}, max(IF(_own AND _c, `{seq}`, NULL)) {whole}, NULL) AS _last")
+    last = slid.selectExpr(*keep, f"NOT coalesce(_drop > {thr}, false) AND NOT coalesce(_unnumbered > {thr}, false) AS _rise",
+                           "_own AND _c AND coalesce(_fall, false) AS _spell", "_last")
+    # Every earlier order of the (product, quantity) is copied to the orders to spell out.
+    copies = last.selectExpr(*keep, "_rise", "_spell", f"explode(IF(_last > `{seq}`, sequence(`{seq}`, least(`{seq}` + {before}, _last)), "
+                                                       f"array(`{seq}`))) AS _for")
+    own = f"`{seq}` = _for"
+    inner = {*partition_cols, seq, "_p", "_q", "_n", "_t", "_blk"}
+    copies = copies.selectExpr(*[k if k.strip("`") in inner else f"IF({own}, {k}, NULL) AS {k}" for k in keep], "_for",
+                               f"IF({own}, _rise, NULL) AS _rise", f"{own} AND _spell AS _spell")
+    asked = copies.selectExpr("*", f"max(IF(_spell, _t, NULL)) OVER ({same}, _for) - {params.window_micros} AS _from")
+    asked = asked.filter(f"{own} OR _t > _from")
+    turn = asked.selectExpr("*", f"lag(_n) OVER ({same}, _for ORDER BY `{seq}`) AS _before_n")
+    turn = turn.selectExpr("*", f"max(_n IS NULL OR coalesce(_before_n > _n, false)) OVER ({same}, _for ORDER BY `{seq}`) AS _falls")
+    return turn.filter(f"{own} AND _own").selectExpr(*keep, "IF(_spell, NOT _falls, _rise) AS _rise")
+
+
+def bot_facts(df: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...] = ("partition",),
+              params: FraudParams = DEFAULT, attribution: bool = True) -> DataFrame:
+    """Add ``bot_a`` and ``bot_c`` (F4, F6) and, with ``attribution``, ``bot_b``."""
+    before, thr = params.buffer_size - 1, f"_t - {params.window_micros}"
+    blocks = with_blocks(df, seq, partition_cols, params)
+    rows = latest_times(blocks, seq, partition_cols, before)
+    keep = [f"`{c}`" for c in rows.columns if c not in ("_any", "_other")]
+    same = (f"OVER (PARTITION BY {_names(partition_cols)}, _blk, _u, _p ORDER BY `{seq}` "
+            f"RANGE BETWEEN {before} PRECEDING AND 1 PRECEDING)") if before else None
+    rows = rows.selectExpr(*keep, f"coalesce(_any > {thr} AND NOT coalesce(_other > {thr}, false), false) AS _c",
+                           f"max(_t) {same} AS _pair" if same else "CAST(NULL AS BIGINT) AS _pair")
+    rows = rows.selectExpr(*keep, "_c", f"coalesce(_pair > {thr}, false) AS _a")
+    flags = ["_a AS bot_a", "_c AS bot_c"]
+    if attribution and before:
+        rows = _rising_ids(rows, seq, partition_cols, params)
+        flags.append("_c AND _rise AS bot_b")
+    else:
+        rows = rows.filter("_own")
+        flags += ["false AS bot_b"] if attribution else []
+    return rows.selectExpr(*[f"`{c}`" for c in df.columns], *flags)
+
+
+# ------------------------------------------------------ rules and verdict
 def screen(orders: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...] = ("partition",),
-           params: FraudParams = DEFAULT, keep_flags: bool = False) -> DataFrame:
+           params: FraudParams = DEFAULT, keep_flags: bool = False, attribution: bool = True) -> DataFrame:
     """Classify every order: ``status`` becomes ``Fraud`` / ``Genuine`` and
     ``first_rule`` names the first rule that fired (NULL when genuine).
 
     The input keeps all its columns; with ``keep_flags`` the six rule flags
     (``f_country``, ``f_night_quantity``, ``f_night_amount``, ``bot_a``,
-    ``bot_b``, ``bot_c``) are added too.
+    ``bot_b``, ``bot_c``) are added too.  ``attribution=False`` leaves out
+    ``first_rule`` (and with it bot_b, which never decides a verdict).
     """
-    out = with_buffer(row_rules(orders, params), seq, partition_cols, params)
-    out = out.withColumn("_facts", _buffer_facts(params))
-    flags = rule_columns(params)
-    # bot_b implies bot_c, so the verdict needs the row rules and "fire" only.
-    fraud = F.col("f_country") | F.col("f_night_quantity") | F.col("f_night_amount") | F.col("_facts.fire")
-    status = F.when(fraud, FRAUD).otherwise(GENUINE).alias("status")
-    first = F.coalesce(*[F.when(flags[flag], F.lit(name)) for flag, name in zip(RULES_FLAGS, RULES)]
-                       ).alias("first_rule")
-    cols = [status if c == "status" else F.col(c) for c in orders.columns]
+    if keep_flags and not attribution:
+        raise ValueError("the rule flags include bot_b, which needs attribution")
+    out = bot_facts(row_rules(orders, params), seq, partition_cols, params, attribution)
+    # bot_b implies bot_c, so the verdict does without it.
+    fraud = " OR ".join(f for f in RULES_FLAGS if f != "bot_b")
+    status = f"IF({fraud}, '{FRAUD}', '{GENUINE}') AS status"
+    cols = [status if c == "status" else f"`{c}`" for c in orders.columns]
     if "status" not in orders.columns:
         cols.append(status)
-    cols.append(first)
-    if keep_flags:
-        cols += [flags[name].alias(name) for name in RULES_FLAGS]
-    return out.select(*cols)
+    if attribution:
+        cols.append("CASE " + " ".join(f"WHEN {flag} THEN '{name}'" for flag, name in zip(RULES_FLAGS, RULES)) + " END AS first_rule")
+    return out.selectExpr(*cols, *(RULES_FLAGS if keep_flags else ()))
 
 
 # ----------------------------------------------------- dense arrival numbers

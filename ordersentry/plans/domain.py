@@ -39,12 +39,12 @@ class Domain:
     def order_events(self) -> DataFrame:
         return src.order_events(self.spark, self.sf_dir, self.variant, products=self.raw_products)
 
-    def screened(self, keep_flags: bool = False) -> DataFrame:
-        return fraud.screen(self.order_events, params=self.params, keep_flags=keep_flags)
+    def screened(self, keep_flags: bool = False, attribution: bool = True) -> DataFrame:
+        return fraud.screen(self.order_events, params=self.params, keep_flags=keep_flags, attribution=attribution)
 
     @cached_property
     def raw_orders(self) -> DataFrame:
-        return src.raw_orders(self.screened())
+        return src.raw_orders(self.screened(attribution=False))
 
     @cached_property
     def stg_users(self) -> DataFrame:

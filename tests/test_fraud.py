@@ -150,3 +150,56 @@ def test_dense_sequence_fills_gaps(spark):
     out = fraud.dense_sequence(df, "offset", block=8).orderBy("partition", "offset").collect()
     assert [(r.partition, r.offset, r.seq) for r in out] == [
         (0, 5, 0), (0, 9, 1), (0, 40, 2), (0, 41, 3), (1, 3, 0), (1, 1000, 1)]
+
+
+@pytest.mark.parametrize("seed,back,cap,window", [(1, 0.1, 200, 10), (2, 0.4, 200, 60), (3, 0.4, 20, 60), (4, 0.0, 5, 30), (5, 0.5, 2, 30)])
+def test_one_product_bursts_with_back_dated_times(spark, seed, back, cap, window):
+    """bot_b where nearly every recent order shares product and quantity, ids
+    mostly rise and times fall by less than the window."""
+    rnd = random.Random(seed)
+    t, n, rows = ts("2025-03-01 06:00:00"), 0, []
+    for i in range(450):
+        t += dt.timedelta(milliseconds=rnd.choice([0, 50, 400, 3000, 15000]))
+        n += rnd.choice([0, 1, 1, 1, 1, 1, 1, -1])
+        late = dt.timedelta(seconds=rnd.choice([1, 5, window - 1, window, 3 * window])) if rnd.random() < back else dt.timedelta(0)
+        rows.append({"order_id": f"O{i}", "user_id": "UX" if rnd.random() < 0.01 else f"U{n}", "product_id": "P1",
+                     "quantity": 2 if rnd.random() < 0.01 else 1, "event_ts": t - late})
+    orders = make_orders(rows)
+    want = brute.screen(orders, window=dt.timedelta(seconds=window), cap=cap)
+    assert run(spark, orders, params=fraud.FraudParams(buffer_size=cap, window_seconds=window)) == want
+    assert {r for _, r in want} >= {"bot_b"} and any(r == "bot_c" for _, r in want) == (cap > 2 or back > 0)
+
+
+def test_missing_times_products_and_quantities(spark):
+    """Orders without a time are never recent; missing products or quantities equal each other."""
+    t = ts("2025-03-01 06:00:00")
+    rows = [(None, None, t), (None, None, t), ("U1", None, None), ("U2", "P1", t), ("U2", "P1", None), ("U3", "P1", t)]
+    orders = make_orders([{"order_id": f"O{i}", "user_id": u, "product_id": p, "quantity": None, "event_ts": e} for i, (u, p, e) in enumerate(rows)])
+    got = run(spark, [dict(o, created_date=t) for o in orders])
+    assert [r for _, r in got] == [None, "bot_a", None, None, None, None]
+
+
+def test_buffer_of_one_order_has_no_bots(spark):
+    orders = random_stream(9, 120, 1, 1, 0.1)
+    got = run(spark, orders, params=fraud.FraudParams(buffer_size=1))
+    assert got == brute.screen(orders, cap=1) and not {r for _, r in got} & {"bot_a", "bot_b", "bot_c"}
+
+
+def test_no_buffer_is_materialized(spark):
+    import contextlib
+    import io
+    df = spark.createDataFrame([tuple(o[f.name] for f in SCHEMA.fields) for o in fixture_orders()], SCHEMA)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        fraud.screen(df, keep_flags=True).explain("formatted")
+    plan = out.getvalue()
+    assert "collect_list" not in plan and "aggregate(" not in plan
+    assert plan.count("Exchange (") == 1           # one shuffle, on (partition, block)
+
+
+def test_verdict_without_attribution(spark):
+    orders = random_stream(21, 500, 3, 2, 0.2)
+    df = spark.createDataFrame([tuple(o[f.name] for f in SCHEMA.fields) for o in orders], SCHEMA)
+    out = fraud.screen(df, attribution=False)
+    assert "first_rule" not in out.columns
+    assert [r.status for r in out.orderBy("seq").collect()] == [s for s, _ in brute.screen(orders)]
