@@ -25,6 +25,7 @@ from .session import checkpoint_dir, configure
 from .sources.ndjson import extract_day, read_days
 from .sources.tpch_domain import raw_orders
 from .streaming import replay
+from .streaming.screening import encode_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -295,6 +296,29 @@ def stream_quarantine(spark, sf_dir):
     return spark.read.parquet(f"{replay.replay(spark, sf_dir)}/quarantine").select("seq", "value")
 
 
+def stream_alerts(spark, sf_dir):
+    """S3: what the alert route received, committed together with the processed orders."""
+    configure(spark)
+    rows = replay.alerts(spark, replay.replay(spark, sf_dir))
+    return _unzoned(rows.select(*[f.name for f in ORDER_EVENT.fields]).withColumn("quantity", F.col("quantity").cast("long")))
+
+
+def stream_messages(spark, sf_dir):
+    """S2 + S3: the processed messages on the wire, read back field by field:
+    fields that are no order columns come through, only ``status`` is new."""
+    configure(spark)
+    sent = encode_orders(replay.processed(spark, replay.replay(spark, sf_dir)))
+    value = F.parse_json("value")
+
+    def field(path, kind, name):
+        return F.variant_get(value, path, kind).alias(name)
+
+    return sent.select("key", field("$.status", "string", "status"), field("$.amount_numeric", "long", "amount_numeric"),
+                       field("$.event_ts", "string", "event_ts"), field("$.client.channel", "string", "channel"),
+                       field("$.client.clicks[1]", "long", "second_click"), field("$.note", "string", "note"),
+                       F.size(F.json_object_keys("value")).alias("n_fields"))
+
+
 def stream_loaded_orders(spark, sf_dir):
     """T3 + C10: the raw_orders table that the loader makes of the processed stream."""
     configure(spark)
@@ -346,6 +370,8 @@ def queries() -> dict[str, Query]:
         "ledger_failed_run": ledger_failed_run,
         "stream_verdict": stream_verdict,
         "stream_quarantine": stream_quarantine,
+        "stream_alerts": stream_alerts,
+        "stream_messages": stream_messages,
         "stream_loaded_orders": stream_loaded_orders,
     })
     return q

@@ -394,6 +394,14 @@ SELECT source_table, 'FAILED' AS run_status, n AS row_ingested,
 SELECT event_id * 3 + 1 AS seq, '{"order_id": O' || event_id AS value FROM events WHERE event_id % 97 = 0
 UNION ALL
 SELECT event_id * 3 + 2, '{"order_id":"X' || event_id || '","event_ts":"not a time"}' FROM events WHERE event_id % 101 = 0""",
+    "stream_alerts": """
+SELECT order_id, user_id, product_id, quantity, amount, amount_numeric, country, verdict AS status,
+       created_date, event_ts, source
+FROM screened WHERE verdict = 'Fraud'""",
+    "stream_messages": """
+SELECT order_id AS key, verdict AS status, amount_numeric, strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS event_ts,
+       ['web', 'app', 'shop'][CAST(seq % 3 + 1 AS INTEGER)] AS channel, seq + 1 AS second_click, 'note ' || seq AS note, 13 AS n_fields
+FROM screened""",
     "stream_loaded_orders": f"SELECT {_RAW_COLS} FROM raw_orders",
     "rupiah_format": """
 SELECT order_id, amount_numeric,

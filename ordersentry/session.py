@@ -22,6 +22,8 @@ ENGINE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A message that repeats a field counts with the last one, as JSON readers commonly do.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -18,6 +18,7 @@ time; read with :func:`read_table`.  Insert-if-absent only appends.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -101,14 +102,32 @@ def _ranges(spark: SparkSession, path: str, version: int) -> dict[str, int]:
     return json.loads(spark.read.text(f"{path}/current/{version}.json", wholetext=True).first()[0])
 
 
-def _publish(spark: SparkSession, path: str, version: int, ranges: dict[str, int]) -> None:
-    fs, folder = _folder(spark, f"{path}/current")
-    new = spark._jvm.org.apache.hadoop.fs.Path(folder, f".{version}.tmp")
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, file = _folder(spark, path)
+    return fs.exists(file)
+
+
+def publish(spark: SparkSession, folder: str, name: str, text: str) -> None:
+    """Write ``folder/name`` in one step: readers see all of it or nothing.
+    An error when the name is there already."""
+    jvm = spark._jvm
+    fs, target = _folder(spark, folder)
+    new = jvm.org.apache.hadoop.fs.Path(target, f".{name}-{uuid.uuid4().hex}.tmp")
     out = fs.create(new, True)
-    out.write(bytearray(json.dumps(ranges), "utf-8"))
+    out.write(bytearray(text, "utf-8"))
     out.close()
-    if not fs.rename(new, spark._jvm.org.apache.hadoop.fs.Path(folder, f"{version}.json")):
-        raise RuntimeError(f"version {version} of {path} is already published; a table has one writer at a time")
+    # FileContext's rename refuses an existing target on every file system.
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsparkSession.sessionState().newHadoopConf())
+    options = spark.sparkContext._gateway.new_array(getattr(jvm, "org.apache.hadoop.fs.Options$Rename"), 0)
+    try:
+        context.rename(fs.makeQualified(new), fs.makeQualified(jvm.org.apache.hadoop.fs.Path(target, name)), options)
+    except Exception as exc:
+        fs.delete(new, False)
+        raise RuntimeError(f"{name} in {folder} is already published; there is one writer at a time") from exc
+
+
+def _publish(spark: SparkSession, path: str, version: int, ranges: dict[str, int]) -> None:
+    publish(spark, f"{path}/current", f"{version}.json", json.dumps(ranges))
 
 
 def _read_ranges(spark: SparkSession, path: str, part_col: str, ranges: dict[str, int]) -> DataFrame:

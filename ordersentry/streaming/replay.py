@@ -20,12 +20,13 @@ from ..schemas import ORDER_EVENT
 from ..session import checkpoint_dir
 from ..sources.tables import read_table
 from .loader import start_loader
-from .screening import parquet_sink, start_screening
+from .screening import RoutedSink, parquet_sink, read_routed, start_screening
 
 # Fixed values of the scenario (shared with the oracle SQL).
 OFFSET_STEP = 3               # offsets of orders: 0, 3, 6, ...
 MALFORMED_EVERY, UNREADABLE_EVERY = 97, 101
 PARTS = 3
+CHANNELS = ("web", "app", "shop")
 MESSAGE = "partition int, offset long, value string"
 
 
@@ -35,7 +36,10 @@ def messages(orders: DataFrame) -> DataFrame:
     fields = [F.date_format(f.name, iso[f.name]).alias(f.name) if f.name in iso else F.col(f.name) for f in ORDER_EVENT.fields]
     seq = F.col("seq")
     number = seq.cast("string")
-    good = F.struct((seq * OFFSET_STEP).alias("offset"), F.to_json(F.struct(*fields)).alias("value"))
+    # Fields that are no order columns, one of them nested.
+    extra = [F.struct(F.element_at(F.array(*map(F.lit, CHANNELS)), (seq % len(CHANNELS) + 1).cast("int")).alias("channel"),
+                      F.array(seq, seq + 1).alias("clicks")).alias("client"), F.concat(F.lit("note "), number).alias("note")]
+    good = F.struct((seq * OFFSET_STEP).alias("offset"), F.to_json(F.struct(*fields, *extra)).alias("value"))
     malformed = F.when(seq % MALFORMED_EVERY == 0, F.struct(
         (seq * OFFSET_STEP + 1).alias("offset"), F.concat(F.lit('{"order_id": O'), number).alias("value")))
     unreadable = F.when(seq % UNREADABLE_EVERY == 0, F.struct(
@@ -46,7 +50,7 @@ def messages(orders: DataFrame) -> DataFrame:
 
 
 def replay(spark: SparkSession, sf_dir: str) -> str:
-    """Screen the whole stream; returns the folder with ``processed`` and ``quarantine``."""
+    """Screen the whole stream; returns the folder with ``out`` (processed, alerts) and ``quarantine``."""
     root = f"{checkpoint_dir(spark).rstrip('/')}/replay-{uuid.uuid4().hex}"
     every = messages(Domain(spark, sf_dir).order_events)
     every.write.parquet(f"{root}/all")
@@ -56,19 +60,23 @@ def replay(spark: SparkSession, sf_dir: str) -> str:
         step = F.floor(F.col("offset") * PARTS / F.lit(last + 1))
         every.filter(step == part).write.mode("append").parquet(f"{root}/topic")
         query = start_screening(spark.readStream.schema(MESSAGE).parquet(f"{root}/topic"), f"{root}/checkpoint", f"{root}/state",
-                                parquet_sink(f"{root}/processed"), quarantine=parquet_sink(f"{root}/quarantine"),
+                                RoutedSink(f"{root}/out"), quarantine=parquet_sink(f"{root}/quarantine"),
                                 trigger={"availableNow": True})
         query.awaitTermination()
     return root
 
 
 def processed(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/processed").drop("batch_id")
+    return read_routed(spark, f"{root}/out", "processed")
+
+
+def alerts(spark: SparkSession, root: str) -> DataFrame:
+    return read_routed(spark, f"{root}/out", "alerts")
 
 
 def load(spark: SparkSession, root: str) -> DataFrame:
     """Run the loader over the processed orders; returns the raw_orders table."""
-    schema = spark.read.parquet(f"{root}/processed").schema
-    stream = spark.readStream.schema(schema).parquet(f"{root}/processed").drop("batch_id")
+    schema = spark.read.parquet(f"{root}/out/processed").schema
+    stream = spark.readStream.schema(schema).parquet(f"{root}/out/processed").drop("batch_id", "attempt", "message")
     start_loader(stream, f"{root}/raw_orders", f"{root}/load-checkpoint", trigger={"availableNow": True}).awaitTermination()
     return read_table(spark, f"{root}/raw_orders").drop("key_range")

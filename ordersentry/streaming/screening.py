@@ -2,6 +2,7 @@
 
 Source: Kafka (``partition`` and ``offset`` give the arrival order) or, in
 tests, JSON files carrying ``partition`` and ``seq``.  Each micro-batch is
+read once, decoded into a cache (the whole message beside the order columns),
 screened with the same block-window plan as batch data, prefixed by the
 buffer carried over from the previous batch: the last ``buffer_size - 1``
 orders of every stream partition (the "tail").
@@ -22,6 +23,8 @@ concatenated stream (tested).
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +35,7 @@ from ..constants import ALERTS_TOPIC, FRAUD, ORDERS_TOPIC, PROCESSED_TOPIC
 from ..functions import hour_of_iso_text
 from ..operators import fraud
 from ..schemas import ORDER_EVENT
+from ..sources.tables import exists, publish, read_if_exists
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -54,13 +58,9 @@ def read_orders(spark: SparkSession, servers: str, topic: str = ORDERS_TOPIC,
     return r.load()
 
 
-def decode_orders(raw: DataFrame, schema: T.StructType = ORDER_EVENT) -> tuple[DataFrame, DataFrame]:
-    """UTF-8 JSON ``value`` -> order columns + ``partition``/``seq``.
-
-    Returns ``(orders, quarantine)``: messages that are not a JSON object, or
-    whose timestamps are not timestamps, land in the quarantine frame
-    instead of stopping the stream (a replayed batch would meet them again).
-    """
+def _decoded(raw: DataFrame, schema: T.StructType, keep_message: bool) -> DataFrame:
+    """Raw messages as ``partition, seq, _json, _broken``, the order columns
+    and, with ``keep_message``, ``message``."""
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField("_corrupt", T.StringType())])
     parsed = raw.select(
         F.col("partition").cast("int").alias("partition"),
@@ -72,9 +72,31 @@ def decode_orders(raw: DataFrame, schema: T.StructType = ORDER_EVENT) -> tuple[D
     for name in (f.name for f in schema.fields if f.name in ("created_date", "event_ts")):
         text = F.col(f"_o.{name}")
         broken = broken | (text.isNotNull() & text.try_cast("timestamp").isNull())
-    ok = parsed.filter(~broken).select("partition", "seq", *[F.col(f"_o.{f.name}") for f in schema.fields])
-    bad = parsed.filter(broken).select("partition", "seq", F.col("_json").alias("value"))
-    return ok, bad
+    message = []
+    if keep_message:
+        parsed = parsed.withColumn("message", F.try_parse_json("_json"))
+        broken = broken | F.col("message").isNull()
+        message = ["message"]
+    return parsed.select("partition", "seq", "_json", broken.alias("_broken"),
+                         *[F.col(f"_o.{f.name}") for f in schema.fields], *message)
+
+
+def decode_orders(raw: DataFrame, schema: T.StructType = ORDER_EVENT, keep_message: bool = False) -> tuple[DataFrame, DataFrame]:
+    """UTF-8 JSON ``value`` -> order columns + ``partition``/``seq``.
+
+    Returns ``(orders, quarantine)``: messages that are not a JSON object, or
+    whose timestamps are not timestamps, land in the quarantine frame
+    instead of stopping the stream (a replayed batch would meet them again).
+    With ``keep_message`` the orders carry the whole message as a VARIANT
+    column ``message``, with every field that is no order column, nested ones
+    included; :func:`encode_orders` writes it out again.
+    """
+    rows = _decoded(raw, schema, keep_message)
+    return rows.filter("NOT _broken").drop("_json", "_broken"), _quarantined(rows)
+
+
+def _quarantined(rows: DataFrame) -> DataFrame:
+    return rows.filter("_broken").select("partition", "seq", F.col("_json").alias("value"))
 
 
 def typed_orders(df: DataFrame) -> DataFrame:
@@ -86,12 +108,20 @@ def typed_orders(df: DataFrame) -> DataFrame:
 
 
 def encode_orders(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """S3 wire format: one JSON object per order in ``value``, keyed by order id."""
-    cols = cols or [f.name for f in ORDER_EVENT.fields]
+    """S3 wire format: one JSON object per order in ``value``, keyed by order id.
+
+    Orders that carry their ``message`` become that message again with its
+    ``status`` replaced and everything else as it came; others (or with
+    ``cols``) are written from their columns."""
+    key = F.col("order_id").cast("string").alias("key")
     # Typed timestamps are written as ISO-8601 with microseconds and offset.
     iso = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-    return df.select(F.col("order_id").cast("string").alias("key"),
-                     F.to_json(F.struct(*[F.col(c) for c in cols]), iso).alias("value"))
+    columns = F.to_json(F.struct(*[F.col(c) for c in cols or [f.name for f in ORDER_EVENT.fields]]), iso)
+    if cols or "message" not in df.columns:
+        return df.select(key, columns.alias("value"))
+    fields = F.expr("map_concat(map_filter(CAST(message AS MAP<STRING, VARIANT>), (k, v) -> k <> 'status'), "
+                    "map('status', CAST(status AS VARIANT)))")
+    return df.select(key, F.coalesce(F.to_json(fields), columns).alias("value"))
 
 
 # --------------------------------------------------------------- sinks (S3)
@@ -128,6 +158,40 @@ def parquet_sink(path: str) -> Sink:
     return write
 
 
+class RoutedSink:
+    """S3 on files: a batch's orders go to ``path/processed`` and its frauds to
+    ``path/alerts``, and become visible together when ``path/commits/<batch>.json``
+    is renamed into place.  Pass it as ``processed`` with ``alerts=None``.
+
+    A batch that failed anywhere before that leaves folders that no reader
+    sees; its replay writes new ones.  A committed batch is not written again.
+    Read with :func:`read_routed`.
+    """
+
+    def __init__(self, path: str):
+        self.path = path.rstrip("/")
+
+    def __call__(self, df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        commits = f"{self.path}/commits"
+        if exists(spark, f"{commits}/{batch_id}.json"):
+            return
+        attempt = f"a-{uuid.uuid4().hex}"
+        for route, rows in (("processed", df), ("alerts", df.filter(F.col("status") == FRAUD))):
+            self.write(rows, f"{self.path}/{route}/batch_id={batch_id}/attempt={attempt}")
+        publish(spark, commits, f"{batch_id}.json", json.dumps({"batch_id": batch_id, "attempt": attempt}))
+
+    def write(self, rows: DataFrame, folder: str) -> None:
+        rows.write.parquet(folder)
+
+
+def read_routed(spark: SparkSession, path: str, route: str) -> DataFrame:
+    """``processed`` or ``alerts`` of a :class:`RoutedSink`, committed batches only."""
+    commits = spark.read.schema("batch_id long, attempt string").json(f"{path}/commits")
+    rows = spark.read.parquet(f"{path}/{route}")
+    return rows.join(commits, ["batch_id", "attempt"], "left_semi").drop("batch_id", "attempt")
+
+
 # ---------------------------------------------------------------- T1 / T2
 class BufferedScreening:
     """``foreachBatch`` function: screen a micro-batch with the carried tail,
@@ -151,15 +215,24 @@ class BufferedScreening:
         self.dense_offsets = dense_offsets
 
     @staticmethod
-    def _renumber(cur: DataFrame, tail: DataFrame | None) -> DataFrame:
-        local = fraud.dense_sequence(cur.withColumnRenamed("seq", "offset"), "offset", out_col="_local")
-        if tail is None:
-            return local.withColumn("seq", F.col("_local")).drop("_local")
+    def _renumber(cur: DataFrame, tail: DataFrame | None, seen: list) -> DataFrame:
+        """``seq`` 0, 1, 2, ... per partition, after the tail's.  ``seen`` (one
+        row per stream partition) tells whether the offsets have gaps; without
+        any, a subtraction numbers them."""
+        cur = cur.withColumnRenamed("seq", "offset")
+        dense = all(r["last"] - r["first"] + 1 == r["n"] for r in seen if r["n"])
+        firsts = cur.sparkSession.createDataFrame([(r["partition"], r["first"]) for r in seen], "partition int, _first long")
+        if tail is not None:
+            ends = tail.groupBy("partition").agg((F.max("seq") + 1).alias("_base"))
+            firsts = firsts.join(ends, "partition", "left")
+        else:
+            firsts = firsts.withColumn("_base", F.lit(None).cast("long"))
         # One row per stream partition: bounded by the topic's partition count.
-        base = tail.groupBy("partition").agg((F.max("seq") + 1).alias("_base"))
-        return (local.join(F.broadcast(base), "partition", "left")
-                .withColumn("seq", F.coalesce(F.col("_base"), F.lit(0)) + F.col("_local"))
-                .drop("_local", "_base"))
+        if dense:
+            local = cur.join(F.broadcast(firsts), "partition").withColumn("_local", F.col("offset") - F.col("_first"))
+        else:
+            local = fraud.dense_sequence(cur, "offset", out_col="_local").join(F.broadcast(firsts), "partition")
+        return local.withColumn("seq", F.coalesce("_base", F.lit(0)) + F.col("_local")).drop("_local", "_base", "_first")
 
     def _tail_path(self, batch_id: int) -> str:
         # Two alternating slots keep the state bounded: batch N reads slot
@@ -175,30 +248,43 @@ class BufferedScreening:
         if batch_id <= 0:
             return None
         path = self._tail_path(batch_id - 1)
-        try:
-            tail = spark.read.parquet(path)
-        except Exception as exc:
-            raise RuntimeError(f"buffer tail of batch {batch_id - 1} not found at {path}") from exc
+        tail = read_if_exists(spark, path)
+        if tail is None:
+            raise RuntimeError(f"buffer tail of batch {batch_id - 1} not found at {path}")
         return tail.filter(F.col("_tail_of") == batch_id - 1).drop("_tail_of")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if "value" in batch.columns:
-            if self.quarantine is None:
-                raise ValueError("raw messages need a quarantine sink")
-            batch, bad = decode_orders(batch)
-            self.quarantine(bad, batch_id)
-        cur = self.prepare(batch)
+        raw = "value" in batch.columns
+        if raw and self.quarantine is None:
+            raise ValueError("raw messages need a quarantine sink")
+        # The source is read once: all that follows reads the decoded batch.
+        rows = _decoded(batch, ORDER_EVENT, keep_message=True) if raw else batch.withColumn("_broken", F.lit(False))
+        rows = rows.persist()
+        good = F.col("seq").isNotNull() & ~F.col("_broken")
+        try:
+            # One row per stream partition; this fills the cache.
+            seen = rows.groupBy("partition").agg(
+                F.min(F.when(good, F.col("seq"))).alias("first"), F.max(F.when(good, F.col("seq"))).alias("last"),
+                F.count(F.when(good, 1)).alias("n"), F.count(F.when(F.col("_broken"), 1)).alias("broken")).collect()
+            # The first batch writes the quarantine even if it is empty, so that it can be read.
+            if raw and (batch_id == 0 or any(r["broken"] for r in seen)):
+                self.quarantine(_quarantined(rows), batch_id)
+            cur = rows.filter("NOT _broken").drop("_broken", "_json")
+            self._screen(self.prepare(cur), seen, spark, batch_id)
+        finally:
+            rows.unpersist()
+
+    def _screen(self, cur: DataFrame, seen: list, spark: SparkSession, batch_id: int) -> None:
         tail = self._read_tail(spark, batch_id)
         if not self.dense_offsets:
-            cur = self._renumber(cur, tail)
+            cur = self._renumber(cur, tail, seen)
         cur = cur.withColumn("_ctx", F.lit(False))
         both = cur if tail is None else cur.unionByName(
             tail.select(*_TAIL_COLS).withColumn("_ctx", F.lit(True)), allowMissingColumns=True)
-        screened = fraud.screen(both, params=self.params, keep_flags=False)
-        screened = screened.persist()
+        screened = fraud.screen(both, params=self.params, attribution=False).persist()
         try:
-            out = screened.filter(~F.col("_ctx")).drop("_ctx", "first_rule", "created_hour", "offset")
+            out = screened.filter(~F.col("_ctx")).drop("_ctx", "created_hour", "offset")
             self.processed(out, batch_id)
             if self.alerts is not None:
                 self.alerts(out.filter(F.col("status") == FRAUD), batch_id)

@@ -257,3 +257,113 @@ def test_loader_quarantines_orders_with_missing_required_columns(spark, tmp_path
     assert spark.read.parquet(str(tmp_path / "q")).count() == 3
     with pytest.raises(Exception, match="required column"):
         UpsertLoader(str(tmp_path / "t2"))(batch, 0)
+
+
+ISO = "2025-03-01T12:00:{:02d}+00:00"
+
+
+def _messages(spark, n, start=0):
+    rows = [(0, start + i, json.dumps({"order_id": f"O{start + i}", "user_id": f"U{i % 2}", "product_id": f"P{start + i}", "quantity": 1, "amount": "Rp.1",
+                                       "amount_numeric": 1, "country": "ID" if i % 3 else "SG", "status": "pending", "created_date": ISO.format(i),
+                                       "event_ts": ISO.format(i), "source": "s", "meta": {"k": [1, {"deep": None}], "x": 1.25}, "tag": f"t{i}"}))
+            for i in range(n)]
+    return spark.createDataFrame(rows, "partition int, offset long, value string")
+
+
+def test_unknown_fields_come_through_unchanged(spark, tmp_path):
+    from ordersentry.streaming.screening import RoutedSink, encode_orders, read_routed
+    sent = _messages(spark, 12)
+    broken = spark.createDataFrame([(0, 12, '{"order_id": O9'), (0, 13, "[1]"), (0, 14, "{'order_id': 'O1'}")], sent.schema)
+    fn = BufferedScreening(str(tmp_path / "state"), RoutedSink(str(tmp_path / "out")), quarantine=parquet_sink(str(tmp_path / "bad")))
+    fn(sent.unionByName(broken), 0)
+    want = {r.value: json.loads(r.value) for r in sent.collect()}
+    got = [json.loads(r.value) for r in encode_orders(read_routed(spark, str(tmp_path / "out"), "processed")).collect()]
+    assert {m.pop("status") for m in got} == {"Fraud", "Genuine"}
+    for m in want.values():
+        m.pop("status")
+    assert sorted(got, key=lambda m: m["order_id"]) == sorted(want.values(), key=lambda m: m["order_id"])
+    assert sorted(r.seq for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == [12, 13, 14]
+
+
+def test_a_repeated_field_counts_with_its_last_value(spark):
+    from ordersentry.streaming.screening import decode_orders, encode_orders
+    raw = spark.createDataFrame([(0, 1, '{"order_id":"O1","quantity":1,"quantity":2,"note":"a"}')], "partition int, offset long, value string")
+    ok, bad = decode_orders(raw, keep_message=True)
+    assert bad.count() == 0 and ok.first().quantity == 2
+    assert json.loads(encode_orders(ok.withColumn("status", F.lit("Fraud"))).first().value) == {"order_id": "O1", "quantity": 2, "note": "a", "status": "Fraud"}
+
+
+@pytest.mark.parametrize("fails_at", ["processed", "alerts", "publish"])
+def test_routing_is_atomic(spark, tmp_path, fails_at, monkeypatch):
+    """A batch that fails between its writes shows nothing; its replay shows every alert once."""
+    from ordersentry.streaming import screening
+    out = str(tmp_path / "out")
+    whole_write, whole_publish = screening.RoutedSink.write, screening.publish
+    broken = {"on": False}
+
+    def write(self, rows, folder):
+        whole_write(self, rows, folder)
+        if broken["on"] and f"/{fails_at}/" in folder:
+            raise OSError("lost")
+
+    def publish(spark, folder, name, text):
+        if broken["on"] and fails_at == "publish":
+            raise OSError("lost")
+        whole_publish(spark, folder, name, text)
+
+    monkeypatch.setattr(screening.RoutedSink, "write", write)
+    monkeypatch.setattr(screening, "publish", publish)
+    fn = BufferedScreening(str(tmp_path / "state"), screening.RoutedSink(out), quarantine=parquet_sink(str(tmp_path / "bad")))
+    fn(_messages(spark, 9), 0)
+    before = {route: sorted(r.order_id for r in screening.read_routed(spark, out, route).collect()) for route in ("processed", "alerts")}
+    assert len(before["processed"]) == 9 and 0 < len(before["alerts"]) < 9
+    broken["on"] = True
+    with pytest.raises(OSError, match="lost"):
+        fn(_messages(spark, 9, 9), 1)
+    assert before == {route: sorted(r.order_id for r in screening.read_routed(spark, out, route).collect()) for route in before}
+    broken["on"] = False
+    for _ in range(2):                       # the replay, and one more after it was committed
+        fn(_messages(spark, 9, 9), 1)
+    processed = screening.read_routed(spark, out, "processed")
+    assert sorted(r.order_id for r in processed.collect()) == sorted(f"O{i}" for i in range(18))
+    assert sorted(r.order_id for r in screening.read_routed(spark, out, "alerts").collect()) == \
+        sorted(r.order_id for r in processed.filter("status = 'Fraud'").collect())
+
+
+def test_publish_refuses_a_name_that_is_there(spark, tmp_path):
+    from ordersentry.sources.tables import publish
+    publish(spark, str(tmp_path), "1.json", "a")
+    with pytest.raises(RuntimeError, match="already published"):
+        publish(spark, str(tmp_path), "1.json", "b")
+    assert (tmp_path / "1.json").read_text() == "a" and not [p for p in os.listdir(tmp_path) if p.endswith(".tmp")]
+
+
+@pytest.mark.parametrize("gaps", [False, True])
+def test_a_batch_is_read_once(spark, tmp_path, gaps):
+    rows = spark.sparkContext.accumulator(0)
+    sent = _messages(spark, 20)
+    if gaps:
+        sent = sent.filter("offset % 5 <> 3")
+
+    def read(batches):
+        for b in batches:
+            rows.add(b.num_rows)
+            yield b
+
+    fn = BufferedScreening(str(tmp_path / "state"), parquet_sink(str(tmp_path / "p")), parquet_sink(str(tmp_path / "a")),
+                           quarantine=parquet_sink(str(tmp_path / "bad")))
+    fn(sent.mapInArrow(read, sent.schema), 0)
+    assert rows.value == sent.count() == spark.read.parquet(str(tmp_path / "p")).count()
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 0
+
+
+def test_missing_tail_stops_and_other_errors_stay(spark, tmp_path):
+    fn = BufferedScreening(str(tmp_path / "state"), lambda df, b: None, quarantine=lambda df, b: None)
+    with pytest.raises(RuntimeError, match="tail of batch 3"):
+        fn(_messages(spark, 2), 4)
+    folder = tmp_path / "state" / "tail" / "slot=1"
+    folder.mkdir(parents=True)
+    (folder / "part-0.parquet").write_text("no parquet file")
+    with pytest.raises(Exception) as exc:
+        fn(_messages(spark, 2), 4)
+    assert "tail of batch" not in str(exc.value)
