@@ -22,7 +22,9 @@ from .plans.domain import Domain
 from .plans.ingest import IngestFailed, IngestPaths, ingest_day, ingest_tables, read_ledger
 from .schemas import ORDER_EVENT, RAW_ORDERS, RAW_PRODUCTS, RAW_USERS
 from .session import checkpoint_dir, configure
+from .sources import merge_table
 from .sources.ndjson import extract_day, read_days
+from .sources.tables import read_table
 from .sources.tpch_domain import raw_orders
 from .streaming import replay
 from .streaming.screening import encode_orders
@@ -322,7 +324,18 @@ def stream_messages(spark, sf_dir):
 def stream_loaded_orders(spark, sf_dir):
     """T3 + C10: the raw_orders table that the loader makes of the processed stream."""
     configure(spark)
-    rows = replay.load(spark, replay.replay(spark, sf_dir))
+    return _stored(read_table(spark, replay.load(spark, replay.replay(spark, sf_dir))))
+
+
+def stream_alerted_rows(spark, sf_dir):
+    """S6 by merge-on-read: the stored row of every alerted order, found by key
+    through the runs' Bloom filters."""
+    configure(spark)
+    root = replay.replay(spark, sf_dir)
+    return _stored(merge_table.lookup(spark, replay.load(spark, root), replay.alerts(spark, root)))
+
+
+def _stored(rows):
     return _unzoned(rows.select(*[c for c in RAW_ORDERS.fieldNames() if c != "ingestion_ts"]))
 
 
@@ -373,5 +386,6 @@ def queries() -> dict[str, Query]:
         "stream_alerts": stream_alerts,
         "stream_messages": stream_messages,
         "stream_loaded_orders": stream_loaded_orders,
+        "stream_alerted_rows": stream_alerted_rows,
     })
     return q

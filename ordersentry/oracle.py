@@ -403,6 +403,7 @@ SELECT order_id AS key, verdict AS status, amount_numeric, strftime(event_ts, '%
        ['web', 'app', 'shop'][CAST(seq % 3 + 1 AS INTEGER)] AS channel, seq + 1 AS second_click, 'note ' || seq AS note, 13 AS n_fields
 FROM screened""",
     "stream_loaded_orders": f"SELECT {_RAW_COLS} FROM raw_orders",
+    "stream_alerted_rows": f"SELECT {_RAW_COLS} FROM raw_orders WHERE status = 'Fraud'",
     "rupiah_format": """
 SELECT order_id, amount_numeric,
        'Rp.' || replace(format('{:,}', amount_numeric), ',', '.') AS amount_text FROM raw_orders""",

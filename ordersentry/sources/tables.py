@@ -135,12 +135,17 @@ def _read_ranges(spark: SparkSession, path: str, part_col: str, ranges: dict[str
     return spark.read.option("basePath", f"{path}/data").parquet(*folders).drop("version")
 
 
-def read_table(spark: SparkSession, path: str, part_col: str = "key_range") -> DataFrame:
-    """The upserted table at ``path``, as last published."""
+def read_table(spark: SparkSession, path: str, part_col: str = "key_range", key: str = "order_id") -> DataFrame:
+    """The upserted table at ``path``, as last published, copy-on-write
+    (:func:`upsert_table`) or merge-on-read (:mod:`.merge_table`)."""
     versions = _published(spark, path)
     if not versions:
         raise FileNotFoundError(f"no published table at {path}")
-    return _read_ranges(spark, path, part_col, _ranges(spark, path, versions[-1]))
+    current = _ranges(spark, path, versions[-1])
+    if "runs" in current:
+        from . import merge_table
+        return merge_table.read(spark, path, key)
+    return _read_ranges(spark, path, part_col, current)
 
 
 def _remove_superseded(spark: SparkSession, path: str, part_col: str, old: dict[str, int],

@@ -1,9 +1,10 @@
 """Micro-batch loader (T3, C10): processed orders -> raw_orders upsert.
 
-The original loader flushes every 100 rows or 5 seconds; here the trigger
-interval and ``maxOffsetsPerTrigger`` bound a micro-batch, and each batch
-is upserted by ``order_id`` (last message wins, ``ingestion_ts`` = load
-time).  Offsets are committed by the checkpoint only after the batch is
+A batch is flushed at 100 rows or after 5 seconds, whichever comes first: on
+Kafka, ``FLUSH`` (source options) with back-to-back triggers; other sources
+have the 5 seconds.  Each batch is upserted by ``order_id`` (last message wins,
+``ingestion_ts`` = load time) as a run of a merge-on-read table, so its cost
+does not grow with the table; full tiers of runs are merged after a batch.  Offsets are committed by the checkpoint only after the batch is
 written, and the upsert is idempotent by key, so a replayed batch leaves
 the same rows, only with a newer ``ingestion_ts`` (at-least-once delivery,
 exactly-once rows).
@@ -17,7 +18,10 @@ from pyspark.sql import functions as F
 from ..constants import PENDING
 from ..operators.tables import with_defaults
 from ..schemas import RAW_ORDERS
-from ..sources.tables import upsert_table
+from ..sources import merge_table
+
+#: Kafka source options: a batch starts at 100 new messages or 5 seconds after the last one.
+FLUSH = {"minOffsetsPerTrigger": "100", "maxTriggerDelay": "5s"}
 
 
 def coerce_orders(df: DataFrame) -> DataFrame:
@@ -40,7 +44,8 @@ DEFAULTS = {"status": PENDING}      # raw_orders columns with a default (ingesti
 
 
 class UpsertLoader:
-    """``foreachBatch`` function upserting each batch into a Parquet table.
+    """``foreachBatch`` function upserting each batch into a merge-on-read table
+    (:mod:`ordersentry.sources.merge_table`; ``sources.tables.read_table`` reads it).
 
     An order with a NULL in a required column of ``raw_orders`` (those that
     have no default) cannot be stored: with a ``quarantine`` sink it is
@@ -49,9 +54,9 @@ class UpsertLoader:
     """
 
     def __init__(self, table_path: str, key: str = "order_id", order_col: str = "seq",
-                 quarantine=None):
+                 quarantine=None, compaction: bool = True):
         self.table_path, self.key, self.order_col = table_path, key, order_col
-        self.quarantine = quarantine
+        self.quarantine, self.compaction = quarantine, compaction
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark: SparkSession = batch.sparkSession
@@ -72,12 +77,19 @@ class UpsertLoader:
         # Exactly the raw_orders columns (ingestion_ts is set by the upsert),
         # plus the arrival order that decides which version of a key wins.
         cols = [c for c in RAW_ORDERS.fieldNames() if c in rows.columns and c != "ingestion_ts"]
-        upsert_table(spark, self.table_path, rows.select(*cols, self.order_col), self.key, self.order_col)
+        rows = rows.select(*cols, self.order_col).persist()       # checked for emptiness, then written
+        try:
+            merge_table.upsert(spark, self.table_path, rows, self.key, self.order_col)
+        finally:
+            rows.unpersist()
+        if self.compaction:
+            merge_table.compact(spark, self.table_path, self.key)
 
 
 def start_loader(processed: DataFrame, table_path: str, checkpoint: str,
                  trigger: dict | None = None, order_col: str = "seq", quarantine=None):
-    """Start the loader query (default trigger: every 5 seconds)."""
+    """Start the loader query.  The default trigger is every 5 seconds; with
+    ``FLUSH`` on a Kafka source, pass ``trigger={"processingTime": "0 seconds"}``."""
     loader = UpsertLoader(table_path, order_col=order_col, quarantine=quarantine)
     return (processed.writeStream.foreachBatch(loader)
             .option("checkpointLocation", checkpoint)
