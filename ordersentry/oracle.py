@@ -419,4 +419,5 @@ def _more() -> dict[str, str]:
             out[name] = prelude() + body
         else:
             out[name] = prelude() + "\n" + body
+    out["insert_ignore_indexed"] = out["insert_ignore"]     # the same rows from a stored table
     return out

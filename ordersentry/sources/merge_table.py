@@ -29,13 +29,13 @@ from __future__ import annotations
 
 import json
 import math
-from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.tables import last_per_key
+from ..operators.tables import assign_keys, first_per_key, last_per_key, with_defaults
+from ..session import checkpoint_dir
 from .tables import _folder, _published, key_range, publish
 
 FAN_IN = 8                    # runs of one tier that are merged
@@ -114,25 +114,77 @@ def _remove_superseded(spark: SparkSession, path: str, version: int) -> None:
 
 
 # ----------------------------------------------------------------- writing
+def _add_run(spark: SparkSession, path: str, last: int, manifest: dict, rows: DataFrame, key: str, part_col: str, surrogate: str | None) -> int:
+    version = last + 1
+    n = _write_run(spark, path, version, rows, key, part_col)
+    entry = {"run": version, "rows": n}
+    if surrogate:
+        entry["high"] = spark.read.parquet(f"{path}/data/run={version}").agg(F.max(surrogate)).first()[0]
+    # Columns of older runs that this one lacks stay (NULL in its rows).
+    fields = rows.schema.jsonValue()["fields"]
+    names = {f["name"] for f in fields}
+    fields += [f for f in (manifest["schema"] or {"fields": []})["fields"] if f["name"] not in names]
+    _publish(spark, path, version, [*manifest["runs"], entry], {"type": "struct", "fields": fields})
+    return n
+
+
 def upsert(spark: SparkSession, path: str, incoming: DataFrame, key: str, order_col: str, part_col: str = "key_range",
-           partition_of=None, now: Column | None = None, stamp_col: str = "ingestion_ts") -> int | None:
+           partition_of=None, now: Column | None = None, stamp_col: str | None = "ingestion_ts", surrogate: str | None = None) -> int | None:
     """Publish the batch's last row per key as a new run.  Returns its rows,
-    None for an empty batch (which changes nothing)."""
+    None for an empty batch (which changes nothing).  ``surrogate`` names the
+    key column whose largest value the manifest shall carry."""
     partition_of = partition_of or key_range()
-    rows = last_per_key(incoming, key, order_col).drop(order_col).withColumn(stamp_col, now if now is not None else F.current_timestamp())
+    rows = last_per_key(incoming, key, order_col).drop(order_col)
+    if stamp_col:
+        rows = rows.withColumn(stamp_col, now if now is not None else F.current_timestamp())
     if incoming.isEmpty():
         return None
-    last, before = _current(spark, path)
-    version, rows = last + 1, rows.withColumn(part_col, partition_of(F.col(key)))
-    n = _write_run(spark, path, version, rows, key, part_col)
-    # Columns of older runs that this one lacks stay (NULL in its rows).
-    fields = rows.drop("run").schema.jsonValue()["fields"]
-    names = {f["name"] for f in fields}
-    fields += [f for f in (before["schema"] or {"fields": []})["fields"] if f["name"] not in names]
-    _publish(spark, path, version, [*before["runs"], {"run": version, "rows": n}], {"type": "struct", "fields": fields})
+    last, manifest = _current(spark, path)
+    n = _add_run(spark, path, last, manifest, rows.withColumn(part_col, partition_of(F.col(key))), key, part_col, surrogate)
     return n
 
 
+def hash_buckets(n: int = 1024):
+    """Partition function for natural keys: a bucket by the key's hash."""
+    return lambda key: F.pmod(F.xxhash64(key), F.lit(n)).cast("long")
+
+
+def insert_ignore(spark: SparkSession, path: str, incoming: DataFrame, key: str, order_col: str, surrogate: str | None = None,
+                  defaults: dict | None = None, part_col: str = "key_range", partition_of=None) -> int:
+    """Publish the rows whose natural key is new (the first one per key) as
+    a run and return their number.
+
+    The table is its own index: keys lie in hash buckets, and only the buckets
+    of those runs are opened whose Bloom filters may hold a key of the batch,
+    for the key column alone.  Surrogate keys go on after the largest one,
+    which the manifest carries.  A replayed batch finds its keys and adds nothing.
+    """
+    partition_of = partition_of or hash_buckets()
+    last, manifest = _current(spark, path)
+    k = F.col(key)
+    checked = incoming.withColumn(key, F.when(k.isNull(), F.raise_error(F.lit(f"NULL {key} in an insert batch"))).otherwise(k))
+    checkpoint_dir(spark)
+    # Written once: it is looked up, counted and numbered.
+    fresh = first_per_key(checked, key, order_col).checkpoint()
+    folders = _folders(path, candidates(spark, path, fresh, key, part_col, partition_of, manifest["runs"]), part_col) if manifest["runs"] else []
+    if folders:
+        present = _rows(spark, path, manifest, manifest["runs"], folders).select(key)
+        fresh = fresh.join(present, key, "left_anti").checkpoint()
+    n = fresh.count()
+    if not n:
+        return 0
+    high = max((r.get("high") or 0 for r in manifest["runs"]), default=0)
+    rows = with_defaults(assign_keys(fresh, surrogate, order_col, high) if surrogate else fresh, defaults or {}).drop(order_col)
+    rows = rows.withColumn(part_col, partition_of(F.col(key)))
+    _add_run(spark, path, last, manifest, rows, key, part_col, surrogate)
+    return n
+
+
+def _folders(path: str, pairs: DataFrame, part_col: str) -> list[str]:
+    """Folders of (run, key range) pairs, by name: at most keys times runs."""
+    return [f"{path}/data/run={r['run']}/{part_col}={r[part_col]}" for r in sorted(pairs.collect())]
+
+
 def _tier(rows: int) -> int:
     return max(0, math.floor(math.log(max(rows, 1) / TIER_BASE, FAN_IN)) + 1)
 
@@ -161,7 +213,10 @@ def compact(spark: SparkSession, path: str, key: str = "order_id", part_col: str
     version, numbers = last + 1, [r["run"] for r in merged]
     n = _write_run(spark, path, version, _newest(spark, path, manifest, merged, key), key, part_col)
     # The merged runs are the newest ones, so the new one comes last.
-    _publish(spark, path, version, [r for r in manifest["runs"] if r["run"] not in numbers] + [{"run": version, "rows": n}], manifest["schema"])
+    entry = {"run": version, "rows": n}
+    if any("high" in r for r in merged):
+        entry["high"] = max(r.get("high") or 0 for r in merged)
+    _publish(spark, path, version, [r for r in manifest["runs"] if r["run"] not in numbers] + [entry], manifest["schema"])
     return numbers
 
 
@@ -223,8 +278,7 @@ def lookup(spark: SparkSession, path: str, keys: DataFrame, key: str = "order_id
     current = manifest["runs"]
     if not current:
         raise FileNotFoundError(f"no published table at {path}")
-    found = candidates(spark, path, keys, key, part_col, partition_of, current).collect()
-    folders = [f"{path}/data/run={r['run']}/{part_col}={r[part_col]}" for r in sorted(found)]
+    folders = _folders(path, candidates(spark, path, keys, key, part_col, partition_of, current), part_col)
     if not folders:
         return read(spark, path, key).limit(0)
     rows = _rows(spark, path, manifest, current, folders)

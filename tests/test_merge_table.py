@@ -145,3 +145,46 @@ def test_empty_batches_and_missing_tables(spark, tmp_path):
     merge_table.upsert(spark, path, batch(spark, [("O1", 1, 1)]), "order_id", "seq", now=F.lit("2024-01-01").cast("timestamp"))
     assert merge_table.upsert(spark, path, batch(spark, []), "order_id", "seq") is None
     assert len(merge_table.runs(spark, path)) == 1 and merge_table.compact(spark, path) == []
+
+
+USERS = "email string, name string, ord long"
+
+
+def test_inserts_ignore_stored_keys_and_go_on_numbering(spark, tmp_path):
+    path, buckets = str(tmp_path / "t"), merge_table.hash_buckets(16)
+    want, number = {}, 0
+    for b in range(3):
+        rows = [(f"e{i % 40}", f"n{b}-{i}", i) for i in range(20 * b, 20 * b + 50)]
+        for e, n, _ in rows:
+            if e not in want:
+                number += 1
+                want[e] = (number, n)
+        sent = spark.createDataFrame(rows, USERS)
+        added = merge_table.insert_ignore(spark, path, sent, "email", "ord", surrogate="user_id", defaults={"source": "batch"}, partition_of=buckets)
+        before = len(merge_table.runs(spark, path))
+        assert added == sum(n.startswith(f"n{b}-") for _, n in want.values())
+        assert merge_table.insert_ignore(spark, path, sent, "email", "ord", surrogate="user_id", partition_of=buckets) == 0      # a replay
+        assert len(merge_table.runs(spark, path)) == before
+    assert {r.email: (r.user_id, r.name) for r in merge_table.read(spark, path, "email").collect()} == want
+    with pytest.raises(Exception, match="NULL email"):
+        merge_table.insert_ignore(spark, path, spark.createDataFrame([(None, "x", 1)], USERS), "email", "ord", partition_of=buckets)
+
+
+def test_an_insert_opens_only_its_buckets(spark, tmp_path, monkeypatch):
+    path, buckets = str(tmp_path / "t"), merge_table.hash_buckets(64)
+    many = spark.range(4000).selectExpr("concat('e', id) AS email", "concat('n', id) AS name", "id AS ord")
+    merge_table.insert_ignore(spark, path, many, "email", "ord", surrogate="user_id", partition_of=buckets)
+    opened, rows = [], merge_table._rows
+
+    def spy(spark, path, manifest, some, folders=None):
+        opened.append(folders)
+        out = rows(spark, path, manifest, some, folders)
+        return out
+
+    monkeypatch.setattr(merge_table, "_rows", spy)
+    sent = spark.createDataFrame([("e5", "again", 1), ("e4001", "new", 2), ("e4002", "new", 3)], USERS)
+    assert merge_table.insert_ignore(spark, path, sent, "email", "ord", surrogate="user_id", partition_of=buckets) == 2
+    assert len(opened) == 1 and 1 <= len(opened[0]) <= 3                # of 64 buckets; two keys are new, so mostly one
+    monkeypatch.undo()
+    new = merge_table.read(spark, path, "email").filter("name = 'new'")
+    assert sorted((r.email, r.user_id) for r in new.collect()) == [("e4001", 4001), ("e4002", 4002)]
