@@ -61,24 +61,34 @@ def running_total(df: DataFrame, group: list[str], order: str, value: str, out:
     return df.withColumn(out, F.coalesce(F.sum(value).over(w), F.lit(0)))
 
 
+def free_prefix(columns: Iterable[str]) -> str:
+    """Underscores that no column's name begins with."""
+    tag = "__"
+    while any(c.startswith(tag) for c in columns):
+        tag += "_"
+    return tag
+
+
 def repeat_rows(docs: DataFrame, copies: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs``, all columns, each row as often as ``copies`` says: rows
     (doc_id, tie, rows, copies) with ``tie`` the xxhash64 of the text, ``rows``
     how many input rows have this id and text, ``copies`` how many shall remain.
     Of several equal rows the i-th stays ``(copies + i) div rows`` times."""
-    said = copies.filter("copies > 0").select(*(F.col(c).alias(f"__{c}") for c in ("doc_id", "tie", "rows", "copies")))
-    joined = docs.join(said, F.col(doc_id).cast("long").eqNullSafe(F.col("__doc_id"))
-                       & (F.xxhash64(F.col(text).cast("string")) == F.col("__tie")))
+    tag = free_prefix(docs.columns)
+    said = copies.filter("copies > 0").select(*(F.col(c).alias(tag + c) for c in ("doc_id", "tie", "rows", "copies")))
+    joined = docs.join(said, F.col(doc_id).cast("long").eqNullSafe(F.col(f"{tag}doc_id"))
+                       & (F.xxhash64(F.col(text).cast("string")) == F.col(f"{tag}tie")))
 
     def out(rows, n):
-        return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), n.cast("long")))).select(*docs.columns)
+        return rows.withColumn(f"{tag}copy", F.explode(F.sequence(F.lit(1).cast("long"), n.cast("long")))).select(*(F.col(f"`{c}`") for c in docs.columns))
 
-    single = out(joined.filter("__rows = 1"), F.col("__copies"))
-    if said.filter("__rows > 1").isEmpty():
+    many = F.col(f"{tag}rows")
+    single = out(joined.filter(many == 1), F.col(f"{tag}copies"))
+    if said.filter(many > 1).isEmpty():
         return single
-    number = F.row_number().over(Window.partitionBy("__doc_id", "__tie").orderBy("__tie")) - 1
-    several = joined.filter("__rows > 1").withColumn("__n", F.floor((F.col("__copies") + number) / F.col("__rows"))).filter("__n > 0")
-    return single.unionByName(out(several, F.col("__n")))
+    number = F.row_number().over(Window.partitionBy(f"{tag}doc_id", f"{tag}tie").orderBy(f"{tag}tie")) - 1
+    several = joined.filter(many > 1).withColumn(f"{tag}n", F.floor((F.col(f"{tag}copies") + number) / many)).filter(F.col(f"{tag}n") > 0)
+    return single.unionByName(out(several, F.col(f"{tag}n")))
 
 
 def one_thread() -> None:

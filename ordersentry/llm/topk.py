@@ -21,8 +21,11 @@ Queries are cut into blocks and candidates into shards by hash; a cell
 table, and a query's shard results are merged by a rank of at most k rows
 per shard.
 
+Sums are 64-bit integers where no score or bound of the cell can overflow them,
+else Python's unbounded ones; a score that doesn't fit a long is an error.
+
 Defined cases: vectors that are null or hold null or non-finite components
-(or one beyond 2^31 / 256) take no part; shorter vectors count as padded
+take no part; shorter vectors count as padded
 with zeros; an empty vector scores 0; candidates with the query's id are its
 own rows; of repeated query rows one (the smallest vector) is asked, while
 every repeated candidate row counts; fewer than k candidates give fewer rows.
@@ -41,24 +44,42 @@ SCALE = 256
 
 
 def integer_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """(vec_id, x) with x the integer components of the usable vectors."""
+    """(vec_id, x) with x the integer components of the usable vectors, as
+    doubles (which hold the floor of any double exactly)."""
     x = F.col("e")
-    limit = 2.0 ** 31 / SCALE
-    usable = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < limit))
+    usable = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    whole = 2.0 ** 53                          # from here on doubles are whole numbers
+
+    def integer(v):
+        y = v * SCALE
+        return F.when(F.abs(y) < whole, F.floor(y).cast("double")).otherwise(y)
+
     return (vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("e"))
             .filter(F.col("vec_id").isNotNull() & x.isNotNull() & usable)
-            .select("vec_id", F.transform(x, lambda v: F.floor(v * SCALE)).alias("x")))
+            .select("vec_id", F.transform(x, integer).alias("x")))
 
 
 def _matrix(col: pa.ChunkedArray, width: int) -> np.ndarray:
     lists = col.combine_chunks()
     lens = np.diff(lists.offsets.to_numpy())
-    out = np.zeros((len(lens), width), np.int64)
+    out = np.zeros((len(lens), width))
     at = np.arange(width)[None, :] < lens[:, None]
     out[at] = lists.flatten().to_numpy(zero_copy_only=False)
     return out
 
 
+def _integers(whole: np.ndarray, exact: bool) -> np.ndarray:
+    """Doubles that are whole numbers as int64 or, where sums could overflow, Python integers."""
+    if not exact:
+        return whole.astype(np.int64)
+    return np.array([int(v) for v in whole.ravel().tolist()], object).reshape(whole.shape)
+
+
+def _kth(scores: np.ndarray, k: int):
+    """The k-th largest."""
+    return (np.sort(scores) if scores.dtype == object else np.partition(scores, len(scores) - k))[len(scores) - k]
+
+
 class Shard:
     """Postings of one shard: row d of ``postings`` holds dimension d of every
     vector, vectors in ascending id."""
@@ -78,10 +99,10 @@ class Shard:
         threshold = None
         if len(others) > k:
             lead = sum(q[d] * self.postings[d, others] for d in terms[:8])
-            seeds = others[np.argpartition(-lead, min(4 * k, len(others) - 1))[:4 * k]]
-            threshold = np.sort(q @ self.postings[:, seeds])[-k]
+            first = np.argsort(-lead) if lead.dtype == object else np.argpartition(-lead, min(4 * k, len(others) - 1))
+            threshold = np.sort(q @ self.postings[:, others[first[:4 * k]]])[-k]
         essential = len(terms) if threshold is None else int(np.argmax(rest < threshold)) if (rest < threshold).any() else len(terms)
-        partial = np.zeros(len(self.ids), np.int64)
+        partial = np.zeros(len(self.ids), self.postings.dtype)
         for d in terms[:essential]:
             partial += q[d] * self.postings[d]
         alive, score = others, partial[others]
@@ -92,12 +113,15 @@ class Shard:
             score = score + q[terms[i]] * self.postings[terms[i], alive]
             if len(score) > k and i % 8 == 0:      # partial plus the most negative rest is a lower bound
                 low = np.where(q > 0, q * self.least, q * self.most)[terms[i + 1:]].sum()
-                threshold = max(threshold, np.partition(score, len(score) - k)[-k] + low)
+                threshold = max(threshold, _kth(score, k) + low)
         if len(score) > k:
-            keep = score >= np.partition(score, len(score) - k)[-k]
+            keep = score >= _kth(score, k)
             alive, score = alive[keep], score[keep]
-        best = np.lexsort((self.ids[alive], -score))[:k]
-        return self.ids[alive][best], score[best]
+        ids = self.ids[alive]                # ascending, so a stable order by score breaks ties by id
+        best = np.argsort(-score, kind="stable")[:k]
+        if any(abs(int(s)) >= 1 << 63 for s in score[best]):
+            raise ValueError(f"an inner product of vector {own} does not fit a long")
+        return ids[best], score[best].astype(np.int64)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = 8192, block_rows: int = 1024,
@@ -123,10 +147,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = 81
         out = []
         if asked.num_rows and found.num_rows:
             width = max((len(v) for c in (asked, found) for v in c.column("x").to_pylist()), default=0)
-            shard = Shard(found.column("vec_id").to_numpy(), _matrix(found.column("x"), width))
+            ids, candidates = found.column("vec_id").to_numpy(), _matrix(found.column("x"), width)
+            largest, shards = np.abs(candidates).max(initial=0), {}
             for qid, q in zip(asked.column("vec_id").to_numpy(), _matrix(asked.column("x"), width)):
-                ids, scores = shard.search(q, qid, k)
-                out.append((np.full(len(ids), qid), ids, scores))
+                # Every score, bound and partial sum is at most width * |q| * |c|, with room for a difference.
+                exact = bool(max(largest, 1.0) * max(np.abs(q).max(initial=0), 1.0) * max(width, 1) >= 2.0 ** 61)
+                if exact not in shards:
+                    shards[exact] = Shard(ids, _integers(candidates, exact))
+                near, scores = shards[exact].search(_integers(q, exact), qid, k)
+                out.append((np.full(len(near), qid), near, scores))
         cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
         return pa.table([pa.array(c, pa.int64()) for c in cols], schema=schema)
 

@@ -19,7 +19,8 @@ white space and control characters in a URL are percent-encoded; a null
 page id is written as ``null`` and read back as null; rows that repeat the
 smallest id of a payload are all responses; an empty table makes no archive.
 Pages carry no capture time, so a record's date is ``FIRST_CAPTURE`` plus
-its id in seconds.
+its id in seconds, modulo ``CAPTURE_SPAN`` (so dates of any id have four-digit
+years and sort as text).
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FIRST_CAPTURE = 1704067200      # 2024-01-01T00:00:00Z
+CAPTURE_SPAN = 1 << 32          # seconds; ends in the year 2160
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = "\r\n"
 
@@ -62,7 +64,7 @@ def records(classified: DataFrame) -> DataFrame:
                     F.col("payload_bytes").cast("string"), F.lit(CRLF * 2), F.col("html"))
     rows = classified.withColumn("block", F.when(revisit, F.lit("")).otherwise(http))
     name = F.coalesce(F.col("page_id").cast("string"), F.lit("null"))
-    date = F.date_format(F.timestamp_seconds(F.coalesce(F.col("page_id"), F.lit(0)) + FIRST_CAPTURE), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    date = F.date_format(F.timestamp_seconds(F.pmod(F.coalesce(F.col("page_id"), F.lit(0)), F.lit(CAPTURE_SPAN)) + FIRST_CAPTURE), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     head = F.concat(F.lit(f"WARC/1.1{CRLF}WARC-Type: "), F.when(revisit, "revisit").otherwise("response"),
                     F.lit(f"{CRLF}WARC-Record-ID: <urn:page:"), name, F.lit(f">{CRLF}WARC-Date: "), date,
                     F.lit(f"{CRLF}WARC-Target-URI: "), url,

@@ -59,3 +59,18 @@ def test_window_hashes_are_polynomials_of_every_run():
                 value = (value * int(common.STEP) + x) % 2 ** 64
             want.append(value)
         assert np.array_equal(common.window_hashes(h, k), common.mix64(np.array(want, np.uint64)))
+
+
+def test_repeat_rows_with_clashing_columns(spark):
+    from pyspark.sql import functions as F
+    names = ["doc_id", "text", "__doc_id", "__copy", "__copies", "___n", "__tie", "rows"]
+    d = spark.createDataFrame([(i, t, "a", "b", "c", "d", "e", "f") for i, t in [(1, "a"), (1, "a"), (2, "b"), (None, None)]],
+                              ", ".join(f"{n} {'long' if n == 'doc_id' else 'string'}" for n in names))
+    said = d.groupBy("doc_id", F.xxhash64("text").alias("tie")).agg(F.count("*").alias("rows")).withColumn("copies", F.expr("CASE doc_id WHEN 1 THEN 3 ELSE 1 END"))
+    out = common.repeat_rows(d, said)
+    assert out.columns == names
+    assert sorted(((r["doc_id"], r["__copy"]) for r in out.collect()), key=str) == sorted([(1, "b")] * 3 + [(2, "b"), (None, "b")], key=str)
+
+
+def test_free_prefix():
+    assert common.free_prefix(["a", "_b"]) == "__" and common.free_prefix(["__a", "___"]) == "____"

@@ -43,3 +43,19 @@ def test_few_and_odd_vectors(spark):
     assert got == expected
     assert run(spark, [(0, [1.0])], k=5)[0] == {}
     assert run(spark, [], k=5)[0] == {}
+
+
+def test_large_components_against_python_integers(spark):
+    """Sums that overflow 64 bits on the way, and vectors beyond 2^31 / 256."""
+    rng = random.Random(4)
+    for width, size in ((384, 1.05e6), (64, 2.1e6), (64, 2 ** 26), (3, 2 ** 22)):
+        rows = [(i, [rng.choice([-1, 1]) * rng.uniform(0.5, 1) * size for _ in range(width)]) for i in range(60)]
+        rows += [(100, rows[0][1]), (101, [0.0] * width), (105, [1e-3] * width)]
+        got, expected = run(spark, rows, k=5, shard_rows=20)
+        assert got == expected
+
+
+def test_a_score_beyond_a_long_is_an_error(spark):
+    import pytest
+    with pytest.raises(Exception, match="does not fit a long"):
+        run(spark, [(0, [2.0 ** 40]), (1, [2.0 ** 40])], k=5)

@@ -49,3 +49,12 @@ def test_archives_read_back(spark, tmp_path):
 def test_no_pages(spark, tmp_path):
     path = warc.write_archives(spark.createDataFrame([], SCHEMA), str(tmp_path / "w"))
     assert warc.read_index(spark, path).collect() == []
+
+
+def test_any_page_id_is_written(spark, tmp_path):
+    ids = [2 ** 62, -2 ** 62, 2 ** 63 - 1, -2 ** 63, 9_300_000_000_000, 5]
+    df = spark.createDataFrame([(i, "http://a.org/", f"{i} " * 60, "d", "b") for i in ids], SCHEMA)
+    index = warc.read_index(spark, warc.write_archives(df, str(tmp_path / "w"))).collect()
+    assert sorted(r["page_id"] for r in index) == sorted(ids) and all(len(r["captured"]) == 20 for r in index)
+    assert [r["captured"] for r in index] == sorted(r["captured"] for r in index)
+    assert {r["captured"] for r in index if r["page_id"] == 5} == {"2024-01-01T00:00:05Z"}
