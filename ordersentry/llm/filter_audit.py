@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 from .common import chunks, saved, split_words
 
 FILTERS = "ABCDE"
+PIECE_BYTES = 2 << 20              # text handled at once inside a task
 # Fixed values of the filters.
 MIN_WORDS = 200                    # A: fewer words
 DISTINCT_SHARE = 50                # B: fewer distinct words, per hundred words
@@ -84,8 +85,9 @@ def text_failures(texts: pa.Array) -> np.ndarray:
 def document_masks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """(doc_id, part, mask of A to D, digest of the text) of every row."""
     def run(batches):
-        for b in chunks(batches, "text"):
-            digest = [hashlib.sha256((t or "").encode()).digest() for t in b.column("text").to_pylist()]
+        for b in chunks(batches, "text", PIECE_BYTES):
+            # One text at a time becomes a Python object.
+            digest = [hashlib.sha256(t.as_buffer() if t.is_valid else b"").digest() for t in b.column("text")]
             yield pa.record_batch([b.column("doc_id"), b.column("part"), pa.array(text_failures(b.column("text")), pa.int32()),
                                    pa.array(digest, pa.binary())], ["doc_id", "part", "mask", "digest"])
 
