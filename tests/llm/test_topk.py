@@ -48,9 +48,9 @@ def test_few_and_odd_vectors(spark):
 def test_large_components_against_python_integers(spark):
     """Sums that overflow 64 bits on the way, and vectors beyond 2^31 / 256."""
     rng = random.Random(4)
-    for width, size in ((384, 1.05e6), (64, 2.1e6), (64, 2 ** 26), (3, 2 ** 22)):
-        rows = [(i, [rng.choice([-1, 1]) * rng.uniform(0.5, 1) * size for _ in range(width)]) for i in range(60)]
-        rows += [(100, rows[0][1]), (101, [0.0] * width), (105, [1e-3] * width)]
+    for width, size, asked in ((384, 1.05e6, 1.05e6), (64, 2.1e6, 2.1e6), (64, 2 ** 26, 1e3), (3, 2 ** 22, 2 ** 22)):
+        rows = [(i, [rng.choice([-1, 1]) * rng.uniform(0.5, 1) * (size if i % 5 else asked) for _ in range(width)]) for i in range(60)]
+        rows += [(101, [0.0] * width), (105, [1e-3] * width)]
         got, expected = run(spark, rows, k=5, shard_rows=20)
         assert got == expected
 
