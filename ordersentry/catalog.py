@@ -20,9 +20,10 @@ from .operators import tables as ops
 from .plans import warehouse as wh
 from .plans.domain import Domain
 from .plans.ingest import IngestFailed, IngestPaths, ingest_day, ingest_tables, read_ledger
+from .plans.models import build_models
 from .schemas import ORDER_EVENT, RAW_ORDERS, RAW_PRODUCTS, RAW_USERS
 from .session import checkpoint_dir, configure
-from .sources import merge_table
+from .sources import layout, merge_table
 from .sources.ndjson import extract_day, read_days
 from .sources.tables import read_table
 from .sources.tpch_domain import raw_orders
@@ -37,6 +38,7 @@ FIRST_LOAD_END = "2023-12-15 00:00:00"  # users created before it are already st
 RUN_DS = "2024-01-15"                   # incremental run date: extracts 2024-01-14
 RUN_DS_EARLY = "2023-12-11"             # run date with users and products: extracts 2023-12-10
 USERS_BATCH = 100                       # ordered read batch size
+BUILD_CUT = "2024-01-08 00:00:00"       # orders of the first model build
 USER_BUCKETS = 8                        # hash buckets of the stored users' natural keys
 
 
@@ -302,6 +304,19 @@ def ledger_failed_run(spark, sf_dir):
     return log.select("source_table", "run_status", "row_ingested", "row_loaded", "is_consistent")
 
 
+def models_rebuilt(spark, sf_dir):
+    """S11 + S12: all models built over the orders up to a day, rebuilt over all
+    of them, and the written fact's frauds read back by its file manifest."""
+    d = _dom(spark, sf_dir)
+    out_dir = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex}"
+    orders = layout.staged(d.raw_orders)                 # screened once for both builds
+    early = orders.filter(F.col("created_date") < F.lit(BUILD_CUT).cast("timestamp_ntz"))
+    for rows in (early, orders):
+        build_models(d.raw_users, d.raw_products, rows, out_dir)
+    frauds = layout.read_where(spark, f"{out_dir}/fct_orders", {"fraud_status": (FRAUD, FRAUD)})
+    return frauds.drop("event_ts_day")
+
+
 # ----------------------------------------------------------------- stream
 def stream_verdict(spark, sf_dir):
     """T1 + T2 + S2 + S3: the stream screened in several runs, with gaps in
@@ -400,6 +415,7 @@ def queries() -> dict[str, Query]:
         "load_day_orders": load_day_orders,
         "ledger_double_load": ledger_double_load,
         "ledger_failed_run": ledger_failed_run,
+        "models_rebuilt": models_rebuilt,
         "stream_verdict": stream_verdict,
         "stream_quarantine": stream_quarantine,
         "stream_alerts": stream_alerts,

@@ -394,6 +394,7 @@ SELECT source_table, 'FAILED' AS run_status, n AS row_ingested,
 SELECT event_id * 3 + 1 AS seq, '{"order_id": O' || event_id AS value FROM events WHERE event_id % 97 = 0
 UNION ALL
 SELECT event_id * 3 + 2, '{"order_id":"X' || event_id || '","event_ts":"not a time"}' FROM events WHERE event_id % 101 = 0""",
+    "models_rebuilt": "SELECT * FROM fct_orders WHERE fraud_status = 'Fraud'",
     "stream_alerts": """
 SELECT order_id, user_id, product_id, quantity, amount, amount_numeric, country, verdict AS status,
        created_date, event_ts, source

@@ -13,7 +13,8 @@ Differences from a template-compiled run, by design:
 
 Layouts: dimensions partitioned by the day of ``created_date``, the fact by
 the day of ``event_ts``, the two daily marts by ``event_date``; cluster
-columns become a range partitioning plus a sort within partitions.
+columns become a Z-order (``sources.layout``), so a filter on any of them skips
+files.
 """
 
 from __future__ import annotations

@@ -2,8 +2,8 @@
 
 ``materialize`` turns a model DataFrame into a temp view (staging) or a
 Parquet table (dimensions, fact, marts), optionally partitioned by the day
-of a timestamp column and clustered (range-partitioned and sorted) on the
-cluster columns so Parquet min/max statistics skip row groups.
+of a timestamp column and clustered in Z-order of the cluster columns, with a
+manifest of what each file holds (:mod:`.layout`).
 
 ``upsert_table`` / ``insert_ignore_table`` apply the raw-table operators to
 a Parquet table on shared storage.  An upserted table is versioned: a batch
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..operators import tables as ops
 from ..session import checkpoint_dir
+from . import layout
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
@@ -57,18 +58,15 @@ def materialize(df: DataFrame, name: str, kind: str = "table", path: str | None
         out = out.withColumn(pcol, F.to_date(F.col(partition_by)))
         parts = [pcol]
     if cluster_by:
-        # A row hash as the last range key lets the range partitioner split
-        # a hot cluster value over several tasks; rows stay sorted by the
-        # cluster columns inside each file.
-        keys = [F.col(c) for c in parts + cluster_by]
-        out = out.repartitionByRange(*keys, F.xxhash64(*[F.col(c) for c in df.columns])) \
-                 .sortWithinPartitions(*(parts + cluster_by))
+        out = layout.clustered(out, parts, cluster_by)
     # The whole table is rebuilt: partitions that no longer have rows must go,
     # whatever overwrite mode the session has.
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if parts:
         writer = writer.partitionBy(*parts)
     writer.parquet(path)
+    if cluster_by:
+        layout.write_manifest(df.sparkSession, path, cluster_by)
     return df.sparkSession.read.parquet(path)
 
 
