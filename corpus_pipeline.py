@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordersentry.llm import decontaminate, jaccard, mixing, quality, token_store
-from ordersentry.llm.common import saved, shared_path
+from ordersentry.llm.common import free_prefix, saved, shared_path
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
 
@@ -16,7 +16,8 @@ TOKENIZER, END_ID = "word_bpe_49k.json", 1
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores below its threshold go."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, model, out="__quality").filter(F.col("__quality") >= quality.THRESHOLD).select(*docs.columns)
+    score = free_prefix(docs.columns) + "quality"
+    return quality.score(docs, model, out=score).filter(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
