@@ -68,7 +68,9 @@ def text_failures(texts: pa.Array) -> np.ndarray:
     distinct = np.bincount(met // size, minlength=len(n))
     _, offsets, data = texts.buffers()
     offsets = np.frombuffer(offsets, np.int64, len(texts) + 1)
-    chars = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    # Pieces of a batch share its buffer: look at their own part alone.
+    chars = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
 
     def count(table):
         total = np.concatenate([[0], np.cumsum(table[chars], dtype=np.int64)])
