@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .constants import FRAUD, GENUINE
 from .functions import previous_day, rupiah
@@ -19,12 +20,12 @@ from .operators import fraud, ledger, quality
 from .operators import tables as ops
 from .plans import warehouse as wh
 from .plans.domain import Domain
-from .plans.ingest import IngestFailed, IngestPaths, ingest_day, ingest_tables, read_ledger
+from .plans.ingest import IngestFailed, IngestPaths, ingest_changes, ingest_day, ingest_tables, read_ledger
 from .plans.models import build_models
 from .schemas import ORDER_EVENT, RAW_ORDERS, RAW_PRODUCTS, RAW_USERS
 from .session import checkpoint_dir, configure
 from .sources import layout, merge_table
-from .sources.ndjson import extract_day, read_days
+from .sources.ndjson import extract_day, read_days, read_ndjson
 from .sources.tables import read_table
 from .sources.tpch_domain import raw_orders
 from .streaming import replay
@@ -304,6 +305,35 @@ def ledger_failed_run(spark, sf_dir):
     return log.select("source_table", "run_status", "row_ingested", "row_loaded", "is_consistent")
 
 
+def _synced(spark, sf_dir):
+    """Orders up to a day stored and moved to the warehouse; then all orders are
+    sent (the old frauds cleared, the other old ones unchanged) and only the
+    changes are moved.  Returns (paths, the second export)."""
+    d, paths = _dom(spark, sf_dir), _paths(spark)
+    table = f"{paths.export_dir}/stored_orders"
+    orders = layout.staged(_zoned(d.raw_orders)).withColumn("_order", F.lit(0))
+    early = F.col("created_date") < F.lit(BUILD_CUT).cast("timestamp")
+    cleared = F.when(early & (F.col("status") == FRAUD), F.lit(GENUINE)).otherwise(F.col("status"))
+    export = None
+    for rows in (orders.filter(early), orders.withColumn("status", cleared)):
+        merge_table.upsert(spark, table, rows, "order_id", "_order", stamp_col=None)
+        export = ingest_changes(spark, "raw_orders", table, RAW_ORDERS, paths, "warehouse") or export
+    return paths, export
+
+
+def extract_changes(spark, sf_dir):
+    """S9, late changes: what the second export holds, new and changed orders only."""
+    _, export = _synced(spark, sf_dir)
+    rows = read_ndjson(spark, export, StructType([*RAW_ORDERS.fields, StructField("change", StringType())]))
+    return rows.select("order_id", "change", "status", "quantity", "amount_numeric")
+
+
+def changes_loaded(spark, sf_dir):
+    """S9 + S6: the warehouse copy after the changes were moved."""
+    paths, _ = _synced(spark, sf_dir)
+    return _stored(read_table(spark, paths.target("raw_orders")))
+
+
 def models_rebuilt(spark, sf_dir):
     """S11 + S12: all models built over the orders up to a day, rebuilt over all
     of them, and the written fact's frauds read back by its file manifest."""
@@ -415,6 +445,8 @@ def queries() -> dict[str, Query]:
         "load_day_orders": load_day_orders,
         "ledger_double_load": ledger_double_load,
         "ledger_failed_run": ledger_failed_run,
+        "extract_changes": extract_changes,
+        "changes_loaded": changes_loaded,
         "models_rebuilt": models_rebuilt,
         "stream_verdict": stream_verdict,
         "stream_quarantine": stream_quarantine,

@@ -5,6 +5,8 @@ updates in place.  Here every step appends one event row, and the current
 state is derived:
 
 * ``start``    RUNNING, row_ingested (count of the source slice)
+* ``running``  RUNNING, no count yet: the export counts while it writes
+* ``ingested`` row_ingested, as the export's write observed it
 * ``finish``   SUCCESS, row_loaded (count of the whole target day)
 * ``validate`` is_consistent = (row_ingested <=> row_loaded); a missing count
   compares false, two missing compare true, as Python ``==`` with None does
@@ -66,6 +68,20 @@ def start(source_slice: DataFrame, dag_id: str, run_id: str, source_table: str,
                   start_time=_ts(start_time), execution_date=_ts(execution_date))
 
 
+def running(spark: SparkSession, dag_id: str, run_id: str, source_table: str, destination_table: str,
+            execution_date: str, seq: int = 1, start_time: dt.datetime | str | None = None) -> DataFrame:
+    """Q3 without a count of its own: RUNNING event before the export starts."""
+    return _event(spark.range(1), dag_id, run_id, seq, run_status="RUNNING", source_table=source_table,
+                  destination_table=destination_table, start_time=_ts(start_time), execution_date=_ts(execution_date))
+
+
+def ingested(spark: SparkSession, dag_id: str, run_id: str, source_table: str, execution_date: str,
+             rows: int, seq: int = 2) -> DataFrame:
+    """Q3: the number of rows that the finished export wrote."""
+    return _event(spark.range(1), dag_id, run_id, seq, source_table=source_table, row_ingested=rows,
+                  execution_date=_ts(execution_date))
+
+
 def finish(target_slice: DataFrame, dag_id: str, run_id: str, source_table: str,
            execution_date: str, seq: int = 2, end_time: dt.datetime | str | None = None) -> DataFrame:
     """Q4: SUCCESS event with the number of rows found in the target day."""
@@ -153,5 +169,5 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-__all__ = ["count_rows", "start", "finish", "validate", "validate_run", "fail", "state", "reconcile", "empty",
+__all__ = ["count_rows", "start", "running", "ingested", "finish", "validate", "validate_run", "fail", "state", "reconcile", "empty",
            "union_all", "previous_day"]

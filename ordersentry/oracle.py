@@ -389,6 +389,18 @@ SELECT source_table, 'SUCCESS' AS run_status, n AS row_ingested, 2 * n AS row_lo
 SELECT source_table, 'FAILED' AS run_status, n AS row_ingested,
        CASE WHEN source_table = 'raw_users' THEN n END AS row_loaded,
        CASE WHEN source_table = 'raw_users' THEN true END AS is_consistent FROM counts""",
+    "extract_changes": """
+, stored AS (
+  SELECT order_id, status, quantity, amount_numeric FROM raw_orders WHERE created_date < TIMESTAMP '2024-01-08 00:00:00'),
+sent AS (
+  SELECT order_id, CASE WHEN created_date < TIMESTAMP '2024-01-08 00:00:00' AND status = 'Fraud' THEN 'Genuine' ELSE status END AS status,
+         quantity, amount_numeric FROM raw_orders),
+changed AS (SELECT * FROM sent EXCEPT SELECT * FROM stored)
+SELECT order_id, CASE WHEN order_id IN (SELECT order_id FROM stored) THEN 'update' ELSE 'insert' END AS change,
+       status, quantity, amount_numeric FROM changed""",
+    "changes_loaded": f"""
+SELECT {_RAW_COLS.replace('status', "CASE WHEN created_date < TIMESTAMP '2024-01-08 00:00:00' AND status = 'Fraud' THEN 'Genuine' ELSE status END AS status")}
+FROM raw_orders""",
     "stream_verdict": "SELECT order_id, verdict AS status FROM screened",
     "stream_quarantine": """
 SELECT event_id * 3 + 1 AS seq, '{"order_id": O' || event_id AS value FROM events WHERE event_id % 97 = 0

@@ -8,6 +8,7 @@ the newest run.
     data/run=N/key_range=K     the run's rows, sorted by key
     stats/run=N                per key range: Bloom filter, smallest and largest key
     current/N.json             the runs that make up version N (a few numbers each)
+    consumers/NAME/N.json      the version up to which a reader of changes has come
 
 A version is published by renaming its ``current`` file into place; a run has
 the number of the version that brings it in.  A crash before that leaves a
@@ -21,6 +22,9 @@ upsert; a version's files stay until two later versions exist.
 
 Reading doesn't shuffle the table: all runs but the largest are reduced to
 their newest rows by key, and the largest loses those keys by an anti join.
+:func:`changes` compares two versions: the later one's new runs hold every key
+that may differ, so the table isn't read for it.  A consumer's bookmark keeps
+the version it names, whatever is compacted meanwhile.
 :func:`lookup` opens only the key ranges of those runs whose Bloom filters
 (built by Spark's bitmap aggregates) and key bounds may hold a key.
 """
@@ -100,9 +104,10 @@ def _publish(spark: SparkSession, path: str, version: int, current: list[dict],
 
 
 def _remove_superseded(spark: SparkSession, path: str, version: int) -> None:
-    """Drop versions before the last two, and the runs only they name."""
-    old = [v for v in _published(spark, path) if v < version - 1]
-    kept = {r["run"] for v in _published(spark, path) if v >= version - 1 for r in _manifest(spark, path, v)["runs"]}
+    """Drop versions before the last two that no bookmark names, and the runs only they name."""
+    published, named = _published(spark, path), set(_bookmarks(spark, path).values())
+    old = [v for v in published if v < version - 1 and v not in named]
+    kept = {r["run"] for v in published if v not in old for r in _manifest(spark, path, v)["runs"]}
     for v in old:
         for r in _manifest(spark, path, v)["runs"]:
             if r["run"] not in kept:
@@ -220,6 +225,82 @@ def compact(spark: SparkSession, path: str, key: str = "order_id", part_col: str
     return numbers
 
 
+# ----------------------------------------------------------------- changes
+def version(spark: SparkSession, path: str) -> int:
+    """The last published version; -1 before the first."""
+    return _current(spark, path)[0]
+
+
+def _marks(spark: SparkSession, path: str, consumer: str) -> list[int]:
+    fs, folder = _folder(spark, f"{path}/consumers/{consumer}")
+    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith("."))
+
+
+def _bookmarks(spark: SparkSession, path: str) -> dict[str, int]:
+    fs, folder = _folder(spark, f"{path}/consumers")
+    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    return {n: marks[-1] for n in names if (marks := _marks(spark, path, n))}
+
+
+def bookmark(spark: SparkSession, path: str, consumer: str) -> int:
+    """The version up to which ``consumer`` has come; -1 for a new one, which gets all rows."""
+    marks = _marks(spark, path, consumer)
+    return marks[-1] if marks else -1
+
+
+def advance(spark: SparkSession, path: str, consumer: str, to: int) -> None:
+    """Move the bookmark to version ``to``, which is kept from then on; the
+    version of the older bookmark goes with the next publication."""
+    marks = _marks(spark, path, consumer)
+    if marks and to <= marks[-1]:
+        if to < marks[-1]:
+            raise ValueError(f"bookmark of {consumer} is at {marks[-1]}, past {to}")
+        return
+    publish(spark, f"{path}/consumers/{consumer}", f"{to}.json", "{}")
+    if to >= 0 and to not in _published(spark, path):
+        raise FileNotFoundError(f"version {to} of {path} is gone; {consumer} has to start from -1 under a new name")
+    for old in marks:
+        fs, file = _folder(spark, f"{path}/consumers/{consumer}/{old}.json")
+        fs.delete(file, False)
+
+
+def changes(spark: SparkSession, path: str, since: int, until: int | None = None, key: str = "order_id",
+            part_col: str = "key_range", partition_of=None, ignore: tuple[str, ...] = ("ingestion_ts",)) -> DataFrame:
+    """Rows of version ``until`` (default: the last) that version ``since`` lacks
+    or holds otherwise, with ``change``: ``insert`` or ``update``.  A row sent
+    again without a difference outside ``ignore`` is no change; -1 is the empty table."""
+    until = version(spark, path) if until is None else until
+    published = _published(spark, path)
+    for v in {since, until} - {-1}:
+        if v not in published:
+            raise FileNotFoundError(f"version {v} of {path} is gone; a bookmark keeps the version it names")
+    after = _manifest(spark, path, until) if until >= 0 else None
+    if after is None:
+        raise FileNotFoundError(f"no published table at {path}")
+    before = _manifest(spark, path, since) if since >= 0 else {"runs": [], "schema": None}
+    known = {r["run"] for r in before["runs"]}
+    new_runs = [r for r in after["runs"] if r["run"] not in known]
+    if not new_runs:
+        return _newest(spark, path, after, after["runs"], key).drop(part_col).limit(0).withColumn("change", F.lit("update"))
+    # Compaction merges the newest runs, so the new ones are the newest: their rows are those of ``until``.
+    rows = _newest(spark, path, after, new_runs, key).drop(part_col)
+    folders = []
+    if before["runs"]:
+        folders = _folders(path, candidates(spark, path, rows, key, part_col, partition_of, before["runs"]), part_col)
+    if not folders:
+        return rows.withColumn("change", F.lit("insert"))
+    held = _rows(spark, path, before, before["runs"], folders).join(rows.select(key), key, "left_semi")
+    held = last_per_key(held, key, "_age").drop("_age")
+    compared = [c for c in rows.columns if c not in (key, *ignore)]
+    # A column that came later was NULL in every older row.
+    state = F.struct(*[F.col(c) if c in held.columns else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in compared])
+    old = held.select(F.col(key).alias("_key"), state.alias("_old"))
+    same = F.col("_old").eqNullSafe(F.struct(*map(F.col, compared)))
+    return (rows.join(old, rows[key] == old["_key"], "left").filter(F.col("_key").isNull() | ~same)
+            .withColumn("change", F.when(F.col("_key").isNull(), "insert").otherwise("update")).drop("_key", "_old"))
+
+
 # ----------------------------------------------------------------- reading
 def _rows(spark: SparkSession, path: str, manifest: dict, some: list[dict], folders: list[str] | None = None) -> DataFrame:
     """Rows of the runs ``some`` with ``_age``, their place among them; the

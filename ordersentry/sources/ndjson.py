@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,10 +28,17 @@ def extract_day(df: DataFrame, ds: str | dt.date, col: str = "created_date") ->
     return df.filter(on_day(col, previous_day(ds)))
 
 
-def write_ndjson(df: DataFrame, path: str) -> None:
-    """One JSON object per line; timestamps as ISO-8601 text with offset."""
-    df.write.mode("overwrite").option("timestampFormat", ISO_TS) \
+def write_ndjson(df: DataFrame, path: str) -> int:
+    """One JSON object per line; timestamps as ISO-8601 text with offset.
+
+    Returns the rows written, observed by the write itself, so the source is
+    scanned once.  The observation stands at the top of the plan, in the stage
+    that writes, where a task counts once however often it was retried."""
+    written = Observation()
+    df.observe(written, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("timestampFormat", ISO_TS) \
         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
+    # A plan that is empty from the start is optimized away together with its observation.
+    return written.get.get("n", 0)
 
 
 def read_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

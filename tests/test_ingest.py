@@ -160,3 +160,77 @@ def test_load_of_one_day_rejects_rows_of_another(spark, tmp_path):
     ndjson.write_ndjson(user_rows(spark, BOUNDARY), str(tmp_path / "x.json"))
     with pytest.raises(Exception, match="row outside"):
         ndjson.load_day(spark, str(tmp_path / "x.json"), RAW_USERS, str(tmp_path / "t"), only_day=dt.date(2025, 3, 1))
+
+
+def test_the_export_counts_while_it_writes(spark):
+    """The source is read once, for the export; its count is the export's own."""
+    src, seen = user_rows(spark, BOUNDARY), spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    p = paths()
+    st = ingest_day(spark, "raw_users", src.mapInArrow(watched, src.schema), RAW_USERS, "2025-03-02", p).first()
+    assert (st.row_ingested, st.row_loaded, st.is_consistent, seen.value) == (2, 2, True, len(BOUNDARY))
+
+
+def test_a_failed_export_leaves_no_count(spark):
+    p = paths()
+    bad = user_rows(spark, BOUNDARY).withColumn("email", F.raise_error(F.lit("unreadable")).cast("string"))
+    with pytest.raises(Exception, match="unreadable"):
+        ingest_day(spark, "raw_users", bad, RAW_USERS, "2025-03-02", p, run_id="rx")
+    st = _state(spark, p, "rx")["raw_users"]
+    assert (st.run_status, st.row_ingested, st.row_loaded) == ("FAILED", None, None)
+
+
+ORDER = ("order_id string, user_id string, product_id string, quantity long, amount string, amount_numeric long, country string, "
+         "status string, created_date timestamp, event_ts timestamp, source string, ingestion_ts timestamp, n int")
+
+
+def order_rows(spark, values):
+    """One order per (number, quantity)."""
+    t = dt.datetime(2025, 3, 1)
+    return spark.createDataFrame([(f"O{i}", "U1", "P1", q, "Rp.1", 1, "ID", "Genuine", t, t, "stream", t, 0) for i, q in values], ORDER)
+
+
+def test_changes_reach_the_warehouse_once_whatever_fails(spark, monkeypatch):
+    from ordersentry.plans import ingest
+    from ordersentry.schemas import RAW_ORDERS
+    from ordersentry.sources import merge_table
+    from ordersentry.sources.tables import read_table
+    p = paths()
+    source = f"{p.export_dir}/source"
+
+    def move():
+        return ingest.ingest_changes(spark, "raw_orders", source, RAW_ORDERS, p, "wh")
+
+    def stored():
+        return {r.order_id: r.quantity for r in read_table(spark, p.target("raw_orders")).collect()}
+
+    assert move() is None                                          # nothing published yet
+    merge_table.upsert(spark, source, order_rows(spark, [(1, 1), (2, 1)]), "order_id", "n", stamp_col=None)
+    assert move() and stored() == {"O1": 1, "O2": 1}
+    assert move() is None
+    merge_table.upsert(spark, source, order_rows(spark, [(1, 1), (2, 5), (3, 3)]), "order_id", "n", stamp_col=None)
+    with monkeypatch.context() as m:                               # stops after the load, before the bookmark
+        def lost(*a, **k):
+            raise RuntimeError("lost")
+        m.setattr(merge_table, "advance", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            move()
+    with monkeypatch.context() as m:                               # stops before the load
+        m.setattr(merge_table, "upsert", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            move()
+    export = move()
+    assert sorted((r.order_id, r.change) for r in spark.read.json(export).collect()) == [("O2", "update"), ("O3", "insert")]
+    assert stored() == {"O1": 1, "O2": 5, "O3": 3}
+    st = _state_of(spark, p)
+    assert (st["wh__-1_0"].row_ingested, st["wh__0_1"].row_ingested, st["wh__0_1"].row_loaded) == (2, 2, 2)
+    assert st["wh__0_1"].is_consistent and st["wh__0_1"].run_status == "SUCCESS"
+
+
+def _state_of(spark, p):
+    return {r.run_id: r for r in ledger.state(read_ledger(spark, p)).collect()}

@@ -188,3 +188,46 @@ def test_an_insert_opens_only_its_buckets(spark, tmp_path, monkeypatch):
     monkeypatch.undo()
     new = merge_table.read(spark, path, "email").filter("name = 'new'")
     assert sorted((r.email, r.user_id) for r in new.collect()) == [("e4001", 4001), ("e4002", 4002)]
+
+
+def test_changes_are_the_difference_of_two_versions(spark, tmp_path, monkeypatch):
+    """Random upserts and compactions; a bookmark's version outlives both."""
+    monkeypatch.setattr(merge_table, "TIER_BASE", 4)
+    path, rnd, state, held = str(tmp_path / "t"), random.Random(11), {}, {-1: {}}
+    for step in range(6):
+        rows = []
+        for _ in range(rnd.choice([2, 5, 12])):
+            k = rnd.choice([f"O{rnd.randrange(9)}", f"O{rnd.randrange(9)}000001"])
+            state[k] = rnd.choice([state.get(k), rnd.randrange(3), None])
+            rows.append((k, state[k], len(rows)))
+        merge_table.upsert(spark, path, batch(spark, rows), "order_id", "seq")
+        held[merge_table.version(spark, path)] = dict(state)
+        if step == 1:
+            merge_table.advance(spark, path, "wh", merge_table.version(spark, path))
+        merge_table.compact(spark, path, fan_in=2)
+        held[merge_table.version(spark, path)] = dict(state)
+    mark, last = merge_table.bookmark(spark, path, "wh"), merge_table.version(spark, path)
+    assert len(merge_table.runs(spark, path)) < 6 and 0 <= mark < last - 1
+    for since, until in ((mark, last), (-1, last), (last, last), (-1, mark)):
+        before, after = held[since], held[until]
+        want = {(k, v, "update" if k in before else "insert") for k, v in after.items() if k not in before or before[k] != v}
+        got = [(r.order_id, r.v, r.change) for r in merge_table.changes(spark, path, since, until).collect()]
+        assert set(got) == want and len(got) == len(want)
+    with pytest.raises(FileNotFoundError, match="is gone"):
+        merge_table.changes(spark, path, mark + 1)
+    merge_table.advance(spark, path, "wh", last)
+    with pytest.raises(ValueError, match="past"):
+        merge_table.advance(spark, path, "wh", mark)
+    for k in range(2):
+        merge_table.upsert(spark, path, batch(spark, [("O1", 100 + k, 0)]), "order_id", "seq")
+    with pytest.raises(FileNotFoundError, match="is gone"):
+        merge_table.changes(spark, path, mark)
+    assert [(r.order_id, r.v) for r in merge_table.changes(spark, path, last).collect()] == [("O1", 101)]
+
+
+def test_changes_see_columns_that_came_later(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge_table.upsert(spark, path, batch(spark, [("O1", 1, 0), ("O2", 2, 0)]), "order_id", "seq")
+    later = spark.createDataFrame([("O1", 1, None, 0), ("O2", 2, "x", 0)], "order_id string, v long, note string, seq long")
+    merge_table.upsert(spark, path, later, "order_id", "seq")
+    assert [(r.order_id, r.change) for r in merge_table.changes(spark, path, 0).collect()] == [("O2", "update")]
