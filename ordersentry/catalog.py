@@ -355,6 +355,14 @@ def stream_verdict(spark, sf_dir):
     return replay.processed(spark, replay.replay(spark, sf_dir)).select("order_id", "status")
 
 
+def stream_offsets(spark, sf_dir):
+    """What consumers that started at the topic's begin and at its end have
+    read after a restart, orders and broken messages."""
+    configure(spark)
+    good = F.get_json_object("value", "$.order_id")
+    return replay.offsets(spark, sf_dir).select("starting", "partition", "offset", good.alias("order_id"))
+
+
 def stream_quarantine(spark, sf_dir):
     """What the stream could not decode."""
     configure(spark)
@@ -449,6 +457,7 @@ def queries() -> dict[str, Query]:
         "changes_loaded": changes_loaded,
         "models_rebuilt": models_rebuilt,
         "stream_verdict": stream_verdict,
+        "stream_offsets": stream_offsets,
         "stream_quarantine": stream_quarantine,
         "stream_alerts": stream_alerts,
         "stream_messages": stream_messages,

@@ -402,6 +402,17 @@ SELECT order_id, CASE WHEN order_id IN (SELECT order_id FROM stored) THEN 'updat
 SELECT {_RAW_COLS.replace('status', "CASE WHEN created_date < TIMESTAMP '2024-01-08 00:00:00' AND status = 'Fraud' THEN 'Genuine' ELSE status END AS status")}
 FROM raw_orders""",
     "stream_verdict": "SELECT order_id, verdict AS status FROM screened",
+    "stream_offsets": """
+, topic AS (
+  SELECT partition, seq * 3 AS "offset", order_id FROM order_events
+  UNION ALL
+  SELECT partition, seq * 3 + 1, NULL FROM order_events WHERE seq % 97 = 0
+  UNION ALL
+  SELECT partition, seq * 3 + 2, 'X' || seq FROM order_events WHERE seq % 101 = 0),
+steps AS (SELECT *, floor("offset" * 3.0 / (max("offset") OVER () + 1)) AS step FROM topic)
+SELECT 'earliest' AS starting, CAST(partition AS INTEGER) AS partition, CAST("offset" AS BIGINT) AS "offset", order_id FROM steps
+UNION ALL
+SELECT 'latest', CAST(partition AS INTEGER), CAST("offset" AS BIGINT), order_id FROM steps WHERE step > 0""",
     "stream_quarantine": """
 SELECT event_id * 3 + 1 AS seq, '{"order_id": O' || event_id AS value FROM events WHERE event_id % 97 = 0
 UNION ALL

@@ -20,6 +20,7 @@ from ..schemas import ORDER_EVENT
 from ..session import checkpoint_dir
 from .loader import start_loader
 from .screening import RoutedSink, parquet_sink, read_routed, start_screening
+from .staged import read_staged, stage
 
 # Fixed values of the scenario (shared with the oracle SQL).
 OFFSET_STEP = 3               # offsets of orders: 0, 3, 6, ...
@@ -74,6 +75,27 @@ def alerts(spark: SparkSession, root: str) -> DataFrame:
     return read_routed(spark, f"{root}/out", "alerts")
 
 
+def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two consumers of one topic, which arrives in ``PARTS`` steps.  Both start
+    when the first step is there, one at ``earliest``, the other at
+    ``latest``, and are stopped; they resume when all steps are there.
+    Returns what each has read: ``starting, partition, offset, value``."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/offsets-{uuid.uuid4().hex}"
+    messages(Domain(spark, sf_dir).order_events).write.parquet(f"{root}/all")
+    every = spark.read.schema(MESSAGE).parquet(f"{root}/all")
+    last = every.agg(F.max("offset")).first()[0] or 0
+    for part in range(PARTS):
+        stage(every.filter(F.floor(F.col("offset") * PARTS / F.lit(last + 1)) == part), f"{root}/topic", part)
+        if part in (0, PARTS - 1):
+            for starting in ("earliest", "latest"):
+                at = f"{root}/{starting}"
+                stream = read_staged(spark, f"{root}/topic", starting, f"{at}/start.json")
+                stream.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/checkpoint") \
+                    .trigger(availableNow=True).start().awaitTermination()
+    read = [spark.read.schema(MESSAGE).parquet(f"{root}/{s}/out").withColumn("starting", F.lit(s)) for s in ("earliest", "latest")]
+    return read[0].unionByName(read[1])
+
+
 def load(spark: SparkSession, root: str) -> str:
     """Run the loader over the processed orders, a few files at a time; returns the raw_orders table's path."""
     schema = spark.read.parquet(f"{root}/out/processed").schema
