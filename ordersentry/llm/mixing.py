@@ -15,7 +15,8 @@ target to a word, and no document is taken more than ``max_repeat`` times.
 The order of the mix is a low-discrepancy schedule: the slots are numbered
 source by source, and the mix takes them in the order of the base-2 van der
 Corput sequence (numbers with their bits reversed), so every stretch of the
-mix holds each source in its share of the slots.
+mix holds each source in its share of the slots.  A document's place in the mix
+is the first slot that takes words of it.
 
 Ranks and word positions are two-level running sums (bucket totals, then
 inside a bucket), so a source with a third of all rows is spread over many
@@ -132,7 +133,8 @@ def mix(docs: DataFrame, budget: float = 1.5, max_repeat: int = 2, block_words:
     """``(documents, schedule)``.
 
     ``documents``: per input row doc_id, source, size, source_size, target, taken,
-    tie (a hash of the text).  ``schedule``: rows (slot, src, pass, block, first, words):
+    first_slot (the earliest slot that takes words of it, null if none does), tie
+    (a hash of the text).  ``schedule``: rows (slot, src, pass, block, first, words):
     slot order is the mix's order, and a slot takes the words ``[first, first + words)``
     of its source in shuffled order."""
     sizes = saved(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
@@ -157,13 +159,14 @@ def mix(docs: DataFrame, budget: float = 1.5, max_repeat: int = 2, block_words:
               .withColumn("hi", F.least(F.col("start") + F.col("size"), block_start(F.col("block") + 1)))
               .select("src", "start", "block", "lo", "hi"))
     # A block's visits differ in words only where the last slot takes less than all.
-    visits = schedule.groupBy("src", "block", "first", "words").agg(F.count(F.lit(1)).alias("visits"))
+    visits = schedule.groupBy("src", "block", "first", "words").agg(F.count(F.lit(1)).alias("visits"), F.min("slot").alias("slot"))
     words = F.greatest(F.least(F.col("hi"), F.col("first") + F.col("words")) - F.col("lo"), F.lit(0))
     # Every row with words has a start of its own inside its source.
     taken = (pieces.join(visits, ["src", "block"]).groupBy("src", "start")
-             .agg(F.sum(words * F.col("visits")).alias("taken")).withColumn("has_words", F.lit(True)))
+             .agg(F.sum(words * F.col("visits")).alias("taken"), F.min(F.when(words > 0, F.col("slot"))).alias("first_slot"))
+             .withColumn("has_words", F.lit(True)))
     out = (placed.withColumn("has_words", F.col("size") > 0).join(taken, ["src", "start", "has_words"], "left")
-           .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "tie"))
+           .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot", "tie"))
     return out, schedule
 
 

@@ -60,7 +60,7 @@ def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, _ = mixing.mix(table(spark, sf_dir, "documents"))
-    return documents.select("doc_id", "size", "source_size", "target", "taken")
+    return documents.select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

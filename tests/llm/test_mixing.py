@@ -1,5 +1,7 @@
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from ordersentry.llm import mixing
 
 from .text import words
@@ -78,6 +80,24 @@ def test_tiny_sources_beside_a_hot_one_take_their_targets(docs):
     assert all(kept[s] == target[s] for s in size if target[s] == 2 * size[s])
 
 
+def test_a_document_stands_at_the_first_slot_that_takes_its_words(docs):
+    rows = [(i, " ".join(["w"] * (i % 23)), "abc"[i % 3] if i % 5 else "c") for i in range(400)]
+    d = docs(rows)
+    documents, schedule = mixing.mix(d, budget=0.7, block_words=16, seed=3)
+    key = {r["doc_id"]: r["key"] for r in d.select("doc_id", F.xxhash64(F.lit(3), F.col("doc_id").cast("long")).alias("key")).collect()}
+    taking = defaultdict(list)
+    for r in schedule.collect():
+        taking["abc"[r["src"]]].append((r["slot"], r["first"], r["first"] + r["words"]))
+    want, at = {}, defaultdict(int)
+    for i, text, s in sorted(rows, key=lambda r: key[r[0]]):
+        lo, hi = at[s], at[s] + len(words(text))
+        want[i] = min((slot for slot, first, end in taking[s] if first < hi and lo < end and lo < hi), default=None)
+        at[s] = hi
+    got = documents.collect()
+    assert {r["doc_id"]: r["first_slot"] for r in got} == want
+    assert all((r["first_slot"] is None) == (r["taken"] == 0) for r in got) and None in want.values()
+
+
 def test_mix_without_words(docs):
     for rows in ([], [(1, None, "a"), (2, "", None)]):
         got = mixing.mix(docs(rows))[0].collect()
