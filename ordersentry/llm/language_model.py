@@ -23,7 +23,7 @@ Training, over all training texts:
    instead of storing them, and a lost task gives the same seats again.
 4. A bucket answers every block with the counts of its words and the
    predictive probability of its pairs, averaged over the sweeps after the
-   first, in 1/2048 of a decade.
+   first, as single-precision log10; a text's score sums them in double.
 
 Scoring meets answers and texts block by block.  Each document is read
 whole.  No vocabulary is broadcast or sent to the driver; what travels is
@@ -55,7 +55,6 @@ SWEEPS = 4
 THETA_CONTEXT, THETA_ROOT = 5.0, 50.0
 BLOCK_DOCS, BUCKET_DOCS = 4096, 2048
 END = np.uint64(xxhash.xxh3_64_intdigest(" end"))      # no word holds a blank
-STEP = 2048                                            # answers carry -log10 p in steps of 1 / STEP
 
 
 def held_out(doc_id) -> bool:
@@ -270,8 +269,7 @@ def _answer(history: list[Totals], settings: Settings):
                 own = np.zeros(len(code))
                 own[pair_known] = c.count[pair[pair_known]] - settings.discount * tables[pair[pair_known]]
                 p += (own + (THETA_CONTEXT + settings.discount * totals.tables[context]) * parent) / (THETA_CONTEXT + totals.tokens[context])
-            steps = np.minimum(np.round(-np.log10(p / len(samples)) * STEP), 65535).astype(np.uint16)
-            rows.append((bucket, block, pack(count, steps, compress=True)))
+            rows.append((bucket, block, pack(count, np.log10(p / len(samples)).astype(np.float32), compress=True)))
         return pa.table([pa.array(x, f.type) for x, f in zip(zip(*rows), _REQUESTS)], schema=_REQUESTS)
     return run
 
@@ -283,9 +281,9 @@ def _score(buckets: int, n: int, v: int):
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         block = read_block(texts.column("payload"), buckets)
         answer = dict(zip(answers.column("bucket").to_pylist(), answers.column("payload")))
-        count, steps = np.zeros(len(block.words)), np.zeros(len(block.pairs))
+        count, log_p = np.zeros(len(block.words)), np.zeros(len(block.pairs))
         for bucket, w, p in _by_bucket(block):
-            count[w], steps[p] = unpack(answer[bucket].as_py())
+            count[w], log_p[p] = unpack(answer[bucket].as_py())
         base = np.log10((count + 0.5) / (n + 0.5 * (v + 1)))
         word = (block.pairs // CONTEXTS)[block.token_pair]
         starts = block.offsets[:-1]
@@ -294,7 +292,7 @@ def _score(buckets: int, n: int, v: int):
             "doc_id": pa.array(ids, pa.int64()), "held_out": pa.array([held_out(i) for i in ids], pa.bool_()),
             "n_tokens": pa.array(np.diff(block.offsets)), "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64)[word], starts)),
             "base_score": pa.array(np.add.reduceat(base[word], starts)),
-            "score": pa.array(-np.add.reduceat(steps[block.token_pair], starts) / STEP)})
+            "score": pa.array(np.add.reduceat(log_p[block.token_pair], starts))})
     return run
 
 

@@ -51,6 +51,20 @@ def test_counts_and_base_match_brute_force_and_the_model_beats_it(docs, monkeypa
     assert sorted(r["score"] for r in again) == sorted(r["score"] for r in out)
 
 
+def test_scores_are_not_rounded(docs):
+    """An unseen word after an unseen one has the root's share of the base, to single precision."""
+    held = [i for i in range(400) if lm.held_out(i)][:2]
+    free = [i for i in range(400) if not lm.held_out(i)][:40]
+    rows = [(i, f"a{i} b") for i in free] + [(held[0], "zz"), (held[1], "zz zz zz zz")]
+    score = {r["doc_id"]: r["score"] for r in lm.score(docs(rows)).collect()}
+    short, long = score[held[0]], score[held[1]]
+    # The longer text holds three more unseen words, each in a context without customers.
+    share = (long - short) / 3
+    assert share < 0 and abs(share * 2048 - round(share * 2048)) > 1e-4
+    again = {r["doc_id"]: r["score"] for r in lm.score(docs(rows)).collect()}
+    assert again == score
+
+
 def test_empty_and_all_held_out(docs):
     assert lm.score(docs([])).collect() == []
     held = next(i for i in range(100) if lm.held_out(i))
