@@ -2,10 +2,11 @@
 
 The model has a restaurant for every context and one root restaurant, their
 common parent, above a uniform base over the training words and one unseen
-word.  A token's context is the ending (``SUFFIX`` characters) of the word
-before it, hashed to ``CONTEXTS`` classes, with a class of its own for the
-start of a text.  Customers are the tokens of the training texts; every
-table of a context restaurant sends one customer to the root.
+word.  A token's context is the whole word before it, by 16 bits of its hash
+(``CONTEXTS``), with a context of its own for the start of a text: up to some
+ten thousand words each has a restaurant to itself, beyond that several share
+one.  Customers are the tokens of the training texts; every table of a context
+restaurant sends one customer to the root.
 
 Training, over all training texts:
 
@@ -14,11 +15,14 @@ Training, over all training texts:
    arrays, to buckets of words.
 2. A bucket adds the counts up: all customers of its words, whatever the
    context, and the words' root restaurants entries are in one bucket.
-3. Blocked Gibbs sweeps: the customers of a dish leave a restaurant together
-   and are seated again one after the other, each opening a table with
-   probability proportional to ``(theta + d T) p_parent``; beyond the first
-   16 they come in batches of a sixteenth of those seated (binomial).  Sweeps
-   exchange table totals per context, a vector of fixed size.  Seating is a
+3. Blocked Gibbs sweeps: the customers of a dish leave a restaurant together,
+   their tables leave the restaurant's total and the root, and they are seated
+   again one after the other, each opening a table with probability
+   proportional to ``(theta + d T) p_parent``, T with the tables opened so far.
+   Two approximations: all dishes are seated side by side, from what the others
+   had after the sweep before, and beyond the first 16 the customers of a dish
+   come in batches of a sixteenth of those seated (binomial).  Sweeps exchange
+   table totals per context, a vector of fixed size.  Seating is a
    function of (seed, bucket, sweep), so a bucket replays earlier sweeps
    instead of storing them, and a lost task gives the same seats again.
 4. A bucket answers every block with the counts of its words and the
@@ -50,7 +54,7 @@ from pyspark.sql import functions as F
 from .common import block_docs, give_back, n_blocks, pack, saved, split_words, text_blocks, unpack
 
 FOLDS, HELD_OUT_FOLD = 5, 1
-CONTEXTS, SUFFIX = 1024, 4
+CONTEXTS = 1 << 16
 SWEEPS = 4
 THETA_CONTEXT, THETA_ROOT = 5.0, 50.0
 BLOCK_DOCS, BUCKET_DOCS = 4096, 2048
@@ -76,12 +80,12 @@ def read_block(payloads, buckets: int) -> Block:
     give_back()
     docs = block_docs(payloads)
     split = split_words(docs.column("text"))
-    vocabulary = split.vocabulary.to_pylist()
     hashes = np.append(split.hashes(), END)
-    context = np.array([xxhash.xxh32_intdigest(w[-SUFFIX:]) % (CONTEXTS - 1) + 1 for w in vocabulary] + [0], np.int64)
+    context = ((hashes >> np.uint64(40)) % np.uint64(CONTEXTS - 1)).astype(np.int64) + 1
+    context[-1] = 0
     n, n_docs = len(split.codes), docs.num_rows
     offsets = split.offsets + np.arange(n_docs + 1)              # every text has an end token
-    tokens = np.full(n + n_docs, len(vocabulary), np.int64)
+    tokens = np.full(n + n_docs, len(hashes) - 1, np.int64)
     tokens[np.arange(n) + np.repeat(np.arange(n_docs), np.diff(split.offsets))] = split.codes
     before = np.zeros(len(tokens), np.int64)
     before[1:] = context[tokens[:-1]]                            # behind an end token: 0, the start of a text
@@ -154,40 +158,47 @@ class Settings(NamedTuple):
     seed: int
 
 
-def seat(customers: np.ndarray, new_weight: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables after all customers of every dish sat down in turn."""
+def seat(customers: np.ndarray, rest: np.ndarray, parent: np.ndarray, theta: float, discount: float, rng: np.random.Generator) -> np.ndarray:
+    """Tables after all customers of every dish sat down in turn; ``rest``: the
+    restaurant's tables of other dishes, ``parent``: the dish's probability above."""
     tables = np.minimum(customers, 1)
     seated = tables.copy()
     active = np.flatnonzero(customers > 1)
     while len(active):
-        n, t, a = seated[active], tables[active], new_weight[active]
+        n, t = seated[active], tables[active]
+        new = (theta + discount * (rest[active] + t)) * parent[active]
         come = np.minimum(np.maximum(1, n // 16), customers[active] - n)
-        tables[active] = t + rng.binomial(come, a / (n - discount * t + a))
+        tables[active] = t + rng.binomial(come, new / (n - discount * t + new))
         seated[active] = n + come
         active = active[seated[active] < customers[active]]
     return tables
 
 
-def root_probability(customers, tables, totals: Totals, s: Settings):
-    """Predictive probability of dishes in the root restaurant."""
-    total = int(totals.tables.sum())
+def root_probability(customers, tables, totals: Totals, s: Settings, gone=0):
+    """Predictive probability of dishes in the root restaurant, after ``gone``
+    customers of the dish left it (and the tables that nobody is left for)."""
+    total = int(totals.tables.sum()) - gone
     base = 1 / (s.vocabulary + 1)
-    return (customers - s.root_discount * tables + (THETA_ROOT + s.root_discount * totals.root_tables) * base) / (THETA_ROOT + total)
+    left = customers - gone
+    closed = np.maximum(tables - left, 0)
+    return (left - s.root_discount * (tables - closed)
+            + (THETA_ROOT + s.root_discount * (totals.root_tables - closed)) * base) / (THETA_ROOT + total)
 
 
 def sweeps(counts: Counts, bucket: int, history: list[Totals], s: Settings):
     """Yields (tables per pair, root customers and root tables per word) of
     sweep 1, 2, ...; sweep i + 1 uses ``history[i]``, the totals after sweep i."""
     word, context = counts.pairs // CONTEXTS, counts.pairs % CONTEXTS
+    tables = np.ones(len(counts.pairs), np.int64)
     root_customers = np.bincount(word, minlength=len(counts.words))
     root_tables = np.ones(len(counts.words), np.int64)
+    base = np.full(len(counts.words), 1 / (s.vocabulary + 1))
     for number, totals in enumerate(history):
         rng = np.random.default_rng([s.seed, bucket, number])
-        parent = root_probability(root_customers, root_tables, totals, s)[word]
-        tables = seat(counts.count, (THETA_CONTEXT + s.discount * totals.tables[context]) * parent, s.discount, rng)
+        parent = root_probability(root_customers[word], root_tables[word], totals, s, tables)
+        tables = seat(counts.count, totals.tables[context] - tables, parent, THETA_CONTEXT, s.discount, rng)
         root_customers = np.bincount(word, weights=tables, minlength=len(counts.words)).astype(np.int64)
-        weight = np.full(len(counts.words), (THETA_ROOT + s.root_discount * totals.root_tables) / (s.vocabulary + 1))
-        root_tables = seat(root_customers, weight, s.root_discount, rng)
+        root_tables = seat(root_customers, totals.root_tables - root_tables, base, THETA_ROOT, s.root_discount, rng)
         yield tables, root_customers, root_tables
 
 
@@ -214,17 +225,19 @@ def _totals(counts: DataFrame, history: list[Totals], settings: Settings | None)
     schema = pa.schema([("context", pa.int64()), ("tokens", pa.int64()), ("tables", pa.int64())])
 
     def run(batches):
+        tokens, tables, root = np.zeros(CONTEXTS, np.int64), np.zeros(CONTEXTS, np.int64), 0
         for b in batches:
             for bucket, blob in zip(b.column("bucket").to_pylist(), b.column("payload")):
                 c = _read_counts(blob.as_py())
-                tables, root = np.ones(len(c.pairs), np.int64), len(c.words)
-                for tables, _, root_tables in sweeps(c, bucket, history, settings) if history else ():
-                    root = int(root_tables.sum())
+                seats, root_seats = np.ones(len(c.pairs), np.int64), np.ones(len(c.words), np.int64)
+                for seats, _, root_seats in sweeps(c, bucket, history, settings) if history else ():
+                    pass
                 context = c.pairs % CONTEXTS
-                tokens = np.bincount(context, weights=c.count, minlength=CONTEXTS).astype(np.int64)
-                tables = np.bincount(context, weights=tables, minlength=CONTEXTS).astype(np.int64)
-                at = np.flatnonzero(tokens)
-                yield pa.record_batch([pa.array(np.append(at, -1)), pa.array(np.append(tokens[at], 0)), pa.array(np.append(tables[at], root))], schema=schema)
+                tokens += np.bincount(context, weights=c.count, minlength=CONTEXTS).astype(np.int64)
+                tables += np.bincount(context, weights=seats, minlength=CONTEXTS).astype(np.int64)
+                root += int(root_seats.sum())
+        at = np.flatnonzero(tokens)
+        yield pa.record_batch([pa.array(np.append(at, -1)), pa.array(np.append(tokens[at], 0)), pa.array(np.append(tables[at], root))], schema=schema)
 
     rows = (counts.select("bucket", "payload").mapInArrow(run, "context long, tokens long, tables long")
             .groupBy("context").agg(F.sum("tokens").alias("tokens"), F.sum("tables").alias("tables")).collect())

@@ -105,10 +105,101 @@ def test_predictive_probabilities_sum_to_one():
 
 def test_seating_follows_the_restaurant_process():
     rng = np.random.default_rng(2)
-    d, a = 0.5, 2.0
-    tables = lm.seat(np.full(4000, 12), np.full(4000, a), d, rng)
-    t = 1.0                                       # expected tables, customer by customer
-    for n in range(1, 12):
-        t += a / (n - d * t + a)
-    assert abs(tables.mean() - t) < 0.3
-    assert lm.seat(np.array([0, 1, 100_000]), np.array([1.0, 1.0, 1e-9]), d, rng).tolist() == [0, 1, 1]
+    d, theta, rest, parent = 0.5, 5.0, 30, 0.02
+    tables = lm.seat(np.full(4000, 40), np.full(4000, rest), np.full(4000, parent), theta, d, rng)
+    turns = random.Random(3)
+    seen = []
+    for _ in range(4000):                         # customer by customer
+        t = 1
+        for n in range(1, 40):
+            new = (theta + d * (rest + t)) * parent
+            t += turns.random() < new / (n - d * t + new)
+        seen.append(t)
+    assert abs(tables.mean() - np.mean(seen)) < 0.15
+    few = lm.seat(np.array([0, 1, 100_000]), np.zeros(3), np.array([1.0, 1.0, 1e-12]), theta, d, rng)
+    assert few.tolist() == [0, 1, 1]
+
+
+class Restaurant:
+    """Customers seated one at a time; its parent has a customer for every table."""
+
+    def __init__(self, theta, d, parent):
+        self.theta, self.d, self.parent, self.tables = theta, d, parent, {}
+
+    def p(self, dish):
+        own = self.tables.get(dish, [])
+        n, t = sum(map(sum, self.tables.values())), sum(map(len, self.tables.values()))
+        above = self.parent.p(dish) if self.parent else BASE
+        return (sum(own) - self.d * len(own) + (self.theta + self.d * t) * above) / (self.theta + n)
+
+    def sit(self, dish, rng):
+        own = self.tables.setdefault(dish, [])
+        above = self.parent.p(dish) if self.parent else BASE
+        new = (self.theta + self.d * sum(map(len, self.tables.values()))) * above
+        i = rng.choices(range(len(own) + 1), [c - self.d for c in own] + [new])[0]
+        if i < len(own):
+            own[i] += 1
+        else:
+            own.append(1)
+            if self.parent:
+                self.parent.sit(dish, rng)
+
+    def leave(self, dish, rng):
+        own = self.tables[dish]
+        i = rng.choices(range(len(own)), own)[0]
+        own[i] -= 1
+        if not own[i]:
+            del own[i]
+            if self.parent:
+                self.parent.leave(dish, rng)
+
+
+def test_scores_agree_with_a_sampler_that_seats_one_customer_at_a_time(docs, monkeypatch):
+    monkeypatch.setattr(lm, "SWEEPS", 12)
+    rng = random.Random(5)
+    rows, after = [], {}
+    for i in range(60):
+        w = [f"w{rng.randrange(6)}"]
+        while len(w) < 9:                          # some words follow others
+            w.append(after.setdefault(w[-1], f"w{rng.randrange(6)}") if rng.random() < 0.6 else f"w{rng.randrange(12)}")
+        rows.append((i, " ".join(w)))
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs(rows)).collect()}
+    tokens = {i: list(zip([None, *t.split()], [*t.split(), "."])) for i, t in rows}
+    customers = [x for i, t in tokens.items() if not lm.held_out(i) for x in t]
+    global BASE
+    BASE = 1 / (len({w for _, w in customers}) + 1)
+
+    def discount(counts):
+        n = Counter(counts.values())
+        return lm._discount(n[1], n[2])
+
+    root = Restaurant(lm.THETA_ROOT, discount(Counter(w for _, w in customers)), None)
+    d = discount(Counter(customers))
+    contexts = {c: Restaurant(lm.THETA_CONTEXT, d, root) for c in [None, *{w for t in tokens.values() for _, w in t}]}
+    for c, w in customers:
+        contexts[c].sit(w, rng)
+    p, samples = Counter(), 0
+    for sweep in range(60):
+        for c, w in customers:
+            contexts[c].leave(w, rng)
+            contexts[c].sit(w, rng)
+        if sweep >= 10:
+            samples += 1
+            for x in {x for t in tokens.values() for x in t}:
+                p[x] += contexts[x[0]].p(x[1])
+    for i, t in tokens.items():
+        expected = sum(math.log10(p[x] / samples) for x in t)
+        assert abs(got[i] - expected) < 0.03 * len(t), (i, got[i], expected)
+
+
+def test_training_texts_that_occur_twice_score_apart(docs):
+    rng = random.Random(8)
+    rows = [(i, " ".join(prose(rng, 60, 400))) for i in range(400)]
+    free = [i for i, _ in rows if not lm.held_out(i)]
+    twice = dict(zip(free[:40:2], free[1:40:2]))
+    texts = dict(rows)
+    texts.update({b: texts[a] for a, b in twice.items()})
+    out = {r["doc_id"]: (r["score"] - r["base_score"]) / r["n_tokens"] for r in lm.score(docs(list(texts.items()))).collect()}
+    pairs = {*twice, *twice.values()}
+    once = sorted(v for i, v in out.items() if i not in pairs)
+    assert min(out[i] for i in pairs) > once[int(0.95 * len(once))]
