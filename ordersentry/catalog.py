@@ -355,6 +355,12 @@ def stream_verdict(spark, sf_dir):
     return replay.processed(spark, replay.replay(spark, sf_dir)).select("order_id", "status")
 
 
+def stream_keyed_verdict(spark, sf_dir):
+    """T2 with keyed state: the same stream, the buffers in the state store."""
+    configure(spark)
+    return replay.keyed(spark, sf_dir).select("order_id", "status", "first_rule")
+
+
 def stream_offsets(spark, sf_dir):
     """What consumers that started at the topic's begin and at its end have
     read after a restart, orders and broken messages."""
@@ -457,6 +463,7 @@ def queries() -> dict[str, Query]:
         "changes_loaded": changes_loaded,
         "models_rebuilt": models_rebuilt,
         "stream_verdict": stream_verdict,
+        "stream_keyed_verdict": stream_keyed_verdict,
         "stream_offsets": stream_offsets,
         "stream_quarantine": stream_quarantine,
         "stream_alerts": stream_alerts,

@@ -402,6 +402,7 @@ SELECT order_id, CASE WHEN order_id IN (SELECT order_id FROM stored) THEN 'updat
 SELECT {_RAW_COLS.replace('status', "CASE WHEN created_date < TIMESTAMP '2024-01-08 00:00:00' AND status = 'Fraud' THEN 'Genuine' ELSE status END AS status")}
 FROM raw_orders""",
     "stream_verdict": "SELECT order_id, verdict AS status FROM screened",
+    "stream_keyed_verdict": "SELECT order_id, verdict AS status, first_rule FROM screened",
     "stream_offsets": """
 , topic AS (
   SELECT partition, seq * 3 AS "offset", order_id FROM order_events

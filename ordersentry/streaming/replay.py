@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from ..plans.domain import Domain
 from ..schemas import ORDER_EVENT
 from ..session import checkpoint_dir
+from .keyed import start_keyed
 from .loader import start_loader
-from .screening import RoutedSink, parquet_sink, read_routed, start_screening
+from .screening import RoutedSink, decode_orders, parquet_sink, read_routed, start_screening, typed_orders
 from .staged import read_staged, stage
 
 # Fixed values of the scenario (shared with the oracle SQL).
@@ -67,6 +68,21 @@ def replay(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same topic in the same steps, screened with keyed state; every step
+    but the first is a restart that finds the buffers in the state store."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/keyed-{uuid.uuid4().hex}"
+    messages(Domain(spark, sf_dir).order_events).write.parquet(f"{root}/all")
+    every = spark.read.schema(MESSAGE).parquet(f"{root}/all")
+    last = every.agg(F.max("offset")).first()[0] or 0
+    for part in range(PARTS):
+        step = F.floor(F.col("offset") * PARTS / F.lit(last + 1))
+        every.filter(step == part).write.mode("append").parquet(f"{root}/topic")
+        orders, _ = decode_orders(spark.readStream.schema(MESSAGE).parquet(f"{root}/topic"))
+        start_keyed(typed_orders(orders), f"{root}/checkpoint", f"{root}/out", trigger={"availableNow": True}).awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 def processed(spark: SparkSession, root: str) -> DataFrame:
     return read_routed(spark, f"{root}/out", "processed")
 
