@@ -101,15 +101,22 @@ def screen_keyed(orders: DataFrame, params: fraud.FraudParams = fraud.DEFAULT) -
 
 
 def start_keyed(orders: DataFrame, checkpoint: str, path: str, params: fraud.FraudParams = fraud.DEFAULT,
-                trigger: dict | None = None):
+                trigger: dict | None = None, state_partitions: int = 16):
     """T1 with keyed state: screened orders are appended to ``path`` (Parquet) by
-    Spark's file sink, whose log shows each micro-batch whole and once."""
+    Spark's file sink, whose log shows each micro-batch whole and once.
+
+    Every micro-batch runs ``state_partitions`` tasks, each with a state store of its
+    own: as many as stream partitions shall be worked on at once, never more
+    than there are.  The checkpoint keeps the number."""
     spark = orders.sparkSession
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, ROCKSDB)             # a query keeps the setting it started with
+    settings = {_PROVIDER: ROCKSDB, "spark.sql.shuffle.partitions": str(state_partitions)}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():                  # a query keeps the settings it started with
+        spark.conf.set(k, v)
     try:
         return (screen_keyed(orders, params).writeStream.format("parquet").option("path", path)
                 .option("checkpointLocation", checkpoint).outputMode("append")
                 .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
     finally:
-        spark.conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -79,7 +79,7 @@ def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
         step = F.floor(F.col("offset") * PARTS / F.lit(last + 1))
         every.filter(step == part).write.mode("append").parquet(f"{root}/topic")
         orders, _ = decode_orders(spark.readStream.schema(MESSAGE).parquet(f"{root}/topic"))
-        start_keyed(typed_orders(orders), f"{root}/checkpoint", f"{root}/out", trigger={"availableNow": True}).awaitTermination()
+        start_keyed(typed_orders(orders), f"{root}/checkpoint", f"{root}/out", trigger={"availableNow": True}, state_partitions=PARTS).awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
 
