@@ -61,3 +61,8 @@ def test_no_master_is_set_by_default(monkeypatch):
     session.get_session()
     assert "master" not in [n for n, _ in seen]
     assert not any(a and a[0] == "spark.master" for _, a in seen)
+
+
+def test_one_task_sorts_little_after_a_shuffle(spark):
+    """Screening holds a task's rows in several sorts at once."""
+    assert int(configure(spark).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes").removesuffix("b")) <= 16 << 20
