@@ -251,16 +251,18 @@ def screen(orders: DataFrame, seq: str = "seq", partition_cols: tuple[str, ...]
 
 # ----------------------------------------------------- dense arrival numbers
 def dense_sequence(df: DataFrame, order_col: str, partition_cols: tuple[str, ...] = ("partition",),
-                   out_col: str = "seq", block: int = 1 << 20) -> DataFrame:
+                   out_col: str = "seq", block: int = 1 << 16, block_col: str | None = None) -> DataFrame:
     """Number rows 0, 1, 2, ... per partition in ``order_col`` order, for
     offsets with gaps (compacted or transactional topics).
 
     Counts per (partition, offset block) are small (rows / ``block``); their
     running sum gives each block's first number, and a row's number is that
     plus its rank inside the block.  No step sees more than one block.
+    ``block_col`` names the block number's column of rows that already lie by
+    ``partition_cols`` and it, and isn't kept.
     """
-    b = F.expr(f"`{order_col}` div {block}").alias("_ob")
-    with_b = df.select("*", b)
+    b = F.col(block_col) if block_col else F.expr(f"`{order_col}` div {block}")
+    with_b = df.withColumnRenamed(block_col, "_ob") if block_col else df.select("*", b.alias("_ob"))
     counts = with_b.groupBy(*partition_cols, "_ob").agg(F.count(F.lit(1)).alias("_n"))
     wcum = Window.partitionBy(*partition_cols).orderBy("_ob").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*partition_cols, "_ob",

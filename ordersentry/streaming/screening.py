@@ -24,6 +24,7 @@ concatenated stream (tested).
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from collections.abc import Callable
 
@@ -40,6 +41,8 @@ from ..sources.tables import exists, publish, read_if_exists
 Sink = Callable[[DataFrame, int], None]
 
 _TAIL_COLS = ["partition", "seq", "user_id", "product_id", "quantity", "event_ts"]
+OFFSET_BLOCK = 1 << 15        # offsets of a stream partition that one task decodes and numbers together
+FILE_ROWS, LEAST_FILES = 250_000, 8       # orders of a written file; files of a small batch
 
 
 # ------------------------------------------------------------------ S1 / S2
@@ -58,11 +61,12 @@ def read_orders(spark: SparkSession, servers: str, topic: str = ORDERS_TOPIC,
     return r.load()
 
 
-def _decoded(raw: DataFrame, schema: T.StructType, keep_message: bool) -> DataFrame:
+def _decoded(raw: DataFrame, schema: T.StructType, keep_message: bool, keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw messages as ``partition, seq, _json, _broken``, the order columns
-    and, with ``keep_message``, ``message``."""
+    and, with ``keep_message``, ``message``; columns in ``keep`` come along."""
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField("_corrupt", T.StringType())])
     parsed = raw.select(
+        *keep,
         F.col("partition").cast("int").alias("partition"),
         F.col("offset").cast("long").alias("seq"),
         F.col("value").cast("string").alias("_json"),
@@ -77,7 +81,7 @@ def _decoded(raw: DataFrame, schema: T.StructType, keep_message: bool) -> DataFr
         parsed = parsed.withColumn("message", F.try_parse_json("_json"))
         broken = broken | F.col("message").isNull()
         message = ["message"]
-    return parsed.select("partition", "seq", "_json", broken.alias("_broken"),
+    return parsed.select(*keep, "partition", "seq", "_json", broken.alias("_broken"),
                          *[F.col(f"_o.{f.name}") for f in schema.fields], *message)
 
 
@@ -165,6 +169,8 @@ class RoutedSink:
 
     A batch that failed anywhere before that leaves folders that no reader
     sees; its replay writes new ones.  A committed batch is not written again.
+    Files hold up to about ``FILE_ROWS`` orders, whatever the number of tasks
+    that screened them, so a reader opens no more than the orders need.
     Read with :func:`read_routed`.
     """
 
@@ -182,7 +188,9 @@ class RoutedSink:
         publish(spark, commits, f"{batch_id}.json", json.dumps({"batch_id": batch_id, "attempt": attempt}))
 
     def write(self, rows: DataFrame, folder: str) -> None:
-        rows.write.parquet(folder)
+        # Counted first: what is cached is then made by all tasks, not by the fewer that write.
+        files = max(LEAST_FILES, math.ceil(rows.count() / FILE_ROWS))
+        rows.coalesce(files).write.parquet(folder)
 
 
 def read_routed(spark: SparkSession, path: str, route: str) -> DataFrame:
@@ -231,7 +239,7 @@ class BufferedScreening:
         if dense:
             local = cur.join(F.broadcast(firsts), "partition").withColumn("_local", F.col("offset") - F.col("_first"))
         else:
-            local = fraud.dense_sequence(cur, "offset", out_col="_local").join(F.broadcast(firsts), "partition")
+            local = fraud.dense_sequence(cur, "offset", out_col="_local", block_col="_ob").join(F.broadcast(firsts), "partition")
         return local.withColumn("seq", F.coalesce("_base", F.lit(0)) + F.col("_local")).drop("_local", "_base", "_first")
 
     def _tail_path(self, batch_id: int) -> str:
@@ -258,8 +266,13 @@ class BufferedScreening:
         raw = "value" in batch.columns
         if raw and self.quarantine is None:
             raise ValueError("raw messages need a quarantine sink")
-        # The source is read once: all that follows reads the decoded batch.
-        rows = _decoded(batch, ORDER_EVENT, keep_message=True) if raw else batch.withColumn("_broken", F.lit(False))
+        # The source is read once: all that follows reads the decoded batch.  It lies by blocks of
+        # offsets, which are numbered where they lie: a file's row group grows far larger decoded.
+        block = F.expr(f"CAST(`{'offset' if raw else 'seq'}` AS LONG) div {OFFSET_BLOCK}")
+        if raw:
+            batch = batch.withColumn("partition", F.col("partition").cast("int"))
+        batch = batch.withColumn("_ob", block).repartition("partition", "_ob")
+        rows = _decoded(batch, ORDER_EVENT, keep_message=True, keep=("_ob",)) if raw else batch.withColumn("_broken", F.lit(False))
         rows = rows.persist()
         good = F.col("seq").isNotNull() & ~F.col("_broken")
         try:
@@ -284,7 +297,7 @@ class BufferedScreening:
             tail.select(*_TAIL_COLS).withColumn("_ctx", F.lit(True)), allowMissingColumns=True)
         screened = fraud.screen(both, params=self.params, attribution=False).persist()
         try:
-            out = screened.filter(~F.col("_ctx")).drop("_ctx", "created_hour", "offset")
+            out = screened.filter(~F.col("_ctx")).drop("_ctx", "_ob", "created_hour", "offset")
             self.processed(out, batch_id)
             if self.alerts is not None:
                 self.alerts(out.filter(F.col("status") == FRAUD), batch_id)

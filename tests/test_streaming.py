@@ -1,3 +1,4 @@
+import glob
 import json
 import os
 import random
@@ -15,6 +16,7 @@ from ordersentry.operators import fraud
 from ordersentry.plans.domain import Domain
 from ordersentry.schemas import ORDER_EVENT
 from ordersentry.sources.tables import read_table
+from ordersentry.streaming import screening
 from ordersentry.streaming.loader import UpsertLoader, start_loader
 from ordersentry.streaming.screening import BufferedScreening, parquet_sink, start_screening
 from tests import brute
@@ -367,3 +369,25 @@ def test_missing_tail_stops_and_other_errors_stay(spark, tmp_path):
     with pytest.raises(Exception) as exc:
         fn(_messages(spark, 2), 4)
     assert "tail of batch" not in str(exc.value)
+
+
+def test_a_file_is_decoded_by_several_tasks(spark, tmp_path, monkeypatch):
+    """A row group of messages grows many times decoded, so its messages lie by blocks of offsets."""
+    monkeypatch.setattr(screening, "OFFSET_BLOCK", 10)
+    batch = spark.range(0, 200, 1, 1).selectExpr("1 AS partition", "id AS offset", "CONCAT('broken ', id) AS value")
+    held = []
+
+    def quarantine(df, batch_id):
+        held.extend(df.select("seq", F.spark_partition_id().alias("task")).collect())
+
+    screening.BufferedScreening(f"{tmp_path}/state", screening.parquet_sink(f"{tmp_path}/out"), quarantine=quarantine)(batch, 0)
+    task = {r["seq"]: r["task"] for r in held}
+    assert sorted(task) == list(range(200)) and len(set(task.values())) > 2
+    assert all(task[i] == task[i - i % 10] for i in task)
+
+
+def test_files_follow_the_orders_not_the_tasks(spark, tmp_path):
+    rows = spark.range(0, 100, 1, 50).selectExpr("id AS seq", "'Genuine' AS status")
+    screening.RoutedSink(f"{tmp_path}/out")(rows, 0)
+    assert len(glob.glob(f"{tmp_path}/out/processed/*/*/*.parquet")) <= screening.LEAST_FILES
+    assert screening.read_routed(spark, f"{tmp_path}/out", "processed").count() == 100
