@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import types as T
 
 from ordersentry.operators import fraud
-from ordersentry.streaming.keyed import BUFFER, NO_TIME, ROCKSDB, bot_flags, start_keyed
+from ordersentry.streaming.keyed import BUFFER, NO_TIME, ROCKSDB, bot_flags, by_stretch, start_keyed
 from tests import brute
 from tests.test_fraud import SCHEMA, random_stream
 
@@ -70,3 +70,21 @@ def test_small_buffers_count_arrivals(size):
     assert len(a) == 6 and all(a == (size > 1)) and all(c == (size > 1))
     pairs_fall = [any(5 - j // 2 > 5 - (j + 1) // 2 for j in range(max(0, i - size + 1), i)) for i in range(4, 10)]
     assert b.tolist() == [size > 1 and not f for f in pairs_fall]
+
+
+def test_a_task_holds_a_stretch_of_offsets_at_a_time(tmp_path):
+    rnd = random.Random(5)
+    seq = rnd.sample(range(0, 3000, 3), 1000)
+    rows = pd.DataFrame({"seq": seq, "order": [f"order {i}" for i in seq], "f_country": [i % 2 == 0 for i in seq]})
+    parts = [rows[lo:lo + 130] for lo in range(0, 1000, 130)]
+    got = list(by_stretch(iter(parts), str(tmp_path), 300))
+    assert [len(p) for p in got] == [100] * 10
+    assert pd.concat(got, ignore_index=True).equals(rows.sort_values("seq", ignore_index=True))
+
+
+def test_verdicts_across_stretches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("ordersentry.streaming.keyed.STRETCH", 64)
+    orders = random_stream(23, 600, 4, 2, 0.1)
+    stage(spark, [tuple(o[f.name] for f in SCHEMA.fields[2:]) + (0, 3 * i, i) for i, o in enumerate(orders)], f"{tmp_path}/in", "step-0")
+    got = {r.i: (r.status, r.first_rule) for r in run(spark, tmp_path).collect()}
+    assert got == dict(enumerate(brute.screen(orders)))
