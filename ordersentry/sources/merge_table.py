@@ -5,7 +5,7 @@ batch is written as a *run* of its own (one row per key, the last one wins)
 and its cost depends on the batch alone.  A reader takes, per key, the row of
 the newest run.
 
-    data/run=N/key_range=K     the run's rows, sorted by key
+    data/run=N/key_range=K     the run's rows, in files sorted by key
     stats/run=N                per key range: Bloom filter, smallest and largest key
     current/N.json             the runs that make up version N (a few numbers each)
     consumers/NAME/N.json      the version up to which a reader of changes has come
@@ -46,6 +46,7 @@ FAN_IN = 8                    # runs of one tier that are merged
 TIER_BASE = 1 << 10           # rows of the smallest tier
 BLOOM_HASHES, BLOOM_BITS_PER_KEY = 4, 10
 PAGE_BITS = 1 << 15           # bits of one Bloom page (a bitmap of Spark's aggregates)
+SLICE = 62_500                # width of the slices in which a key range of sequential ids is written
 
 
 def _manifest(spark: SparkSession, path: str, version: int) -> dict:
@@ -92,8 +93,11 @@ def _write_stats(spark: SparkSession, path: str, run: int, key: str, part_col: s
 
 
 def _write_run(spark: SparkSession, path: str, run: int, rows: DataFrame, key: str, part_col: str) -> int:
-    # A key range bounds what one task sorts; nothing reads this folder before it is published.
-    rows.repartition(part_col).sortWithinPartitions(part_col, key).write.mode("overwrite") \
+    # A batch has few key ranges of sequential ids, so each is written in slices, by all cores, and read
+    # by them; small slices go to one task.  Other partitions (buckets) are many and stay whole.
+    # Nothing reads this folder before it is published.
+    at = F.when(F.col(part_col) == key_range()(F.col(key)), key_range(width=SLICE)(F.col(key)))
+    rows.repartition(part_col, at).sortWithinPartitions(part_col, key).write.mode("overwrite") \
         .option("partitionOverwriteMode", "static").partitionBy(part_col).parquet(f"{path}/data/run={run}")
     return _write_stats(spark, path, run, key, part_col)
 

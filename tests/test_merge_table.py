@@ -231,3 +231,20 @@ def test_changes_see_columns_that_came_later(spark, tmp_path):
     later = spark.createDataFrame([("O1", 1, None, 0), ("O2", 2, "x", 0)], "order_id string, v long, note string, seq long")
     merge_table.upsert(spark, path, later, "order_id", "seq")
     assert [(r.order_id, r.change) for r in merge_table.changes(spark, path, 0).collect()] == [("O2", "update")]
+
+
+def test_a_key_range_is_written_by_several_tasks(spark, tmp_path):
+    """A large batch's key range lies in several files, each a part of the keys in order;
+    a small batch's in one, and buckets of other keys aren't cut."""
+    path = str(tmp_path / "t")
+    rows = spark.range(400_000).selectExpr("concat('O', 1000000 + id) AS order_id", "xxhash64(id) AS v", "id AS seq")
+    merge_table.upsert(spark, path, rows, "order_id", "seq")
+    merge_table.upsert(spark, path, rows.filter("id < 50"), "order_id", "seq")
+    one = merge_table.hash_buckets(1)
+    merge_table.upsert(spark, path, rows.withColumn("order_id", F.concat(F.lit("x"), "order_id")), "order_id", "seq", partition_of=one)
+    files = [[n for n in os.listdir(f"{path}/data/run={run}/key_range={k}") if n.endswith(".parquet")] for run, k in ((0, 1), (1, 1), (2, 0))]
+    assert len(files[0]) > 1 and len(files[1]) == len(files[2]) == 1
+    for name in files[0]:
+        keys = [r[0] for r in spark.read.parquet(f"{path}/data/run=0/key_range=1/{name}").select("order_id").collect()]
+        assert keys == sorted(keys) and len(keys) < 400_000
+    assert merge_table.read(spark, path).count() == 800_000
