@@ -62,8 +62,9 @@ def read_orders(spark: SparkSession, servers: str, topic: str = ORDERS_TOPIC,
 
 
 def _decoded(raw: DataFrame, schema: T.StructType, keep_message: bool, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Raw messages as ``partition, seq, _json, _broken``, the order columns
-    and, with ``keep_message``, ``message``; columns in ``keep`` come along."""
+    """Raw messages as ``partition, seq, _json`` (the text of broken ones),
+    ``_broken``, the order columns and, with ``keep_message``, ``message``;
+    columns in ``keep`` come along."""
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField("_corrupt", T.StringType())])
     parsed = raw.select(
         *keep,
@@ -81,7 +82,9 @@ def _decoded(raw: DataFrame, schema: T.StructType, keep_message: bool, keep: tup
         parsed = parsed.withColumn("message", F.try_parse_json("_json"))
         broken = broken | F.col("message").isNull()
         message = ["message"]
-    return parsed.select(*keep, "partition", "seq", "_json", broken.alias("_broken"),
+    # Only the quarantine needs the text; a cached order shall not hold it beside what was read from it.
+    text = F.when(broken, F.col("_json")).alias("_json")
+    return parsed.select(*keep, "partition", "seq", text, broken.alias("_broken"),
                          *[F.col(f"_o.{f.name}") for f in schema.fields], *message)
 
 

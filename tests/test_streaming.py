@@ -391,3 +391,14 @@ def test_files_follow_the_orders_not_the_tasks(spark, tmp_path):
     screening.RoutedSink(f"{tmp_path}/out")(rows, 0)
     assert len(glob.glob(f"{tmp_path}/out/processed/*/*/*.parquet")) <= screening.LEAST_FILES
     assert screening.read_routed(spark, f"{tmp_path}/out", "processed").count() == 100
+
+
+def test_only_broken_messages_keep_their_text(spark):
+    """The decoded batch is cached: an order is there as columns and message, not as text too."""
+    from ordersentry.schemas import ORDER_EVENT
+    from ordersentry.streaming.screening import _decoded
+    good, bad = '{"order_id":"O1","quantity":2,"note":"x"}', ['{"order_id": O', '{"order_id":"X","event_ts":"not a time"}']
+    raw = spark.createDataFrame([(0, i, v) for i, v in enumerate([good, *bad, None])], "partition int, offset long, value string")
+    for keep_message in (True, False):
+        rows = _decoded(raw, ORDER_EVENT, keep_message).orderBy("seq").collect()
+        assert [(r._broken, r._json) for r in rows] == [(False, None), (True, bad[0]), (True, bad[1]), (True, None)]
