@@ -77,11 +77,8 @@ class UpsertLoader:
         # Exactly the raw_orders columns (ingestion_ts is set by the upsert),
         # plus the arrival order that decides which version of a key wins.
         cols = [c for c in RAW_ORDERS.fieldNames() if c in rows.columns and c != "ingestion_ts"]
-        rows = rows.select(*cols, self.order_col).persist()       # checked for emptiness, then written
-        try:
-            merge_table.upsert(spark, self.table_path, rows, self.key, self.order_col)
-        finally:
-            rows.unpersist()
+        # Not cached: it is read whole once, by the write; the check for emptiness stops at a first row.
+        merge_table.upsert(spark, self.table_path, rows.select(*cols, self.order_col), self.key, self.order_col)
         if self.compaction:
             merge_table.compact(spark, self.table_path, self.key)
 

@@ -203,3 +203,38 @@ def test_verdict_without_attribution(spark):
     out = fraud.screen(df, attribution=False)
     assert "first_rule" not in out.columns
     assert [r.status for r in out.orderBy("seq").collect()] == [s for s, _ in brute.screen(orders)]
+
+
+def test_a_verdict_copies_few_orders(spark):
+    """Only the end of a block is context for the next one; the verdict alone takes wide blocks."""
+    n = 10_000
+    orders = spark.range(n).selectExpr("0 AS partition", "id AS seq", "CONCAT('U', id % 3) AS user_id", "'P1' AS product_id",
+                                       "1 AS quantity", "timestamp_micros(id) AS event_ts")
+    for size in (1, 7, 200, 5000):
+        params = fraud.FraudParams(buffer_size=size)
+        for width in (size, fraud.block_width(params)):
+            blocks = fraud.with_blocks(orders, params=params, width=width)
+            own, copies = blocks.filter("_own"), blocks.filter("NOT _own")
+            assert own.count() == n and own.filter(f"_blk <> seq div {width}").isEmpty()
+            # A copy goes to the next block's first order's buffer, and nothing else does.
+            assert copies.filter(f"_blk * {width} - seq NOT BETWEEN 1 AND {size - 1}").isEmpty()
+            assert copies.count() == sum(i % width > width - size for i in range(n))
+    plan = fraud.screen(orders.selectExpr("*", "'ID' AS country", "CAST(event_ts AS timestamp) AS created_date", "1L AS amount_numeric"),
+                        attribution=False)
+    assert f"div {fraud.block_width()}" in plan._jdf.queryExecution().optimizedPlan().toString()
+    assert fraud.block_width() + 199 < 4096 and n // fraud.block_width() * 199 < n / 10
+
+
+@pytest.mark.parametrize("size", [3, 200])
+def test_wide_blocks_give_the_same_verdicts(spark, monkeypatch, size):
+    """Many blocks, with falling times, against blocks of one buffer."""
+    orders = spark.range(3000).selectExpr(
+        "CAST(id % 2 AS INT) AS partition", "id div 2 AS seq", "CONCAT('U', id % 5) AS user_id", "CONCAT('P', id * id % 7 div 3) AS product_id",
+        "1 + id % 11 div 9 AS quantity", "'ID' AS country", "1L AS amount_numeric", "TIMESTAMP '2024-01-01 12:00:00' AS created_date",
+        "timestamp_seconds(1700000000 + id * 3 - IF(id % 13 = 0, 40, 0)) AS event_ts")
+    params = fraud.FraudParams(buffer_size=size)
+    verdicts = lambda: fraud.screen(orders, params=params, attribution=False).select("partition", "seq", "status").orderBy("partition", "seq").collect()
+    monkeypatch.setattr(fraud, "BLOCK_ROWS", 800)
+    wide = verdicts()
+    monkeypatch.setattr(fraud, "BLOCK_ROWS", 1)
+    assert wide == verdicts() and {r.status for r in wide} == {"Fraud", "Genuine"}

@@ -66,3 +66,10 @@ def test_no_master_is_set_by_default(monkeypatch):
 def test_one_task_sorts_little_after_a_shuffle(spark):
     """Screening holds a task's rows in several sorts at once."""
     assert int(configure(spark).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes").removesuffix("b")) <= 16 << 20
+
+
+def test_messages_are_cached_and_written_as_they_are(spark):
+    """Shredding and column compression take longer than the rest of caching and writing an order."""
+    configure(spark)
+    assert spark.conf.get("spark.sql.variant.inferShreddingSchema") == "false"
+    assert spark.conf.get("spark.sql.inMemoryColumnarStorage.compressed") == "false"
